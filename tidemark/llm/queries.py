@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_digest
-from tidemark.llm.common import table, tokenizer_path
+from tidemark.llm.common import in_fold, table, tokenizer_path
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.html import extract_text
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.lm import lm_scores
+from tidemark.llm.pii import pii_digest
 from tidemark.llm.quality import quality_filter
 from tidemark.llm.simhash import hex_fingerprint, simhash_components
 from tidemark.llm.substring import substring_dedup
+from tidemark.llm.toxicity import toxicity_scores, train
 
 #: Rank file of the encoding query.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +27,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.round(F.max("matched"), 6).alias("matched"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the fold held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(~in_fold(F.col("doc_id"), 4, 2)))
+    return toxicity_scores(docs, model).select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and digest, and all spans."""
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate of its source."""
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
@@ -40,11 +56,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and maximum-entropy scores of every document."""
+    found = lm_scores(table(spark, sf_dir, "documents"), ~in_fold(F.col("doc_id"), 10, 0))
+    return found.select("doc_id", in_fold(F.col("doc_id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip of every document through the byte-level vocabulary."""
     return bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path(RANKS))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated windows of 50 words."""
     found = substring_dedup(table(spark, sf_dir, "documents"))
@@ -53,10 +80,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op7_language_model": op7_language_model,
     "op8_bpe": op8_bpe,
+    "op9_html": op9_html,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

@@ -9,7 +9,6 @@ Minimisers that stand in a single document only cannot hold a repeat; their stri
 from __future__ import annotations
 
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, pieces, texts
+from tidemark.llm.common import map_arrow, pieces, stored, texts
 
 GRAM = 8
 #: Different strings of a minimiser from which its windows are dealt one by one.
@@ -198,15 +197,6 @@ def _counted(strings: DataFrame, window: int, kind: str) -> DataFrame:
     return ordered.mapInArrow(run, f"bucket bigint, a bigint, b bigint, least array<{kind}>")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df`, written as Parquet in the shared checkpoint folder and read from there."""
-    from tidemark.llm.common import checkpoint_folder
-
-    path = f"{checkpoint_folder(df.sparkSession)}/tidemark-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _kept(docs: DataFrame, window: int, kind: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         n, removed, kept = [], [], []
