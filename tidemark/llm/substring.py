@@ -12,15 +12,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_arrow, pieces, stored, texts
 
 GRAM = 8
-#: Different strings of a minimiser from which its windows are dealt one by one.
-HOT = 2000
+#: Documents of a minimiser from which its windows are dealt one by one.
+HOT = 5000
+#: Compressed bytes of texts that a task handles at a time.
+SLICE = 400_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -86,62 +90,77 @@ class Runs:
         return b" ".join(self.words[self.text[i]][self.start[i] : self.stop[i]])
 
 
+def _compressed(docs: DataFrame, kind: str) -> DataFrame:
+    """doc_id, text_hash and z, the text compressed: what is shuffled and stored of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in pieces(batches):
+            z = pa.array([compress(x.encode()) for x in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), z], names=["doc_id", "text_hash", "z"])
+
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash bigint, z binary")
+
+
+def _open(batch: pa.RecordBatch) -> list[str]:
+    decompress = zstandard.ZstdDecompressor().decompress
+    return [decompress(z).decode() for z in batch.column("z").to_pylist()]
+
+
 def _marks(docs: DataFrame, window: int, kind: str) -> DataFrame:
-    """doc_id, text_hash, key and run (hash of the packed string) of each super-k-mer; rows of null ids have none."""
+    """doc_id, text_hash and key of each text's different minimisers; rows of null ids have none."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         runs = Runs(batch.column("text").to_pylist(), window)
-        at = pa.array(runs.text)
-        return [batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(runs.key), pa.array(runs.hashes_of(_BASES[0]))]
+        order = np.lexsort((runs.key, runs.text))
+        text, key = runs.text[order], runs.key[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1])
+        at = pa.array(text[new], pa.int64())
+        return [batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(key[new], pa.int64())]
 
-    return map_arrow(docs.where("doc_id is not null"), run, f"doc_id {kind}, text_hash bigint, key bigint, run bigint")
+    return map_arrow(docs.where("doc_id is not null"), run, f"doc_id {kind}, text_hash bigint, key bigint")
 
 
 def _shared(marks: DataFrame) -> DataFrame:
     """key and hot of the minimisers that stand in two documents or more."""
-    strings = marks.groupBy("key", "run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    keys = strings.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
+    keys = marks.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
     return keys.where("low < high").select("key", (F.col("n") > HOT).alias("hot"))
 
 
 def _super_kmers(docs: DataFrame, window: int, kind: str, strings: bool) -> DataFrame:
     """The super-k-mers of shared minimisers: doc_id, text_hash, start, bucket, a, b (hash of the string) and, if asked for, packed.
 
-    A hot minimiser's super-k-mer is dealt window by window, each to a bucket of its own hash."""
+    A hot minimiser's super-k-mer is dealt window by window: a window is its 128-bit hash then, with no
+    string and a bucket of its own, so that its documents meet in partial minima only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            runs = Runs(batch.column("text").to_pylist(), window)
-            shared = batch.column("keys").to_pylist()
-            hot = {}
-            for i, own in enumerate(shared):
-                for x in own or ():
-                    hot[i, x["key"]] = x["hot"]
-            texts_, starts, stops, keys = [], [], [], []
-            for t, s, e, k in zip(runs.text.tolist(), runs.start.tolist(), runs.stop.tolist(), runs.key.tolist()):
-                h = hot.get((t, k))
-                if h is None:
-                    continue
-                for a, b in [(x, x + window) for x in range(s, e - window + 1)] if h else [(s, e)]:
-                    texts_.append(t)
-                    starts.append(a)
-                    stops.append(b)
-                    keys.append(None if h else k)
-            if not texts_:
+        for batch in pieces(batches, "z", SLICE):
+            runs = Runs(_open(batch), window)
+            shared = {(i, x["key"]): x["hot"] for i, own in enumerate(batch.column("keys").to_pylist()) for x in own}
+            hot = [shared.get(x) for x in zip(runs.text.tolist(), runs.key.tolist())]
+            take = [i for i, h in enumerate(hot) if h is not None]
+            times = np.array([runs.stop[i] - runs.start[i] - window + 1 if hot[i] else 1 for i in take], np.int64)
+            if not take:
                 continue
-            runs.text, runs.start, runs.stop = np.array(texts_), np.array(starts), np.array(stops)
+            single = np.repeat(np.array([hot[i] for i in take]), times)
+            of = np.repeat(np.array(take), times)
+            step = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+            key = runs.key[of]
+            runs.text, start, stop = runs.text[of], runs.start[of], runs.stop[of]
+            runs.start = np.where(single, start + step, start)
+            runs.stop = np.where(single, start + step + window, stop)
             a, b = runs.hashes_of(_BASES[0]), runs.hashes_of(_BASES[1])
-            bucket = [k if k is not None else h for k, h in zip(keys, a.tolist())]
             at = pa.array(runs.text)
-            out = [batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(runs.start, pa.int32()), pa.array(bucket, pa.int64()), pa.array(a), pa.array(b)]
+            out = [batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(runs.start, pa.int32()), pa.array(np.where(single, a, key)), pa.array(a), pa.array(b)]
             names = ["doc_id", "text_hash", "start", "bucket", "a", "b"]
             if strings:
-                out.append(pa.array([runs.packed(i) for i in range(len(texts_))], pa.binary()))
+                out.append(pa.array([None if h else runs.packed(i) for i, h in enumerate(single.tolist())], pa.binary()))
                 names.append("packed")
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     schema = f"doc_id {kind}, text_hash bigint, start int, bucket bigint, a bigint, b bigint" + ", packed binary" * strings
-    return docs.where("keys is not null").select("doc_id", "text_hash", "text", "keys").mapInArrow(run, schema)
+    return docs.where("keys is not null").select("doc_id", "text_hash", "z", "keys").mapInArrow(run, schema)
 
 
 def _first_by_window(rows: pa.Table, window: int) -> list[np.ndarray]:
@@ -166,14 +185,17 @@ def _first_by_window(rows: pa.Table, window: int) -> list[np.ndarray]:
 
 
 def _counted(strings: DataFrame, window: int, kind: str) -> DataFrame:
-    """bucket, a, b and least: the first document of each window of each different string."""
+    """bucket, a, b and least: the first document of each window of each different string; a window without string is its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
         size = 0
 
         def done(rows: pa.Table) -> pa.RecordBatch:
-            least = _first_by_window(rows, window)
+            single = rows.filter(pc.is_null(rows["packed"]))
+            rows = rows.filter(pc.is_valid(rows["packed"])).combine_chunks()
+            least = [*(_first_by_window(rows, window) if len(rows) else ()), *single["first"].to_numpy()[:, None]]
+            rows = pa.concat_tables([rows, single])
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, least)]), pa.int32()), pa.array(np.concatenate(least)).cast(rows["first"].type))
             return pa.RecordBatch.from_arrays([*(rows[c].combine_chunks() for c in ("bucket", "a", "b")), lists], names=["bucket", "a", "b", "least"])
 
@@ -198,25 +220,22 @@ def _counted(strings: DataFrame, window: int, kind: str) -> DataFrame:
 
 
 def _kept(docs: DataFrame, window: int, kind: str) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        n, removed, kept = [], [], []
-        for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
-            words = text.encode().split()
-            if starts:
-                reach = 0
-                left: list[bytes] = []
-                for s in sorted(starts):
-                    left += words[reach:s] if s > reach else []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "z", SLICE):
+            n, removed, kept = [], [], []
+            for text, starts in zip(_open(batch), batch.column("starts").to_pylist()):
+                words = text.encode().split()
+                left, reach = [], 0
+                for s in sorted(starts or ()):
+                    left += words[reach:s] if s > reach else ()
                     reach = s + window
                 left += words[reach:]
-            else:
-                left = words
-            n.append(len(words))
-            removed.append(len(words) - len(left))
-            kept.append(b" ".join(left))
-        return [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+                n.append(len(words))
+                removed.append(len(words) - len(left))
+                kept.append(b" ".join(left).decode())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return map_arrow(docs, run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string")
+    return docs.mapInArrow(run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string")
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,11 +247,12 @@ def substring_dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
     rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("text_hash", F.xxhash64("text"))
     marks = _marks(rows, window, kind)
-    own = marks.select("doc_id", "text_hash", "key").distinct().join(_shared(marks), "key").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "hot")).alias("keys"))
-    home = stored(rows.join(own, ["doc_id", "text_hash"], "left"))
-    strings = _super_kmers(home, window, kind, True).groupBy("bucket", "a", "b", "packed").agg(F.min("doc_id").alias("first"))
-    counted = _counted(strings, window, kind)
-    placed = _super_kmers(home, window, kind, False).join(counted, ["bucket", "a", "b"])
+    own = marks.join(_shared(marks), "key").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("key", "hot")).alias("keys"))
+    home = stored(_compressed(rows, kind).join(own, ["doc_id", "text_hash"], "left"))
+    kmers = _super_kmers(home, window, kind, True).groupBy("bucket", "a", "b", "packed").agg(F.min("doc_id").alias("first"))
+    placed = _super_kmers(home, window, kind, False).join(_counted(kmers, window, kind), ["bucket", "a", "b"])
     repeats = F.transform(F.filter(F.sequence(F.lit(0), F.size("least") - 1), lambda i: F.get("least", i) < F.col("doc_id")), lambda i: i + F.col("start"))
     starts = placed.select("doc_id", "text_hash", repeats.alias("at")).where(F.size("at") > 0).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("at")).alias("starts"))
-    return _kept(home.select("doc_id", "text_hash", "text").join(starts, ["doc_id", "text_hash"], "left"), window, kind)
+    touched = home.where("keys is not null").select("doc_id", "text_hash", "z").join(starts, ["doc_id", "text_hash"], "left").select("z", "doc_id", "starts")
+    alone = home.where("keys is null").select("z", "doc_id", F.lit(None).cast("array<int>").alias("starts"))
+    return _kept(touched, window, kind).union(_kept(alone, window, kind))
