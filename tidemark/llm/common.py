@@ -45,6 +45,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def largest(df: DataFrame, measure: Column, most: int, steps: int = 16) -> DataFrame:
+    """The rows of largest positive measure, `most` at most: whole classes of a logarithmic histogram, from the top.
+
+    Only the histogram goes to the driver, whatever the number of rows and partitions."""
+    place = F.floor(F.log2(F.greatest(measure, F.lit(1e-12))) * steps)
+    room, cut = most, None
+    for r in sorted(df.groupBy(place.alias("place")).count().collect(), key=lambda r: -r["place"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        cut = r["place"]
+    return df.where(place >= cut) if cut is not None else df.where(F.lit(False))
+
+
 def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text has this remainder; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder

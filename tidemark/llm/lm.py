@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, pieces, texts
+from tidemark.llm.common import checkpointed, largest, pieces, texts
 
 CLASSES = 64
 BEGIN, END = 0, 1
@@ -26,7 +26,7 @@ BEGIN, END = 0, 1
 PAIR_ROWS = 512
 ROWS = 1 + 2 * CLASSES + PAIR_ROWS
 STEPS = 12
-#: Most frequent words whose counts are broadcast.
+#: Most frequent words whose counts are broadcast, at most.
 FREQUENT = 1 << 17
 SMOOTH = 0.1
 #: Hash that stands for the end of a text; no word has a newline.
@@ -166,7 +166,7 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
     sizes = {r["class"]: (r.n, r.v) for r in words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     total, distinct = sum(n for n, _ in sizes.values()), sum(v for _, v in sizes.values())
     weights = train_classes(counted.where("kind = 1"), steps)
-    top = words.orderBy(F.desc("n"), "id").limit(frequent).select("id", "n").toPandas().sort_values("id")
+    top = largest(words.select("id", "n"), F.col("n"), frequent).toPandas().sort_values("id")
     shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), weights))
     class_cost = np.log10([sizes.get(c, (0, 0))[0] + SMOOTH * (sizes.get(c, (0, 0))[1] + 1) for c in range(CLASSES)])
     base_cost = float(np.log10(total + SMOOTH * (distinct + 1)))

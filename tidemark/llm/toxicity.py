@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, map_arrow, texts
+from tidemark.llm.common import checkpointed, largest, map_arrow, texts
 
-#: Labelled rows that training takes at most, those of the smallest hashes of their ids.
+#: Labelled rows that training takes at most (to the accuracy of a hash), those of the smallest hashes of their ids.
 MOST_TRAINING_ROWS = 20_000
 #: Features that the model has at most, besides those of identity terms.
 MOST_FEATURES = 3_000
@@ -143,16 +143,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Null ids or labels are left out, of repeated labels the highest counts, and texts that repeat train once.
     Without labelled texts of both kinds the model is the smoothed base rate."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label_col)).cast("double").alias("toxic"))
-    few = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    share = min(1.0, most_rows / max(1, known.count()))
+    few = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = texts(docs, id_col=id_col, text_col=text_col).join(F.broadcast(few), "doc_id")
     sample = checkpointed(sample.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")))
     n, pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0.0))).first()
     rate = (pos + 0.5) / (n + 1)
     if not n or pos in (0, n):
         return Model([], np.zeros(0), float(np.log(rate / (1 - rate))))
-    c = _counts(sample).where("n >= 5")
+    c = checkpointed(_counts(sample).where("n >= 5"))
     strength = F.abs(F.col("pos") - F.col("n") * F.lit(pos / n)) / F.sqrt(F.col("n") * F.lit(pos / n) + 1.0)
-    names = [r.feature for r in c.select("feature", strength.alias("s")).orderBy(F.desc("s"), "feature").limit(most_features).collect()]
+    names = sorted(r.feature for r in largest(c.select("feature", strength.alias("s")), F.col("s"), most_features).collect())
     terms = {t: g for g in IDENTITY_GROUPS for t in g}
     names = list(dict.fromkeys([*names, *(f for t in terms for f in features(t))]))
     index = {x: i for i, x in enumerate(names)}
