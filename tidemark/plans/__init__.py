@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from tidemark.plans import bars
+from tidemark.plans import bars, events
 
-QUERIES = {**bars.QUERIES}
-ORACLES = {**bars.ORACLES}
+QUERIES = {**bars.QUERIES, **events.QUERIES}
+ORACLES = {**bars.ORACLES, **events.ORACLES}
