@@ -266,7 +266,7 @@ _EARN = """firsts AS (SELECT ticker, date_trunc('quarter', date) AS q, min_by({'
 surprises AS (SELECT *, actual - estimate AS surprise, 100 * (actual - estimate) / nullif(abs(estimate), 0) AS surprise_pct FROM earn)"""
 _REV = """revs AS (SELECT *, CASE WHEN from_grade IS NULL THEN 'init' WHEN from_grade = to_grade THEN 'reit' END AS action, CASE to_grade WHEN 'Buy' THEN 1 WHEN 'Sell' THEN -1 ELSE 0 END AS t, CASE from_grade WHEN 'Buy' THEN 1 WHEN 'Sell' THEN -1 WHEN 'Hold' THEN 0 END AS f FROM analyst),
 dirs AS (SELECT *, CASE WHEN f IS NULL THEN t ELSE sign(t - f) END AS direction FROM revs),
-rev_daily AS (SELECT ticker, date, count_if(direction > 0) AS upgrades, count_if(direction < 0) AS downgrades, count_if(action = 'init') AS initiations, count_if(action = 'reit') AS reiterations, count(*) AS revisions, count_if(direction > 0) - count_if(direction < 0) AS net_revisions FROM dirs GROUP BY ticker, date)"""
+rev_daily AS (SELECT ticker, date, count_if(direction > 0) AS upgrades, count_if(direction < 0) AS downgrades, count(*) FILTER (action = 'init') AS initiations, count(*) FILTER (action = 'reit') AS reiterations, count(*) AS revisions, count_if(direction > 0) - count_if(direction < 0) AS net_revisions FROM dirs GROUP BY ticker, date)"""
 _TARGET = """moves AS (SELECT *, coalesce(sign(target - lag(target) OVER (PARTITION BY ticker, firm ORDER BY date, id)), 0) AS move FROM analyst),
 pt AS (SELECT ticker, date, avg(target) AS pt_mean, max(target) AS pt_high, min(target) AS pt_low, count(*) AS pt_count, round_even(avg(move), 0) AS pt_revision_direction FROM moves GROUP BY ticker, date)"""
 _GRID = f"""wide AS (SELECT date, {", ".join(f"max(value) FILTER (series = '{c}') AS {c}" for c in RS)} FROM series GROUP BY date),
