@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, largest, pieces, texts
 
-CLASSES = 64
+CLASSES = 128
 BEGIN, END = 0, 1
 #: Rows of the weight matrix that pairs of classes are hashed to.
 PAIR_ROWS = 512
 ROWS = 1 + 2 * CLASSES + PAIR_ROWS
-STEPS = 12
+STEPS = 16
 #: Most frequent words whose counts are broadcast, at most.
 FREQUENT = 1 << 17
 SMOOTH = 0.1
@@ -122,12 +122,12 @@ def log_class_table(weights: np.ndarray) -> np.ndarray:
 
 
 def train_classes(triples: DataFrame, steps: int = STEPS) -> np.ndarray:
-    """Weights after `steps` gradient updates. triples: id (context * CLASSES + class) and n, at most CLASSES^3 rows.
+    """Weights after `steps` gradient updates. triples: id (context * CLASSES + class) and n, at most CLASSES^3 rows, so six tasks hold them.
 
-    Each step every partition sends the difference between observed and expected feature counts, a matrix of
+    Each step every task sends the difference between observed and expected feature counts, a matrix of
     fixed size; it is scaled by the expected counts and the four active features."""
     weights = np.zeros((ROWS, CLASSES), np.float32)
-    parts = checkpointed(triples.select((F.col("id") / CLASSES).cast("bigint").alias("context"), "id", "n").repartition(6, "context"))
+    parts = checkpointed(triples.select("id", "n").coalesce(6))
 
     def gradient(current: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
