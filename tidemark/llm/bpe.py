@@ -12,11 +12,13 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -167,7 +169,7 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Pieces(dict):
     """Cache of merged pieces; emptied when it has `most` entries, so that its memory is bounded."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 400_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 250_000, longest: int = 64):
         self.ranks, self.most, self.longest = ranks, most, longest
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
@@ -233,15 +235,29 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return map_arrow(texts(docs, id_col=id_col, text_col=text_col), run, f"doc_id {kind}, ids array<int>, offsets array<bigint>")
 
 
-def bpe_decode(encoded: DataFrame, path: str, *keep: str, ids_col: str = "ids") -> DataFrame:
+def _slices(batch: pa.RecordBatch, lists: pa.ListArray, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `most` list values, one row at least."""
+    start = total = 0
+    for i, n in enumerate(pc.list_value_length(lists).fill_null(0).to_pylist()):
+        if i > start and total + n > most:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if len(lists):
+        yield batch.slice(start)
+
+
+def bpe_decode(encoded: DataFrame, path: str, *keep: str, ids_col: str = "ids", most: int = 200_000) -> DataFrame:
     """The rows of `encoded`, columns `keep`, ids and decoded binary (the tokens' bytes in order; no ids: empty)."""
 
     def run(batches):
         by_id = vocabulary(path)[1]
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            decoded = pa.array([b"".join(map(by_id.__getitem__, x or ())) for x in lists], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])
+            place = batch.schema.get_field_index(ids_col)
+            for part in _slices(batch, batch.column(place), most):
+                lists = part.column(place).to_pylist()
+                decoded = pa.array([b"".join(map(by_id.__getitem__, x or ())) for x in lists], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
     rows = encoded.select(*keep, ids_col)
     fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in rows.schema)
