@@ -73,6 +73,8 @@ def test_bpe_matches_tiktoken_and_round_trips(spark, docs, empty):
     expect = Counter((d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t, *_ in ROWS)
     assert Counter((x.doc_id, x.decoded_sha256) for x in got) == expect
     assert bpe.bpe_digest(empty, path).count() == 0
+    both = bpe.bpe_decode(bpe.bpe_encode(docs, path), path, "doc_id")
+    assert Counter((x.doc_id, tuple(x.ids), bytes(x.decoded)) for x in both.collect()) == Counter((x.doc_id, tuple(x.ids), bytes(x.decoded)) for x in bpe.bpe_round_trip(docs, path).collect())
 
 
 def brute_simhash(text):

@@ -169,7 +169,7 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Pieces(dict):
     """Cache of merged pieces; emptied when it has `most` entries, so that its memory is bounded."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 250_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 150_000, longest: int = 64):
         self.ranks, self.most, self.longest = ranks, most, longest
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
@@ -264,10 +264,22 @@ def bpe_decode(encoded: DataFrame, path: str, *keep: str, ids_col: str = "ids",
     return rows.mapInArrow(run, f"{fields}, decoded binary")
 
 
+def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns doc_id, ids and decoded: what `bpe_encode` and then `bpe_decode` give, by one pass through one worker."""
+
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        ids, _, upto = encode_texts(batch.column("text").to_pylist(), path)
+        by_id = vocabulary(path)[1]
+        decoded = [b"".join(map(by_id.__getitem__, x.tolist())) for x in np.split(ids, upto[:-1])]
+        return [batch.column("doc_id"), _lists(ids, upto, pa.int32()), pa.array(decoded, pa.binary())]
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_arrow(texts(docs, id_col=id_col, text_col=text_col), run, f"doc_id {kind}, ids array<int>, decoded binary")
+
+
 def bpe_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of decimal ids joined by commas) and decoded_sha256 of a round trip."""
-    both = bpe_decode(bpe_encode(docs, path, id_col, text_col), path, "doc_id")
-    return both.select(
+    return bpe_round_trip(docs, path, id_col, text_col).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
