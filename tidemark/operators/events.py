@@ -144,11 +144,8 @@ def fund_flows(df: DataFrame) -> DataFrame:
     return df.withColumns({"abnormal_volume": (F.col("dollar_volume") - roll(F.avg, "dollar_volume", w, 20, 5)) / deviation, "flow_momentum": F.try_divide(F.col("dollar_volume"), lag("dollar_volume", w, 5)) - 1})
 
 
-T = by("ticker")
-
-
 def _sum(c: str, n: int) -> Column:
-    return roll(F.sum, c, T, n, 1)
+    return roll(F.sum, c, by("ticker"), n, 1)
 
 
 def on_spine(grid: DataFrame, events: DataFrame, zero: list[str]) -> DataFrame:
@@ -167,11 +164,11 @@ def insider_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
 def earnings_features(grid: DataFrame, reports: DataFrame) -> DataFrame:
     """Last surprise and whether it beat, rows since the last and to the next report, mean of four surprises."""
     reports = reports.groupBy("ticker", "date").agg(F.max_by("surprise_pct", F.coalesce("surprise_pct", F.lit(float("-inf")))).alias("surprise_pct"))
-    reports = reports.withColumns({"earnings_surprise_ma": roll(F.avg, "surprise_pct", T, 4, 1), "__report": F.lit(True)})
-    df = grid.join(reports, ["ticker", "date"], "left").withColumn("__row", F.row_number().over(T))
+    reports = reports.withColumns({"earnings_surprise_ma": roll(F.avg, "surprise_pct", by("ticker"), 4, 1), "__report": F.lit(True)})
+    df = grid.join(reports, ["ticker", "date"], "left").withColumn("__row", F.row_number().over(by("ticker")))
     df = df.withColumn("__at", F.when(F.col("__report"), F.col("__row")))
     later = F.last("__at", ignorenulls=True).over(Window.partitionBy("ticker").orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumns({"earnings_beat": F.when(F.col("surprise_pct").isNotNull(), (F.col("surprise_pct") > 0).cast("int")), "earnings_surprise_pct": ffill("surprise_pct", T), "days_since_earnings": F.col("__row") - ffill("__at", T), "days_to_next_earnings": later - F.col("__row"), "earnings_surprise_ma": ffill("earnings_surprise_ma", T)}).drop("__row", "__at", "__report", "surprise_pct")
+    return df.withColumns({"earnings_beat": F.when(F.col("surprise_pct").isNotNull(), (F.col("surprise_pct") > 0).cast("int")), "earnings_surprise_pct": ffill("surprise_pct", by("ticker")), "days_since_earnings": F.col("__row") - ffill("__at", by("ticker")), "days_to_next_earnings": later - F.col("__row"), "earnings_surprise_ma": ffill("earnings_surprise_ma", by("ticker"))}).drop("__row", "__at", "__report", "surprise_pct")
 
 
 def congress_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
@@ -180,8 +177,8 @@ def congress_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def attention_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
-    df = grid.join(daily, ["ticker", "date"], "left").withColumns({c: F.coalesce(ffill(c, T), F.lit(0)) for c in ("views", "pageviews_ma7", "attention_spike")})
-    return df.withColumn("attention_trend", F.col("pageviews_ma7") / F.greatest(roll(F.avg, "views", T, 30, 1), F.lit(1.0)))
+    df = grid.join(daily, ["ticker", "date"], "left").withColumns({c: F.coalesce(ffill(c, by("ticker")), F.lit(0)) for c in ("views", "pageviews_ma7", "attention_spike")})
+    return df.withColumn("attention_trend", F.col("pageviews_ma7") / F.greatest(roll(F.avg, "views", by("ticker"), 30, 1), F.lit(1.0)))
 
 
 def revision_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
@@ -193,17 +190,17 @@ def revision_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def short_interest_features(grid: DataFrame, rows: DataFrame) -> DataFrame:
-    df = grid.join(rows.select("ticker", "date", "days_to_cover", "short_pct_chg"), ["ticker", "date"], "left").withColumns({c: ffill(c, T) for c in ("days_to_cover", "short_pct_chg")})
+    df = grid.join(rows.select("ticker", "date", "days_to_cover", "short_pct_chg"), ["ticker", "date"], "left").withColumns({c: ffill(c, by("ticker")) for c in ("days_to_cover", "short_pct_chg")})
     return df.withColumn("short_squeeze_risk", F.when(F.col("days_to_cover").isNotNull(), flag((F.col("short_pct_chg") > 0) & (F.col("days_to_cover") > 5))))
 
 
 def target_features(grid: DataFrame, daily: DataFrame) -> DataFrame:
     names = ["pt_mean", "pt_high", "pt_low", "pt_count", "pt_revision_direction"]
-    df = grid.join(daily, ["ticker", "date"], "left").withColumns({c: ffill(c, T) for c in names})
-    return df.withColumns({"pt_dispersion": ratio(F.col("pt_high") - F.col("pt_low"), "pt_mean"), "pt_momentum_60d": F.try_divide(F.col("pt_mean"), lag("pt_mean", T, 60)) - 1})
+    df = grid.join(daily, ["ticker", "date"], "left").withColumns({c: ffill(c, by("ticker")) for c in names})
+    return df.withColumns({"pt_dispersion": ratio(F.col("pt_high") - F.col("pt_low"), "pt_mean"), "pt_momentum_60d": F.try_divide(F.col("pt_mean"), lag("pt_mean", by("ticker"), 60)) - 1})
 
 
 def macro_join(grid: DataFrame, macro: DataFrame, names: list[str]) -> DataFrame:
     """Grid with the macro columns of the day, carried forward, and their five-row changes."""
-    df = grid.join(F.broadcast(macro.select("date", *names)), "date", "left").withColumns({c: ffill(c, T) for c in names})
-    return df.withColumns({f"{c}_5d_change": F.col(c) - lag(c, T, 5) for c in names})
+    df = grid.join(F.broadcast(macro.select("date", *names)), "date", "left").withColumns({c: ffill(c, by("ticker")) for c in names})
+    return df.withColumns({f"{c}_5d_change": F.col(c) - lag(c, by("ticker"), 5) for c in names})

@@ -13,23 +13,22 @@ from tidemark.functions.sequential import ewm_columns, sar_column
 from tidemark.functions.windows import by, change, ffill, flag, lag, most, rank_pct, ratio, roll
 from tidemark.operators.bars import drop_today, time_features
 
-W = by("symbol")
 SPANS = (5, 10, 20, 50, 100, 200)
 
 
 def padded_return(c: str, k: int = 1) -> Column:
     """Change over k rows with gaps carried forward."""
-    return change(ffill(c, W), F.lag(ffill(c, W), k).over(W))
+    return change(ffill(c, by("symbol")), F.lag(ffill(c, by("symbol")), k).over(by("symbol")))
 
 
 def with_returns(df: DataFrame) -> DataFrame:
     """`ret`, the padded daily return, which many features take."""
-    df = df.withColumn("__c", ffill("close", W))
-    return df.withColumn("ret", change("__c", lag("__c", W))).drop("__c")
+    df = df.withColumn("__c", ffill("close", by("symbol")))
+    return df.withColumn("ret", change("__c", lag("__c", by("symbol")))).drop("__c")
 
 
 def price_features(df: DataFrame) -> DataFrame:
-    df = df.withColumns({f"{c}1": lag(c, W) for c in ("open", "high", "low", "close")} | {"close2": lag("close", W, 2), "ret": padded_return("close")})
+    df = df.withColumns({f"{c}1": lag(c, by("symbol")) for c in ("open", "high", "low", "close")} | {"close2": lag("close", by("symbol"), 2), "ret": padded_return("close")})
     o, h, lo, c = (F.col(f"{x}1") for x in ("open", "high", "low", "close"))
     return df.withColumns(
         {
@@ -41,26 +40,26 @@ def price_features(df: DataFrame) -> DataFrame:
             "close_open_ratio_1lag": ratio(c, o),
             "high_close_ratio_1lag": ratio(h, c),
             "low_close_ratio_1lag": ratio(lo, c),
-            **{f"return_{k}lag": lag("ret", W, k) for k in (1, 2, 3, 5, 10)},
-            "return_7d_1lag": change(c, lag("close", W, 8)),
-            "return_7d_2lag": change(lag("close", W, 8), lag("close", W, 15)),
+            **{f"return_{k}lag": lag("ret", by("symbol"), k) for k in (1, 2, 3, 5, 10)},
+            "return_7d_1lag": change(c, lag("close", by("symbol"), 8)),
+            "return_7d_2lag": change(lag("close", by("symbol"), 8), lag("close", by("symbol"), 15)),
         }
     ).drop("open1", "high1", "low1", "close1", "close2", "ret")
 
 
 def volume_features(df: DataFrame) -> DataFrame:
-    df = df.withColumns({"v1": lag("volume", W), "c1": lag("close", W)})
-    df = df.withColumns({"volume_change_1lag": F.col("v1") - lag("volume", W, 2), "cv": F.col("c1") * F.col("v1"), **{f"volume_sma_{n}": roll(F.avg, "v1", W, n) for n in (5, 20)}})
+    df = df.withColumns({"v1": lag("volume", by("symbol")), "c1": lag("close", by("symbol"))})
+    df = df.withColumns({"volume_change_1lag": F.col("v1") - lag("volume", by("symbol"), 2), "cv": F.col("c1") * F.col("v1"), **{f"volume_sma_{n}": roll(F.avg, "v1", by("symbol"), n) for n in (5, 20)}})
     df = ewm_columns(df, {f"volume_ema_{n}": ("v1", n, n) for n in (5, 20)})
-    df = df.withColumns({**{f"volume_ratio_{n}": ratio("v1", f"volume_sma_{n}") for n in (5, 20)}, "volume_volatility": roll(F.stddev_samp, "v1", W, 20), "vwap_ratio": change("c1", ratio(roll(F.sum, "cv", W, 20), roll(F.sum, "v1", W, 20)))})
+    df = df.withColumns({**{f"volume_ratio_{n}": ratio("v1", f"volume_sma_{n}") for n in (5, 20)}, "volume_volatility": roll(F.stddev_samp, "v1", by("symbol"), 20), "vwap_ratio": change("c1", ratio(roll(F.sum, "cv", by("symbol"), 20), roll(F.sum, "v1", by("symbol"), 20)))})
     return df.drop("v1", "c1", "cv")
 
 
 def target(df: DataFrame, horizon: int = 1) -> DataFrame:
     """The return from today's close to the one `horizon` rows on: what models forecast."""
-    ahead = F.lead(padded_return("close")).over(W) if horizon == 1 else change(F.lead("close", horizon).over(W), "close")
+    ahead = F.lead(padded_return("close")).over(by("symbol")) if horizon == 1 else change(F.lead("close", horizon).over(by("symbol")), "close")
     if horizon == 1:
-        return with_returns(df).withColumn("target", F.lead("ret").over(W)).drop("ret")
+        return with_returns(df).withColumn("target", F.lead("ret").over(by("symbol"))).drop("ret")
     return df.withColumn("target", ahead)
 
 
@@ -71,19 +70,19 @@ def calendar(df: DataFrame) -> DataFrame:
 
 def rsi(df: DataFrame, n: int, name: str) -> DataFrame:
     """Relative strength by simple means; the first row counts as no move."""
-    d = F.col("close") - lag("close", W)
+    d = F.col("close") - lag("close", by("symbol"))
     df = df.withColumns({"__up": F.when(d > 0, d).otherwise(0.0), "__down": F.when(d < 0, -d).otherwise(0.0)})
-    up, down = roll(F.avg, "__up", W, n), roll(F.avg, "__down", W, n)
+    up, down = roll(F.avg, "__up", by("symbol"), n), roll(F.avg, "__down", by("symbol"), n)
     return df.withColumn(name, 100 * ratio(up, up + down)).drop("__up", "__down")
 
 
 def sma(c: str, n: int) -> Column:
-    return roll(F.avg, c, W, n)
+    return roll(F.avg, c, by("symbol"), n)
 
 
 def bollinger(c: str = "close", n: int = 20, width: float = 2.0) -> tuple[Column, Column, Column]:
     """Upper, middle and lower band."""
-    mid, dev = roll(F.avg, c, W, n), roll(F.stddev_samp, c, W, n)
+    mid, dev = roll(F.avg, c, by("symbol"), n), roll(F.stddev_samp, c, by("symbol"), n)
     return mid + width * dev, mid, mid - width * dev
 
 
@@ -95,14 +94,14 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Data
 
 
 def stochastic(df: DataFrame, n: int = 14, smooth: int = 3) -> DataFrame:
-    low, high = roll(F.min, "low", W, n), roll(F.max, "high", W, n)
+    low, high = roll(F.min, "low", by("symbol"), n), roll(F.max, "high", by("symbol"), n)
     df = df.withColumn("stoch_k", 100 * ratio(F.col("close") - low, high - low))
-    return df.withColumn("stoch_d", roll(F.avg, "stoch_k", W, smooth))
+    return df.withColumn("stoch_d", roll(F.avg, "stoch_k", by("symbol"), smooth))
 
 
 def shifted(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns as of the row before."""
-    return df.withColumns({c: lag(c, W) for c in columns})
+    return df.withColumns({c: lag(c, by("symbol")) for c in columns})
 
 
 def technical_features(df: DataFrame) -> DataFrame:
@@ -120,11 +119,11 @@ def technical_features(df: DataFrame) -> DataFrame:
 
 
 def roc(c: str, n: int) -> Column:
-    return 100 * change(c, lag(c, W, n))
+    return 100 * change(c, lag(c, by("symbol"), n))
 
 
 def williams_r(n: int = 14) -> Column:
-    low, high = roll(F.min, "low", W, n), roll(F.max, "high", W, n)
+    low, high = roll(F.min, "low", by("symbol"), n), roll(F.max, "high", by("symbol"), n)
     return -100 * ratio(high - F.col("close"), high - low)
 
 
@@ -132,39 +131,39 @@ def momentum_features(df: DataFrame) -> DataFrame:
     """williams_r, cci and mfi as of the row before."""
     tp = (F.col("high") + F.col("low") + F.col("close")) / 3
     df = df.withColumns({"__tp": tp, "williams_r": williams_r()})
-    mean, near = roll(F.avg, "__tp", W, 20), F.collect_list("__tp").over(W.rowsBetween(-19, 0))
+    mean, near = roll(F.avg, "__tp", by("symbol"), 20), F.collect_list("__tp").over(by("symbol").rowsBetween(-19, 0))
     df = df.withColumns({"__mean": mean, "__near": near})
     apart = F.aggregate("__near", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("__mean"))) / 20
-    flow, move = F.col("__tp") * F.col("volume"), F.col("__tp") - lag("__tp", W)
+    flow, move = F.col("__tp") * F.col("volume"), F.col("__tp") - lag("__tp", by("symbol"))
     df = df.withColumns({"cci": ratio(F.col("__tp") - F.col("__mean"), 0.015 * apart), "__in": F.when(move > 0, flow).otherwise(0.0), "__out": F.when(move < 0, flow).otherwise(0.0)})
-    gain, loss = roll(F.sum, "__in", W, 14), roll(F.sum, "__out", W, 14)
+    gain, loss = roll(F.sum, "__in", by("symbol"), 14), roll(F.sum, "__out", by("symbol"), 14)
     df = df.withColumn("mfi", 100 * ratio(gain, gain + loss))
     return shifted(df, ["williams_r", "cci", "mfi"]).drop("__tp", "__mean", "__near", "__in", "__out")
 
 
 def true_range() -> Column:
-    before = lag("close", W)
+    before = lag("close", by("symbol"))
     return most(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
 def volatility_features(df: DataFrame) -> DataFrame:
     df = with_returns(df).withColumn("true_range", true_range())
     year = F.sqrt(F.lit(252.0))
-    out = {f"volatility_{n}": roll(F.stddev_samp, "ret", W, n) * year for n in (10, 20, 30)} | {"atr": roll(F.avg, "true_range", W, 14), "rv_5d_lag": roll(F.stddev_samp, "ret", W, 5), "rv_22d_lag": roll(F.stddev_samp, "ret", W, 22)}
+    out = {f"volatility_{n}": roll(F.stddev_samp, "ret", by("symbol"), n) * year for n in (10, 20, 30)} | {"atr": roll(F.avg, "true_range", by("symbol"), 14), "rv_5d_lag": roll(F.stddev_samp, "ret", by("symbol"), 5), "rv_22d_lag": roll(F.stddev_samp, "ret", by("symbol"), 22)}
     return shifted(df.withColumns(out), ["true_range", *out]).drop("ret")
 
 
 def adx(df: DataFrame, n: int = 14) -> DataFrame:
-    up, down = F.col("high") - lag("high", W), lag("low", W) - F.col("low")
+    up, down = F.col("high") - lag("high", by("symbol")), lag("low", by("symbol")) - F.col("low")
     df = df.withColumns({"__plus": F.when((up > down) & (up > 0), up).otherwise(0.0), "__minus": F.when((down > up) & (down > 0), down).otherwise(0.0), "__tr": true_range()})
-    atr = roll(F.avg, "__tr", W, n)
-    df = df.withColumns({"__p": 100 * ratio(roll(F.avg, "__plus", W, n), atr), "__m": 100 * ratio(roll(F.avg, "__minus", W, n), atr)})
+    atr = roll(F.avg, "__tr", by("symbol"), n)
+    df = df.withColumns({"__p": 100 * ratio(roll(F.avg, "__plus", by("symbol"), n), atr), "__m": 100 * ratio(roll(F.avg, "__minus", by("symbol"), n), atr)})
     df = df.withColumn("__dx", 100 * ratio(F.abs(F.col("__p") - F.col("__m")), F.col("__p") + F.col("__m")))
-    return df.withColumn("adx", roll(F.avg, "__dx", W, n)).drop("__plus", "__minus", "__tr", "__p", "__m", "__dx")
+    return df.withColumn("adx", roll(F.avg, "__dx", by("symbol"), n)).drop("__plus", "__minus", "__tr", "__p", "__m", "__dx")
 
 
 def ichimoku(df: DataFrame, short: int = 9, middle: int = 26, long: int = 52) -> DataFrame:
-    mid = lambda n: (roll(F.max, "high", W, n) + roll(F.min, "low", W, n)) / 2
+    mid = lambda n: (roll(F.max, "high", by("symbol"), n) + roll(F.min, "low", by("symbol"), n)) / 2
     df = df.withColumns({"conversion": mid(short), "base": mid(middle), "span_b": mid(long)})
     return df.withColumn("span_a", (F.col("conversion") + F.col("base")) / 2)
 
@@ -200,7 +199,7 @@ def fund_features(df: DataFrame, mapping: DataFrame, funds: list[str], windows:
     """Fund returns, map flags, returns relative to every fund and rolling correlations; the last two for mapped symbols only."""
     flags = mapping.groupBy("symbol").pivot("etf", funds).agg(F.lit(1)).withColumnsRenamed({e: f"ETF_map_{e}" for e in funds})
     df = df.join(F.broadcast(fund_panel(df, funds)), "date", "left").join(flags.withColumn("__mapped", F.lit(True)), "symbol", "left")
-    df = with_returns(df).withColumn("stock_return_1lag", lag("ret", W)).drop("ret").fillna(0, [f"ETF_map_{e}" for e in funds])
+    df = with_returns(df).withColumn("stock_return_1lag", lag("ret", by("symbol"))).drop("ret").fillna(0, [f"ETF_map_{e}" for e in funds])
     out = {}
     for e in funds:
         x, y = F.col("stock_return_1lag"), F.col(f"{e}_return_1lag")
@@ -208,7 +207,7 @@ def fund_features(df: DataFrame, mapping: DataFrame, funds: list[str], windows:
         both = x.isNotNull() & y.isNotNull()
         a, b = F.when(both, x), F.when(both, y)
         for n in windows:
-            frame = W.rowsBetween(1 - n, 0)
+            frame = by("symbol").rowsBetween(1 - n, 0)
             rho = F.try_divide(F.covar_pop(a, b).over(frame), F.stddev_pop(a).over(frame) * F.stddev_pop(b).over(frame))
             out[f"corr_{e}_{n}d"] = F.when(F.col("__mapped") & (F.count(a).over(frame) >= n), rho)
     return df.withColumns(out).drop("__mapped")
