@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from tidemark.plans import bars, events
+from tidemark.plans import bars, events, macro
 
-QUERIES = {**bars.QUERIES, **events.QUERIES}
-ORACLES = {**bars.ORACLES, **events.ORACLES}
+QUERIES = {**bars.QUERIES, **events.QUERIES, **macro.QUERIES}
+ORACLES = {**bars.ORACLES, **events.ORACLES, **macro.ORACLES}
