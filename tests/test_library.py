@@ -19,7 +19,7 @@ from tidemark.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SAMPLE = ["flagship", "bar_clean", "bar_interpolate", "bar_outliers", "volume_features", "technical_features", "momentum_features", "trend_features", "rank_features", "fund_features", "insider_features", "earnings_features", "targets_daily", "macro_grid", "news_daily_sentiment", "forecast_daily_ic", "portfolio_returns"]
+SAMPLE = ["flagship", "bar_clean", "bar_interpolate", "bar_outliers", "volume_features", "technical_features", "momentum_features", "trend_features", "rank_features", "fund_features", "insider_features", "earnings_features", "targets_daily", "macro_grid", "macro_features", "macro_growth_features", "news_daily_sentiment", "forecast_daily_ic", "portfolio_returns"]
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +110,18 @@ def test_all_sql_belongs_to_a_query():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and os.path.isdir(SF)
+
+
+def test_macro_features_of_missing_inputs(spark):
+    """Without its inputs a feature is left out; missing values make flags 0 and numbers null; an empty table stays empty."""
+    from tidemark.operators.macro import macro_features, macro_table
+
+    rows = spark.sql("SELECT date_add(DATE '2024-01-01', id::int) AS date, IF(id = 3, NULL, 10.0 + 10 * id) AS vix, id AS extra FROM range(12)")
+    out = {r["date"].day: r for r in macro_features(rows).collect()}
+    assert [out[d]["vix_regime"] for d in (1, 2, 3, 4, 11, 12)] == ["low", "normal", "high", "nan", "nan", "nan"]
+    assert out[4]["vix_above_ma20"] == 0 and out[4]["vix_term_structure"] is None and out[6]["extra"] == 5
+    assert out[9]["vix_5d_pct"] == pytest.approx(90 / 30 - 1)  # the value before the gap is carried forward
+    assert "yc_slope_10y2y" not in rows.columns and "usd_z" not in macro_features(rows).columns
+    assert macro_table(rows.limit(0), rows.select("date", "extra", (rows.vix + 1).alias("btc_price")).drop("extra")).count() == 0
+    flows = rows.select("date", (rows.vix / 10).alias("hyg_abnormal_volume"))
+    assert {"credit_flow_signal", "flow_risk_on", "risk_appetite_v2"} <= set(macro_table(rows, flows=flows).columns)

@@ -102,6 +102,20 @@ def macro_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 MACRO_SQL = """series AS (SELECT o_orderdate::DATE AS date, 'r' || o_orderpriority[1] AS series, avg(o_totalprice::DOUBLE) / 1000 AS value FROM orders GROUP BY ALL)"""
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+PANEL = [f"r{p}_{s.lower()}" for p in range(1, 6) for s in SEGMENTS]
+
+
+def macro_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date, series, value: daily mean order price of each priority and market segment (25 series), scaled by a thousand."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    name = F.concat(F.lit("r"), F.substring("o_orderpriority", 1, 1), F.lit("_"), F.lower("c_mktsegment"))
+    return o.groupBy(F.to_date("o_orderdate").alias("date"), name.alias("series")).agg((F.avg(F.col("o_totalprice").cast("double")) / 1000).alias("value"))
+
+
+PANEL_SQL = """panel AS (SELECT o_orderdate::DATE AS date, 'r' || o_orderpriority[1] || '_' || lower(c_mktsegment) AS series, avg(o_totalprice::DOUBLE) / 1000 AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles from documents: ticker and day by the id, headline and description from the text."""
     return table(spark, sf_dir, "documents").select(
