@@ -61,10 +61,32 @@ def clip_predictions(df: DataFrame, train: DataFrame, widths: float = 3.0) -> Da
     return df.crossJoin(F.broadcast(bound)).withColumn("prediction", F.when(p > b, b).when(p < -b, -b).otherwise(p)).drop("__b")  # bound has one row
 
 
+def with_overall_rank(df: DataFrame, column: str, name: str, ranges: int = 256) -> DataFrame:
+    """`df` with the mean rank of a number among all rows; ties share theirs and NULL has none.
+
+    Equal values are counted first. Approximate quantiles cut the values into ranges, each ranked in a task of its
+    own, and the ranges' sizes, which are few, move their ranks up: no task sorts all rows."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__x")).agg(F.count("*").alias("__n"))
+    cuts = sorted(set(counts.approxQuantile("__x", [i / ranges for i in range(1, ranges)], 0.001)))
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c <= F.col("__x")))
+    counts = counts.withColumn("__r", place)
+    sizes = counts.groupBy("__r").agg(F.sum("__n").alias("__size"))
+    below = sizes.select("__r", (F.sum("__size").over(Window.orderBy("__r")) - F.col("__size")).alias("__below"))
+    inside = F.sum("__n").over(Window.partitionBy("__r").orderBy("__x"))
+    ranks = counts.withColumn("__up", inside).join(F.broadcast(below), "__r")  # one row a range
+    ranks = ranks.select("__x", (F.col("__below") + F.col("__up") - (F.col("__n") - 1) / 2).alias(name))
+    return df.join(ranks, df[column] == F.col("__x"), "left").drop("__x")
+
+
 def scores(df: DataFrame, *keys: str) -> DataFrame:
-    """n, rmse, rmse of zero, improvement in %, directional accuracy, Pearson and Spearman coefficients."""
+    """n, rmse, rmse of zero, improvement in %, directional accuracy, Pearson and Spearman coefficients.
+
+    Groups are ranked by windows over their keys; without keys all rows are ranked in ranges."""
     df = df.dropna(subset=["prediction", "actual"])
-    df = df.withColumns({"__p": rank_pct("prediction", *keys), "__y": rank_pct("actual", *keys)})
+    if keys:
+        df = df.withColumns({"__p": rank_pct("prediction", *keys), "__y": rank_pct("actual", *keys)})
+    else:
+        df = with_overall_rank(with_overall_rank(df, "prediction", "__p"), "actual", "__y")
     error, zero = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2))), F.sqrt(F.avg(F.pow(F.col("actual"), 2)))
     corr = lambda a, b: F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     out = df.groupBy(*keys).agg(F.count("*").alias("n"), error.alias("rmse"), zero.alias("rmse_zero"), F.avg(((F.col("prediction") > 0) == (F.col("actual") > 0)).cast("double")).alias("accuracy"), corr("prediction", "actual").alias("pearson"), corr("__p", "__y").alias("spearman"))

@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from tidemark.plans import bars, events, macro
+from tidemark.plans import bars, events, macro, models
 
-QUERIES = {**bars.QUERIES, **events.QUERIES, **macro.QUERIES}
+QUERIES = {**bars.QUERIES, **events.QUERIES, **macro.QUERIES, **models.QUERIES}
 ORACLES = {**bars.ORACLES, **events.ORACLES, **macro.ORACLES}
