@@ -12,6 +12,11 @@ from tidemark.sources.fixtures import BARS_SQL, DIRTY_SQL, FUND_SQL, FUNDS, bars
 KEY = ["symbol", "date"]
 
 
+#: Digits that hold a price in full where it ends: cents over quantities up to 50. Fewer would cut at halves, which engines
+#: round to different sides.
+TICKS = 8
+
+
 def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     """Key and columns, rounded alike on both sides of a comparison."""
     return df.select(*KEY, *[F.round(c, digits).alias(c) for c in columns])
@@ -44,7 +49,7 @@ QUERIES: dict = {}
 def bar_load(spark: SparkSession, sf: str) -> DataFrame:
     info = spark.read.parquet(f"{sf}/nation.parquet").where("n_nationkey < 20").select(F.col("n_name").alias("symbol"), F.col("n_regionkey").cast("string").alias("sector"))
     out = B.symbol_info(B.loader_fill(B.load_bars(dirty_bars(spark, sf), "1996-01-01", "1999-01-01")), info, ["sector"])
-    return out.select(*KEY, "sector", *[F.round(c, 6).alias(c) for c in [*B.PRICES, "volume", "price_change"]])
+    return out.select(*KEY, "sector", *[F.round(c, TICKS).alias(c) for c in [*B.PRICES, "volume", "price_change"]])
 
 
 @_spark("bar_report")
@@ -54,19 +59,19 @@ def bar_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark("bar_clean")
 def bar_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(B.clean(dirty_bars(spark, sf), floor=10.0), [*B.PRICES, "volume"])
+    return rounded(B.clean(dirty_bars(spark, sf), floor=10.0), [*B.PRICES, "volume"], TICKS)
 
 
 @_spark("bar_interpolate")
 def bar_interpolate(spark: SparkSession, sf: str) -> DataFrame:
     df = B.smooth_volume(B.fill_missing(B.zero_to_null(dirty_bars(spark, sf)), "interpolate", ["open", "close", "volume"]), 5)
-    return rounded(df, ["open", "close", "volume"])
+    return rounded(df, ["open", "close", "volume"], TICKS)
 
 
 @_spark("bar_backfill")
 def bar_backfill(spark: SparkSession, sf: str) -> DataFrame:
     df = B.between_dates(B.zero_to_null(dirty_bars(spark, sf)), "1996-01-01", "1997-12-31")
-    return rounded(B.fill_missing(B.fill_missing(df, "backward_fill", ["close"]), "drop", ["open", "volume"]), ["open", "close", "volume"])
+    return rounded(B.fill_missing(B.fill_missing(df, "backward_fill", ["close"]), "drop", ["open", "volume"]), ["open", "close", "volume"], TICKS)
 
 
 @_spark("bar_outliers")
@@ -76,7 +81,7 @@ def bar_outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark("bar_without_outliers")
 def bar_without_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(B.remove_outliers(bars(spark, sf), ["close", "volume"], "iqr"), ["close", "volume"])
+    return rounded(B.remove_outliers(bars(spark, sf), ["close", "volume"], "iqr"), ["close", "volume"], TICKS)
 
 
 @_spark("bar_times")
@@ -98,12 +103,12 @@ def bar_scaled(spark: SparkSession, sf: str) -> DataFrame:
 @_spark("bar_dense_columns")
 def bar_dense_columns(spark: SparkSession, sf: str) -> DataFrame:
     df = B.drop_sparse_columns(dirty_bars(spark, sf), 0.1).dropna()
-    return B.keep_symbols(df, ["NATION_3", "NATION_4"], "none_").select(*KEY, F.round("high", 6).alias("high"), F.round("low", 6).alias("low"), F.round("close", 6).alias("close"))
+    return B.keep_symbols(df, ["NATION_3", "NATION_4"], "none_").select(*KEY, *[F.round(c, TICKS).alias(c) for c in ("high", "low", "close")])
 
 
 @_spark("price_features")
 def price_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(X.price_features(bars(spark, sf)), PX)
+    return rounded(X.price_features(bars(spark, sf)), PX, TICKS)
 
 
 @_spark("volume_features")
@@ -130,7 +135,8 @@ def momentum_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark("volatility_features")
 def volatility_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(X.volatility_features(bars(spark, sf)), VL)
+    df = X.volatility_features(bars(spark, sf))
+    return df.select(*KEY, *[F.round(c, TICKS if c == "true_range" else 6).alias(c) for c in VL])
 
 
 @_spark("trend_features")
@@ -235,24 +241,24 @@ _PCTILE = lambda c: f"CASE WHEN {c} IS NOT NULL AND symbol NOT IN ('NATION_0', '
 ORACLES = {
     "bar_load": f"""WITH {DIRTY_SQL}, part AS (SELECT * FROM dirty WHERE date >= DATE '1996-01-01' AND date < DATE '1999-01-01'),
 filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in B.PRICES)}, coalesce(volume, 0) AS volume FROM part)
-SELECT symbol, date, coalesce(n_regionkey::VARCHAR, 'N/A') AS sector, {r([*B.PRICES, "volume"])}, round(close - open, 6) AS price_change FROM filled LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON symbol = n_name""",
+SELECT symbol, date, coalesce(n_regionkey::VARCHAR, 'N/A') AS sector, {r([*B.PRICES, "volume"], TICKS)}, round(close - open, {TICKS}) AS price_change FROM filled LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON symbol = n_name""",
     "bar_report": f"""WITH {DIRTY_SQL} SELECT symbol, count(*) AS n, {", ".join(f"count_if({c} <= 0)::BIGINT AS bad_{c}" for c in B.PRICES)}, count_if(volume < 0)::BIGINT AS bad_volume, {", ".join(f"count_if({c} IS NULL)::BIGINT AS null_{c}" for c in [*B.PRICES, "volume"])} FROM dirty GROUP BY symbol""",
     "bar_clean": f"""WITH {DIRTY_SQL}, {_ZERO}, filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in [*B.PRICES, "volume"])} FROM zeroed),
 high AS (SELECT * REPLACE ({_GUARD("greatest", "high", "low")} AS high) FROM filled),
 inside AS (SELECT * REPLACE (CASE WHEN open IS NOT NULL AND low IS NOT NULL AND high IS NOT NULL THEN least(greatest(open, low), high) END AS open, CASE WHEN close IS NOT NULL AND low IS NOT NULL AND high IS NOT NULL THEN least(greatest(close, low), high) END AS close) FROM high),
 ranged AS (SELECT symbol, date, open, close, {_GUARD("greatest", "high", "open", "close")} AS high, {_GUARD("least", "low", "open", "close")} AS low, CASE WHEN volume IS NOT NULL THEN greatest(volume, 10) END AS volume FROM inside)
-SELECT symbol, date, {r([*B.PRICES, "volume"])} FROM ranged""",
+SELECT symbol, date, {r([*B.PRICES, "volume"], TICKS)} FROM ranged""",
     "bar_interpolate": f"""WITH {DIRTY_SQL}, {_ZERO}, numbered AS (SELECT *, row_number() OVER s AS n FROM zeroed {S}), lines AS (SELECT symbol, date, {", ".join(_INTERPOLATED(c) for c in ("open", "close", "volume"))} FROM numbered),
 smooth AS (SELECT * REPLACE (coalesce(CASE WHEN count(volume) OVER f >= 5 THEN avg(volume) OVER f END, volume) AS volume) FROM lines WINDOW f AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))
-SELECT symbol, date, {r(["open", "close", "volume"])} FROM smooth""",
+SELECT symbol, date, {r(["open", "close", "volume"], TICKS)} FROM smooth""",
     "bar_backfill": f"""WITH {DIRTY_SQL}, {_ZERO}, part AS (SELECT * FROM zeroed WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'), back AS (SELECT symbol, date, open, volume, {_BACK("close")} AS close FROM part)
-SELECT symbol, date, {r(["open", "close", "volume"])} FROM back WHERE open IS NOT NULL AND volume IS NOT NULL""",
+SELECT symbol, date, {r(["open", "close", "volume"], TICKS)} FROM back WHERE open IS NOT NULL AND volume IS NOT NULL""",
     "bar_outliers": f"""WITH {BARS_SQL}, st AS (SELECT symbol, quantile_cont(volume, 0.25) AS q1, quantile_cont(volume, 0.5) AS q2, quantile_cont(volume, 0.75) AS q3, avg(volume) AS m, stddev_samp(volume) AS s FROM bars GROUP BY symbol),
 mad AS (SELECT symbol, quantile_cont(abs(volume - q2), 0.5) AS mad FROM bars JOIN st USING (symbol) GROUP BY symbol)
 SELECT symbol, date, volume < q1 - 1.5 * (q3 - q1) OR volume > q3 + 1.5 * (q3 - q1) AS out_iqr, coalesce(abs((volume - m) / nullif(s, 0)) > 2.5, false) AS out_z, coalesce(abs(0.6745 * (volume - q2) / nullif(mad, 0)) > 2.5, false) AS out_mz
 FROM bars JOIN st USING (symbol) JOIN mad USING (symbol)""",
     "bar_without_outliers": f"""WITH {BARS_SQL}, st AS (SELECT symbol, quantile_cont(volume, 0.25) AS v1, quantile_cont(volume, 0.75) AS v3, quantile_cont(close, 0.25) AS c1, quantile_cont(close, 0.75) AS c3 FROM bars GROUP BY symbol)
-SELECT symbol, date, {r(["close", "volume"])} FROM bars JOIN st USING (symbol) WHERE volume BETWEEN v1 - 1.5 * (v3 - v1) AND v3 + 1.5 * (v3 - v1) AND close BETWEEN c1 - 1.5 * (c3 - c1) AND c3 + 1.5 * (c3 - c1)""",
+SELECT symbol, date, {r(["close", "volume"], TICKS)} FROM bars JOIN st USING (symbol) WHERE volume BETWEEN v1 - 1.5 * (v3 - v1) AND v3 + 1.5 * (v3 - v1) AND close BETWEEN c1 - 1.5 * (c3 - c1) AND c3 + 1.5 * (c3 - c1)""",
     "bar_times": f"""WITH {BARS_SQL} SELECT symbol, date, year(date)::INT AS year, month(date)::INT AS month, day(date)::INT AS day, (isodow(date) - 1)::INT AS dayofweek, dayofyear(date)::INT AS dayofyear, week(date)::INT AS week, quarter(date)::INT AS quarter,
 isodow(date) >= 6 AS is_weekend, day(date) = 1 AS is_month_start, date = last_day(date) AS is_month_end, date = date_trunc('quarter', date)::DATE AS is_quarter_start, date = (date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS is_quarter_end, dayofyear(date) = 1 AS is_year_start, month(date) = 12 AND day(date) = 31 AS is_year_end FROM bars""",
     "bar_scaled": f"""WITH {DIRTY_SQL}, full_rows AS (SELECT * FROM dirty WHERE close IS NOT NULL AND volume IS NOT NULL),
@@ -261,8 +267,8 @@ SELECT symbol, date, 'standard' AS method, {r({c: f"({c} - {c}m) / {c}s" for c i
 UNION ALL SELECT symbol, date, 'robust', {r({c: f"({c} - {c}b) / ({c}c - {c}a)" for c in ("close", "volume")})} FROM dirty, st
 UNION ALL SELECT symbol, date, 'minmax', {r({c: f"({c} - {c}lo) / ({c}hi - {c}lo)" for c in ("close", "volume")})} FROM dirty, st""",
     "bar_dense_columns": f"""WITH {DIRTY_SQL}, n AS (SELECT count(*) AS n, count(open) AS o, count(volume) AS v FROM dirty)
-SELECT symbol, date, {r(["high", "low", "close"])} FROM dirty, n WHERE symbol IN ('NATION_3', 'NATION_4') AND (o < floor(0.9 * n.n) OR open IS NOT NULL) AND (v < floor(0.9 * n.n) OR volume IS NOT NULL) AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL""",
-    "price_features": f"WITH {BARS_SQL}, {_PX1} SELECT symbol, date, {r(_PX)} FROM lags {S}",
+SELECT symbol, date, {r(["high", "low", "close"], TICKS)} FROM dirty, n WHERE symbol IN ('NATION_3', 'NATION_4') AND (o < floor(0.9 * n.n) OR open IS NOT NULL) AND (v < floor(0.9 * n.n) OR volume IS NOT NULL) AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL""",
+    "price_features": f"WITH {BARS_SQL}, {_PX1} SELECT symbol, date, {r(_PX, TICKS)} FROM lags {S}",
     "volume_features": f"""WITH {BARS_SQL}, l AS (SELECT symbol, date, lag(volume) OVER s AS v1, lag(volume, 2) OVER s AS v2, lag(close) OVER s AS c1 FROM bars {S}),
 f AS (SELECT *, v1 - v2 AS volume_change_1lag, {roll("avg", "v1", 5)} AS volume_sma_5, {roll("avg", "v1", 20)} AS volume_sma_20, {ema("v1", 5, 5)} AS volume_ema_5, {ema("v1", 20, 20)} AS volume_ema_20, {roll("stddev_samp", "v1", 20)} AS volume_volatility,
   c1 / (({roll("sum", "(c1 * v1)", 20)}) / nullif({roll("sum", "v1", 20)}, 0)) - 1 AS vwap_ratio FROM l {S})
@@ -280,7 +286,7 @@ u AS (SELECT *, {roll("avg", "tp", 20)} AS mean, list(tp) OVER (PARTITION BY sym
 v AS (SELECT *, -100 * (hi - close) / nullif(hi - lo, 0) AS williams_r, (tp - mean) / nullif(0.015 * list_sum(list_transform(near, lambda x: abs(x - mean))) / 20, 0) AS cci, {roll("sum", "inflow", 14)} AS gain, {roll("sum", "outflow", 14)} AS loss FROM u),
 x AS (SELECT *, 100 * gain / nullif(gain + loss, 0) AS mfi FROM v)
 SELECT symbol, date, round(100 * (close / nullif(lag(close, 10) OVER s, 0) - 1), 6) AS roc_10, {r(lagged(["williams_r", "cci", "mfi"]))} FROM x {S}""",
-    "volatility_features": f"WITH {BARS_SQL}, {_VOLATILITY} SELECT symbol, date, {r(lagged(VL))} FROM vola {S}",
+    "volatility_features": f"WITH {BARS_SQL}, {_VOLATILITY} SELECT symbol, date, {r(lagged([c for c in VL if c != "true_range"]))}, {r(lagged(["true_range"]), TICKS)} FROM vola {S}",
     "trend_features": f"WITH {BARS_SQL}, {_DX}, f AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in _TREND.items())} FROM dx) SELECT symbol, date, {r(lagged(list(_TREND)))} FROM f {S}",
     "rank_features": f"""WITH {BARS_SQL}, {_VOLATILITY}, f AS (SELECT symbol, date, lag(ret) OVER s AS return_1lag, lag(close) OVER s / nullif(lag(close, 8) OVER s, 0) - 1 AS return_7d_1lag, lag(volatility_20) OVER s AS volatility_20, lag(atr) OVER s AS atr FROM vola {S})
 SELECT symbol, date, {r({f"{c}_pctile": _PCTILE(c) for c in ("return_1lag", "return_7d_1lag", "volatility_20", "atr")})} FROM f""",
