@@ -12,7 +12,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html, line_dedup, lm, pii, quality, simhash, substring, toxicity
+from tidemark.llm import bpe, decontaminate, html, line_dedup, lm, pii, quality, simhash, similar, substring, toxicity
 from tidemark.llm.common import table, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -116,6 +116,44 @@ def test_simhash_components(spark, docs, empty, real):
     assert sorted(x.doc_id or -1 for x in kept.collect() if x.doc_id in (1, 2, 3, 4, 5)) == [1, 3]
 
 
+def test_pipeline_drops_near_copies_of_jaccard_08(spark, empty):
+    import corpus_pipeline as p
+
+    r = random.Random(11)
+    rows = [(d, t) for d, t, *_ in ROWS]
+    for g in range(30):
+        base = [f"v{r.randrange(4000)}" for _ in range(r.choice((12, 60, 300)))]
+        for c in range(4):
+            own = list(base)
+            for at in r.sample(range(len(own)), max(1, len(own) * c // 60)):
+                own[at] = "changed"
+            rows.append((100 + 4 * g + c, " ".join(own)))
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for w in (words((t or "").lower()) for _, t in rows)]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) / len(a | b) >= 0.8:
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)].append(d)
+    want = Counter((d, min(least[find(i)], default=None)) for i, (d, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert Counter((x.doc_id, x.component_id) for x in similar.similar_components(df).collect()) == want
+    kept = p._near_duplicates(spark, df, SF)
+    assert kept.columns == df.columns
+    firsts = {c for _, c in want if c is not None}
+    assert {x.doc_id for x in kept.collect()} - {None} == firsts and len(firsts) < len(rows) - 20
+    assert similar.drop_similar(empty).count() == 0
+
+
 def test_pigeonring_keys_miss_nothing(spark):
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(40)]

@@ -106,7 +106,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
     component of null ids only has a null one. An empty table gives no rows."""
     rows = checkpointed(simhash_fingerprints(docs, shingle, id_col, text_col))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
-    roots = components(simhash_links(distinct, distance)).withColumnsRenamed({"node": "fp"})
+    return named_components(rows, distinct, simhash_links(distinct, distance))
+
+
+def named_components(rows: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """`rows` (doc_id, text_hash, fp) with component_id; `distinct` has each fp's first id and number of copies."""
+    roots = components(links).withColumnsRenamed({"node": "fp"})
     known = distinct.join(roots, "fp", "left")
     least = known.where("root is not null").groupBy("root").agg(F.min("first").alias("of_root"))
     named = known.where("root is not null or copies > 1").join(least, "root", "left").select("fp", F.coalesce("of_root", "first").alias("component"))
@@ -123,7 +128,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, i
 
     Rows of the same id and text are one document and stay together. A component of null ids only keeps
     the text of the smallest hash."""
-    found = simhash_components(docs, shingle, distance, id_col, text_col)
+    return keep_first(docs, simhash_components(docs, shingle, distance, id_col, text_col), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` of the first document of each component of `found` (doc_id, text_hash, fp, component_id)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     group = [F.col("component_id").isNull().alias("none"), F.coalesce("component_id", F.lit(0)).alias("component"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")]
     keep = found.groupBy(*group).agg(first).select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_text"))
