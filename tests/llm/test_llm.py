@@ -217,6 +217,31 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(empty, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_seeds_every_place_and_region(spark):
+    def brute(doc, item):
+        best = 0.0
+        for j in range(len(item) - 9):
+            for i in range(len(doc) - 9):
+                if any(all(doc[i + k] == item[j + k] for k in range(10) if m[k] == "1") for m in decontaminate.MASKS):
+                    width = min(30, len(item))
+                    for s in range(max(0, j - 20), min(j, len(item) - width) + 1):
+                        best = max(best, sum(0 <= i - j + k < len(doc) and doc[i - j + k] == item[k] for k in range(s, s + width)) / width)
+        return best
+
+    r = random.Random(4)
+    items = {i: [f"i{i}x{k}" for k in range(n)] for i, n in ((1, 200), (2, 90), (3, 33), (4, 20), (5, 31))}
+    rows = []
+    for d in range(120):
+        item = items[1 + d % 5]
+        at = r.randrange(max(1, len(item) - 30))
+        part = [x if r.random() > 0.18 else "zz" for x in item[at : at + 30]]
+        rows.append((d, ["a"] * r.randrange(15) + part + ["b"] * r.randrange(15)))
+    want = {(d, i): round(b, 6) for d, doc in rows for i, item in items.items() if (b := brute(doc, item)) >= 0.8}
+    df = spark.createDataFrame([(d, " ".join(x)) for d, x in rows], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id bigint, text string")
+    assert {(x.doc_id, x.item_id): round(x.matched, 6) for x in decontaminate.contaminated(df, bench).collect()} == want and len(want) > 20
+
+
 def test_toxicity_learns_and_is_fair(spark, docs, empty):
     r = random.Random(1)
     rows, labels = [], []

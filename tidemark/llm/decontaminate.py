@@ -2,8 +2,9 @@
 
 A mask looks at seven of ten consecutive tokens and ignores three, so a substituted token inside the
 window need not spoil the hash; between them the masks ignore every inner position but the last two once.
-Hits of equal hashes are verified around the seed: of the 30 item tokens there (or the whole of a shorter
-item), at least 80 % must stand at the same distances in the document.
+Every place of an item has seeds. Hits of equal hashes are verified around the seed: of some 30 consecutive item
+tokens that hold its window (or the whole of a shorter item), at least 80 % must stand at the same distances in
+the document.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from tidemark.llm.common import checkpointed
 
 MASKS = ("1101101011", "1110010111", "1011101101")
 SPAN = 10
-#: Seeds of the benchmark that are broadcast at a time, each with up to 30 token hashes.
+#: Seeds of the benchmark that are broadcast at a time, each with up to 50 token hashes.
 MOST_SEEDS = 100_000
 
 
@@ -40,14 +41,22 @@ def _seeds(words: Column, i: Column) -> Column:
 
 
 def benchmark_seeds(benchmark: DataFrame, region: int, item_col: str, text_col: str) -> DataFrame:
-    """ends, seed, item_id, place of the seed's window relative to the region, and the region's tokens.
+    """ends, seed, item_id, place of the seed's window relative to the tokens around it, and those tokens.
 
-    Items of up to 32 tokens have a seed at every place, longer ones at every third."""
+    All regions of `region` tokens that hold the window lie in those tokens."""
     items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(text_col)).alias("w")).where(F.size("w") >= SPAN)
-    at = items.select("item_id", "w", F.explode(_places(F.col("w"))).alias("j")).where((F.size("w") <= 32) | (F.col("j") % 3 == 0))
-    first = F.greatest(F.lit(0), F.least(F.col("j") - SPAN, F.size("w") - region))
-    at = at.select("item_id", "w", "j", first.alias("s"))
-    return at.select("item_id", (F.col("j") - F.col("s")).alias("at"), F.slice("w", F.col("s") + 1, F.lit(region)).alias("region"), _ends(F.col("w"), F.col("j")).alias("ends"), F.explode(_seeds(F.col("w"), F.col("j"))).alias("seed"))
+    at = items.select("item_id", "w", F.explode(_places(F.col("w"))).alias("j"))
+    first = F.greatest(F.lit(0), F.col("j") + SPAN - region)
+    at = at.select("item_id", "w", "j", first.alias("s"), (F.least(F.size("w"), F.col("j") + max(region, SPAN)) - first).alias("n"))
+    return at.select("item_id", (F.col("j") - F.col("s")).alias("at"), F.slice("w", F.col("s") + 1, F.col("n")).alias("region"), _ends(F.col("w"), F.col("j")).alias("ends"), F.explode(_seeds(F.col("w"), F.col("j"))).alias("seed"))
+
+
+def _best(same: Column, width: Column) -> Column:
+    """Most ones in `width` consecutive places of an array of ones and zeros."""
+    first = F.aggregate(F.slice(same, F.lit(1), width), F.lit(0), lambda a, x: a + x)
+    steps = F.when(F.size(same) > width, F.sequence(F.lit(0), F.size(same) - width - 1)).otherwise(F.array().cast("array<int>"))
+    moved = lambda a, i: a["now"] + F.get(same, i + width) - F.get(same, i)
+    return F.aggregate(steps, F.struct(first.alias("now"), first.alias("best")), lambda a, i: F.struct(moved(a, i).alias("now"), F.greatest(a["best"], moved(a, i)).alias("best")), lambda a: a["best"])
 
 
 def contaminated(
@@ -70,8 +79,11 @@ def contaminated(
         near = near.select("doc_id", "text_hash", "w", "i", F.explode(_seeds(F.col("w"), F.col("i"))).alias("seed"))
         hits = near.join(F.broadcast(block.drop("ends")), "seed")
         base = F.col("i") - F.col("at")
-        agree = F.size(F.filter(F.sequence(F.lit(0), F.size("region") - 1), lambda k: F.coalesce(F.get("w", base + k) == F.get("region", k), F.lit(False))))
-        hits = hits.select("doc_id", "text_hash", "item_id", (agree / F.size("region")).alias("matched")).where(F.col("matched") >= share)
+        same = F.transform(F.sequence(F.lit(0), F.size("region") - 1), lambda k: F.when(F.get("w", base + k) == F.get("region", k), 1).otherwise(0))
+        # A projection of its own, so the array is made once and not in every step over it.
+        hits = hits.select("doc_id", "text_hash", "item_id", F.explode(F.array(same)).alias("same"))
+        width = F.least(F.lit(region), F.size("same"))
+        hits = hits.select("doc_id", "text_hash", "item_id", (_best(F.col("same"), width) / width).alias("matched")).where(F.col("matched") >= share)
         found = hits if found is None else found.union(hits)
     return found.groupBy("doc_id", "text_hash", "item_id").agg(F.max("matched").alias("matched"))
 
