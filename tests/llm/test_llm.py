@@ -387,6 +387,12 @@ def test_html_extraction(spark):
     assert html.extract_text(df.limit(0)).count() == 0
 
 
+def test_html_keeps_text_after_a_deep_element():
+    deep = "<div>" * 600 + "deep<div class='ad'>Buy</div>" + "</div>" * 600
+    root = html.parse(f"<body><div><article><p>before</p>{deep}<p>after</p></article></div><p>outside</p></body>")
+    assert html.blocks(html.main_nodes(root)) == ["before", "deep", "after"]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 

@@ -128,8 +128,7 @@ def parse(source: str) -> Node:
             close = n if end < 0 else source.find(">", end)
             at = n if close < 0 or end < 0 else close + 1
             continue
-        if len(stack) < 400:
-            stack.append(node)
+        stack.append(node)
     return root
 
 
