@@ -393,6 +393,90 @@ def test_html_keeps_text_after_a_deep_element():
     assert html.blocks(html.main_nodes(root)) == ["before", "deep", "after"]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><div class="article-header"><h1>Title</h1></div><p class="share">Share of votes rose.</p><p>Body</p></article>', "Title\nShare of votes rose.\nBody"),
+        ("<article>" + "<div>" * 405 + "<nav>MENU</nav>in" + "</div>" * 405 + "<p>after</p></article>", "in\nafter"),
+        ('<article>A</article><article class="comment">reader comment</article>', "A"),
+        ("<main><h1>Headline</h1><article>Text</article><p>tail</p></main>", "Headline\nText\ntail"),
+        ('<article><p>A</p><div class="share-buttons">Tweet</div><section class="related-work"><p>B</p></section><div class="comment-list">No</div></article>', "A\nB"),
+        ('<article data-id="comment"><p>A</p></article>', "A"),
+    ],
+)
+def test_html_structure_rules(page, text):
+    assert html.main_text(page) == text
+
+
+def test_html_template_inside_articles_goes_and_near_copies_stay(spark):
+    """Against a dictionary by host: a notice in most articles goes; paragraphs of near copies and a rarer passage stay."""
+    r = random.Random(2)
+    say = lambda n: " ".join(r.choice("alpha beta gamma delta omega sigma kappa".split()) + str(r.randrange(50)) for _ in range(n))
+    notice, passage = "<div class=x1><p>Follow our station on every channel.</p></div>", "<p>A passage that some articles share.</p>"
+    rows, bodies = [], {}
+    for i in range(200):
+        host = f"h{i % 4}.example"
+        own = [f"<p>{say(30)}</p>" for _ in range(4)]
+        if i % 4 == 3:  # near copies: most articles of this host share three of four paragraphs
+            if i % 8 == 3 or i % 16 == 7:
+                own = [*(f"<p>copy paragraph {k}, the same in all of them, of some length</p>" for k in range(3)), f"<p>{say(8)}</p>"]
+        body = "".join([*own[:2], *[notice] * (i % 4 != 3), *[passage] * (i % 3 == 0), *own[2:]])
+        rows.append((i, f"http://{host}/{i}", f"<body><nav>m</nav><article>{body}</article></body>"))
+        bodies[i] = (host, [re.sub("<[^>]*>", "", x) for x in re.findall("<p>.*?</p>", body)])
+    seen, articles = defaultdict(set), defaultdict(set)
+    for host, found in bodies.values():
+        articles[host].add(tuple(found))
+        for x in found:
+            seen[host, x].add(tuple(found))
+    want = {}
+    for i, (host, found) in bodies.items():
+        left = [x for x in found if not (len(seen[host, x]) >= 5 and len(seen[host, x]) > 0.5 * len(articles[host]))]
+        want[i] = "\n".join(left if 2 * len("\n".join(left)) >= len("\n".join(found)) else found)
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    on = {x.page_id: x.text for x in html.extract_text(df).collect()}
+    off = {x.page_id: x.text for x in html.extract_text(df, share=2.0, article_share=2.0).collect()}
+    assert on == want
+    assert sum(on[i] != off[i] for i in on) == 150 and not any("Follow our station" in x for x in on.values())
+
+
+def test_html_on_whole_pages_against_another_parser(spark):
+    """The given pages have one article and no template in it: the text is that of the article's blocks."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.out, self.part = 0, [], ""
+
+        def cut(self):
+            if text := re.sub(r"\s+", " ", self.part).strip():
+                self.out.append(text)
+            self.part = ""
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag in ("article", "h1", "p", "br"):
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag in ("article", "h1", "p"):
+                self.cut()
+            self.inside -= tag == "article"
+
+        def handle_data(self, data):
+            self.part += data if self.inside else ""
+
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    got = {x.page_id: x.text for x in html.extract_text(pages).collect()}
+    for x in pages.collect():
+        p = Article()
+        p.feed(x.html or "")
+        p.close()
+        p.cut()
+        assert got[x.page_id] == "\n".join(p.out), x.page_id
+    assert len(got) == 250
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 

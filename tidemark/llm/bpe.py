@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, texts
+from tidemark.llm.common import map_arrow, texts, tokenizer_path
 
 # Symbols of the scanner.
 LETTER, NUMBER, OTHER, CONTRACTION2, CONTRACTION3, JOINING_SPACE, LONE_SPACE, SPACE_RUN, DOC_END = range(9)
@@ -31,6 +31,14 @@ IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_SPACES, DONE, ONE_LEFT, TWO_L
 #: White space as Unicode's property has it.
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
+#: Letters and numbers that Unicode 16.0 added; Python's own table may be older.
+LETTERS_OF_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NUMBERS_OF_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+
 
 def _machine() -> tuple[np.ndarray, np.ndarray]:
     """Next state and whether a piece starts, by symbol and state before."""
@@ -61,6 +69,9 @@ def classes() -> np.ndarray:
     for i in range(0x110000):
         if (k := kinds.get(unicodedata.category(chr(i))[0])) is not None:
             table[i] = k
+    for kind, ranges in ((LETTER, LETTERS_OF_16), (NUMBER, NUMBERS_OF_16)):
+        for first, last in ranges:
+            table[first : last + 1] = kind
     table[WHITE_SPACE] = SPACE_RUN
     return table
 
@@ -89,26 +100,30 @@ def symbols(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def states_before(symbol: np.ndarray, block: int = 256) -> np.ndarray:
-    """The scanner's state before each symbol, by an associative scan of transition functions."""
+    """The scanner's state before each symbol, by an associative scan of transition functions.
+
+    Blocks first advance side by side from all start states, keeping their ends alone; with the state that each block
+    is entered in known from the composed functions, they advance once more from that one."""
     n = len(symbol)
     blocks = -(-n // block)
     grid = np.full(blocks * block, DOC_END, np.uint8)
     grid[:n] = symbol
     grid = np.ascontiguousarray(grid.reshape(blocks, block).T)
     flat = AFTER.ravel()
-    state = np.repeat(np.arange(8, dtype=np.uint8)[:, None], blocks, 1)
-    before = np.empty((block, 8, blocks), np.uint8)
-    for k in range(block):
-        before[k] = state
-        state = flat[(grid[k].astype(np.intp) << 3) + state]
-    total = state  # total[s, b]: the state after blocks b, entered in s; now the composition of all blocks up to b
+    total = np.repeat(np.arange(8, dtype=np.uint8)[:, None], blocks, 1)
+    for row in grid:
+        total = flat[(row << 3) + total]
     step = 1
-    while step < blocks:
+    while step < blocks:  # total[s, b]: the state after all blocks up to b, entered in s
         total[:, step:] = np.take_along_axis(total[:, step:], total[:, :-step], 0)
         step *= 2
-    entry = np.full(blocks, DONE, np.intp)
-    entry[1:] = total[DONE, :-1]
-    return before[:, entry, np.arange(blocks)].T.reshape(-1)[:n]
+    state = np.full(blocks, DONE, np.uint8)
+    state[1:] = total[DONE, :-1]
+    before = np.empty((block, blocks), np.uint8)
+    for k, row in enumerate(grid):
+        before[k] = state
+        state = flat[(row << 3) + state]
+    return before.T.reshape(-1)[:n]
 
 
 def boundaries(joined: str, ends: np.ndarray) -> np.ndarray:
@@ -183,8 +198,10 @@ class Pieces(dict):
 
 @lru_cache(4)
 def vocabulary(path: str) -> tuple[Pieces, list[bytes], np.ndarray]:
-    """Piece cache, bytes by id and their lengths, of a rank file (base64 token and rank a line)."""
-    with open(path, "rb") as f:
+    """Piece cache, bytes by id and their lengths, of a rank file (base64 token and rank a line).
+
+    `path` is a file's path, or the name of a public tokenizer's file, which each worker finds for itself."""
+    with open(path if "/" in path else tokenizer_path(path), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     by_id = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():

@@ -1,9 +1,9 @@
 """Main text of web pages, with site templates removed.
 
-Subtrees of elements are hashed and counted for each host in Spark, a page counting a subtree once.
-Those that recur on many pages of the host are its template and go, as do elements whose tag, role or class
-says what they are. What stands inside a page's article is never taken for template: copies of an article
-recur too.
+Subtrees of block elements are hashed and counted for each host in Spark, inside articles too. A subtree is counted
+once for each different text of its page, so copies of an article count once. Those that recur on many pages of the host
+are its template and go, as do elements whose tag, role or class says what they are. A page whose article would lose
+over half of its text to the template is a near copy of other articles, not made of template, and keeps it.
 """
 
 from __future__ import annotations
@@ -25,8 +25,16 @@ RAW = frozenset("script style textarea title xmp noframes".split())
 DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input label fieldset iframe object embed svg canvas audio video map menu dialog datalist xmp noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of class and id values that mark what is no main text.
-MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget cookie cookies consent notice notices popup modal overlay comment comments disqus respond replies share sharing social related recommended newsletter subscribe subscription signup login pagination pager skip toolbar".split())
+#: Words of class and id values that mark what is no main text, whatever stands beside them.
+MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent popup comments disqus newsletter subscribe subscription pagination pager".split())
+#: Words that mark only as a whole name, or with one of these endings.
+WEAK_MARKS = frozenset("header masthead banner menu share sharing social related recommended notice notices promotion comment respond replies login signup skip modal overlay toolbar".split())
+ENDINGS = frozenset("s bar block box buttons container form icons items links list nav posts section text top wrap wrapper".split())
+#: Names of an article or main element that is none.
+NO_ARTICLE = frozenset("ad advert advertisement comment comments promo related reply response sponsored teaser widget".split())
+#: Names that a heading group inside an article may have, and blocks that hold sentences: weak marks do not remove them there.
+HEADINGS = frozenset("header masthead banner".split())
+SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote dd dt figcaption td th caption".split())
 #: Open elements that a start tag closes, up to the given borders.
 P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -34,7 +42,7 @@ BORDERS = frozenset("article aside body div footer form header html main nav sec
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _REST = re.compile(r"[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>")
-_ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -132,17 +140,44 @@ def parse(source: str) -> Node:
     return root
 
 
+def _marked(name: str, tag: str, in_main: bool) -> bool:
+    """True for one name of a class or id attribute that marks its element.
+
+    Inside an article a weak mark counts only as the whole name or with an ending, and neither for a heading group nor for
+    blocks that hold sentences."""
+    words = [w for w in _SPLIT.split(name) if w]
+    if not MARKS.isdisjoint(words):
+        return True
+    if not in_main:
+        return not WEAK_MARKS.isdisjoint(words)
+    if tag in SENTENCES or name in HEADINGS or not words:
+        return False
+    return words[0] in WEAK_MARKS and all(w in WEAK_MARKS or w in ENDINGS for w in words)
+
+
 def unwanted(node: Node, in_main: bool) -> bool:
-    """True for elements that tag, role or class mark as no main text; a heading group inside an article stays."""
-    if node.tag == "header" and in_main:
+    """True for elements that tag, role or class mark as no main text; a heading group inside an article stays, and so do
+    its sentences unless a strong mark says otherwise."""
+    tag = node.tag
+    if tag == "header" and in_main:
         return False
-    if node.tag in DROPPED:
+    if tag in DROPPED:
         return True
-    if node.marks and node.tag not in ("article", "main"):
-        for part in node.marks.split(" "):
-            key, _, value = part.partition("=")
-            if key == "role" and value in ROLES or not MARKS.isdisjoint(_SPLIT.split(value if key else part)):
+    if not node.marks:
+        return False
+    key = ""
+    for part in node.marks.split():
+        k, equals, value = part.partition("=")
+        if equals and k in ("class", "id", "role"):
+            key, part = k, value
+        if key == "role":
+            if part in ROLES:
                 return True
+        elif tag in ("article", "main"):
+            if part in NO_ARTICLE:
+                return True
+        elif _marked(part, tag, in_main):
+            return True
     return False
 
 
@@ -151,7 +186,7 @@ def _is_main(node: Node) -> bool:
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """Outermost article, main or role=main elements in page order, outside unwanted ones; the articles of a main come first if it has any."""
+    """Outermost article, main or role=main elements in page order, outside unwanted ones."""
     found, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -161,43 +196,35 @@ def main_nodes(root: Node) -> list[Node]:
             found.append(node)
         else:
             todo += reversed(node.children)
-    out = []
-    for node in found:
-        inner = main_nodes_below(node) if node.tag != "article" else []
-        out += inner or [node]
-    return out
-
-
-def main_nodes_below(node: Node) -> list[Node]:
-    found, todo = [], list(reversed(node.children))
-    while todo:
-        x = todo.pop()
-        if isinstance(x, str) or unwanted(x, False):
-            continue
-        if x.tag == "article":
-            found.append(x)
-        else:
-            todo += reversed(x.children)
     return found
 
 
-def subtree_hashes(root: Node, skip: set[int]) -> dict[int, int]:
-    """Hash of each element's subtree by the element's id(), outside the elements in `skip`."""
-    out: dict[int, int] = {}
-    order, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        order.append(node)
-        todo += [x for x in node.children if not isinstance(x, str) and id(x) not in skip]
+def subtree_hashes(tops: list[Node]) -> dict[int, int]:
+    """Signed hash of the subtree of each wanted block element with text below `tops`, by the element's id()."""
+    known: dict[int, int] = {}
+    texts: set[int] = set()
+    order = []
+    for top in tops:
+        todo = [top]
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            todo += [x for x in node.children if not isinstance(x, str) and not unwanted(x, _is_main(top))]
     for node in reversed(order):
         digest = xxhash.xxh3_64(f"{node.tag} {node.marks}\0")
         for x in node.children:
             if isinstance(x, str):
-                digest.update(b"t" + _SPACE.sub(" ", x).strip().encode("utf-8", "surrogatepass"))
-            else:
-                digest.update(out[id(x)].to_bytes(8, "big") if id(x) in out else b"main")
-        out[id(node)] = digest.intdigest()
-    return out
+                x = _SPACE.sub(" ", x).strip()
+                if x:
+                    texts.add(id(node))
+                    digest.update(b"t" + x.encode("utf-8", "surrogatepass"))
+            elif id(x) in known:
+                digest.update(known[id(x)].to_bytes(8, "big"))
+                if id(x) in texts:
+                    texts.add(id(node))
+        known[id(node)] = digest.intdigest()
+    above = {id(x) for x in tops}
+    return {id(x): _signed(known[id(x)]) for x in order if id(x) in texts and x.tag not in INLINE and id(x) not in above}
 
 
 def blocks(nodes: list[Node], template: dict[int, int] | None = None, drop: frozenset[int] = frozenset()) -> list[str]:
@@ -246,48 +273,70 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def template_subtrees(pages: DataFrame, share: float, least_pages: int) -> DataFrame:
-    """host and drop: hashes of subtrees outside articles that stand on over `share` of a host's pages, `least_pages` at least."""
+def template_subtrees(pages: DataFrame, share: float, article_share: float, least_pages: int, most_broadcast: int) -> DataFrame:
+    """host, inside and h: hashes of subtrees that stand on over `share` of a host's different pages without an article, or in over
+    `article_share` of its different articles (inside), `least_pages` at least.
+
+    Counts are of distinct (host, subtree, page text), made before and after the shuffle, so a hot host is spread over its subtrees and texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            hosts, hashes = [], []
+            hosts, inside, hashes, of_text = [], [], [], []
             for name, source in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist()):
                 root = parse(source)
-                own = {_signed(h) for h in subtree_hashes(root, {id(x) for x in main_nodes(root)}).values()}
+                main = main_nodes(root)
+                tops = main or [root]
+                own = set(subtree_hashes(tops).values())
+                text = _signed(xxhash.xxh3_64_intdigest("\n".join(blocks(tops)).encode("utf-8", "surrogatepass")))
                 hosts += [name] * (len(own) + 1)
+                inside += [bool(main)] * (len(own) + 1)
                 hashes += [None, *own]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "h"])
+                of_text += [text] * (len(own) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(inside, pa.bool_()), pa.array(hashes, pa.int64()), pa.array(of_text, pa.int64())], names=["host", "inside", "h", "m"])
 
-    counts = pages.select("host", "text").mapInArrow(run, "host string, h bigint").groupBy("host", "h").agg(F.count("*").alias("n"))
+    seen = pages.select("host", "text").mapInArrow(run, "host string, inside boolean, h bigint, m bigint").distinct()
+    counts = seen.groupBy("host", "inside", "h").agg(F.count("*").alias("n"))
     counts = checkpointed(counts.where((F.col("n") >= least_pages) | F.col("h").isNull()))
-    total = counts.where("h is null").select("host", F.col("n").alias("pages"))
-    return counts.where("h is not null").join(total, "host").where(F.col("n") > F.col("pages") * share).groupBy("host").agg(F.collect_list("h").alias("drop"))
-
-
-def extract_text(pages: DataFrame, share: float = 0.2, least_pages: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_broadcast: int = 100_000) -> DataFrame:
+    total = counts.where("h is null").select("host", "inside", F.col("n").alias("pages"))
+    if total.count() <= most_broadcast:
+        total = F.broadcast(total)
+    least = F.col("pages") * F.when(F.col("inside"), article_share).otherwise(share)
+    return counts.where("h is not null").join(total, ["host", "inside"]).where(F.col("n") > least).select("host", "inside", "h")
+
+
+def main_text(source: str, drop: frozenset[int] = frozenset(), article_drop: frozenset[int] = frozenset()) -> str:
+    """Main text of one page without the subtrees of these hashes: the first outside articles, the second inside."""
+    root = parse(source)
+    main = main_nodes(root)
+    tops = main or [root]
+    wanted = article_drop if main else drop
+    hashes = subtree_hashes(tops) if wanted else {}
+    whole = "\n".join(blocks(tops))
+    if wanted.isdisjoint(hashes.values()):
+        return whole
+    rest = "\n".join(blocks(tops, hashes, wanted))
+    return whole if main and 2 * len(rest) < len(whole) else rest
+
+
+def extract_text(pages: DataFrame, share: float = 0.2, article_share: float = 0.5, least_pages: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_broadcast: int = 100_000) -> DataFrame:
     """page_id, url and text of each row: the main text of the whole page, one block a line.
 
     Main text is inside article, main or role=main elements, or else the body. Character references are
     decoded, white space in a block becomes one space. Null or empty pages and pages without main text have an
     empty text; null urls form a host of their own; repeated rows each come out. Pages of a host are never
-    gathered: templates are counts, joined back on the host, by broadcast if they are few."""
+    gathered: templates are counts, joined back on the host, by broadcast if they are few. A host's list is bounded: every
+    page has a subtree of it for each 1 / share entries."""
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("text"), host(F.col(url_col)).alias("host"))
-    templates = checkpointed(template_subtrees(rows, share, least_pages))
-    few = templates.agg(F.coalesce(F.sum(F.size("drop")), F.lit(0))).first()[0] <= most_broadcast
-    joined = rows.join(F.broadcast(templates) if few else templates, "host", "left").select("page_id", "url", "text", "drop")
+    templates = checkpointed(template_subtrees(rows, share, article_share, least_pages, most_broadcast))
+    lists = [F.collect_list(F.when(F.col("inside") == inside, F.col("h"))).alias(name) for inside, name in ((False, "drop"), (True, "article_drop"))]
+    by_host = templates.groupBy("host").agg(*lists)
+    joined = rows.join(F.broadcast(by_host) if templates.count() <= most_broadcast else by_host, "host", "left").select("page_id", "url", "text", "drop", "article_drop")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            out = []
-            for source, drop in zip(batch.column("text").to_pylist(), batch.column("drop").to_pylist()):
-                root = parse(source)
-                main = main_nodes(root)
-                template = None
-                if drop:
-                    template = {k: _signed(h) for k, h in subtree_hashes(root, {id(x) for x in main}).items()}
-                out.append("\n".join(blocks(main or [root], template, frozenset(drop or ()))))
+            columns = (batch.column(c).to_pylist() for c in ("text", "drop", "article_drop"))
+            out = [main_text(source, frozenset(a or ()), frozenset(b or ())) for source, a, b in zip(*columns)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string")

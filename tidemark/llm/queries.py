@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_digest
-from tidemark.llm.common import in_fold, table, tokenizer_path
+from tidemark.llm.common import in_fold, table
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.html import extract_text
 from tidemark.llm.line_dedup import line_dedup
@@ -17,7 +17,7 @@ from tidemark.llm.simhash import hex_fingerprint, simhash_components
 from tidemark.llm.substring import substring_dedup
 from tidemark.llm.toxicity import toxicity_scores, train
 
-#: Rank file of the encoding query.
+#: Rank file of the encoding query, by its name among the public tokenizers.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -64,7 +64,7 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip of every document through the byte-level vocabulary."""
-    return bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path(RANKS))
+    return bpe_digest(table(spark, sf_dir, "documents"), RANKS)
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
