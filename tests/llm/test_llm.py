@@ -257,7 +257,7 @@ def test_toxicity_learns_and_is_fair(spark, docs, empty):
     score = lambda t: model.score([t])[0]
     assert score("alpha vilequx") > 0.3 > score("alpha beta")
     assert abs(score("alpha women") - score("alpha men")) < 0.1
-    loose = [([1], 1.0, [([0], [])]), ([0, 1], 1.0, [([0], [])]), ([], 0.0, [])]
+    loose = toxicity.Rows(np.array([1.0, 1.0, 0.0]), np.array([0, 1, 1]), np.array([1, 0, 1]), 2, np.array([0, 1]), np.array([0, 0]), np.array([-1.0, -1.0]))
     bound = toxicity.fit(loose, 2, fairness=50.0)[0]
     assert abs(bound[0]) < abs(toxicity.fit(loose, 2, fairness=0.0)[0][0])
     assert toxicity.toxicity_scores(docs, model).count() == len(ROWS)
@@ -265,6 +265,44 @@ def test_toxicity_learns_and_is_fair(spark, docs, empty):
     assert toxicity.train(empty, lab).score([""]) == [pytest.approx(0.5)] and toxicity.toxicity_scores(empty, model).count() == 0
 
 
+def test_toxicity_counterfactuals_act_on_the_given_labels(spark):
+    """On sf0.1: sentences are swapped, their scores move less than without the penalty, and held-out texts are told apart."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    sample = toxicity.labelled_sample(docs, labels.where("doc_id % 4 != 2"))
+    names, groups = toxicity.prepared(sample, toxicity.MOST_FEATURES)
+    rows = toxicity.training_rows(sample, names, groups)
+    assert rows.swaps > 1000 and len(groups) > len(toxicity.IDENTITY_GROUPS)
+    held = docs.join(labels.where("doc_id % 4 = 2"), "doc_id").select("text", "toxic").collect()
+    moved, right = {}, {}
+    for fairness in (0.0, 1.0):
+        weights, bias = toxicity.fit(rows, len(names), fairness=fairness)
+        moved[fairness] = float(np.abs(toxicity.changes(rows, weights)).mean())
+        scores = toxicity.Model(names, weights, bias).score([x.text or "" for x in held])
+        right[fairness] = sum((s >= 0.3) == (x.toxic == 1) for s, x in zip(scores, held)) / len(held)
+    assert moved[1.0] < 0.2 * moved[0.0] and right[1.0] >= max(0.97, right[0.0] - 0.005), (moved, right)
+
+
+def test_toxicity_swaps_every_listed_term(spark):
+    """Against brute force: features before and after each swap, with ties, repeated texts and terms that share beginnings."""
+    values = ["women women and men", "Women, and Mench x", "nothing", "men", "men"]
+    names = sorted({f for w in ("women", "men", "girls", "mench", "nothing") for f in toxicity.features(w)})
+    groups = [("women", "men", "girls")]
+    sample = spark.createDataFrame([(t, 1.0) for t in values], "text string, toxic double").coalesce(1)
+    rows = toxicity.training_rows(sample, names, groups)
+    want = []
+    for t in values:
+        own = set(re.findall(r"\w+", t.lower()))
+        of = lambda ws: {f for w in ws for f in toxicity.features(w)} & set(names)
+        for term in sorted(own & set(groups[0])):
+            for other in groups[0]:
+                if other != term:
+                    new = of(own - {term} | {other})
+                    want.append((sorted(of(own) - new), sorted(new - of(own))))
+    got = [([names[c] for c, v in zip(rows.swap_col[rows.swap == i], rows.value[rows.swap == i]) if v < 0], [names[c] for c, v in zip(rows.swap_col[rows.swap == i], rows.value[rows.swap == i]) if v > 0]) for i in range(rows.swaps)]
+    assert got == want
+
+
 EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD, PHONE = r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"
 
