@@ -399,11 +399,61 @@ def test_binomial_bound_is_exact():
     assert quality.binomial_upper(5, 5, 0.05) == 1.0
 
 
-def test_quality_cutoffs_keep_the_risk(spark):
-    n = 6000
-    counts = [{"stratum": "=en", "n": n, **{f"{m}_{i}": 0 if m == "symbol_share" and i < 10 else n // 2 for m, c in quality.CUTOFFS.items() for i in range(len(c))}}]
-    chosen = quality.select_cutoffs(counts, 0.03, 0.05)
-    assert chosen == {"=en": {"symbol_share": quality.CUTOFFS["symbol_share"][9]}}
+def test_quality_rules_keep_the_risk():
+    n = 400
+    counts = [{"stratum": "=en", "n": n, **{f"{q}_{s}_{i}": (0 if q == "bad" or i < 4 else n // 2) + (7 if (q, s) == ("bad", "symbol_share") else 0) for q in ("good", "bad") for s in quality.SEQUENCES for i in range(quality.LEVELS)}}]
+    assert quality.select_rules(counts, 0.03, 0.05) == {"=en": ("symbol_share", 3)}
+    assert quality.select_rules([counts[0] | {"n": 100}], 0.03, 0.05) == {}
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    """On sf0.1: every language gets a rule, and each verdict is that of a plain computation over distinct texts."""
+    from math import comb
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs = docs.withColumn("stratum", F.lit("clash")).withColumn("n_words", F.lit(0)).unionByName(docs.limit(50).withColumn("stratum", F.lit("x")).withColumn("n_words", F.lit(1)))
+    got = quality.quality_filter(docs, labels.union(labels.limit(100))).collect()
+    rows = docs.select("doc_id", "text", "lang").collect()
+    label = {}
+    for x in labels.collect():
+        if x.quality is not None:
+            label[x.doc_id] = min(label.get(x.doc_id, 1), x.quality)
+
+    def measures(t):
+        w, d = words(t), re.findall("[0-9]", t)
+        five = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        seen = Counter(five)
+        repeated = len({j for i, x in enumerate(five) if seen[x] > 1 for j in range(i, i + 5)})
+        lines = [x for x in t.split("\n") if words(x)]
+        chars = sum(map(len, w))
+        part = lambda a, b: a / b if b else 0.0
+        found = (part(len(re.findall(r"[#*$%&|<>]", t)), chars), part(repeated, len(w)), part(len(lines) - len(set(lines)), len(lines)), part(len(re.findall("[A-Z]", t)), chars), part(1, len(w)) if w else 1.0, part(len(d), chars))
+        return dict(zip(quality.RANGES, found)), len(w) < 10 or 100 * repeated > 20 * len(w)
+
+    known = {t: measures(t) for t in {x.text or "" for x in rows}}
+    trials = defaultdict(dict)
+    for x in rows:
+        if x.doc_id in label and not known[x.text or ""][1]:
+            trials[x.lang][x.text or ""] = min(trials[x.lang].get(x.text or "", 1), label[x.doc_id])
+    reject = lambda t, s, i: any(known[t][0][m] > quality.CUTOFFS[m][i] for m in quality.SEQUENCES[s])
+    level, rule = 0.05 / (len(trials) * len(quality.SEQUENCES)), {}
+    for lang, own in trials.items():
+        good = [t for t, q in own.items() if q == 1]
+        ends = {}
+        for s in quality.SEQUENCES:
+            for i in range(quality.LEVELS):
+                k = sum(reject(t, s, i) for t in good)
+                if sum(comb(len(good), j) * 0.03**j * 0.97 ** (len(good) - j) for j in range(k + 1)) > level:
+                    break
+                ends[s] = (sum(reject(t, s, i) for t, q in own.items() if q == 0), i)
+        if ends:
+            s = max(ends, key=lambda s: ends[s][0])
+            rule[lang] = (s, ends[s][1])
+    assert set(rule) == {"en", "de", "fr", "es"}
+    want = Counter((x.doc_id, not known[x.text or ""][1] and not (x.lang in rule and reject(x.text or "", *rule[x.lang]))) for x in rows)
+    assert Counter((x.doc_id, x.kept) for x in got) == want
+    assert sum(not x.kept and not x.base_failed for x in got) > 200
 
 
 def test_language_model(spark, docs, empty, real):

@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule rejects a document whose measure exceeds a cutoff. Cutoffs come from labelled holdouts: in each
-stratum and for each measure, a fixed sequence of cutoffs from lenient to strict is tested. A cutoff passes if
-the exact (Clopper-Pearson) upper bound of the share of good documents it rejects is at most `risk` divided
-by the number of measures; the first that fails ends the sequence. The error level is divided by the number of
-sequences, so with probability 1 - `error` no stratum loses more than `risk` of its good documents.
+Rules reject a document whose measure exceeds a cutoff. Cutoffs come from labelled holdouts: in each stratum several
+fixed sequences of rules from lenient to strict are tested, one for each measure alone and one that moves the cutoffs of all measures
+together. A rule passes if the exact (Clopper-Pearson) upper bound of the share of good documents it rejects is at most
+`risk`; the first that fails ends its sequence. The error level is divided by the number of sequences of all strata
+(Bonferroni), so with probability 1 - `error` every rule that passed, and so whichever is chosen, rejects at most `risk` of its
+stratum's good documents among those that pass the base rules. Of the last rules passed, the one that rejects most bad
+holdout documents is used. A text that repeats is one trial.
 """
 
 from __future__ import annotations
@@ -20,15 +22,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import checkpointed, map_arrow, texts
 
 SYMBOLS = b"#*$%&|<>"
-#: Cutoffs tried for each measure, lenient to strict.
-CUTOFFS = {
-    "symbol_share": [1.0, 0.8, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02],
-    "repeat_share": [0.19, 0.18, 0.16, 0.14, 0.12, 0.1, 0.09, 0.08, 0.07, 0.06, 0.05, 0.04, 0.03, 0.02, 0.01],
-    "dup_line_share": [0.9, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05],
-    "capital_share": [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1],
-    "shortness": [0.09, 0.08, 0.07, 0.06, 0.05, 0.04, 0.035, 0.03, 0.025, 0.02],
-    "digit_share": [0.8, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05],
-}
+#: Levels of a sequence, and each measure's cutoffs at the first and the last; those between are in geometric progression.
+LEVELS = 12
+RANGES = {"symbol_share": (0.5, 0.02), "repeat_share": (0.19, 0.02), "dup_line_share": (0.9, 0.1), "capital_share": (0.9, 0.12), "shortness": (0.09, 0.025), "digit_share": (0.6, 0.06)}
+CUTOFFS = {m: [a * (b / a) ** (i / (LEVELS - 1)) for i in range(LEVELS)] for m, (a, b) in RANGES.items()}
+#: Measures that each sequence moves, the widest first.
+SEQUENCES = {"all": tuple(RANGES), **{m: (m,) for m in RANGES}}
 
 
 def _measure(text: str) -> tuple[int, ...]:
@@ -60,17 +59,18 @@ _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def quality_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, stratum and the counts of each whole text: words, their code points, symbols of `[#*$%&|<>]`,
+    """doc_id, stratum, text_hash and the counts of each whole text: words, their code points, symbols of `[#*$%&|<>]`,
     lines with a word that equal an earlier one, words in five-word windows found twice or more, lines with a
     word, capitals A-Z, digits. A row for each row; a null text is empty, a null stratum is 'none'."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [_measure(x) for x in batch.column("text").to_pylist()]
-        return [batch.column("doc_id"), batch.column("stratum"), *(pa.array(x, pa.int64()) for x in zip(*found))]
+        return [*(batch.column(c) for c in ("doc_id", "stratum", "text_hash")), *(pa.array(x, pa.int64()) for x in zip(*found))]
 
     kind = docs.schema[id_col].dataType.simpleString()
-    named = docs.select(id_col, text_col, F.coalesce(F.col(stratum_col).cast("string"), F.lit("none")).alias("stratum"))
-    return map_arrow(texts(named, "stratum", id_col=id_col, text_col=text_col), run, f"doc_id {kind}, stratum string, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+    named = docs.select(id_col, text_col, F.coalesce(F.col(stratum_col).cast("string"), F.lit("none")).alias("__stratum"))
+    rows = texts(named, "__stratum", id_col=id_col, text_col=text_col).withColumnRenamed("__stratum", "stratum").withColumn("text_hash", F.xxhash64("text"))
+    return map_arrow(rows, run, f"doc_id {kind}, stratum string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS))
 
 
 def shares() -> dict[str, Column]:
@@ -108,40 +108,61 @@ def binomial_upper(k: int, n: int, error: float) -> float:
     return high
 
 
-def select_cutoffs(counts: list[dict], risk: float, error: float) -> dict[str, dict[str, float]]:
-    """Cutoffs by stratum and measure. counts: rows with stratum, n good documents and, by name
-    measure_i, how many of them the i-th cutoff rejects."""
-    level = error / max(1, len(counts) * len(CUTOFFS))
-    chosen: dict[str, dict[str, float]] = {}
+def rejects(sequence: str, level: int) -> Column:
+    """True where the rule at this level of a sequence rejects."""
+    share = shares()
+    return reduce(Column.__or__, [share[m] > CUTOFFS[m][level] for m in SEQUENCES[sequence]])
+
+
+def select_rules(counts: list[dict], risk: float, error: float) -> dict[str, tuple[str, int]]:
+    """The chosen rule (sequence and level) by stratum; strata where none passes are left out. counts: rows with stratum, n good
+    documents and, by name good_sequence_level and bad_sequence_level, how many good and bad ones that rule rejects."""
+    level = error / max(1, len(counts) * len(SEQUENCES))
+    chosen: dict[str, tuple[str, int]] = {}
     for row in counts:
-        for measure, cutoffs in CUTOFFS.items():
-            for i, cutoff in enumerate(cutoffs):
-                if binomial_upper(row[f"{measure}_{i}"], row["n"], level) > risk / len(CUTOFFS):
+        last: dict[str, int] = {}
+        for name in SEQUENCES:
+            for i in range(LEVELS):
+                if binomial_upper(row[f"good_{name}_{i}"], row["n"], level) > risk:
                     break
-                chosen.setdefault(row["stratum"], {})[measure] = cutoff
+                last[name] = i
+        if last:
+            name = max(last, key=lambda s: row[f"bad_{s}_{last[s]}"])
+            chosen[row["stratum"]] = (name, last[name])
     return chosen
 
 
+def holdout_counts(measured: DataFrame, labels: DataFrame, id_col: str, quality_col: str, group: Column) -> DataFrame:
+    """stratum, n and the counts of `select_rules`, over different texts that pass the base rules; a text with any label 0 is bad."""
+    known = labels.where(F.col(quality_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.min(F.col(quality_col)).alias("quality"))
+    trials = measured.where(~base_failed()).withColumn("stratum", group).join(known, "doc_id")
+    trials = trials.groupBy("stratum", "text_hash").agg(F.min("quality").alias("quality"), *[F.first(c).alias(c) for c in _COUNTS])
+    of = lambda q, s, i: F.count_if((F.col("quality") == q) & rejects(s, i))
+    rejected = [of(q, s, i).alias(f"{name}_{s}_{i}") for q, name in ((1, "good"), (0, "bad")) for s in SEQUENCES for i in range(LEVELS)]
+    return trials.groupBy("stratum").agg(F.count_if(F.col("quality") == 1).alias("n"), *rejected)
+
+
+def base_failed() -> Column:
+    """Fewer than 10 words, or over 20 % of them in repeated windows."""
+    return (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+
+
 def quality_filter(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", quality_col: str = "quality", risk: float = 0.03, error: float = 0.05, most_strata: int = 50
 ) -> DataFrame:
     """doc_id, counts, base_failed and kept for each row of `docs`.
 
-    Strata are the `most_strata` values of `stratum_col` with most good labelled documents; all other rows
+    Strata are the `most_strata` values of `stratum_col` with most labelled documents; all other rows
     form one more. base_failed: fewer than 10 words, or over 20 % of words in repeated windows. kept: not
-    base_failed and no measure above the cutoff of its stratum; a stratum with too few labels to bound the
-    risk gets no cutoffs. Labels of unknown documents, null labels and repeated labels of a document (any
-    label 0 makes it not good) do no harm; without labels only the base rules act."""
+    base_failed and not rejected by its stratum's rule; a stratum with too few labels to bound the
+    risk gets none. Labels of unknown documents, null labels and repeated labels of a document (any
+    label 0 makes it bad) do no harm; without labels only the base rules act. Repeated rows each come out and are one trial."""
     measured = checkpointed(quality_measures(docs, id_col, text_col, stratum_col))
-    share = shares()
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
-    good = labels.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(F.col(quality_col)).alias("quality")).where("quality = 1").select("doc_id")
-    holdout = measured.where(~failed).join(good, "doc_id", "left_semi")
-    rejected = [F.count_if(share[m] > cutoff).alias(f"{m}_{i}") for m, cutoffs in CUTOFFS.items() for i, cutoff in enumerate(cutoffs)]
-    names = [r["stratum"] for r in holdout.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(most_strata).collect()]
+    ids = labels.where(F.col(quality_col).isNotNull()).select(F.col(id_col).alias("doc_id"))
+    names = [r["stratum"] for r in measured.where(~base_failed()).join(ids, "doc_id", "left_semi").groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(most_strata).collect()]
     group = F.when(F.col("stratum").isin(names), F.concat(F.lit("="), "stratum")).otherwise("other")
-    counts = [r.asDict() for r in holdout.groupBy(group.alias("stratum")).agg(F.count("*").alias("n"), *rejected).collect()]
-    chosen = select_cutoffs(counts, risk, error)
-    over = [(group == name) & (share[m] > cutoff) for name, by in sorted(chosen.items()) for m, cutoff in by.items()]
-    kept = ~failed & ~reduce(Column.__or__, over, F.lit(False))
-    return measured.select("doc_id", *_COUNTS, failed.alias("base_failed"), kept.alias("kept"))
+    counts = [r.asDict() for r in holdout_counts(measured, labels, id_col, quality_col, group).collect()]
+    chosen = select_rules(sorted(counts, key=lambda r: r["stratum"]), risk, error)
+    over = [(group == name) & rejects(*rule) for name, rule in sorted(chosen.items())]
+    kept = ~base_failed() & ~reduce(Column.__or__, over, F.lit(False))
+    return measured.select("doc_id", *_COUNTS, base_failed().alias("base_failed"), kept.alias("kept"))
