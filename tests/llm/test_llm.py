@@ -482,12 +482,96 @@ def test_language_model(spark, docs, empty, real):
 
 def test_language_model_beats_unigrams_on_held_out_texts(spark):
     got = lm.lm_scores(table(spark, "/root/testdata/sf0.01", "documents"), F.col("doc_id") % 10 != 0).where("doc_id % 10 = 0").collect()
-    assert sum(x.score for x in got) > 0.985 * sum(x.base_score for x in got) > sum(x.base_score for x in got)
+    gain = sum(x.score - x.base_score for x in got) / sum(x.n_tokens for x in got)
+    assert gain > 0.2
+
+
+def random_weights():
+    return np.random.default_rng(0).normal(size=lm.WEIGHTS).astype(np.float32)
 
 
 def test_language_model_is_normalised():
-    w = np.random.default_rng(0).normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32)
-    assert np.allclose(np.exp(lm.log_class_table(w)).sum(1), 1)
+    w = random_weights()
+    r = np.random.default_rng(1)
+    two, one = r.integers(0, lm.CLASSES, (2, 200))
+    assert np.allclose(np.exp(lm.class_logs(w, two, one)).sum(1), 1, atol=1e-4)
+    end1, end2 = r.integers(0, lm.ENDINGS, (2, 200))
+    assert np.allclose(np.exp(lm.slot_logs(w, one, end1, end2)).sum(1), 1, atol=1e-4)
+
+
+def plain_features(tokens):
+    """Of each token of one text: class, slot, classes and endings of the two words before."""
+    cls = [lm.END if t == b"\n" else lm.word_class(t) for t in tokens]
+    slot = [c * lm.SLOTS + (0 if t == b"\n" else xxhash.xxh3_64_intdigest(t) % lm.SLOTS) for t, c in zip(tokens, cls)]
+    ends = [lm.ending(t) for t in tokens]
+    before = lambda x, i, k, begin: x[i - k] if i >= k else begin
+    return [(c, s, before(cls, i, 1, lm.BEGIN), before(cls, i, 2, lm.BEGIN), before(ends, i, 1, 0), before(ends, i, 2, 0)) for i, (c, s) in enumerate(zip(cls, slot))]
+
+
+def plain_logits(w, one, two, end1, end2, cls):
+    get = lambda name: lm.part(w, name).astype(float)
+    pair = int(lm.pair_row(np.array([two]), np.array([one]))[0])
+    own = slice(cls * lm.SLOTS, (cls + 1) * lm.SLOTS)
+    return get("class_bias")[0] + get("one")[one] + get("two")[two] + get("pair")[pair], get("slot_bias")[0, own] + get("end1")[end1, own] + get("end2")[end2, own]
+
+
+def test_language_model_gradient_against_brute_force():
+    w = random_weights()
+    r = random.Random(3)
+    tokens = [[*(r.choice("the of a and thing what".split()).encode() for _ in range(r.randrange(1, 9))), b"\n"] for _ in range(12)]
+    want_seen, want = np.zeros(lm.WEIGHTS), np.zeros(lm.WEIGHTS)
+    for text in tokens:
+        for c, s, one, two, e1, e2 in plain_features(text):
+            pair = int(lm.pair_row(np.array([two]), np.array([one]))[0])
+            for name, row, col in (("class_bias", 0, c), ("one", one, c), ("two", two, c), ("pair", pair, c), ("slot_bias", 0, s), ("end1", e1, s), ("end2", e2, s)):
+                lm.part(want_seen, name)[row, col] += 1
+            x, y = plain_logits(w, one, two, e1, e2, c)
+            x[lm.BEGIN] = -1e9
+            p, q = np.exp(x - x.max()), np.exp(y - y.max())
+            p, q = p / p.sum(), q / q.sum()
+            for name, row in (("class_bias", 0), ("one", one), ("two", two), ("pair", pair)):
+                lm.part(want, name)[row] += p
+            for name, row in (("slot_bias", 0), ("end1", e1), ("end2", e2)):
+                lm.part(want, name)[row, c * lm.SLOTS : (c + 1) * lm.SLOTS] += q
+    words = lm._Words()
+    ids, counts = lm._tokens([b" ".join(t[:-1]).decode() for t in tokens], words)
+    cells = np.bincount(lm._Tokens(ids, counts, words).cells(), minlength=lm.CELLS)
+    seen = np.flatnonzero(cells)
+    assert np.array_equal(lm.observed_counts(seen, cells[seen]), want_seen)
+    assert np.allclose(lm.expected_counts(w, seen, cells[seen]), want, atol=1e-3)
+
+
+def test_language_model_score_against_brute_force(spark, real, monkeypatch):
+    """Scores of 50 texts and the edge cases from the trained weights and plain counts, with frequent words and with joined ones."""
+    rows = [(d, t) for d, t, *_ in ROWS if t != LONG and t != LONG + " end"] + [(100 + d, t) for d, t in real[:50]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_tokens", F.lit("clash"))
+    trained = []
+    plain = lm.train_weights
+    monkeypatch.setattr(lm, "train_weights", lambda cells, steps: trained.append(plain(cells, 3)) or trained[-1])
+    tokens = lambda t: [*re.sub("[A-Z]", lambda m: m[0].lower(), t or "").encode().split(), b"\n"]
+    seen, by_slot, kinds = Counter(), Counter(), Counter()
+    for d, t in rows:
+        if d is None or d % 10:
+            for w, f in zip(tokens(t), plain_features(tokens(t))):
+                kinds[f[1]] += not seen[w]
+                seen[w] += 1
+                by_slot[f[1]] += 1
+    for frequent in (1 << 17, 5):
+        got = Counter((x.doc_id, round(x.score, 2)) for x in lm.lm_scores(df, F.coalesce(F.col("doc_id") % 10 != 0, F.lit(True)), frequent=frequent).collect())
+        w = trained.pop()
+        want = []
+        for d, t in rows:
+            total = 0.0
+            for token, (c, s, one, two, e1, e2) in zip(tokens(t), plain_features(tokens(t))):
+                x, y = plain_logits(w, one, two, e1, e2, c)
+                x[lm.BEGIN] = -1e9
+                total += (x[c] - np.log(np.exp(x - x.max()).sum()) - x.max() + y[s % lm.SLOTS] - np.log(np.exp(y - y.max()).sum()) - y.max()) / np.log(10)
+                total += np.log10((seen[token] + 0.1) / (by_slot[s] + 0.1 * (kinds[s] + 1)))
+            want.append((d, total))
+        have = sorted(got.elements(), key=lambda x: (x[0] is None, x))
+        for (d, a), (e, b) in zip(have, sorted(want, key=lambda x: (x[0] is None, x))):
+            assert d == e and a == pytest.approx(b, rel=1e-4, abs=0.02)
+        assert len(have) == len(rows)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>

@@ -1,11 +1,12 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
-p(word | context) = p(class | two classes before) * p(word | class). A word's class is a hash of its first
-bytes, so every word has one. The class distribution is a softmax whose features are the class before (bigram), the
-class before that (skip) and a hash of both; it is trained by scaled gradient steps, each a Spark job over the
-counts of class triples of the whole training corpus. The softmax within a class has a bias for each word,
-whose maximum-likelihood value is its smoothed relative frequency. Texts are scored in numpy batches: frequent
-words by a broadcast table of fixed size, all others by a join on their hashes.
+p(word | context) = p(class | words before) * p(slot | class, words before) * p(word | slot). A word's class is a hash of
+its first four bytes, its slot within the class one of the whole word. Both factors are softmaxes over hashed features. The
+class sees the class before (bigram), the class before that (skip) and a hash of both; the slot within its class sees hashed
+endings of the word before (bigram) and of the word before that (skip). All weights are trained by scaled gradient steps, each a
+Spark job over the counts of contexts in the whole training corpus: a gradient needs the observed feature counts and the
+counts of contexts alone. Within a slot a word has its smoothed relative frequency, from counts that grow with the corpus. Texts
+are scored in numpy batches: frequent words by a broadcast table of fixed size, all others by a join on their hashes.
 """
 
 from __future__ import annotations
@@ -20,36 +21,102 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, largest, pieces, texts
 
-CLASSES = 128
+#: Classes, slots of a class, hashes of endings, and rows of the weights that pairs of classes are hashed to.
+CLASSES, SLOTS, ENDINGS, PAIRS = 512, 16, 16, 1024
 BEGIN, END = 0, 1
-#: Rows of the weight matrix that pairs of classes are hashed to.
-PAIR_ROWS = 512
-ROWS = 1 + 2 * CLASSES + PAIR_ROWS
-STEPS = 16
+STEPS = 12
+#: Weight of the prior that pulls feature weights to zero.
+PRIOR = 1.0
 #: Most frequent words whose counts are broadcast, at most.
 FREQUENT = 1 << 17
 SMOOTH = 0.1
 #: Hash that stands for the end of a text; no word has a newline.
 END_HASH = xxhash.xxh3_64_intdigest(b"\n") - (1 << 63)
+#: Tasks that hold the counts of contexts, whose number is bounded.
+TRAINING_TASKS = 6
+
+_ALL = CLASSES * SLOTS
+#: Counted cells, one after the other: contexts of the class and its features, contexts of the slot and its features.
+SECTIONS = {"contexts": CLASSES**2, "one": CLASSES**2, "two": CLASSES**2, "pair": PAIRS * CLASSES, "inner": CLASSES * ENDINGS**2, "end1": ENDINGS * _ALL, "end2": ENDINGS * _ALL}
+_FIRST = dict(zip(SECTIONS, np.cumsum([0, *SECTIONS.values()]).tolist()))
+CELLS = sum(SECTIONS.values())
+#: Shapes of the weights, in the order in which they are laid out.
+SHAPES = {"class_bias": (1, CLASSES), "one": (CLASSES, CLASSES), "two": (CLASSES, CLASSES), "pair": (PAIRS, CLASSES), "slot_bias": (1, _ALL), "end1": (ENDINGS, _ALL), "end2": (ENDINGS, _ALL)}
+_PLACES = dict(zip(SHAPES, np.cumsum([0, *(a * b for a, b in SHAPES.values())]).tolist()))
+WEIGHTS = sum(a * b for a, b in SHAPES.values())
+
+
+def part(vector: np.ndarray, name: str) -> np.ndarray:
+    """One matrix of a weight vector, a view."""
+    a, b = SHAPES[name]
+    return vector[_PLACES[name] : _PLACES[name] + a * b].reshape(a, b)
 
 
 def word_class(word: bytes) -> int:
-    return 2 + xxhash.xxh32_intdigest(word[:3]) % (CLASSES - 2)
+    return 2 + xxhash.xxh32_intdigest(word[:4]) % (CLASSES - 2)
+
+
+def ending(word: bytes) -> int:
+    return xxhash.xxh32_intdigest(word[-2:]) % ENDINGS
+
+
+def slots(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Number of each word's slot among all slots, from the hash of the word."""
+    return classes * SLOTS + np.where(hashes == END_HASH, 0, hashes & (SLOTS - 1))
+
+
+def pair_row(two: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Hash of two classes; with the same `two`, different classes `one` have different rows."""
+    return (two * 40503 + (two >> 4) + one) & (PAIRS - 1)
 
 
 class _Words(dict):
-    """Index of a word among the words met so far; their hashes and classes by index."""
+    """Index of a word among the words met so far; their hashes, classes and endings by index."""
 
     def __init__(self):
-        self.hashes, self.classes = [END_HASH], [END]
+        self.hashes, self.classes, self.endings = [END_HASH], [END], [0]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = i = len(self.hashes)
         self.hashes.append(xxhash.xxh3_64_intdigest(word) - (1 << 63))
         self.classes.append(word_class(word))
+        self.endings.append(ending(word))
         return i
 
 
+class _Tokens:
+    """Features of the tokens of some texts, each ended by an END: class, slot, and classes and endings of the two words before."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, words: _Words):
+        classes, ends, hashes = np.array(words.classes, np.int64), np.array(words.endings, np.int64), np.array(words.hashes, np.int64)
+        starts = np.cumsum(counts) - counts
+        self.cls = classes[ids]
+        self.slot = slots(hashes, classes)[ids]
+        self.one, self.two = _before(self.cls, starts, BEGIN)
+        self.end1, self.end2 = _before(ends[ids], starts, 0)
+
+    def cells(self) -> np.ndarray:
+        """The cells that the tokens count in."""
+        own = {
+            "contexts": self.two * CLASSES + self.one,
+            "one": self.one * CLASSES + self.cls,
+            "two": self.two * CLASSES + self.cls,
+            "pair": pair_row(self.two, self.one) * CLASSES + self.cls,
+            "inner": (self.cls * ENDINGS + self.end1) * ENDINGS + self.end2,
+            "end1": self.end1 * _ALL + self.slot,
+            "end2": self.end2 * _ALL + self.slot,
+        }
+        return np.concatenate([x + _FIRST[name] for name, x in own.items()])
+
+
+def _before(values: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    one = np.concatenate([[begin], values[:-1]])
+    one[starts] = begin
+    two = np.concatenate([[begin], one[:-1]])
+    two[starts] = begin
+    return one, two
+
+
 def _tokens(values: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Word indices of all texts, index 0 (the end) after each, and each text's number of tokens."""
     ids: list[int] = []
@@ -62,124 +129,213 @@ def _tokens(values: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     return np.array(ids, np.int64), np.array(counts, np.int64)
 
 
-def _contexts(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Number of the pair of classes before each token: second before * CLASSES + before."""
-    starts = np.cumsum(counts) - counts
-    one = np.concatenate([[BEGIN], classes[:-1]])
-    one[starts] = BEGIN
-    two = np.concatenate([[BEGIN], one[:-1]])
-    two[starts] = BEGIN
-    return two * CLASSES + one
-
-
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """kind, id, class and n: counts of word hashes (kind 0) and of class triples (kind 1) in the texts of `docs`."""
+    """kind, id, class and n: counts of word hashes (kind 0) and of cells (kind 1) in the texts of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        totals, triples = np.zeros(0, np.int64), np.zeros(CLASSES**3, np.int64)
-
-        def flush() -> Iterator[pa.RecordBatch]:
+        totals, cells = np.zeros(0, np.int64), np.zeros(CELLS, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def count() -> None:
+            nonlocal totals, waiting, size
+            if waiting:
+                ids, counts = (np.concatenate(x) for x in zip(*waiting))
+                new = np.bincount(ids, minlength=len(words.hashes))
+                new[: len(totals)] += totals
+                totals = new
+                cells[:] += np.bincount(_Tokens(ids, counts, words).cells(), minlength=CELLS)
+                waiting, size = [], 0
+
+        def flush() -> pa.RecordBatch:
             nonlocal words, totals
-            n = len(totals)
-            seen = np.flatnonzero(triples)
+            n, seen = len(totals), np.flatnonzero(cells)
             kind = np.concatenate([np.zeros(n, np.int32), np.ones(len(seen), np.int32)])
             ids = np.concatenate([np.array(words.hashes[:n], np.int64), seen])
             classes = np.concatenate([np.array(words.classes[:n], np.int32), np.zeros(len(seen), np.int32)])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, classes, np.concatenate([totals, triples[seen]]))], names=["kind", "id", "class", "n"])
+            out = pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, classes, np.concatenate([totals, cells[seen]]))], names=["kind", "id", "class", "n"])
             words, totals = _Words(), np.zeros(0, np.int64)
-            triples[:] = 0
+            cells[:] = 0
+            return out
 
         for batch in pieces(batches):
-            ids, counts = _tokens(batch.column("text").to_pylist(), words)
-            new = np.bincount(ids, minlength=len(words.hashes))
-            new[: len(totals)] += totals
-            totals = new
-            classes = np.array(words.classes, np.int64)[ids]
-            triples += np.bincount(_contexts(classes, counts) * CLASSES + classes, minlength=CLASSES**3)
-            if len(totals) > 400_000:
-                yield from flush()
+            waiting.append(_tokens(batch.column("text").to_pylist(), words))
+            size += len(waiting[-1][0])
+            if size > 500_000:
+                count()
+            if len(words.hashes) > 400_000:
+                count()
+                yield flush()
+        count()
         if len(totals):
-            yield from flush()
+            yield flush()
 
     partial = docs.select("text").mapInArrow(run, "kind int, id bigint, class int, n bigint")
     return partial.groupBy("kind", "id", "class").agg(F.sum("n").alias("n"))
 
 
-def _feature_rows(context: np.ndarray) -> np.ndarray:
-    """The four active rows of the weights for each context: bias, bigram, skip and hashed pair."""
-    two, one = context // CLASSES, context % CLASSES
-    pair = (two * 2654435761 + one * 40503) % 4294967291 % PAIR_ROWS
-    return np.stack([np.zeros_like(one), 1 + one, 1 + CLASSES + two, 1 + 2 * CLASSES + pair], 1)
+def class_logs(weights: np.ndarray, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Natural log of p(class | classes before) for each context; nothing but a text's begin has class BEGIN."""
+    logits = part(weights, "one")[one] + part(weights, "two")[two]
+    logits += part(weights, "pair")[pair_row(two, one)]
+    logits += part(weights, "class_bias")
+    logits[:, BEGIN] = -1e9
+    logits -= logits.max(1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
-def log_class_table(weights: np.ndarray) -> np.ndarray:
-    """Natural log of p(class | context) for all contexts; nothing but a text's begin has class BEGIN."""
-    logits = weights[_feature_rows(np.arange(CLASSES**2))].sum(1)
-    logits[:, BEGIN] = -1e9
+def slot_logs(weights: np.ndarray, cls: np.ndarray, end1: np.ndarray, end2: np.ndarray) -> np.ndarray:
+    """Natural log of p(slot | class, endings before) for each context, over the slots of its class."""
+    own = lambda name: part(weights, name).reshape(-1, CLASSES, SLOTS)
+    logits = own("slot_bias")[0, cls] + own("end1")[end1, cls] + own("end2")[end2, cls]
     logits -= logits.max(1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
-def train_classes(triples: DataFrame, steps: int = STEPS) -> np.ndarray:
-    """Weights after `steps` gradient updates. triples: id (context * CLASSES + class) and n, at most CLASSES^3 rows, so six tasks hold them.
+def expected_counts(weights: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Feature counts that the model expects in the contexts among these cells, laid out as the weights."""
+    out = np.zeros(WEIGHTS, np.float32)
+    order = np.argsort(ids)
+    ids, n = ids[order], n[order].astype(np.float32)[:, None]
+    at = np.searchsorted(ids, np.arange(CLASSES + 1) * CLASSES)
+    for two, (first, last) in enumerate(zip(at, at[1:])):
+        if first < last:  # all contexts with this class two before: their other features differ
+            one = ids[first:last] - two * CLASSES
+            p = np.exp(class_logs(weights, np.full(len(one), two), one)) * n[first:last]
+            total = p.sum(0)
+            part(out, "class_bias")[0] += total
+            part(out, "two")[two] += total
+            part(out, "one")[one] += p
+            part(out, "pair")[pair_row(two, one)] += p
+    first, last = np.searchsorted(ids, [_FIRST["inner"], _FIRST["end1"]])
+    for k in range(first, last, 1 << 15):
+        c, m = ids[k : min(last, k + (1 << 15))] - _FIRST["inner"], n[k : min(last, k + (1 << 15))]
+        cls, end1, end2 = c // ENDINGS**2, c // ENDINGS % ENDINGS, c % ENDINGS
+        p = (np.exp(slot_logs(weights, cls, end1, end2)) * m).ravel()
+        for name, rows in (("slot_bias", cls), ("end1", end1 * CLASSES + cls), ("end2", end2 * CLASSES + cls)):
+            own = part(out, name).reshape(-1)
+            own += np.bincount((rows[:, None] * SLOTS + np.arange(SLOTS)).ravel(), p, len(own)).astype(np.float32)
+    return out
+
+
+def observed_counts(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Feature counts among these cells, laid out as the weights."""
+    out = np.zeros(WEIGHTS, np.float32)
+    for name in ("one", "two", "pair", "end1", "end2"):
+        inside = (ids >= _FIRST[name]) & (ids < _FIRST[name] + SECTIONS[name])
+        part(out, name).reshape(-1)[ids[inside] - _FIRST[name]] = n[inside]
+    part(out, "class_bias")[0] = part(out, "one").sum(0)
+    part(out, "slot_bias")[0] = part(out, "end1").sum(0)
+    return out
+
+
+def first_weights(observed: np.ndarray) -> np.ndarray:
+    """Weights with biases from the smoothed relative frequencies of classes and of slots."""
+    weights = np.zeros(WEIGHTS, np.float32)
+    for name in ("class_bias", "slot_bias"):
+        part(weights, name)[:] = np.log(part(observed, name) + SMOOTH)
+    return weights
 
-    Each step every task sends the difference between observed and expected feature counts, a matrix of
-    fixed size; it is scaled by the expected counts and the four active features."""
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    parts = checkpointed(triples.select("id", "n").coalesce(6))
 
-    def gradient(current: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros((CLASSES**2, CLASSES))
-            for batch in batches:
-                np.add.at(counts.reshape(-1), batch.column("id").to_numpy(), batch.column("n").to_numpy())
-            seen = np.flatnonzero(counts.sum(1))
-            out = np.zeros((2, ROWS, CLASSES))
-            if len(seen):
-                expected = np.exp(log_class_table(current)[seen]) * counts[seen].sum(1, keepdims=True)
-                for rows in _feature_rows(seen).T:
-                    np.add.at(out[0], rows, counts[seen])
-                    np.add.at(out[1], rows, expected)
-            yield pa.RecordBatch.from_arrays([pa.array([out.astype(np.float32).tobytes()], pa.binary())], names=["g"])
-
-        return run
+def updated(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """One step: the difference of counts less the pull of the prior, scaled by the expected counts and the active features."""
+    scale = np.full(WEIGHTS, 0.25, np.float32)
+    scale[_PLACES["slot_bias"] :] = 1 / 3
+    pull = np.full(WEIGHTS, PRIOR, np.float32)
+    for name in ("class_bias", "slot_bias"):
+        part(pull, name)[:] = 0
+    return weights + np.clip((observed - expected - pull * weights) / (expected + 1) * scale, -1, 1)
+
+
+def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
+    """Weights after `steps` gradient updates. cells: id and n, at most CELLS rows, so six tasks hold them.
 
+    Each step every task sends the feature counts that it expects, a vector of fixed size."""
+    context = cells.sparkSession.sparkContext
+    parts = checkpointed(cells.select("id", "n").coalesce(TRAINING_TASKS))
+
+    def total(function) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = [(b.column("id").to_numpy(), b.column("n").to_numpy()) for b in batches]
+            if own:
+                ids, n = (np.concatenate(x) for x in zip(*own))
+                yield pa.RecordBatch.from_arrays([pa.array([function(ids, n).tobytes()], pa.binary())], names=["g"])
+
+        out = np.zeros(WEIGHTS, np.float32)
+        for r in parts.mapInArrow(run, "g binary").toLocalIterator():
+            out += np.frombuffer(r.g, np.float32)
+        return out
+
+    observed = total(observed_counts)
+    weights = first_weights(observed)
     for _ in range(steps):
-        sums = [np.frombuffer(r.g, np.float32).reshape(2, ROWS, CLASSES) for r in parts.mapInArrow(gradient(weights), "g binary").collect()]
-        observed, expected = np.sum(sums, 0, dtype=np.float64) if sums else np.zeros((2, ROWS, CLASSES))
-        weights = weights + np.clip((observed - expected) / (expected + 1.0) / 4, -1.0, 1.0).astype(np.float32)
+        shared = context.broadcast(weights)
+        weights = updated(weights, observed, total(lambda ids, n: expected_counts(shared.value, ids, n)))
+        shared.destroy()
     return weights
 
 
+class Scorer:
+    """Log10 of p(slot | words before), by lookups in tables of fixed size."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        context = np.arange(CLASSES**2)
+        self.norm = np.concatenate([self._norm(context[i : i + 4096]) for i in range(0, len(context), 4096)])
+        inner = np.arange(SECTIONS["inner"])
+        own = inner // ENDINGS**2, inner // ENDINGS % ENDINGS, inner % ENDINGS
+        self.inner_norm = slot_logs(weights, *own)[:, 0] - self._slot(own[0] * SLOTS, own[1], own[2])
+
+    def _norm(self, context: np.ndarray) -> np.ndarray:
+        two, one = context // CLASSES, context % CLASSES
+        return class_logs(self.weights, two, one)[:, END] - self._class(np.full(len(context), END), two, one)
+
+    def _class(self, cls: np.ndarray, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        w = self.weights
+        return part(w, "class_bias")[0, cls] + part(w, "one")[one, cls] + part(w, "two")[two, cls] + part(w, "pair")[pair_row(two, one), cls]
+
+    def _slot(self, slot: np.ndarray, end1: np.ndarray, end2: np.ndarray) -> np.ndarray:
+        w = self.weights
+        return part(w, "slot_bias")[0, slot] + part(w, "end1")[end1, slot] + part(w, "end2")[end2, slot]
+
+    def __call__(self, t: _Tokens) -> np.ndarray:
+        of_class = self._class(t.cls, t.two, t.one) + self.norm[t.two * CLASSES + t.one]
+        of_slot = self._slot(t.slot, t.end1, t.end2) + self.inner_norm[(t.cls * ENDINGS + t.end1) * ENDINGS + t.end2]
+        return (of_class + of_slot) / np.float32(np.log(10))
+
+
 def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, steps: int = STEPS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) for each row of `docs`.
 
     The model learns from the rows where `training` is true. Tokens are the words of the whole text, A-Z
     lower-cased, and its end; a null or empty text is its end alone. base_score is the smoothed unigram
     model, score the maximum-entropy model. Repeated rows each come out, null ids too; without training
-    rows all words are unknown and classes equally likely."""
+    rows all words are unknown and classes and slots equally likely."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = texts(docs.withColumn("__train", F.coalesce(training, F.lit(False))), "__train", id_col=id_col, text_col=text_col)
     counted = checkpointed(corpus_counts(rows.where("__train")))
     words = counted.where("kind = 0")
-    sizes = {r["class"]: (r.n, r.v) for r in words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    total, distinct = sum(n for n, _ in sizes.values()), sum(v for _, v in sizes.values())
-    weights = train_classes(counted.where("kind = 1"), steps)
+    in_class = F.when(F.col("id") == END_HASH, 0).otherwise(F.col("id").bitwiseAND(SLOTS - 1))
+    sizes = words.groupBy((F.col("class") * SLOTS + in_class).alias("slot")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    total, distinct = sum(r.n for r in sizes), sum(r.v for r in sizes)
+    slot_cost = np.full(CLASSES * SLOTS, np.log10(SMOOTH))
+    for r in sizes:
+        slot_cost[r.slot] = np.log10(r.n + SMOOTH * (r.v + 1))
+    weights = train_weights(counted.where("kind = 1"), steps)
     top = largest(words.select("id", "n"), F.col("n"), frequent).toPandas().sort_values("id")
-    shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), weights))
-    class_cost = np.log10([sizes.get(c, (0, 0))[0] + SMOOTH * (sizes.get(c, (0, 0))[1] + 1) for c in range(CLASSES)])
+    shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), weights, slot_cost))
     base_cost = float(np.log10(total + SMOOTH * (distinct + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_ids, known_n, w = shared.value
-        table = log_class_table(w) / np.log(10)
+        known_ids, known_n, w, cost = shared.value
+        scorer = None
         words = _Words()
         for batch in pieces(batches):
             if len(words) > 400_000:
                 words = _Words()
             ids, counts = _tokens(batch.column("text").to_pylist(), words)
-            hashes, classes = np.array(words.hashes, np.int64), np.array(words.classes, np.int64)
+            hashes = np.array(words.hashes, np.int64)
             used = np.unique(ids)
             place = np.searchsorted(known_ids, hashes[used])
             hit = np.zeros(len(used), bool)
@@ -187,12 +343,14 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
             hit[inside] = known_ids[place[inside]] == hashes[used[inside]]
             n = np.zeros(len(hashes))
             n[used[hit]] = known_n[place[hit]]
-            token_n, token_class = n[ids], classes[ids]
+            token_n = n[ids]
             rare = token_n == 0
             starts = np.cumsum(counts) - counts
             of = np.repeat(np.arange(len(counts)), counts)
             log_n = np.where(rare, 0.0, np.log10(token_n + SMOOTH))
-            context = table[_contexts(token_class, counts), token_class] - class_cost[token_class]
+            scorer = scorer or Scorer(w)
+            tokens = _Tokens(ids, counts, words)
+            context = scorer(tokens) - cost[tokens.slot]
             add = lambda x: np.add.reduceat(x, starts)
             pair, tf = np.unique(of[rare] * len(hashes) + ids[rare], return_counts=True)
             rare_of, rare_id = pair // len(hashes), pair % len(hashes)
