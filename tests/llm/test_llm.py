@@ -51,6 +51,19 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def test_bpe_classes_of_all_code_points():
+    """Against tiktoken: with ranks that join a or 1 to a first byte, a code point joins a before it if it is a letter, 1 if a number."""
+    import public_tokenizers
+
+    pairs = [bytes([a, b]) for a in b"a1" for b in range(128, 256)]
+    ranks = {bytes([i]): i for i in range(256)} | {x: 256 + i for i, x in enumerate(pairs)}
+    want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    points = [i for i in range(128, 0x110000) if not 0xD800 <= i < 0xE000]
+    for sign, kind in (("a", bpe.LETTER), ("1", bpe.NUMBER)):
+        joined = np.array([want.encode_ordinary(sign + chr(i))[0] >= 256 for i in points])
+        assert np.array_equal(joined, bpe.classes()[points] == kind)
+
+
 def test_bpe_matches_tiktoken_and_round_trips(spark, docs, empty):
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
     import public_tokenizers
@@ -686,6 +699,42 @@ def test_html_on_whole_pages_against_another_parser(spark):
     assert len(got) == 250
 
 
+def test_every_operator_takes_string_ids(spark, docs):
+    """The same results with ids as text, whose order is that of text; null ids stay null."""
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert sorted(x.doc_id or "" for x in simhash.drop_near_duplicates(named).collect()) == sorted(f"d{x.doc_id}" if x.doc_id else "" for x in simhash.drop_near_duplicates(docs).collect())
+    assert sorted(x.doc_id or "" for x in similar.drop_similar(named).collect()) == sorted(f"d{x.doc_id}" if x.doc_id else "" for x in similar.drop_similar(docs).collect())
+    bench = spark.createDataFrame([("i", ROWS[0][1])], "item_id string, text string")
+    assert {x.doc_id for x in decontaminate.contaminated(named, bench).collect()} == {"d1", "d2"}
+    labels = named.select("doc_id", F.lit(1).alias("quality"), (F.col("h") == 1).cast("int").alias("toxic"))
+    ids = Counter(x.doc_id for x in named.collect())
+    for found in (
+        toxicity.toxicity_scores(named, toxicity.train(named, labels)),
+        pii.pii_digest(named),
+        line_dedup.line_dedup(named),
+        quality.quality_filter(named, labels),
+        lm.lm_scores(named, F.lit(True), steps=1),
+        bpe.bpe_digest(named, "byte_bpe_multi_50k.tiktoken"),
+        substring.substring_dedup(named),
+    ):
+        assert Counter(x.doc_id for x in found.collect()) == ids
+    pages = named.select(F.col("doc_id").alias("page_id"), F.lit("http://a/").alias("url"), F.col("text").alias("html"))
+    assert Counter(x.page_id for x in html.extract_text(pages).collect()) == ids
+
+
+def test_very_long_texts_are_read_whole(spark):
+    """One text beyond every slice: what stands at its end counts."""
+    item = " ".join(f"q{i}" for i in range(40))
+    long = " ".join(f"w{i}" for i in range(300_000)) + " me@example.com " + item
+    df = spark.createDataFrame([(1, long, "en"), (2, "short", "en")], "doc_id bigint, text string, lang string")
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    assert [(x.doc_id, x.item_id, x.matched) for x in decontaminate.contaminated(df, bench).collect()] == [(1, 7, 1.0)]
+    assert {x.doc_id: x.n_tokens for x in lm.lm_scores(df, F.lit(True), steps=1).collect()} == {1: 300_042, 2: 2}
+    assert {x.doc_id: x.spans for x in pii.pii_digest(df).collect()}[1] == f"email:{long.index('me@')}:{long.index('me@') + 14}"
+    page = spark.createDataFrame([(1, "http://a/", f"<article><p>{long}</p></article><footer>f</footer>")], "page_id bigint, url string, html string")
+    assert html.extract_text(page).first().text == long
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 

@@ -24,11 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The reliable checkpoint folder of the session.
 
-    A cluster names a shared folder in spark.checkpoint.dir; only where none is set, as in tests, a
-    temporary one is made."""
+    A cluster names a shared folder in spark.checkpoint.dir. Where none is set, a local session takes a temporary folder, as in
+    tests, and any other a folder in the warehouse, which its machines share."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return context.getCheckpointDir()
 
 
@@ -38,11 +41,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df`, written as Parquet in the shared checkpoint folder and read from there."""
+def store(df: DataFrame) -> str:
+    """Place of a Parquet table with the rows of `df`, in the shared checkpoint folder."""
     path = f"{checkpoint_folder(df.sparkSession)}/tidemark-{uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df`, written as Parquet in the shared checkpoint folder and read from there."""
+    return df.sparkSession.read.parquet(store(df))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a stored table that no later job reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def largest(df: DataFrame, measure: Column, most: int, steps: int = 16) -> DataFrame:

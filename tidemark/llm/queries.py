@@ -98,13 +98,14 @@ docs AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N
 items AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x != '') AS w FROM benchmark),
 ipos AS (SELECT item_id, w, unnest(range(0, len(w) - 9)) AS j FROM items WHERE len(w) >= 10),
 iseed AS (SELECT item_id, w, j, m, w[j+a+1] || ' ' || w[j+b+1] || ' ' || w[j+c+1] || ' ' || w[j+d+1] || ' ' || w[j+e+1] || ' ' || w[j+f+1] || ' ' || w[j+g+1] AS seed
-          FROM ipos, masks WHERE len(w) <= 32 OR j % 3 = 0),
+          FROM ipos, masks),
 dpos AS (SELECT doc_id, w, unnest(range(0, len(w) - 9)) AS i FROM docs WHERE len(w) >= 10),
 near AS (SELECT doc_id, w, i FROM dpos WHERE w[i+1] || ' ' || w[i+10] IN (SELECT w[j+1] || ' ' || w[j+10] FROM ipos)),
 dseed AS (SELECT doc_id, w, i, m, w[i+a+1] || ' ' || w[i+b+1] || ' ' || w[i+c+1] || ' ' || w[i+d+1] || ' ' || w[i+e+1] || ' ' || w[i+f+1] || ' ' || w[i+g+1] AS seed FROM near, masks),
-hits AS (SELECT doc_id, item_id, d.w AS dw, t.w AS iw, i, j, greatest(0, least(j - 10, len(t.w) - 30)) AS s FROM dseed d JOIN iseed t USING (m, seed)),
-scored AS (SELECT doc_id, item_id,
-           len(list_filter(range(s, least(s + 30, len(iw))), lambda k: i - j + k >= 0 AND coalesce(dw[i - j + k + 1] = iw[k + 1], false)))::DOUBLE / (least(s + 30, len(iw)) - s) AS matched FROM hits)
+hits AS (SELECT DISTINCT doc_id, item_id, i - j AS o, j, len(t.w) AS n FROM dseed d JOIN iseed t USING (m, seed)),
+regions AS (SELECT DISTINCT doc_id, item_id, o, least(n, 30) AS width, unnest(range(greatest(0, j - 20), greatest(0, least(j, n - 30)) + 1)) AS s FROM hits),
+scored AS (SELECT r.doc_id, r.item_id, len(list_filter(range(s, s + width), lambda k: o + k >= 0 AND coalesce(d.w[o + k + 1] = t.w[k + 1], false)))::DOUBLE / width AS matched
+           FROM regions r JOIN docs d USING (doc_id) JOIN items t USING (item_id))
 SELECT doc_id, item_id, round(max(matched), 6) AS matched FROM scored WHERE matched >= 0.8 GROUP BY doc_id, item_id
 """,
     "op4_line_dedup": r"""

@@ -134,7 +134,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, i
 def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of `docs` of the first document of each component of `found` (doc_id, text_hash, fp, component_id)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    group = [F.col("component_id").isNull().alias("none"), F.coalesce("component_id", F.lit(0)).alias("component"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")]
+    group = ["component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")]
     keep = found.groupBy(*group).agg(first).select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_text"))
     same = docs[id_col].eqNullSafe(keep["__kept_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == keep["__kept_text"])
     return docs.join(keep, same, "left_semi")
