@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.windows import by, clip, ffill, flag, lag, ratio, roll
 
-OFFICER = r"(?i)\b(ceo|cfo|coo|cto|chief|president|evp|svp|vp|officer|chairman)\b"
-#: Grades by leaning; a grade in no set counts by the first leaning of which it has a word.
+# Words of a position that make an officer, and analysts' grades by leaning.
+OFFICER = r"\b(ceo|cfo|coo|cto|president|officer|evp|svp|vp|counsel|secretary|treasurer|principal|controller|managing)\b"
+#: A grade in no list counts by the first leaning of which it holds a name.
 GRADES = {
-    1: ["buy", "strong buy", "outperform", "overweight", "positive", "accumulate", "add"],
-    -1: ["sell", "strong sell", "underperform", "underweight", "negative", "reduce"],
-    0: ["hold", "neutral", "market perform", "equal-weight", "peer perform", "in-line"],
+    1: ["buy", "overweight", "outperform", "strong buy", "positive", "sector outperform", "top pick", "conviction buy", "accumulate", "above average", "add", "long-term buy", "market outperform", "strong outperform", "sector perform/outperform"],
+    -1: ["sell", "underweight", "underperform", "reduce", "negative", "sector underperform", "strong sell", "avoid", "below average", "market underperform"],
+    0: ["hold", "neutral", "equal-weight", "market perform", "sector perform", "peer perform", "in-line", "perform", "sector weight", "market weight", "fair value"],
 }
+INITIATIONS = ["init", "initiated", "initiate"]
+# End of fixed values.
 
 
 def spine(tickers: DataFrame, start: str, end: str) -> DataFrame:
@@ -24,7 +27,7 @@ def spine(tickers: DataFrame, start: str, end: str) -> DataFrame:
 
 def insider_daily(rows: DataFrame) -> DataFrame:
     """Counts, values and shares of transactions by code for each ticker and day."""
-    code, officer = F.col("code"), F.coalesce(F.col("position").rlike(OFFICER), F.lit(False))
+    code, officer = F.col("code"), F.coalesce(F.lower("position").rlike(OFFICER), F.lit(False))
     n = lambda c: F.count_if(c)
     total = lambda c, v: F.coalesce(F.sum(F.when(c, F.col(v))), F.lit(0.0))
     out = rows.where("date is not null and trim(code) != ''").groupBy("ticker", "date").agg(
@@ -95,19 +98,27 @@ def grade_score(grade: str) -> Column:
 def classify_revisions(rows: DataFrame) -> DataFrame:
     """direction of a grade change: the action, then the grades, then the level alone."""
     rows = rows.withColumns({"__to": grade_score("to_grade"), "__from": grade_score("from_grade")})
-    action = F.lower(F.coalesce("action", F.lit("")))
+    action = F.lower(F.trim(F.coalesce("action", F.lit(""))))
     both = F.col("__to").isNotNull() & F.col("__from").isNotNull()
     direction = (
-        F.when(action.startswith("up"), 1)
-        .when(action.startswith("down"), -1)
+        F.when(action == "up", 1)
+        .when(action == "down", -1)
         .when(both & (F.col("__to") != F.col("__from")), F.signum(F.col("__to") - F.col("__from")).cast("int"))
-        .when(action.contains("init"), F.coalesce("__to", F.lit(0)))
-        .when(F.col("__from").isNull(), F.coalesce("__to", F.lit(0)))
+        .when(action.isin(INITIATIONS) | F.col("__from").isNull(), F.coalesce("__to", F.lit(0)))
         .otherwise(0)
     )
     return rows.withColumn("direction", direction).drop("__to", "__from")
 
 
+def grade_changes(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """Landed grade changes between two days: `date` from the first of the columns Date, GradeDate and date that is there, else from the first
+    of all; names like ToGrade become to_grade; rows without a valid date go."""
+    found = next((c for c in ("Date", "GradeDate", "date") if c in rows.columns), rows.columns[0])
+    named = {c: {"tograde": "to_grade", "fromgrade": "from_grade"}.get(c.lower(), c.lower()) for c in rows.columns if c != found}
+    out = rows.select(F.expr(f"try_cast(`{found}` AS date)").alias("date"), *[F.col(f"`{c}`").alias(n) for c, n in named.items() if n != "date"])
+    return out.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
 def revisions_daily(rows: DataFrame) -> DataFrame:
     action = F.lower(F.coalesce("action", F.lit("")))
     out = rows.groupBy("ticker", "date").agg(F.count_if(F.col("direction") > 0).alias("upgrades"), F.count_if(F.col("direction") < 0).alias("downgrades"), F.count_if(action.contains("init")).alias("initiations"), F.count_if(action.rlike("reit|main")).alias("reiterations"), F.count("*").alias("revisions"))
@@ -136,6 +147,27 @@ def series_on_grid(rows: DataFrame, names: list[str], start: str, end: str, mode
     return grid.join(wide, "date", "left").withColumns({c: ffill(c, days) for c in names}).where(F.weekday("date") < 5)
 
 
+def closes_on_grid(bars: DataFrame, names: dict[str, str], start: str, end: str) -> DataFrame:
+    """date and the closes of a few symbols as columns, on business days, carried forward. names: symbol to column."""
+    series = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    rows = bars.where(F.col("symbol").isin(list(names))).select("date", F.element_at(series, F.col("symbol")).alias("series"), F.col("close").alias("value"))
+    return series_on_grid(rows, list(names.values()), start, end, mode="reference")
+
+
+def curve_and_regime(df: DataFrame) -> DataFrame:
+    """Slope of the yield curve, whether it is inverted, and four regimes of volatility, each where its inputs are there.
+
+    A level at or below 0, above 100 or unknown has the regime 'nan'; an unknown slope is not inverted."""
+    if {"treasury_10y", "treasury_2y"} <= set(df.columns):
+        df = df.withColumn("yield_curve_slope", F.col("treasury_10y") - F.col("treasury_2y"))
+        df = df.withColumn("yield_curve_inverted", flag(F.col("yield_curve_slope") < 0))
+    if "vix" in df.columns:
+        v = F.col("vix")
+        regime = F.when(v <= 0, "nan").when(v <= 15, "low_vol").when(v <= 20, "normal").when(v <= 30, "elevated").when(v <= 100, "crisis").otherwise("nan")
+        df = df.withColumn("vix_regime", regime)
+    return df
+
+
 def fund_flows(df: DataFrame) -> DataFrame:
     """Dollar volume, its twenty-row score and its five-row change, by fund."""
     w = by("symbol")
@@ -204,3 +236,18 @@ def macro_join(grid: DataFrame, macro: DataFrame, names: list[str]) -> DataFrame
     """Grid with the macro columns of the day, carried forward, and their five-row changes."""
     df = grid.join(F.broadcast(macro.select("date", *names)), "date", "left").withColumns({c: ffill(c, by("ticker")) for c in names})
     return df.withColumns({f"{c}_5d_change": F.col(c) - lag(c, by("ticker"), 5) for c in names})
+
+
+def event_features(grid: DataFrame, sources: dict[str, DataFrame], macro_names: list[str] = ()) -> DataFrame:
+    """All features of the sources that are there, on the grid of (ticker, date), for all tickers in one plan.
+
+    sources: rolled-up rows by name, of insider, earnings, congress, pageviews, macro, revisions, short_interest and targets. Every part
+    keeps the grid's rows, so parts can be left out; columns of a source's day are in the result beside its features."""
+    parts = {"insider": insider_features, "earnings": earnings_features, "congress": congress_features, "pageviews": attention_features, "macro": None, "revisions": revision_features, "short_interest": short_interest_features, "targets": target_features}
+    unknown = set(sources) - set(parts)
+    if unknown:
+        raise ValueError(f"unknown sources: {sorted(unknown)}")
+    for name, part in parts.items():
+        if name in sources:
+            grid = macro_join(grid, sources[name], list(macro_names)) if part is None else part(grid, sources[name])
+    return grid

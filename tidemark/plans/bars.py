@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import features as X
-from tidemark.sources.fixtures import BARS_SQL, DIRTY_SQL, FUND_SQL, FUNDS, bars, dirty_bars, fund_map
+from tidemark.sources.fixtures import BARS_SQL, DIRTY_SQL, FUND_SQL, FUNDS, bars, dirty_bars, fund_map, table
 
 KEY = ["symbol", "date"]
 
@@ -45,10 +45,16 @@ def _spark(name: str):
 QUERIES: dict = {}
 
 
+def _days(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """First day of the line items and the day after the last."""
+    first, last = table(spark, sf, "lineitem").agg(F.min(F.to_date("l_shipdate")), F.date_add(F.max(F.to_date("l_shipdate")), 1)).first()
+    return str(first), str(last)
+
+
 @_spark("bar_load")
 def bar_load(spark: SparkSession, sf: str) -> DataFrame:
-    info = spark.read.parquet(f"{sf}/nation.parquet").where("n_nationkey < 20").select(F.col("n_name").alias("symbol"), F.col("n_regionkey").cast("string").alias("sector"))
-    out = B.symbol_info(B.loader_fill(B.load_bars(dirty_bars(spark, sf), "1996-01-01", "1999-01-01")), info, ["sector"])
+    info = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_name").alias("symbol"), F.col("n_regionkey").cast("string").alias("sector"))
+    out = B.symbol_info(B.loader_fill(B.load_bars(dirty_bars(spark, sf), *_days(spark, sf))), info, ["sector"])
     return out.select(*KEY, "sector", *[F.round(c, TICKS).alias(c) for c in [*B.PRICES, "volume", "price_change"]])
 
 
@@ -70,7 +76,7 @@ def bar_interpolate(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark("bar_backfill")
 def bar_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    df = B.between_dates(B.zero_to_null(dirty_bars(spark, sf)), "1996-01-01", "1997-12-31")
+    df = B.between_dates(B.zero_to_null(dirty_bars(spark, sf)), *_days(spark, sf))
     return rounded(B.fill_missing(B.fill_missing(df, "backward_fill", ["close"]), "drop", ["open", "volume"]), ["open", "close", "volume"], TICKS)
 
 
@@ -239,9 +245,9 @@ _TREND = {"adx": roll("avg", "d", 14), **{f"ichimoku_{p}_ratio": f"close / nulli
 _PCTILE = lambda c: f"CASE WHEN {c} IS NOT NULL AND symbol NOT IN ('NATION_0', 'NATION_1', 'NATION_2') THEN (rank() OVER (PARTITION BY date ORDER BY {c} NULLS LAST) + (count({c}) OVER (PARTITION BY date, {c}) - 1) / 2.0::DOUBLE) / count({c}) OVER (PARTITION BY date) END"
 
 ORACLES = {
-    "bar_load": f"""WITH {DIRTY_SQL}, part AS (SELECT * FROM dirty WHERE date >= DATE '1996-01-01' AND date < DATE '1999-01-01'),
-filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in B.PRICES)}, coalesce(volume, 0) AS volume FROM part)
-SELECT symbol, date, coalesce(n_regionkey::VARCHAR, 'N/A') AS sector, {r([*B.PRICES, "volume"], TICKS)}, round(close - open, {TICKS}) AS price_change FROM filled LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON symbol = n_name""",
+    "bar_load": f"""WITH {DIRTY_SQL}
+, filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in B.PRICES)}, coalesce(volume, 0) AS volume FROM dirty)
+SELECT symbol, date, coalesce(n_regionkey::VARCHAR, 'N/A') AS sector, {r([*B.PRICES, "volume"], TICKS)}, round(close - open, {TICKS}) AS price_change FROM filled LEFT JOIN nation ON symbol = n_name""",
     "bar_report": f"""WITH {DIRTY_SQL} SELECT symbol, count(*) AS n, {", ".join(f"count_if({c} <= 0)::BIGINT AS bad_{c}" for c in B.PRICES)}, count_if(volume < 0)::BIGINT AS bad_volume, {", ".join(f"count_if({c} IS NULL)::BIGINT AS null_{c}" for c in [*B.PRICES, "volume"])} FROM dirty GROUP BY symbol""",
     "bar_clean": f"""WITH {DIRTY_SQL}, {_ZERO}, filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in [*B.PRICES, "volume"])} FROM zeroed),
 high AS (SELECT * REPLACE ({_GUARD("greatest", "high", "low")} AS high) FROM filled),
@@ -251,7 +257,7 @@ SELECT symbol, date, {r([*B.PRICES, "volume"], TICKS)} FROM ranged""",
     "bar_interpolate": f"""WITH {DIRTY_SQL}, {_ZERO}, numbered AS (SELECT *, row_number() OVER s AS n FROM zeroed {S}), lines AS (SELECT symbol, date, {", ".join(_INTERPOLATED(c) for c in ("open", "close", "volume"))} FROM numbered),
 smooth AS (SELECT * REPLACE (coalesce(CASE WHEN count(volume) OVER f >= 5 THEN avg(volume) OVER f END, volume) AS volume) FROM lines WINDOW f AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))
 SELECT symbol, date, {r(["open", "close", "volume"], TICKS)} FROM smooth""",
-    "bar_backfill": f"""WITH {DIRTY_SQL}, {_ZERO}, part AS (SELECT * FROM zeroed WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'), back AS (SELECT symbol, date, open, volume, {_BACK("close")} AS close FROM part)
+    "bar_backfill": f"""WITH {DIRTY_SQL}, {_ZERO}, back AS (SELECT symbol, date, open, volume, {_BACK("close")} AS close FROM zeroed)
 SELECT symbol, date, {r(["open", "close", "volume"], TICKS)} FROM back WHERE open IS NOT NULL AND volume IS NOT NULL""",
     "bar_outliers": f"""WITH {BARS_SQL}, st AS (SELECT symbol, quantile_cont(volume, 0.25) AS q1, quantile_cont(volume, 0.5) AS q2, quantile_cont(volume, 0.75) AS q3, avg(volume) AS m, stddev_samp(volume) AS s FROM bars GROUP BY symbol),
 mad AS (SELECT symbol, quantile_cont(abs(volume - q2), 0.5) AS mad FROM bars JOIN st USING (symbol) GROUP BY symbol)

@@ -11,7 +11,7 @@ from tidemark.operators import events as E
 from tidemark.operators import features as X
 from tidemark.operators import news as N
 from tidemark.plans.bars import BARS_SQL, S, r, roll
-from tidemark.sources.fixtures import ANALYST_SQL, ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, analyst_rows, articles, bars, insider_rows, macro_series, table
+from tidemark.sources.fixtures import ANALYST_SQL, ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, analyst_rows, articles, bars, days_of, insider_rows, macro_series, order_days, table
 
 QUERIES: dict = {}
 
@@ -27,8 +27,7 @@ def _round(df: DataFrame, keys: list[str], columns: list[str], digits: int = 6)
 
 
 TD = ["ticker", "date"]
-START, END = "2024-01-01", "2024-01-31"
-PERIOD = ("1996-01-01", "1998-12-31")
+EVENT_DAYS_SQL = ("(SELECT min(ts)::DATE FROM events)", "(SELECT max(ts)::DATE FROM events)")
 INSIDER = ["insider_buys", "insider_sells", "insider_buy_value", "insider_sell_value", "insider_transaction_count", "officer_buys", "officer_sells", "grant_count", "grant_shares", "tax_withheld_count", "tax_withheld_shares", "option_exercises", "gift_count", "insider_net_transactions", "insider_net_value", "insider_buy_ratio"]
 
 
@@ -46,7 +45,7 @@ INSIDER_X = ["insider_buys_30d", "insider_sells_30d", "insider_activity_5d", "in
 
 @_spark
 def insider_features(spark: SparkSession, sf: str) -> DataFrame:
-    grid = E.spine(_tickers(spark, sf), START, END)
+    grid = E.spine(_tickers(spark, sf), *days_of(table(spark, sf, "events"), "ts"))
     return _round(E.insider_features(grid, E.insider_daily(insider_rows(spark, sf))), TD, INSIDER_X)
 
 
@@ -57,7 +56,7 @@ def _congress(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark
 def congress_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.congress_features(E.spine(_tickers(spark, sf), START, END), E.congress_daily(_congress(spark, sf)))
+    out = E.congress_features(E.spine(_tickers(spark, sf), *days_of(table(spark, sf, "events"), "ts")), E.congress_daily(_congress(spark, sf)))
     return _round(out, TD, ["congress_net", "congress_trade_count", "congress_activity_30d", "congress_buy_signal"])
 
 
@@ -67,7 +66,7 @@ def _views(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark
 def attention_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.attention_features(E.spine(_tickers(spark, sf), START, END), E.pageview_features(_views(spark, sf)))
+    out = E.attention_features(E.spine(_tickers(spark, sf), *days_of(table(spark, sf, "events"), "ts")), E.pageview_features(_views(spark, sf)))
     return _round(out, TD, ["views", "pageviews_ma7", "attention_spike", "attention_trend"])
 
 
@@ -79,9 +78,10 @@ def _earnings(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark
 def earnings_surprise(spark: SparkSession, sf: str) -> DataFrame:
+    """All reports, and as schedule each ticker's last report and a quarter: what lies after the last day of all is the next one."""
     rows = _earnings(spark, sf)
-    past = E.earnings_surprise(rows.where("date <= '1997-06-30'"))
-    return _round(E.with_next_scheduled(past, rows.select("ticker", "date"), "1997-06-30"), [*TD, "scheduled"], ["surprise", "surprise_pct"], 4)
+    schedule = rows.groupBy("ticker").agg(F.date_add(F.max("date"), 91).alias("date"))
+    return _round(E.with_next_scheduled(E.earnings_surprise(rows), schedule, order_days(spark, sf)[1]), [*TD, "scheduled"], ["surprise", "surprise_pct"], 4)
 
 
 EARNINGS_X = ["earnings_surprise_pct", "earnings_beat", "days_since_earnings", "days_to_next_earnings", "earnings_surprise_ma"]
@@ -89,17 +89,17 @@ EARNINGS_X = ["earnings_surprise_pct", "earnings_beat", "days_since_earnings", "
 
 @_spark
 def earnings_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(E.earnings_features(E.spine(_tickers(spark, sf), *PERIOD), E.earnings_surprise(_earnings(spark, sf))), TD, EARNINGS_X, 4)
+    return _round(E.earnings_features(E.spine(_tickers(spark, sf), *order_days(spark, sf)), E.earnings_surprise(_earnings(spark, sf))), TD, EARNINGS_X, 4)
 
 
 def _revisions(spark: SparkSession, sf: str) -> DataFrame:
-    action = F.when(F.col("from_grade").isNull(), "init").when(F.col("from_grade") == F.col("to_grade"), "reit")
-    return E.classify_revisions(analyst_rows(spark, sf).withColumn("action", action))
+    landed = analyst_rows(spark, sf).select("ticker", F.col("date").cast("string").alias("GradeDate"), "firm", F.col("to_grade").alias("ToGrade"), F.col("from_grade").alias("FromGrade"), F.col("action").alias("Action"))
+    return E.classify_revisions(E.grade_changes(landed, *order_days(spark, sf)))
 
 
 @_spark
 def revision_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.revision_features(E.spine(_tickers(spark, sf), *PERIOD), E.revisions_daily(_revisions(spark, sf)))
+    out = E.revision_features(E.spine(_tickers(spark, sf), *order_days(spark, sf)), E.revisions_daily(_revisions(spark, sf)))
     return _round(out, TD, ["revision_upgrades_30d", "revision_downgrades_30d", "revision_net_30d", "revision_activity", "revision_momentum", "revision_sentiment"])
 
 
@@ -118,7 +118,7 @@ def targets_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark
 def target_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.target_features(E.spine(_tickers(spark, sf), *PERIOD), E.targets_daily(E.target_direction(analyst_rows(spark, sf))))
+    out = E.target_features(E.spine(_tickers(spark, sf), *order_days(spark, sf)), E.targets_daily(E.target_direction(analyst_rows(spark, sf))))
     return _round(out, TD, ["pt_mean", "pt_count", "pt_dispersion", "pt_momentum_60d"], 4)
 
 
@@ -129,7 +129,7 @@ def short_interest_features(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.groupBy("ticker", half.alias("date")).agg(F.sum("volume").alias("short"), F.avg("volume").alias("daily"))
     before = F.lag("short").over(Window.partitionBy("ticker").orderBy("date"))
     rows = rows.withColumns({"days_to_cover": F.col("short") / F.col("daily"), "short_pct_chg": 100 * (F.col("short") / before - 1)})
-    return _round(E.short_interest_features(E.spine(_tickers(spark, sf), *PERIOD), rows), TD, ["days_to_cover", "short_pct_chg", "short_squeeze_risk"], 4)
+    return _round(E.short_interest_features(E.spine(_tickers(spark, sf), *order_days(spark, sf)), rows), TD, ["days_to_cover", "short_pct_chg", "short_squeeze_risk"], 4)
 
 
 RS = ["r1", "r2", "r3", "r4", "r5"]
@@ -137,15 +137,15 @@ RS = ["r1", "r2", "r3", "r4", "r5"]
 
 @_spark
 def macro_grid(spark: SparkSession, sf: str) -> DataFrame:
-    a = E.series_on_grid(macro_series(spark, sf), RS, *PERIOD)
-    b = E.series_on_grid(macro_series(spark, sf), RS, *PERIOD, mode="reference").select("date", F.col("r1").alias("r1_grid_only"))
+    a = E.series_on_grid(macro_series(spark, sf), RS, *order_days(spark, sf))
+    b = E.series_on_grid(macro_series(spark, sf), RS, *order_days(spark, sf), mode="reference").select("date", F.col("r1").alias("r1_grid_only"))
     return _round(a.join(b, "date"), ["date"], [*RS, "r1_grid_only"], 9)
 
 
 @_spark
 def macro_join(spark: SparkSession, sf: str) -> DataFrame:
-    macro = E.series_on_grid(macro_series(spark, sf), RS, *PERIOD)
-    return _round(E.macro_join(E.spine(_tickers(spark, sf), *PERIOD), macro, ["r1", "r2"]), TD, ["r1", "r2", "r1_5d_change", "r2_5d_change"], 9)
+    macro = E.series_on_grid(macro_series(spark, sf), RS, *order_days(spark, sf))
+    return _round(E.macro_join(E.spine(_tickers(spark, sf), *order_days(spark, sf)), macro, ["r1", "r2"]), TD, ["r1", "r2", "r1_5d_change", "r2_5d_change"], 9)
 
 
 @_spark
@@ -256,21 +256,25 @@ def correlated_features(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in V.correlated_columns(df, names, 0.8)], "feature string")
 
 
-_SPINE = lambda a, b: f"spine AS (SELECT n_name AS ticker, d::DATE AS date FROM nation, unnest(generate_series(DATE '{a}', DATE '{b}', INTERVAL 1 DAY)) AS t(d) WHERE isodow(d) < 6)"
-_ID = r"insider_daily AS (SELECT ticker, date, count_if(code = 'P') AS insider_buys, count_if(code = 'S') AS insider_sells, coalesce(sum(value) FILTER (code = 'P'), 0) AS insider_buy_value, coalesce(sum(value) FILTER (code = 'S'), 0) AS insider_sell_value, count(*) AS insider_transaction_count, count_if(code = 'P' AND position = 'EVP') AS officer_buys, count_if(code = 'S' AND position = 'EVP') AS officer_sells, count_if(code = 'A') AS grant_count, coalesce(sum(shares) FILTER (code = 'A'), 0) AS grant_shares, count_if(code = 'F') AS tax_withheld_count, coalesce(sum(shares) FILTER (code = 'F'), 0) AS tax_withheld_shares, count_if(code = 'M') AS option_exercises, count_if(code = 'G') AS gift_count FROM insider GROUP BY ticker, date)"
+_SPINE = lambda a, b: f"spine AS (SELECT n_name AS ticker, d::DATE AS date FROM nation, (SELECT unnest(generate_series({a}, {b}, INTERVAL 1 DAY)) AS d) WHERE isodow(d) < 6)"
+_ID = r"insider_daily AS (SELECT ticker, date, count_if(code = 'P') AS insider_buys, count_if(code = 'S') AS insider_sells, coalesce(sum(value) FILTER (code = 'P'), 0) AS insider_buy_value, coalesce(sum(value) FILTER (code = 'S'), 0) AS insider_sell_value, count(*) AS insider_transaction_count, count_if(code = 'P' AND officer) AS officer_buys, count_if(code = 'S' AND officer) AS officer_sells, count_if(code = 'A') AS grant_count, coalesce(sum(shares) FILTER (code = 'A'), 0) AS grant_shares, count_if(code = 'F') AS tax_withheld_count, coalesce(sum(shares) FILTER (code = 'F'), 0) AS tax_withheld_shares, count_if(code = 'M') AS option_exercises, count_if(code = 'G') AS gift_count FROM (SELECT *, coalesce(regexp_matches(lower(position), '\b(ceo|cfo|coo|cto|president|officer|evp|svp|vp|counsel|secretary|treasurer|principal|controller|managing)\b'), false) AS officer FROM insider) GROUP BY ticker, date)"
 _COUNTS = ["insider_buys", "insider_sells", "insider_transaction_count", "officer_buys", "officer_sells", "grant_count", "tax_withheld_count", "option_exercises", "gift_count"]
 _T = lambda f, c, n: f"{f}({c}) OVER (PARTITION BY ticker ORDER BY date ROWS {n - 1} PRECEDING)"
 _CARRY = lambda c, by="PARTITION BY ticker": f"last_value({c} IGNORE NULLS) OVER ({by} ORDER BY date ROWS UNBOUNDED PRECEDING)"
 _W = "WINDOW t AS (PARTITION BY ticker ORDER BY date)"
 _EARN = """firsts AS (SELECT ticker, date_trunc('quarter', date) AS q, min_by({'d': date, 't': target}, {'d': date, 'i': id}) AS x FROM analyst GROUP BY ALL), earn AS (SELECT ticker, x.d AS date, x.t AS actual, lag(x.t) OVER (PARTITION BY ticker ORDER BY x.d) AS estimate FROM firsts),
 surprises AS (SELECT *, actual - estimate AS surprise, 100 * (actual - estimate) / nullif(abs(estimate), 0) AS surprise_pct FROM earn)"""
-_REV = """revs AS (SELECT *, CASE WHEN from_grade IS NULL THEN 'init' WHEN from_grade = to_grade THEN 'reit' END AS action, CASE to_grade WHEN 'Buy' THEN 1 WHEN 'Sell' THEN -1 ELSE 0 END AS t, CASE from_grade WHEN 'Buy' THEN 1 WHEN 'Sell' THEN -1 WHEN 'Hold' THEN 0 END AS f FROM analyst),
-dirs AS (SELECT *, CASE WHEN f IS NULL THEN t ELSE sign(t - f) END AS direction FROM revs),
-rev_daily AS (SELECT ticker, date, count_if(direction > 0) AS upgrades, count_if(direction < 0) AS downgrades, count(*) FILTER (action = 'init') AS initiations, count(*) FILTER (action = 'reit') AS reiterations, count(*) AS revisions, count_if(direction > 0) - count_if(direction < 0) AS net_revisions FROM dirs GROUP BY ticker, date)"""
+_UP = "buy|overweight|outperform|strong buy|positive|sector outperform|top pick|conviction buy|accumulate|above average|add|long-term buy|market outperform|strong outperform|sector perform/outperform"
+_DOWN = "sell|underweight|underperform|reduce|negative|sector underperform|strong sell|avoid|below average|market underperform"
+_FLAT = "hold|neutral|equal-weight|market perform|sector perform|peer perform|in-line|perform|sector weight|market weight|fair value"
+_GRADE = lambda c: "CASE " + " ".join(f"WHEN regexp_{how}_match({c}, '{names}') THEN {score}" for how in ("full", "any") for names, score in ((_UP, 1), (_DOWN, -1), (_FLAT, 0))).replace("regexp_any_match", "regexp_matches") + " END"
+_REV = f"""revs AS (SELECT *, lower(trim(coalesce(action, ''))) AS a, {_GRADE("lower(trim(to_grade))")} AS t, {_GRADE("lower(trim(from_grade))")} AS f FROM analyst),
+dirs AS (SELECT *, CASE WHEN a = 'up' THEN 1 WHEN a = 'down' THEN -1 WHEN t != f THEN sign(t - f) WHEN a IN ('init', 'initiated', 'initiate') THEN coalesce(t, 0) WHEN t IS NOT NULL AND f IS NULL THEN t ELSE 0 END AS direction FROM revs),
+rev_daily AS (SELECT ticker, date, count_if(direction > 0) AS upgrades, count_if(direction < 0) AS downgrades, count_if(contains(a, 'init')) AS initiations, count_if(contains(a, 'reit') OR contains(a, 'main')) AS reiterations, count(*) AS revisions, count_if(direction > 0) - count_if(direction < 0) AS net_revisions FROM dirs GROUP BY ticker, date)"""
 _TARGET = """moves AS (SELECT *, coalesce(sign(target - lag(target) OVER (PARTITION BY ticker, firm ORDER BY date, id)), 0) AS move FROM analyst),
 pt AS (SELECT ticker, date, avg(target) AS pt_mean, max(target) AS pt_high, min(target) AS pt_low, count(*) AS pt_count, round_even(avg(move), 0) AS pt_revision_direction FROM moves GROUP BY ticker, date)"""
 _GRID = f"""wide AS (SELECT date, {", ".join(f"max(value) FILTER (series = '{c}') AS {c}" for c in RS)} FROM series GROUP BY date),
-days AS (SELECT d::DATE AS date FROM unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 DAY)) AS t(d)),
+days AS (SELECT unnest(generate_series({ORDER_DAYS_SQL[0]}, {ORDER_DAYS_SQL[1]}, INTERVAL 1 DAY))::DATE AS date),
 macro AS (SELECT * FROM (SELECT date, {", ".join(f"{_CARRY(c, '')} AS {c}" for c in RS)} FROM days LEFT JOIN wide USING (date)) WHERE isodow(date) < 6)"""
 _PRED = f"{BARS_SQL}, sma AS (SELECT *, close / nullif({roll('avg', 'close', 20)}, 0) - 1 AS p FROM bars), pred AS (SELECT date, symbol, lag(p) OVER s AS prediction, (lead(close, 5) OVER s / nullif(close, 0) - 1) / 100 AS actual FROM sma {S}), full_pred AS (SELECT * FROM pred WHERE prediction IS NOT NULL AND actual IS NOT NULL)"
 _RANKS = lambda keys: f"ranks AS (SELECT *, {', '.join(f'rank() OVER ({keys} ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}{keys and chr(44) + keys[12:]}) - 1) / 2.0::DOUBLE AS {n}' for c, n in (('prediction', 'rp'), ('actual', 'ra')))} FROM full_pred)"
@@ -287,33 +291,33 @@ grown AS (SELECT *, product(1 + net) OVER (ORDER BY period) AS cumulative FROM n
 
 ORACLES = {
     "insider_daily": f"WITH {INSIDER_SQL}, {_ID} SELECT ticker, date, {', '.join(f'{c}::BIGINT AS {c}' for c in _COUNTS)}, {r(['insider_buy_value', 'insider_sell_value', 'grant_shares', 'tax_withheld_shares'])}, (insider_buys - insider_sells)::BIGINT AS insider_net_transactions, round(insider_buy_value - insider_sell_value, 6) AS insider_net_value, round(insider_buys / greatest(insider_transaction_count, 1)::DOUBLE, 6) AS insider_buy_ratio FROM insider_daily",
-    "insider_features": f"""WITH {INSIDER_SQL}, {_ID}, {_SPINE(START, END)}, g AS (SELECT ticker, date, {", ".join(f"coalesce({c}, 0) AS {c}" for c in [*_COUNTS, "insider_buy_value", "insider_sell_value"])} FROM spine LEFT JOIN insider_daily USING (ticker, date)),
+    "insider_features": f"""WITH {INSIDER_SQL}, {_ID}, {_SPINE(*EVENT_DAYS_SQL)}, g AS (SELECT ticker, date, {", ".join(f"coalesce({c}, 0) AS {c}" for c in [*_COUNTS, "insider_buy_value", "insider_sell_value"])} FROM spine LEFT JOIN insider_daily USING (ticker, date)),
 f AS (SELECT *, {_T("sum", "insider_buys", 30)} AS b, {_T("sum", "insider_sells", 30)} AS s, {_T("sum", "tax_withheld_count", 30)} AS tax FROM g)
 SELECT ticker, date, b::BIGINT AS insider_buys_30d, s::BIGINT AS insider_sells_30d, {_T("sum", "insider_transaction_count", 5)}::BIGINT AS insider_activity_5d, round({_T("sum", "insider_buy_value", 30)}, 6) AS insider_buy_value_30d, round({_T("sum", "(insider_buy_value - insider_sell_value)", 30)}, 6) AS insider_net_value_30d, round({_T("sum", "officer_buys", 30)} / greatest(b, 1)::DOUBLE, 6) AS insider_officer_buy_ratio,
 {_T("sum", "grant_count", 30)}::BIGINT AS grant_intensity_30d, tax::BIGINT AS tax_event_30d, {_T("sum", "option_exercises", 30)}::BIGINT AS option_exercise_30d, (s + tax)::BIGINT AS total_disposal_30d, round({_T("sum", "grant_count", 90)} / nullif({_T("sum", "grant_count", 90)} + {_T("sum", "insider_sells", 90)}, 0)::DOUBLE, 6) AS compensation_style_90d FROM f""",
-    "congress_features": f"""WITH {INSIDER_SQL}, {_SPINE(START, END)}, c AS (SELECT ticker, date, count_if(code = 'M') - count_if(code = 'S') AS net, count(*) AS n FROM insider GROUP BY ALL), g AS (SELECT ticker, date, coalesce(net, 0) AS net, coalesce(n, 0) AS n FROM spine LEFT JOIN c USING (ticker, date))
+    "congress_features": f"""WITH {INSIDER_SQL}, {_SPINE(*EVENT_DAYS_SQL)}, c AS (SELECT ticker, date, count_if(code = 'M') - count_if(code = 'S') AS net, count(*) AS n FROM insider GROUP BY ALL), g AS (SELECT ticker, date, coalesce(net, 0) AS net, coalesce(n, 0) AS n FROM spine LEFT JOIN c USING (ticker, date))
 SELECT ticker, date, net::BIGINT AS congress_net, n::BIGINT AS congress_trade_count, {_T("sum", "n", 30)}::BIGINT AS congress_activity_30d, ({_T("sum", "net", 30)} > 0)::BIGINT AS congress_buy_signal FROM g""",
-    "attention_features": f"""WITH {INSIDER_SQL}, {_SPINE(START, END)}, v AS (SELECT ticker, date, count(*) AS views FROM insider WHERE code = 'S' GROUP BY ALL),
+    "attention_features": f"""WITH {INSIDER_SQL}, {_SPINE(*EVENT_DAYS_SQL)}, v AS (SELECT ticker, date, count(*) AS views FROM insider WHERE code = 'S' GROUP BY ALL),
 w AS (SELECT *, {_T("avg", "views", 7)} AS ma7, (views > {_T("avg", "views", 30)} + 2 * coalesce({_T("stddev_samp", "views", 30)}, 0))::INT AS spike FROM v),
 j AS (SELECT ticker, date, coalesce({_CARRY("views")}, 0) AS views, coalesce({_CARRY("ma7")}, 0) AS ma7, coalesce({_CARRY("spike")}, 0) AS spike FROM spine LEFT JOIN w USING (ticker, date))
 SELECT ticker, date, views::BIGINT AS views, round(ma7, 6) AS pageviews_ma7, spike::BIGINT AS attention_spike, round(ma7 / greatest({_T("avg", "views", 30)}, 1), 6) AS attention_trend FROM j""",
-    "earnings_surprise": f"""WITH {ANALYST_SQL}, {_EARN}, nxt AS (SELECT ticker, min(date) AS date FROM earn WHERE date > DATE '1997-06-30' GROUP BY ticker)
-SELECT ticker, date, false AS scheduled, {r(["surprise", "surprise_pct"], 4)} FROM surprises WHERE date <= DATE '1997-06-30' UNION ALL SELECT ticker, date, true, NULL, NULL FROM nxt""",
-    "earnings_features": f"""WITH {ANALYST_SQL}, {_EARN}, {_SPINE(*PERIOD)}, rep AS (SELECT ticker, date, max(surprise_pct) AS sp FROM surprises GROUP BY ALL), ma AS (SELECT *, {_T("avg", "sp", 4)} AS ma FROM rep),
+    "earnings_surprise": f"""WITH {ANALYST_SQL}, {_EARN}, nxt AS (SELECT ticker, max(date) + 91 AS date FROM earn GROUP BY ticker)
+SELECT ticker, date, false AS scheduled, {r(["surprise", "surprise_pct"], 4)} FROM surprises UNION ALL SELECT ticker, date, true, NULL, NULL FROM nxt WHERE date > {ORDER_DAYS_SQL[1]}""",
+    "earnings_features": f"""WITH {ANALYST_SQL}, {_EARN}, {_SPINE(*ORDER_DAYS_SQL)}, rep AS (SELECT ticker, date, max(surprise_pct) AS sp FROM surprises GROUP BY ALL), ma AS (SELECT *, {_T("avg", "sp", 4)} AS ma FROM rep),
 j AS (SELECT s.ticker, s.date, sp, ma, m.date IS NOT NULL AS rep, row_number() OVER (PARTITION BY s.ticker ORDER BY s.date) AS n FROM spine s LEFT JOIN ma m USING (ticker, date)), k AS (SELECT *, CASE WHEN rep THEN n END AS pos FROM j)
 SELECT ticker, date, round({_CARRY("sp")}, 4) AS earnings_surprise_pct, (sp > 0)::BIGINT AS earnings_beat, (n - {_CARRY("pos")})::BIGINT AS days_since_earnings, (first_value(pos IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - n)::BIGINT AS days_to_next_earnings, round({_CARRY("ma")}, 4) AS earnings_surprise_ma FROM k""",
     "revisions_daily": f"WITH {ANALYST_SQL}, {_REV} SELECT ticker, date, {', '.join(f'{c}::BIGINT AS {c}' for c in ('upgrades', 'downgrades', 'initiations', 'reiterations', 'revisions', 'net_revisions'))} FROM rev_daily",
-    "revision_features": f"""WITH {ANALYST_SQL}, {_REV}, {_SPINE(*PERIOD)}, g AS (SELECT ticker, date, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("upgrades", "downgrades", "revisions", "net_revisions"))} FROM spine LEFT JOIN rev_daily USING (ticker, date)),
+    "revision_features": f"""WITH {ANALYST_SQL}, {_REV}, {_SPINE(*ORDER_DAYS_SQL)}, g AS (SELECT ticker, date, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("upgrades", "downgrades", "revisions", "net_revisions"))} FROM spine LEFT JOIN rev_daily USING (ticker, date)),
 f AS (SELECT *, {_T("sum", "upgrades", 30)} AS u, {_T("sum", "downgrades", 30)} AS d, {_T("sum", "net_revisions", 30)} AS n30, {_T("sum", "net_revisions", 90)} AS n90, {_T("sum", "revisions", 5)} AS a FROM g)
 SELECT ticker, date, u::BIGINT AS revision_upgrades_30d, d::BIGINT AS revision_downgrades_30d, n30::BIGINT AS revision_net_30d, a::BIGINT AS revision_activity, round(n30 - n90 / 3::DOUBLE, 6) AS revision_momentum, round(greatest(-1, least(1, coalesce(n30 / nullif(u + d, 0)::DOUBLE, 0))), 6) AS revision_sentiment FROM f""",
     "targets_daily": f"WITH {ANALYST_SQL}, {_TARGET} SELECT ticker, date, {r(['pt_mean', 'pt_high', 'pt_low'], 4)}, pt_count::BIGINT AS pt_count, pt_revision_direction::BIGINT AS pt_revision_direction FROM pt",
-    "target_features": f"""WITH {ANALYST_SQL}, {_TARGET}, {_SPINE(*PERIOD)}, j AS (SELECT ticker, date, {", ".join(f"{_CARRY(c)} AS {c}" for c in ("pt_mean", "pt_high", "pt_low", "pt_count"))} FROM spine LEFT JOIN pt USING (ticker, date))
+    "target_features": f"""WITH {ANALYST_SQL}, {_TARGET}, {_SPINE(*ORDER_DAYS_SQL)}, j AS (SELECT ticker, date, {", ".join(f"{_CARRY(c)} AS {c}" for c in ("pt_mean", "pt_high", "pt_low", "pt_count"))} FROM spine LEFT JOIN pt USING (ticker, date))
 SELECT ticker, date, round(pt_mean, 4) AS pt_mean, pt_count::BIGINT AS pt_count, round((pt_high - pt_low) / nullif(pt_mean, 0), 4) AS pt_dispersion, round(pt_mean / nullif(lag(pt_mean, 60) OVER t, 0) - 1, 4) AS pt_momentum_60d FROM j {_W}""",
     "short_interest_features": f"""WITH {BARS_SQL}, h AS (SELECT symbol AS ticker, CASE WHEN day(date) <= 15 THEN (date_trunc('month', date) + INTERVAL 14 DAY)::DATE ELSE last_day(date) END AS date, sum(volume) AS short, avg(volume) AS daily FROM bars GROUP BY ALL),
-s AS (SELECT ticker, date, short / daily AS dtc, 100 * (short / lag(short) OVER t - 1) AS chg FROM h {_W}), {_SPINE(*PERIOD)}, j AS (SELECT ticker, date, {_CARRY("dtc")} AS dtc, {_CARRY("chg")} AS chg FROM spine LEFT JOIN s USING (ticker, date))
+s AS (SELECT ticker, date, short / daily AS dtc, 100 * (short / lag(short) OVER t - 1) AS chg FROM h {_W}), {_SPINE(*ORDER_DAYS_SQL)}, j AS (SELECT ticker, date, {_CARRY("dtc")} AS dtc, {_CARRY("chg")} AS chg FROM spine LEFT JOIN s USING (ticker, date))
 SELECT ticker, date, round(dtc, 4) AS days_to_cover, round(chg, 4) AS short_pct_chg, CASE WHEN dtc IS NOT NULL THEN coalesce(chg > 0 AND dtc > 5, false)::BIGINT END AS short_squeeze_risk FROM j""",
     "macro_grid": f"""WITH {MACRO_SQL}, {_GRID}, ongrid AS (SELECT date, {_CARRY("r1", "")} AS r1_grid_only FROM (SELECT * FROM days WHERE isodow(date) < 6) LEFT JOIN wide USING (date)) SELECT date, {r([*RS, "r1_grid_only"], 9)} FROM macro JOIN ongrid USING (date)""",
-    "macro_join": f"""WITH {MACRO_SQL}, {_GRID}, {_SPINE(*PERIOD)}, j AS (SELECT ticker, date, {_CARRY("r1")} AS r1, {_CARRY("r2")} AS r2 FROM spine LEFT JOIN macro USING (date)) SELECT ticker, date, {r({"r1": "r1", "r2": "r2", "r1_5d_change": "r1 - lag(r1, 5) OVER t", "r2_5d_change": "r2 - lag(r2, 5) OVER t"}, 9)} FROM j {_W}""",
+    "macro_join": f"""WITH {MACRO_SQL}, {_GRID}, {_SPINE(*ORDER_DAYS_SQL)}, j AS (SELECT ticker, date, {_CARRY("r1")} AS r1, {_CARRY("r2")} AS r2 FROM spine LEFT JOIN macro USING (date)) SELECT ticker, date, {r({"r1": "r1", "r2": "r2", "r1_5d_change": "r1 - lag(r1, 5) OVER t", "r2_5d_change": "r2 - lag(r2, 5) OVER t"}, 9)} FROM j {_W}""",
     "fund_flows": f"""WITH {BARS_SQL}, d AS (SELECT symbol, date, close * volume AS dv FROM bars WHERE symbol IN ('NATION_0', 'NATION_1', 'NATION_2'))
 SELECT symbol, date, round(dv, 4) AS dollar_volume, round((dv - CASE WHEN count(dv) OVER f >= 5 THEN avg(dv) OVER f END) / greatest(stddev_samp(dv) OVER f, 1), 4) AS abnormal_volume, round(dv / nullif(lag(dv, 5) OVER s, 0) - 1, 4) AS flow_momentum FROM d WINDOW f AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING), s AS (PARTITION BY symbol ORDER BY date)""",
     "news_clean": r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages",

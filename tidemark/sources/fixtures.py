@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,8 +59,32 @@ FUND_SQL = """fund_map AS (SELECT n_name AS symbol, 'NATION_' || (n_regionkey %
   UNION ALL SELECT n_name, 'NATION_' || ((n_regionkey + 1) % 3) FROM nation WHERE n_name NOT IN ('NATION_0', 'NATION_1', 'NATION_2') AND n_regionkey % 2 = 1)"""
 
 
+def sql_list(values: list) -> str:
+    return "[" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def pick(values: list, number: Column) -> Column:
+    """The value at a number's place, counted round."""
+    return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(number, F.lit(len(values))).cast("int"))
+
+
+def days_of(df: DataFrame, column: str = "date") -> tuple[str, str]:
+    """First and last day of a table, by one aggregate."""
+    first, last = df.agg(F.min(F.to_date(column)), F.max(F.to_date(column))).first()
+    return str(first), str(last)
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return days_of(table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+ORDER_DAYS_SQL = ("(SELECT min(o_orderdate)::DATE FROM orders)", "(SELECT max(o_orderdate)::DATE FROM orders)")
+
+POSITIONS = ["Director", "EVP", "General Counsel", "Secretary", "Treasurer", "Controller", "Chairman", "Managing Director", "10% Owner", "Chief Executive Officer", "Principal Accounting", "Vice Chair", "President and CEO", "VP of Engineering", "cfo", "SVP, COO", "CTO", None, "Preceo", "vps"]
+
+
 def insider_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions from events: code by type, officer by the property."""
+    """Transactions from events: code by type, position by the property."""
     code = F.create_map(*[F.lit(x) for p in (("click", "P"), ("view", "S"), ("signup", "A"), ("error", "F"), ("purchase", "M")) for x in p])
     e = table(spark, sf_dir, "events")
     prop = F.get_json_object(F.col("props").cast("string"), "$.k").cast("int")
@@ -70,26 +94,30 @@ def insider_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(code, F.col("event_type")).alias("code"),
         F.col("value").cast("double").alias("shares"),
         (F.col("value") * 10).cast("double").alias("value"),
-        F.when(prop < 50, "EVP").otherwise("Director").alias("position"),
+        pick(POSITIONS, prop).alias("position"),
     )
 
 
-INSIDER_SQL = """insider AS (SELECT 'NATION_' || (user_id % 25) AS ticker, ts::DATE AS date,
+INSIDER_SQL = f"""insider AS (SELECT 'NATION_' || (user_id % 25) AS ticker, ts::DATE AS date,
   CASE event_type WHEN 'click' THEN 'P' WHEN 'view' THEN 'S' WHEN 'signup' THEN 'A' WHEN 'error' THEN 'F' WHEN 'purchase' THEN 'M' END AS code,
-  value::DOUBLE AS shares, value::DOUBLE * 10 AS value, CASE WHEN json_extract_string(props, '$.k')::INT < 50 THEN 'EVP' ELSE 'Director' END AS position FROM events)"""
+  value::DOUBLE AS shares, value::DOUBLE * 10 AS value, ({sql_list(POSITIONS)})[json_extract_string(props, '$.k')::INT % {len(POSITIONS)} + 1] AS position FROM events)"""
+
+#: Grades as firms spell them: every known one, some that only hold one, and some of no leaning.
+GRADE_NAMES = ["Buy", "Overweight", "Outperform", "Strong Buy", "Positive", "Sector Outperform", "Top Pick", "Conviction Buy", "Accumulate", "Above Average", "Add", "Long-Term Buy", "Market Outperform", "Strong Outperform", "Sector Perform/Outperform", "Sell", "Underweight", "Underperform", "Reduce", "Negative", "Sector Underperform", "Strong Sell", "Avoid", "Below Average", "Market Underperform", "Hold", "Neutral", "Equal-Weight", "Market Perform", "Sector Perform", "Peer Perform", "In-Line", "Perform", "Sector Weight", "Market Weight", "Fair Value", " hold ", "Speculative Buy", "Tactical Sell", "Long-term hold", "Mixed", "", None]
+ACTIONS = ["up", "down", "init", "Initiated", "reit", "main", "Upgrade", "initiation", None]
 
 
 def analyst_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price targets and grades from orders: firm by priority, target by price, grade by status."""
+    """Price targets and grades from orders: firm by priority, target by price, grade and action by the key."""
     o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    grade = F.when(F.col("o_orderstatus") == "F", "Buy").when(F.col("o_orderstatus") == "O", "Hold").otherwise("Sell")
-    rows = o.select(F.col("n_name").alias("ticker"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("firm"), F.col("o_totalprice").cast("double").alias("target"), grade.alias("to_grade"), F.col("o_orderkey").alias("id"))
+    key = F.col("o_orderkey")
+    rows = o.select(F.col("n_name").alias("ticker"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("firm"), F.col("o_totalprice").cast("double").alias("target"), pick(GRADE_NAMES, key).alias("to_grade"), pick(ACTIONS, F.floor(key / 7)).alias("action"), key.alias("id"))
     return rows.withColumn("from_grade", F.lag("to_grade").over(Window.partitionBy("ticker", "firm").orderBy("date", "id")))
 
 
-ANALYST_SQL = """analyst AS (SELECT *, lag(to_grade) OVER (PARTITION BY ticker, firm ORDER BY date, id) AS from_grade FROM (
+ANALYST_SQL = f"""analyst AS (SELECT *, lag(to_grade) OVER (PARTITION BY ticker, firm ORDER BY date, id) AS from_grade FROM (
   SELECT n_name AS ticker, o_orderdate::DATE AS date, o_orderpriority AS firm, o_totalprice::DOUBLE AS target,
-  CASE o_orderstatus WHEN 'F' THEN 'Buy' WHEN 'O' THEN 'Hold' ELSE 'Sell' END AS to_grade, o_orderkey AS id
+  ({sql_list(GRADE_NAMES)})[o_orderkey % {len(GRADE_NAMES)} + 1] AS to_grade, ({sql_list(ACTIONS)})[o_orderkey // 7 % {len(ACTIONS)} + 1] AS action, o_orderkey AS id
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey))"""
 
 
@@ -117,15 +145,15 @@ PANEL_SQL = """panel AS (SELECT o_orderdate::DATE AS date, 'r' || o_orderpriorit
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles from documents: ticker and day by the id, headline and description from the text."""
+    """Articles from documents: ticker and day by the id; the first line is the headline, the rest the description."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("NATION_"), (F.col("doc_id") % 25).cast("string")).alias("ticker"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("date"),
-        F.substring("text", 1, 80).alias("headline"),
-        F.substring("text", 81, 200).alias("description"),
+        F.substring_index("text", "\n", 1).alias("headline"),
+        F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)").alias("description"),
         "source",
     )
 
 
-ARTICLES_SQL = """articles AS (SELECT doc_id AS id, 'NATION_' || (doc_id % 25) AS ticker, DATE '2024-01-01' + (doc_id % 30)::INT AS date, text[1:80] AS headline, text[81:280] AS description, source FROM documents)"""
+ARTICLES_SQL = """articles AS (SELECT doc_id AS id, 'NATION_' || (doc_id % 25) AS ticker, DATE '2024-01-01' + (doc_id % 30)::INT AS date, split_part(text, chr(10), 1) AS headline, substr(text, length(split_part(text, chr(10), 1)) + 2) AS description, source FROM documents)"""
