@@ -32,8 +32,8 @@ FREQUENT = 1 << 17
 SMOOTH = 0.1
 #: Hash that stands for the end of a text; no word has a newline.
 END_HASH = xxhash.xxh3_64_intdigest(b"\n") - (1 << 63)
-#: Tasks that hold the counts of contexts, whose number is bounded.
-TRAINING_TASKS = 6
+#: Tasks that hold the counts of contexts, whose number is bounded; each sends a whole gradient at every step.
+TRAINING_TASKS = 3
 
 _ALL = CLASSES * SLOTS
 #: Counted cells, one after the other: contexts of the class and its features, contexts of the slot and its features.
@@ -249,7 +249,7 @@ def updated(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray) ->
 
 
 def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
-    """Weights after `steps` gradient updates. cells: id and n, at most CELLS rows, so six tasks hold them.
+    """Weights after `steps` gradient updates. cells: id and n, at most CELLS rows, so a few tasks hold them.
 
     Each step every task sends the feature counts that it expects, a vector of fixed size."""
     context = cells.sparkSession.sparkContext
