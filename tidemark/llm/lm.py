@@ -75,6 +75,7 @@ class _Words(dict):
 
     def __init__(self):
         self.hashes, self.classes, self.endings = [END_HASH], [END], [0]
+        self._arrays = [np.zeros(0, np.int64)] * 3
 
     def __missing__(self, word: bytes) -> int:
         self[word] = i = len(self.hashes)
@@ -83,15 +84,23 @@ class _Words(dict):
         self.endings.append(ending(word))
         return i
 
+    def arrays(self) -> list[np.ndarray]:
+        """hashes, classes and endings; only words that are new since the last call are converted."""
+        have = len(self._arrays[0])
+        if have < len(self.hashes):
+            own = (self.hashes, self.classes, self.endings)
+            self._arrays = [np.concatenate([x, np.array(y[have:], np.int64)]) for x, y in zip(self._arrays, own)]
+        return self._arrays
+
 
 class _Tokens:
     """Features of the tokens of some texts, each ended by an END: class, slot, and classes and endings of the two words before."""
 
     def __init__(self, ids: np.ndarray, counts: np.ndarray, words: _Words):
-        classes, ends, hashes = np.array(words.classes, np.int64), np.array(words.endings, np.int64), np.array(words.hashes, np.int64)
+        hashes, classes, ends = words.arrays()
         starts = np.cumsum(counts) - counts
         self.cls = classes[ids]
-        self.slot = slots(hashes, classes)[ids]
+        self.slot = slots(hashes[ids], self.cls)
         self.one, self.two = _before(self.cls, starts, BEGIN)
         self.end1, self.end2 = _before(ends[ids], starts, 0)
 
@@ -148,15 +157,14 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 cells[:] += np.bincount(_Tokens(ids, counts, words).cells(), minlength=CELLS)
                 waiting, size = [], 0
 
+        def rows(kind: int, ids: np.ndarray, classes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(ids), kind, np.int32), ids, classes.astype(np.int32), n)], names=["kind", "id", "class", "n"])
+
         def flush() -> pa.RecordBatch:
             nonlocal words, totals
-            n, seen = len(totals), np.flatnonzero(cells)
-            kind = np.concatenate([np.zeros(n, np.int32), np.ones(len(seen), np.int32)])
-            ids = np.concatenate([np.array(words.hashes[:n], np.int64), seen])
-            classes = np.concatenate([np.array(words.classes[:n], np.int32), np.zeros(len(seen), np.int32)])
-            out = pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, classes, np.concatenate([totals, cells[seen]]))], names=["kind", "id", "class", "n"])
+            hashes, classes, _ = words.arrays()
+            out = rows(0, hashes[: len(totals)], classes[: len(totals)], totals)
             words, totals = _Words(), np.zeros(0, np.int64)
-            cells[:] = 0
             return out
 
         for batch in pieces(batches):
@@ -170,6 +178,8 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
         count()
         if len(totals):
             yield flush()
+        seen = np.flatnonzero(cells)
+        yield rows(1, seen, np.zeros(len(seen)), cells[seen])
 
     partial = docs.select("text").mapInArrow(run, "kind int, id bigint, class int, n bigint")
     return partial.groupBy("kind", "id", "class").agg(F.sum("n").alias("n"))
@@ -277,7 +287,7 @@ def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
 
 
 class Scorer:
-    """Log10 of p(slot | words before), by lookups in tables of fixed size."""
+    """Log10 of p(slot | words before), by lookups in tables of fixed size, which are made once and broadcast."""
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights
@@ -324,31 +334,25 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
         slot_cost[r.slot] = np.log10(r.n + SMOOTH * (r.v + 1))
     weights = train_weights(counted.where("kind = 1"), steps)
     top = largest(words.select("id", "n"), F.col("n"), frequent).toPandas().sort_values("id")
-    shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), weights, slot_cost))
+    shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), Scorer(weights), slot_cost))
     base_cost = float(np.log10(total + SMOOTH * (distinct + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_ids, known_n, w, cost = shared.value
-        scorer = None
-        words = _Words()
+        known_ids, known_n, scorer, cost = shared.value
+        words, n = _Words(), np.zeros(0)
         for batch in pieces(batches):
             if len(words) > 400_000:
-                words = _Words()
+                words, n = _Words(), np.zeros(0)
             ids, counts = _tokens(batch.column("text").to_pylist(), words)
-            hashes = np.array(words.hashes, np.int64)
-            used = np.unique(ids)
-            place = np.searchsorted(known_ids, hashes[used])
-            hit = np.zeros(len(used), bool)
-            inside = place < len(known_ids)
-            hit[inside] = known_ids[place[inside]] == hashes[used[inside]]
-            n = np.zeros(len(hashes))
-            n[used[hit]] = known_n[place[hit]]
+            hashes = words.arrays()[0]
+            fresh = hashes[len(n) :]
+            place = np.minimum(np.searchsorted(known_ids, fresh), max(len(known_ids) - 1, 0))
+            n = np.concatenate([n, np.where(known_ids[place] == fresh, known_n[place], 0.0) if len(known_ids) else np.zeros(len(fresh))])
             token_n = n[ids]
             rare = token_n == 0
             starts = np.cumsum(counts) - counts
             of = np.repeat(np.arange(len(counts)), counts)
             log_n = np.where(rare, 0.0, np.log10(token_n + SMOOTH))
-            scorer = scorer or Scorer(w)
             tokens = _Tokens(ids, counts, words)
             context = scorer(tokens) - cost[tokens.slot]
             add = lambda x: np.add.reduceat(x, starts)
