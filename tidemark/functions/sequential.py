@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
-def ewm_columns(df: DataFrame, wanted: dict[str, tuple[str, int, int]], key: str = "symbol", order: str = "date") -> DataFrame:
-    """`df` with a column for each name in `wanted`: (input column, span, known values needed).
+Series = pd.Series
+#: A column of a recurrence, from a series' rows in time order.
+Step = Callable[[pd.DataFrame], "Series | np.ndarray"]
+
+
+def series_columns(df: DataFrame, steps: dict[str, Step], key: str = "symbol", order: str = "date") -> DataFrame:
+    """`df` with the columns of `steps` that it has not yet, all from one grouped map; a step may use the ones before it.
 
-    The mean weighs the value i rows back by (1 - 2 / (span + 1)) ** i; missing values keep their place."""
-    schema = StructType([*df.schema.fields, *[StructField(name, DoubleType()) for name in wanted]])
+    Pass narrow rows and add other columns afterwards: every column of `df` goes through Python."""
+    steps = {name: step for name, step in steps.items() if name not in df.columns}
+    if not steps:
+        return df
+    schema = StructType([*df.schema.fields, *[StructField(name, DoubleType()) for name in steps]])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order, kind="stable")
-        for name, (source, span, least) in wanted.items():
-            group[name] = group[source].astype(float).ewm(span=span, min_periods=least).mean()
+        for name, step in steps.items():
+            group[name] = step(group)
         return group
 
     return df.groupBy(key).applyInPandas(run, schema)
 
 
+def ewm(source: str | Step, span: int, least: int) -> Step:
+    """Exponential mean: the value i rows back weighs (1 - 2 / (span + 1)) ** i; missing values keep their place."""
+    values = source if callable(source) else lambda group: group[source]
+    return lambda group: values(group).astype(float).ewm(span=span, min_periods=least).mean()
+
+
+def ewm_columns(df: DataFrame, wanted: dict[str, tuple[str | Step, int, int]], key: str = "symbol", order: str = "date") -> DataFrame:
+    """`df` with a column for each name in `wanted`: (input, span, known values needed)."""
+    return series_columns(df, {name: ewm(*x) for name, x in wanted.items()}, key, order)
+
+
 def parabolic(high: np.ndarray, low: np.ndarray, step: float, top: float, standard: bool) -> np.ndarray:
     """Stop levels of one series. standard: a bar through the stop turns the trend; otherwise the stop only trails a rise."""
     n = len(high)
@@ -48,12 +69,10 @@ def parabolic(high: np.ndarray, low: np.ndarray, step: float, top: float, standa
     return out
 
 
-def sar_column(df: DataFrame, mode: str = "reference", step: float = 0.02, top: float = 0.2, key: str = "symbol", order: str = "date", name: str = "sar") -> DataFrame:
-    """`df` with the parabolic stop. mode 'reference' never turns, 'standard' does. A missing bar makes all later values missing."""
+def sar(mode: str = "reference", step: float = 0.02, top: float = 0.2) -> Step:
+    """The parabolic stop of high and low. mode 'reference' never turns, 'standard' does. A missing bar makes all later values missing."""
+    return lambda group: parabolic(group["high"].to_numpy(float), group["low"].to_numpy(float), step, top, mode == "standard")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        group[name] = parabolic(group["high"].to_numpy(float), group["low"].to_numpy(float), step, top, mode == "standard")
-        return group
 
-    return df.groupBy(key).applyInPandas(run, StructType([*df.schema.fields, StructField(name, DoubleType())]))
+def sar_column(df: DataFrame, mode: str = "reference", step: float = 0.02, top: float = 0.2, key: str = "symbol", order: str = "date", name: str = "sar") -> DataFrame:
+    return series_columns(df, {name: sar(mode, step, top)}, key, order)

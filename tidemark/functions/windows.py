@@ -83,9 +83,10 @@ def mean_of(*cs: Name) -> Column:
 
 
 def zscore(c: Name, w: WindowSpec, n: int, least_rows: int = 10) -> Column:
-    """Distance from the window's mean in sample deviations, of which 1e-8 at least count."""
+    """Distance from the window's mean in sample deviations, of which 1e-8 at least count; 0 in a constant window, where the rest is rounding."""
     deviation = roll(F.stddev_samp, c, w, n, least_rows)
-    return (col(c) - roll(F.avg, c, w, n, least_rows)) / clip(deviation, 1e-8)
+    still = roll(F.min, c, w, n, least_rows) == roll(F.max, c, w, n, least_rows)
+    return F.when(still & col(c).isNotNull(), 0.0).otherwise((col(c) - roll(F.avg, c, w, n, least_rows)) / clip(deviation, 1e-8))
 
 
 def rank_pct(c: Name, *keys: str) -> Column:

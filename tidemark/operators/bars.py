@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.windows import bfill, by, ffill, known, least, most, roll
+from tidemark.operators.evaluate import overall_quantiles
 
 PRICES = ["open", "high", "low", "close"]
 
@@ -151,7 +152,8 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
     df = df.dropna(subset=columns)
     out = []
     for c in columns:
-        out += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}_q")]
+        quarters = [F.lit(q) for q in overall_quantiles(df, c, [0.25, 0.5, 0.75])]
+        out += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.first(F.array(*quarters)).alias(f"{c}_q")]
     return df.agg(*out)
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.storage import checkpointed
 from tidemark.functions.windows import by, rank_pct, roll
 
 
@@ -93,6 +98,38 @@ def scores(df: DataFrame, *keys: str) -> DataFrame:
     return out.withColumn("improvement_pct", 100 * (1 - F.try_divide(F.col("rmse"), F.col("rmse_zero"))))
 
 
+def with_p_value(df: DataFrame, coefficient: str = "spearman", n: str = "n") -> DataFrame:
+    """`df` with `p_value`: how likely a coefficient at least as far from 0 is without correlation, by Student's t with n - 2 degrees of freedom.
+
+    `df` has a few rows of scores; the tail is a finite sum for whole degrees of freedom. A coefficient of 1 or -1 has p 0, fewer than three rows none."""
+
+    def tail(r: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series([t_tail(float(a), int(b) - 2) if pd.notna(a) and pd.notna(b) and b > 2 else None for a, b in zip(r, k)], dtype="float64")
+
+    return df.withColumn("p_value", F.pandas_udf(tail, "double")(coefficient, n))
+
+
+def t_tail(r: float, freedom: int) -> float:
+    """Two-sided tail of Student's t at r * sqrt(freedom / (1 - r^2)): the regularised incomplete beta function I(1 - r^2; freedom / 2, 1 / 2) by its continued fraction."""
+    x, a, b = 1 - r * r, freedom / 2, 0.5
+    if x <= 0 or x >= 1:
+        return 0.0 if x <= 0 else 1.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    if x > (a + 1) / (a + b + 2):
+        return 1 - front * _beta_fraction(1 - x, b, a) / b
+    return front * _beta_fraction(x, a, b) / a
+
+
+def _beta_fraction(x: float, a: float, b: float) -> float:
+    """Continued fraction of the incomplete beta function, evaluated backwards from a depth that suffices for its convergence."""
+    out, depth = 1.0, 200 + int(4 * math.sqrt(max(a, b)))
+    for m in range(depth, 0, -1):
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        out = 1 + even / (1 + odd / out)
+    return 1 / (1 - (a + b) * x / (a + 1) / out)
+
+
 def daily_ic(df: DataFrame, least: int = 5, smooth: int = 20) -> DataFrame:
     """Rank coefficient of each date with over `least` names, and its rolling mean. One row a date, so one ordered series."""
     ic = scores(df, "date").where(F.col("n") > least).select("date", "n", F.col("spearman").alias("ic"))
@@ -126,14 +163,27 @@ def permutation_importance(df: DataFrame, features: list[str], score, repeats: i
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-FAMILIES = [("return", "price"), ("gap", "price"), ("volume", "volume"), ("rsi", "technical"), ("sma", "technical"), ("ema", "technical"), ("volatility", "volatility"), ("corr", "fund"), ("news_", "news")]
+# Families of features by the beginnings of their names; the first that fits counts.
+FAMILIES = {
+    "news_embedding": ["news_emb_"],
+    "news_sentiment": ["news_"],
+    "alternative": ["insider_", "revision_"],
+    "macro": [
+        "yc_", "rate_", "vix_", "hy_", "bbb_", "ted_", "credit_", "claims_", "unemp_", "sahm_", "oil_", "gold_", "usd_", "mortgage_", "fed_", "nfci_",
+        "stress_", "risk_", "policy_", "growth_", "inflation_", "stagflation_", "treasury_", "breakeven_", "real_yield_", "consumer_sentiment", "m2_",
+        "leading_", "nonfarm_", "continued_", "avg_weekly_", "cpi", "core_", "pce", "gas_", "jpy_", "eur_", "gbp_", "housing_", "building_", "permits_",
+        "industrial_", "retail_sales_", "durable_", "inv_sales_", "term_premium_", "btc_", "copper_", "aggregate_flow", "credit_flow", "safety_flow",
+        "risk_appetite", "spy_", "qqq_", "iwm_", "hyg_", "tlt_",
+    ],
+}
+# End of fixed values.
 
 
 def family(c: Column) -> Column:
-    """Family of a feature name by its prefix."""
-    out = F.lit("other")
-    for prefix, name in reversed(FAMILIES):
-        out = F.when(c.startswith(prefix), name).otherwise(out)
+    """Family of a feature name by its beginning; 'price/tech' if none fits."""
+    out = F.lit("price/tech")
+    for name, prefixes in reversed(FAMILIES.items()):
+        out = F.when(reduce(Column.__or__, [c.startswith(p) for p in prefixes]), name).otherwise(out)
     return out
 
 
@@ -141,6 +191,28 @@ def family_importance(df: DataFrame) -> DataFrame:
     return df.groupBy(family(F.col("feature")).alias("family")).agg(F.sum("importance").alias("total"), F.avg("importance").alias("mean"), F.count("*").alias("n"))
 
 
+def overall_quantiles(df: DataFrame, column: str, shares: list[float], ranges: int = 256) -> list[float]:
+    """Exact quantiles of all known values, between neighbours linearly; no task sorts all rows and only ranges' sizes meet in one.
+
+    Equal values are counted first; approximate quantiles cut them into ranges, and only the values at the wanted places come back."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).agg(F.count("*").alias("n"))
+    cuts = sorted(set(counts.approxQuantile("x", [i / ranges for i in range(1, ranges)], 0.001)))
+    counts = counts.withColumn("r", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c <= F.col("x"))))
+    sizes = counts.groupBy("r").agg(F.sum("n").alias("size"))
+    below = sizes.select("r", (F.sum("size").over(Window.orderBy("r")) - F.col("size")).alias("below"), F.sum("size").over(Window.partitionBy()).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("r").orderBy("x"))
+    ranked = counts.withColumn("upto", upto).join(F.broadcast(below), "r").select("x", "total", (F.col("below") + F.col("upto") - F.col("n")).alias("first"), (F.col("below") + F.col("upto") - 1).alias("last"))  # one row a range
+    places = [(F.col("total") - 1) * F.lit(q) for q in shares]
+    wanted = reduce(Column.__or__, [(F.col("first") <= f(p)) & (F.col("last") >= f(p)) for p in places for f in (F.floor, F.ceil)])
+    found = ranked.where(wanted).collect()
+    out = []
+    for q in shares:
+        at = (found[0]["total"] - 1) * q if found else 0.0
+        low, high = (next((r["x"] for r in found if r["first"] <= k <= r["last"]), float("nan")) for k in (math.floor(at), math.ceil(at)))
+        out.append(low + (high - low) * (at - math.floor(at)))
+    return out
+
+
 def summary(df: DataFrame, column: str, *keys: str) -> DataFrame:
     q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return df.groupBy(*keys).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(column).alias("max"))
@@ -153,15 +225,17 @@ def rebalance_dates(df: DataFrame, every: int) -> DataFrame:
 
 
 def legs(df: DataFrame, every: int = 5, share: float = 0.2, least: int = 10) -> DataFrame:
-    """date, symbol, leg (long or short) and actual of each kept rebalance date; ties by symbol."""
-    df = df.dropna(subset=["prediction", "actual"])
+    """date, symbol, leg (long or short) and actual of each kept rebalance date; ties by symbol.
+
+    The forecasts are written once to the checkpoint folder: dates, legs and periods are several passes over them."""
+    df = checkpointed(df.select("date", "symbol", "prediction", "actual").dropna())
     df = df.join(F.broadcast(rebalance_dates(df, every)), "date", "left_semi")
     up = F.row_number().over(Window.partitionBy("date").orderBy("prediction", "symbol"))
     down = F.row_number().over(Window.partitionBy("date").orderBy(F.desc("prediction"), F.desc("symbol")))
     df = df.withColumns({"__up": up, "__down": down, "__n": F.count("*").over(Window.partitionBy("date"))}).where(F.col("__n") >= least)
     size = F.greatest(F.lit(1), (F.col("__n") * share).cast("int"))
     leg = F.when(F.col("__down") <= size, "long").when(F.col("__up") <= size, "short")
-    return df.withColumn("leg", leg).where("leg is not null").select("date", "symbol", "leg", "actual", size.alias("size"))
+    return checkpointed(df.withColumn("leg", leg).where("leg is not null").select("date", "symbol", "leg", "actual", size.alias("size")))
 
 
 def portfolio(df: DataFrame, every: int = 5, share: float = 0.2, least: int = 10, bps: float = 10.0) -> DataFrame:
@@ -170,10 +244,10 @@ def portfolio(df: DataFrame, every: int = 5, share: float = 0.2, least: int = 10
     Turnover of a leg is its share of names that were not in it a period before; the first is 1."""
     held = legs(df, every, share, least)
     numbered = held.select("date").distinct().withColumn("period", F.row_number().over(Window.orderBy("date")))
-    held = held.join(F.broadcast(numbered), "date")
-    before = held.select((F.col("period") + 1).alias("period"), "leg", "symbol")
-    fresh = held.join(before, ["period", "leg", "symbol"], "left_anti").groupBy("period", "leg").agg(F.count("*").alias("fresh"))
-    by_leg = held.groupBy("period", "date", "leg").agg(F.avg("actual").alias("mean"), F.count("*").alias("n")).join(fresh, ["period", "leg"], "left").withColumn("turnover", F.coalesce("fresh", F.lit(0)) / F.col("n"))
+    held = held.join(F.broadcast(numbered), "date")  # one row a rebalance date
+    before = F.lag("period").over(Window.partitionBy("leg", "symbol").orderBy("period"))
+    held = held.withColumn("fresh", F.when(before == F.col("period") - 1, 0).otherwise(1))
+    by_leg = held.groupBy("period", "date", "leg").agg(F.avg("actual").alias("mean"), F.avg("fresh").alias("turnover"))
     one = by_leg.groupBy("period", "date").agg(F.max(F.when(F.col("leg") == "long", F.col("mean"))).alias("long_return"), F.max(F.when(F.col("leg") == "short", F.col("mean"))).alias("short_return"), F.avg("turnover").alias("turnover"))
     one = one.withColumn("gross", F.col("long_return") - F.col("short_return"))
     return one.withColumn("net", F.col("gross") - F.col("turnover") * bps / 1e4 * 2)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.sequential import ewm_columns, sar_column
+from tidemark.functions.sequential import ewm, ewm_columns, sar, series_columns
 from tidemark.functions.windows import by, change, ffill, flag, lag, most, rank_pct, ratio, roll
 from tidemark.operators.bars import drop_today, time_features
 
@@ -47,10 +47,21 @@ def price_features(df: DataFrame) -> DataFrame:
     ).drop("open1", "high1", "low1", "close1", "close2", "ret")
 
 
+#: Recurrences of the feature groups; `feature_table` computes them all in one grouped map over the bars.
+VOLUME_STEPS = {f"volume_ema_{n}": ewm(lambda group: group["volume"].shift(1), n, n) for n in (5, 20)}
+TECHNICAL_STEPS = {
+    **{f"__ema{n}": ewm("close", n, 0) for n in SPANS},
+    "__fast": ewm("close", 12, 0),
+    "__slow": ewm("close", 26, 0),
+    "__macd": lambda group: group["__fast"] - group["__slow"],
+    "__signal": ewm("__macd", 9, 0),
+}
+
+
 def volume_features(df: DataFrame) -> DataFrame:
+    df = series_columns(df, VOLUME_STEPS)
     df = df.withColumns({"v1": lag("volume", by("symbol")), "c1": lag("close", by("symbol"))})
     df = df.withColumns({"volume_change_1lag": F.col("v1") - lag("volume", by("symbol"), 2), "cv": F.col("c1") * F.col("v1"), **{f"volume_sma_{n}": roll(F.avg, "v1", by("symbol"), n) for n in (5, 20)}})
-    df = ewm_columns(df, {f"volume_ema_{n}": ("v1", n, n) for n in (5, 20)})
     df = df.withColumns({**{f"volume_ratio_{n}": ratio("v1", f"volume_sma_{n}") for n in (5, 20)}, "volume_volatility": roll(F.stddev_samp, "v1", by("symbol"), 20), "vwap_ratio": change("c1", ratio(roll(F.sum, "cv", by("symbol"), 20), roll(F.sum, "v1", by("symbol"), 20)))})
     return df.drop("v1", "c1", "cv")
 
@@ -106,8 +117,7 @@ def shifted(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def technical_features(df: DataFrame) -> DataFrame:
     """Twenty-one indicators as of the row before."""
-    df = ewm_columns(df, {f"__ema{n}": ("close", n, 0) for n in SPANS} | {"__fast": ("close", 12, 0), "__slow": ("close", 26, 0)})
-    df = ewm_columns(df.withColumn("__macd", F.col("__fast") - F.col("__slow")), {"__signal": ("__macd", 9, 0)})
+    df = series_columns(df, TECHNICAL_STEPS)
     df = rsi(rsi(df, 14, "rsi_14"), 21, "rsi_21")
     df = stochastic(df)
     upper, mid, lower = bollinger()
@@ -170,7 +180,7 @@ def ichimoku(df: DataFrame, short: int = 9, middle: int = 26, long: int = 52) ->
 
 def trend_features(df: DataFrame, sar_mode: str = "reference") -> DataFrame:
     """adx, sar_ratio and the Ichimoku ratios as of the row before."""
-    df = ichimoku(adx(sar_column(df, sar_mode)))
+    df = ichimoku(adx(series_columns(df, {"sar": sar(sar_mode)})))
     parts = ["conversion", "base", "span_a", "span_b"]
     df = df.withColumns({"sar_ratio": change("close", "sar"), **{f"ichimoku_{p}_ratio": change("close", p) for p in parts}})
     return shifted(df, ["adx", "sar_ratio", *[f"ichimoku_{p}_ratio" for p in parts]]).drop("sar", *parts)
@@ -180,9 +190,9 @@ RANKED = ["return_1lag", "return_5lag", "return_7d_1lag", "volume_ratio_5", "vol
 
 
 def rank_features(df: DataFrame, columns: list[str], funds: list[str]) -> DataFrame:
-    """`*_pctile`: rank shares within the date over all rows, then without value for funds."""
+    """`*_pctile`: rank shares within the date over all rows, then without value for funds. What differs beyond nine decimals is a tie."""
     fund = F.col("symbol").isin(funds)
-    df = df.withColumns({f"{c}_pctile": rank_pct(c, "date") for c in columns})
+    df = df.withColumns({f"{c}_pctile": rank_pct(F.round(c, 9), "date") for c in columns})
     return df.withColumns({f"{c}_pctile": F.when(~fund, F.col(f"{c}_pctile")) for c in columns})
 
 
@@ -195,10 +205,12 @@ def fund_panel(df: DataFrame, funds: list[str]) -> DataFrame:
     return wide.select("date", *[F.lag(e).over(days).alias(f"{e}_return_1lag") for e in funds])
 
 
-def fund_features(df: DataFrame, mapping: DataFrame, funds: list[str], windows: tuple[int, ...] = (20, 60, 120)) -> DataFrame:
-    """Fund returns, map flags, returns relative to every fund and rolling correlations; the last two for mapped symbols only."""
+def fund_features(df: DataFrame, mapping: DataFrame, funds: list[str], windows: tuple[int, ...] = (20, 60, 120), prices: DataFrame | None = None) -> DataFrame:
+    """Fund returns, map flags, returns relative to every fund and rolling correlations; the last two for mapped symbols only.
+
+    prices: narrow rows to take the funds' closes from, if `df` is wide or costly."""
     flags = mapping.groupBy("symbol").pivot("etf", funds).agg(F.lit(1)).withColumnsRenamed({e: f"ETF_map_{e}" for e in funds})
-    df = df.join(F.broadcast(fund_panel(df, funds)), "date", "left").join(flags.withColumn("__mapped", F.lit(True)), "symbol", "left")
+    df = df.join(F.broadcast(fund_panel(df if prices is None else prices, funds)), "date", "left").join(flags.withColumn("__mapped", F.lit(True)), "symbol", "left")
     df = with_returns(df).withColumn("stock_return_1lag", lag("ret", by("symbol"))).drop("ret").fillna(0, [f"ETF_map_{e}" for e in funds])
     out = {}
     for e in funds:
@@ -227,11 +239,16 @@ def universe(mapping: DataFrame, funds: list[str]) -> DataFrame:
 
 
 def feature_table(df: DataFrame, mapping: DataFrame, funds: list[str], price: bool = True, volume: bool = True, technical: bool = True, momentum: bool = True, volatility: bool = True, trend: bool = True, horizon: int = 1) -> DataFrame:
-    """The whole feature table of (symbol, date), without what is only known today and without funds."""
+    """The whole feature table of (symbol, date), without what is only known today and without funds.
+
+    One grouped map over the bars for all recurrences, one exchange on the symbol for all windows, one on the date for the ranks."""
+    prices = df
+    steps = (VOLUME_STEPS if volume else {}) | (TECHNICAL_STEPS if technical else {}) | ({"sar": sar()} if trend else {})
+    df = series_columns(df, steps)
     for wanted, part in ((price, price_features), (volume, volume_features), (technical, technical_features), (momentum, momentum_features), (volatility, volatility_features), (trend, trend_features)):
         if wanted:
             df = part(df)
-    df = target(fund_features(df, mapping, funds), horizon)
+    df = target(fund_features(df, mapping, funds, prices=prices), horizon)
     df = rank_features(df, [c for c in RANKED if c in df.columns], funds)
     return without_funds(drop_today(calendar(df)), funds)
 

@@ -159,7 +159,7 @@ def macro_features(df: DataFrame) -> DataFrame:
         | {n: zscore(c, days, YEAR) for n, c in SCORES.items() if c in have}
     )
     df = df.drop(*padded)
-    add({"vix_above_ma20": flag(F.col("vix") > F.col("vix_ma20")), "vix_term_structure": F.col("vix") / clip("vix_ma20", 1.0)}, "vix_ma20")
+    add({"vix_above_ma20": flag(F.col("vix") > F.col("vix_ma20") * (1 + 1e-12)), "vix_term_structure": F.col("vix") / clip("vix_ma20", 1.0)}, "vix_ma20")
     quarter = lambda c, q: roll(lambda x: F.percentile(x, q), c, days, YEAR, 60)
     add({"inflation_expectations_elevated": flag(F.col("breakeven_inflation_10y") > quarter("breakeven_inflation_10y", 0.75))}, "breakeven_inflation_10y")
 

@@ -24,8 +24,9 @@ def feed_date(c: Column, as_of: str) -> Column:
 
 
 def table_date(c: Column) -> Column:
-    """Dates like Mar-07-26."""
-    return F.to_date(F.try_to_timestamp(c, F.lit("MMM-dd-yy")))
+    """Dates like Mar-07-26; years from 69 on are of the last century."""
+    day = F.to_date(F.try_to_timestamp(c, F.lit("MMM-dd-yy")))
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
 
 
 def relative_date(c: Column, as_of: str) -> Column:
@@ -39,12 +40,13 @@ def relative_date(c: Column, as_of: str) -> Column:
 
 
 def merge_sources(sources: list[DataFrame]) -> DataFrame:
-    """Articles of all sources; of equal headlines of a ticker the first source's first stays."""
+    """Articles of all sources; of equal headlines of a ticker the first source's first stays: by id, then by the other columns."""
     rows = None
     for i, s in enumerate(sources):
         s = s.withColumn("__rank", F.lit(i))
         rows = s if rows is None else rows.unionByName(s, allowMissingColumns=True)
-    first = F.row_number().over(Window.partitionBy("ticker", "headline").orderBy("__rank", "id"))
+    rest = sorted(c for c in rows.columns if c not in ("ticker", "headline", "__rank", "id"))
+    first = F.row_number().over(Window.partitionBy("ticker", "headline").orderBy("__rank", "id", *rest))
     return rows.withColumn("__n", first).where("__n = 1").drop("__n", "__rank")
 
 
@@ -128,3 +130,17 @@ def lagged_news(df: DataFrame, mode: str = "calendar", days: DataFrame | None =
     grid = df.select("date").distinct().join(ordered, "date", "full")
     after = F.last(F.when(F.col("__open"), F.col("date")), ignorenulls=True).over(Window.orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, -1))
     return df.join(F.broadcast(grid.select("date", after.alias("__next"))), "date").withColumn("date", F.col("__next")).drop("__next").where("date is not null")
+
+
+def news_features(sources: list[DataFrame], sentiment: Callable[[DataFrame], DataFrame], vectors: Callable[[DataFrame], DataFrame] | None = None, aggregate: bool = False) -> DataFrame:
+    """Landed articles of several sources through one plan for all tickers: merged, scored, given vectors if asked for, rolled up if asked for.
+
+    sentiment: articles to articles with sentiment_compound. vectors: articles to articles with a column `embedding`. Rolled up, a
+    (date, ticker) has its daily sentiment and, with vectors, their mean. Without articles the result is empty."""
+    rows = sentiment(merge_sources(sources))
+    if vectors is not None:
+        rows = vectors(rows)
+    if not aggregate:
+        return rows
+    days = daily_sentiment(rows)
+    return days if vectors is None else days.join(daily_vectors(rows), ["date", "ticker"], "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.sequential import sar_column
 from tidemark.operators import bars as B
 from tidemark.operators import features as X
 from tidemark.sources.fixtures import BARS_SQL, DIRTY_SQL, FUND_SQL, FUNDS, bars, dirty_bars, fund_map, table
@@ -15,6 +16,8 @@ KEY = ["symbol", "date"]
 #: Digits that hold a price in full where it ends: cents over quantities up to 50. Fewer would cut at halves, which engines
 #: round to different sides.
 TICKS = 8
+#: Added before rounding where values end at a half, which engines round to different sides.
+HALF = 1e-9
 
 
 def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
@@ -22,6 +25,12 @@ def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     return df.select(*KEY, *[F.round(c, digits).alias(c) for c in columns])
 
 
+def rounded_table(df: DataFrame) -> DataFrame:
+    """All columns, rounded like those of their groups, integers wide."""
+    exact = {*PX, "true_range"}
+    return df.select([F.round(c, TICKS if c in exact else 6).alias(c) if k == "double" else F.col(c).cast("bigint").alias(c) if k == "int" else F.col(c) for c, k in df.dtypes])
+
+
 def r(columns: dict[str, str] | list[str], digits: int = 6) -> str:
     items = columns.items() if isinstance(columns, dict) else ((c, c) for c in columns)
     return ", ".join(f"round({e}, {digits}) AS {c}" for c, e in items)
@@ -152,8 +161,8 @@ def trend_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @_spark("parabolic_stop")
 def parabolic_stop(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = X.sar_column(bars(spark, sf), "reference", name="sar"), X.sar_column(bars(spark, sf), "standard", name="sar_standard")
-    return a.join(b.select(*KEY, "sar_standard"), KEY).select(*KEY, F.round("sar", 6).alias("sar"), F.round("sar_standard", 6).alias("sar_standard"))
+    a, b = sar_column(bars(spark, sf), "reference", name="sar"), sar_column(bars(spark, sf), "standard", name="sar_standard")
+    return a.join(b.select(*KEY, "sar_standard"), KEY).select(*KEY, F.round(F.col("sar") + HALF, 6).alias("sar"), F.round(F.col("sar_standard") + HALF, 6).alias("sar_standard"))
 
 
 @_spark("rank_features")
@@ -180,7 +189,7 @@ def universe(spark: SparkSession, sf: str) -> DataFrame:
 @_spark("feature_table")
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """The whole feature table."""
-    return X.feature_table(bars(spark, sf), fund_map(spark, sf), FUNDS)
+    return rounded_table(X.feature_table(bars(spark, sf), fund_map(spark, sf), FUNDS))
 
 
 @_spark("flagship")
@@ -244,6 +253,16 @@ dx AS (SELECT *, 100 * abs(p - m) / nullif(p + m, 0) AS d, ({roll("max", "high",
 _TREND = {"adx": roll("avg", "d", 14), **{f"ichimoku_{p}_ratio": f"close / nullif({e}, 0) - 1" for p, e in (("conversion", "conversion"), ("base", "base"), ("span_a", "((conversion + base) / 2)"), ("span_b", "span_b"))}}
 _PCTILE = lambda c: f"CASE WHEN {c} IS NOT NULL AND symbol NOT IN ('NATION_0', 'NATION_1', 'NATION_2') THEN (rank() OVER (PARTITION BY date ORDER BY {c} NULLS LAST) + (count({c}) OVER (PARTITION BY date, {c}) - 1) / 2.0::DOUBLE) / count({c}) OVER (PARTITION BY date) END"
 
+_SAR = f"""bars AS MATERIALIZED (WITH {BARS_SQL} SELECT * FROM bars), nb AS MATERIALIZED (SELECT *, row_number() OVER s AS n, lag(low) OVER s AS pl, lag(high) OVER s AS ph FROM bars {S}),
+ref AS (SELECT symbol, n, low AS stop, high AS extreme, 0.02::DOUBLE AS speed FROM nb WHERE n = 1
+  UNION ALL SELECT b.symbol, b.n, least(r.stop + r.speed * (r.extreme - r.stop), b.pl), greatest(r.extreme, b.high), CASE WHEN b.high > r.extreme THEN least(r.speed + 0.02::DOUBLE, 0.2::DOUBLE) ELSE r.speed END FROM ref r JOIN nb b ON b.symbol = r.symbol AND b.n = r.n + 1),
+std AS (SELECT symbol, n, true AS up, low AS stop, high AS extreme, 0.02::DOUBLE AS speed FROM nb WHERE n = 1
+  UNION ALL SELECT symbol, n, CASE WHEN turn THEN NOT up ELSE up END,
+    CASE WHEN turn THEN extreme WHEN up THEN least(t, pl) ELSE greatest(t, ph) END,
+    CASE WHEN turn THEN CASE WHEN up THEN low ELSE high END WHEN up THEN greatest(extreme, high) ELSE least(extreme, low) END,
+    CASE WHEN turn THEN 0.02::DOUBLE WHEN CASE WHEN up THEN high > extreme ELSE low < extreme END THEN least(speed + 0.02::DOUBLE, 0.2::DOUBLE) ELSE speed END
+  FROM (SELECT *, CASE WHEN up THEN low < t ELSE high > t END AS turn FROM (SELECT b.symbol, b.n, b.low, b.high, b.pl, b.ph, r.up, r.extreme, r.speed, r.stop + r.speed * (r.extreme - r.stop) AS t FROM std r JOIN nb b ON b.symbol = r.symbol AND b.n = r.n + 1)))"""
+
 ORACLES = {
     "bar_load": f"""WITH {DIRTY_SQL}
 , filled AS (SELECT symbol, date, {", ".join(f"{_FILL(c)} AS {c}" for c in B.PRICES)}, coalesce(volume, 0) AS volume FROM dirty)
@@ -295,7 +314,7 @@ SELECT symbol, date, round(100 * (close / nullif(lag(close, 10) OVER s, 0) - 1),
     "volatility_features": f"WITH {BARS_SQL}, {_VOLATILITY} SELECT symbol, date, {r(lagged([c for c in VL if c != "true_range"]))}, {r(lagged(["true_range"]), TICKS)} FROM vola {S}",
     "trend_features": f"WITH {BARS_SQL}, {_DX}, f AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in _TREND.items())} FROM dx) SELECT symbol, date, {r(lagged(list(_TREND)))} FROM f {S}",
     "rank_features": f"""WITH {BARS_SQL}, {_VOLATILITY}, f AS (SELECT symbol, date, lag(ret) OVER s AS return_1lag, lag(close) OVER s / nullif(lag(close, 8) OVER s, 0) - 1 AS return_7d_1lag, lag(volatility_20) OVER s AS volatility_20, lag(atr) OVER s AS atr FROM vola {S})
-SELECT symbol, date, {r({f"{c}_pctile": _PCTILE(c) for c in ("return_1lag", "return_7d_1lag", "volatility_20", "atr")})} FROM f""",
+SELECT symbol, date, {r({f"{c}_pctile": _PCTILE(f"round({c}, 9)") for c in ("return_1lag", "return_7d_1lag", "volatility_20", "atr")})} FROM f""",
     "fund_features": f"""WITH {BARS_SQL}, {FUND_SQL}, wide AS (SELECT date, {", ".join(f"max(CASE WHEN symbol = '{e}' THEN close END) AS {e}" for e in FUNDS)} FROM bars WHERE symbol IN ('NATION_0', 'NATION_1', 'NATION_2') GROUP BY date),
 carried AS (SELECT date, {", ".join(f"last_value({e} IGNORE NULLS) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING) AS {e}" for e in FUNDS)} FROM wide),
 moved AS (SELECT date, {", ".join(f"{e} / nullif(lag({e}) OVER (ORDER BY date), 0) - 1 AS {e}" for e in FUNDS)} FROM carried),
@@ -310,3 +329,35 @@ SELECT symbol, date, {", ".join(f"ETF_map_{e}" for e in FUNDS)}, {r(["stock_retu
 e AS (SELECT *, {roll("avg", "up", 14)} AS u, {roll("avg", "down", 14)} AS w, close / nullif({roll("avg", "close", 20)}, 0) - 1 AS sma_ratio_20 FROM d), f AS (SELECT *, 100 * u / nullif(u + w, 0) AS rsi_14 FROM e)
 SELECT symbol, date, {r(lagged(["rsi_14", "sma_ratio_20"]))} FROM f {S}""",
 }
+
+ORACLES["parabolic_stop"] = f"WITH RECURSIVE {_SAR} SELECT symbol, date, round(ref.stop + {HALF}, 6) AS sar, round(std.stop + {HALF}, 6) AS sar_standard FROM nb JOIN ref USING (symbol, n) JOIN std USING (symbol, n)"
+
+
+def _unrounded(name: str) -> str:
+    """A query's SQL with all its digits."""
+    return ORACLES[name].replace(", 6) AS", ", 15) AS").replace(f", {TICKS}) AS", ", 15) AS")
+
+
+_CALENDAR = ["day_of_week", "month", "quarter", "is_month_end", "is_quarter_end", "is_year_end"]
+_GROUPS = {"price_features": PX, "volume_features": VO, "technical_features": TI, "momentum_features": ["williams_r", "cci", "mfi"], "volatility_features": VL, "trend_features": ["adx", *ICHIMOKU]}
+
+
+def _table_sql(groups: list[str], ranked: list[str], stop: bool) -> str:
+    """The feature table from the SQL of its groups; ranks are over all symbols, rows of funds go afterwards."""
+    parts = [f"g{i} AS MATERIALIZED ({_unrounded(g)})" for i, g in enumerate(groups)]
+    names = [c for g in groups for c in _GROUPS[g]]
+    if stop:
+        parts.append(f"stops AS MATERIALIZED (WITH RECURSIVE {_SAR} SELECT symbol, date, lag(close / nullif(stop, 0) - 1) OVER s AS sar_ratio FROM nb JOIN ref USING (symbol, n) {S})")
+        names.append("sar_ratio")
+    joined = " ".join(["FROM g0", *[f"JOIN g{i} USING (symbol, date)" for i in range(1, len(groups))], *["JOIN stops USING (symbol, date)"] * stop])
+    parts.append(f"ranks AS (SELECT symbol, date, {', '.join(names)}, {', '.join(f'{_PCTILE(f"round({c}, 9)")} AS {c}_pctile' for c in ranked)} {joined})")
+    parts += [f"funds AS ({_unrounded('fund_features')})", f"moments AS ({_unrounded('target_calendar')})"]
+    shown = [*names, *[f"{c}_pctile" for c in ranked], *FUND_COLUMNS, "target"]
+    flags = [f"{c}::BIGINT AS {c}" for c in [*[f"ETF_map_{e}" for e in FUNDS], *_CALENDAR]]
+    exact = set(PX) | {"true_range"}
+    rounds = [f"round({c}, {TICKS if c in exact else 6}) AS {c}" for c in shown]
+    return f"WITH {', '.join(parts)} SELECT symbol, date, {', '.join(rounds + flags)} FROM ranks JOIN funds USING (symbol, date) JOIN moments USING (symbol, date)"
+
+
+ORACLES["feature_table"] = _table_sql(list(_GROUPS), X.RANKED, True)
+ORACLES["technical_table"] = _table_sql(["technical_features"], ["rsi_14", "sma_ratio_20", "macd_pct", "bb_position"], False)
