@@ -167,6 +167,35 @@ def test_pipeline_drops_near_copies_of_jaccard_08(spark, empty):
     assert similar.drop_similar(empty).count() == 0
 
 
+def test_similar_links_of_stars_chains_and_stragglers(spark, monkeypatch):
+    """One large group of copies around an original, with and without it, and copies too far from it that are near each other: exact components, few pairs."""
+    r = random.Random(12)
+    base = [f"b{i}" for i in range(146)]
+    changed = lambda w, places: [f"c{r.randrange(3)}" if i in places else x for i, x in enumerate(w)]
+    values = [base, *(changed(base, set(r.sample(range(146), r.choice((1, 2, 3, 6, 9))))) for _ in range(150))]
+    far = changed(base, set(range(0, 146, 11)))
+    values += [far, changed(far, {4}), changed(changed(far, {4}), {70})]
+    rows = [(i, " ".join(w)) for i, w in enumerate(values)]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in values]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) / len(a | b) >= 0.8:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    tried = []
+    plain = similar.verified
+    monkeypatch.setattr(similar, "verified", lambda pairs, *rest: tried.append(pairs.count()) or plain(pairs, *rest))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {x.doc_id: x.component_id for x in similar.similar_components(df).collect()} == {i: find(i) for i in range(len(rows))}
+    assert sum(tried) < 0.25 * len(rows) * (len(rows) - 1) / 2, tried
+
+
 def test_pigeonring_keys_miss_nothing(spark):
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(40)]
