@@ -776,3 +776,48 @@ def test_pipeline_stages(spark):
         assert len(after) == len(set(after)) and set(after) <= before, name
         kept = new
     assert p.run(spark, SF).count() == kept.count()
+
+
+def test_pipeline_of_edge_cases_against_brute_force(spark, tmp_path):
+    """Null, empty and repeated rows, a null id, clashing columns and copies through all stages, each against a plain computation; then empty tables."""
+    import corpus_pipeline as p
+
+    r = random.Random(8)
+    say = lambda n: " ".join(r.choice("alpha beta gamma delta omega sigma kappa lambda mu nu".split()) + str(r.randrange(60)) for _ in range(n))
+    item = " ".join(f"q{i}" for i in range(40))
+    rows = [(i, f"Top line\n{say(40)}" + " vilefoo" * (i % 5 == 0), "en", "s1") for i in range(150)]
+    rows += [(200 + i, rows[i][1] + " more", "en", "s1") for i in range(10)] + [(300 + i, f"{say(30)} {item} {say(3)}", "de", "s2") for i in range(8)]
+    rows += [(400, None, None, None), (401, "", "en", "s2"), (402, " ", "en", None), (None, say(25), "fr", "s2"), (403, say(20), "fr", "s2"), (403, rows[-1][1], "de", "s2")]
+    rows += [rows[1], rows[1]]
+    schema = "doc_id bigint, text string, lang string, source string"
+    docs = spark.createDataFrame(rows, schema).withColumns({"n_chars": F.length("text"), "fp": F.lit("clash"), "seed": F.lit("clash"), "score": F.lit(1)})
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(150)], "doc_id bigint, quality int, toxic int")
+    bench = spark.createDataFrame([(1, item), (2, None)], "item_id bigint, text string")
+
+    def run(docs, labels, bench, name):
+        for table_name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+            df.write.parquet(f"{tmp_path}/{name}/{table_name}.parquet")
+        return p.run(spark, f"{tmp_path}/{name}").collect()
+
+    got = run(docs, labels, bench, "full")
+    model = toxicity.train(docs, labels.where(~p.in_fold(F.col("doc_id"), 4, 2)))
+    left = [(d, t, s) for d, t, _, s in rows if model.score([t or ""])[0] < 0.3]
+    assert 120 < len(left) < len(rows)
+    pages, seen = Counter(s for _, _, s in left), Counter((s, x) for _, t, s in left for x in {y.strip(" ") for y in (t or "").split("\n")} - {""})
+    gone = {k for k, n in seen.items() if n >= 5 and n > 0.05 * pages[k[0]]}
+    left = [(d, None if t is None else "\n".join(x for x in t.split("\n") if (s, x.strip(" ")) not in gone), s) for d, t, s in left]
+    assert not any("Top line" in (t or "") for _, t, _ in left)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for w in (words((t or "").lower()) for _, t, _ in left)]
+    group = list(range(len(left)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) / len(a | b) >= 0.8:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    first = {}
+    for (d, t, _), g in zip(left, group):
+        if g not in first or d is not None and (first[g][0] is None or d < first[g][0]):
+            first[g] = (d, t)
+    left = [(d, t) for (d, t, _), g in zip(left, group) if (d, t or "") == (first[g][0], first[g][1] or "") and not (t and item in t)]
+    assert Counter((x.doc_id, x.decoded_sha256) for x in got) == Counter((d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t in left)
+    assert run(docs.limit(0), labels.limit(0), bench.limit(0), "empty") == []
