@@ -10,8 +10,8 @@ from tidemark.operators import features as X
 from tidemark.operators import model as L
 from tidemark.sources.fixtures import bars, table
 
-#: The split of the fixture's days, and fewer trees than the estimators' defaults.
-SPLIT, TREES = "1999-01-01", 20
+#: The split of the fixture's days.
+SPLIT = "1999-01-01"
 COLUMNS = ["open_close_change_pct_1lag", "hl_spread_pct_1lag", "close_open_ratio_1lag", "gap_pct_1lag", "return_1lag", "return_2lag", "return_7d_1lag", "volatility_20", "atr", "day_of_week", "is_month_end"]
 
 
@@ -23,7 +23,7 @@ def _panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def forecast_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of each model, and of the ensemble of boosting and forest, on all rows after the split."""
     train, test = _panel(spark, sf_dir)
-    models = {"boosting": L.gradient_boosting(TREES, 0.1), "forest": L.random_forest(TREES), "linear": L.linear(), "huber": L.huber(), "lasso": L.lasso()}
+    models = {"boosting": L.gradient_boosting(), "forest": L.random_forest(), "linear": L.linear(), "huber": L.huber(), "lasso": L.lasso()}
     found = L.forecasts(train, test, COLUMNS, models, blends={"ensemble": ["boosting", "forest"]})
     clipped = V.clip_predictions(found, train)
     return V.scores(clipped, "model").select("model", "n", *[F.round(c, 9).alias(c) for c in ("rmse", "rmse_zero", "improvement_pct", "accuracy", "spearman")])
