@@ -243,3 +243,55 @@ def test_models_recover_a_line(spark):
     assert len(L.explained_variance(L.fit_preparation(train, columns, 2))) == 2
     with pytest.raises(ValueError):
         L.forecasts(train, test, columns, {})
+
+
+def test_tfidf_against_brute_force(spark):
+    """Terms of one and two words, smooth idf and unit length, by plain counting; null and empty texts have no terms."""
+    import re
+    from collections import Counter
+
+    from pyspark.ml.feature import StopWordsRemover
+
+    rows = [(1, "Rates rise again", "markets fall as rates rise"), (2, "Markets fall", None), (3, None, ""), (4, "rates", "rates rates rise markets")]
+    stop = set(StopWordsRemover.loadDefaultStopWords("english"))
+    terms = {}
+    for i, a, b in rows:
+        w = [x for x in re.findall(r"\w\w+", f"{a or ''} {b or ''}".lower()) if x not in stop]
+        terms[i] = Counter(w + [" ".join(x) for x in zip(w, w[1:])])
+    df = Counter(t for c in terms.values() for t in c)
+    want = {}
+    for i, c in terms.items():
+        raw = {t: n * (math.log((1 + len(rows)) / (1 + df[t])) + 1) for t, n in c.items()}
+        length = math.sqrt(sum(v * v for v in raw.values()))
+        want |= {(i, t): v / length for t, v in raw.items()}
+    got = {(r.id, r.term): r.weight for r in N.tfidf(spark.createDataFrame(rows, "id int, headline string, description string"), ["headline", "description"]).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_correlated_columns_against_pandas(spark):
+    from tidemark.operators.evaluate import correlated_columns
+
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=(2, 200))
+    frame = pd.DataFrame({"a": a, "b": b, "a2": 3 * a + 0.01 * b, "c": rng.normal(size=200), "b2": 0.5 * b})
+    corr, var = frame.corr().abs(), frame.var()
+    dropped = set()
+    for i, c in enumerate(frame.columns):
+        near = [x for x in frame.columns[:i] if corr.loc[c, x] > 0.8]
+        if near:
+            dropped |= {*near, c} - {max([*near, c], key=lambda x: var[x])}
+    assert set(correlated_columns(spark.createDataFrame(frame), list(frame.columns), 0.8)) == dropped == {"a", "b2"}
+
+
+def test_permutation_importance_and_families(spark):
+    """Dealing a used feature to other rows makes the error rise, an unused one not; families by beginnings."""
+    from tidemark.operators import evaluate as V
+
+    df = spark.sql("SELECT date_add(DATE '2024-01-01', (id % 100)::int) AS date, 's' || (id div 100) AS symbol, sin(id) AS vix_a, cos(id * 3) AS news_b, 2 * sin(id) AS actual FROM range(2000)")
+    found = V.permutation_importance(df, ["vix_a", "news_b"], lambda x: x.withColumn("prediction", 2 * F.col("vix_a")), repeats=2)
+    got = {r.feature: r.importance for r in found.collect()}
+    assert got["vix_a"] > 1 and got["news_b"] == pytest.approx(0)
+    names = ["news_emb_3", "news_mean", "insider_buys", "revision_net", "vix_regime", "cpi_mom", "return_1lag"]
+    out = spark.createDataFrame([(n,) for n in names], "f string").select(V.family(F.col("f"))).collect()
+    assert [r[0] for r in out] == ["news_embedding", "news_sentiment", "alternative", "alternative", "macro", "macro", "price/tech"]
+    assert {r.family: r.n for r in V.family_importance(found).collect()} == {"macro": 1, "news_sentiment": 1}
