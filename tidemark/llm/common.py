@@ -41,6 +41,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, rows: int = 100_000, least: int = 8) -> DataFrame:
+    """`df`, checkpointed and in as many partitions as its rows need, `least` at least: the many steps over a small table then shuffle few files."""
+    df = checkpointed(df)
+    return df.coalesce(max(least, -(-df.count() // rows)))
+
+
 def store(df: DataFrame) -> str:
     """Place of a Parquet table with the rows of `df`, in the shared checkpoint folder."""
     path = f"{checkpoint_folder(df.sparkSession)}/tidemark-{uuid4().hex}"
