@@ -41,10 +41,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def compact(df: DataFrame, rows: int = 100_000, least: int = 8) -> DataFrame:
-    """`df`, checkpointed and in as many partitions as its rows need, `least` at least: the many steps over a small table then shuffle few files."""
+def tasks_for(rows: int, each: int = 100_000, least: int = 8) -> int:
+    """Tasks for so many small rows."""
+    return max(least, -(-rows // each))
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """`df`, checkpointed and in no more partitions than its rows need: the many steps over a small table then shuffle few files."""
     df = checkpointed(df)
-    return df.coalesce(max(least, -(-df.count() // rows)))
+    return df.coalesce(tasks_for(df.count()))
 
 
 def store(df: DataFrame) -> str:

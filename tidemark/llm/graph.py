@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, compact
+from tidemark.llm.common import checkpointed, tasks_for
 
 
 def _star(edges: DataFrame, tasks: int) -> DataFrame:
@@ -21,8 +21,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     checkpoint folder, which also holds when executors are lost. Tasks follow the number of edges. Null ends are ignored; no
     edges give no rows. Loops and repeated edges do no harm."""
     edges = edges.select("u", "v").where("u != v")
-    edges = compact(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    tasks = edges.rdd.getNumPartitions()
+    edges = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    tasks = tasks_for(edges.count())
+    edges = edges.coalesce(tasks)
     before = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
