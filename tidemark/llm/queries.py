@@ -11,10 +11,12 @@ from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.html import extract_text
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.lm import lm_scores
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.pii import pii_digest
 from tidemark.llm.quality import quality_filter
 from tidemark.llm.simhash import hex_fingerprint, simhash_components
 from tidemark.llm.substring import substring_dedup
+from tidemark.llm.topk import exact_top_k
 from tidemark.llm.toxicity import toxicity_scores, train
 
 #: Rank file of the encoding query, by its name among the public tokenizers.
@@ -78,6 +80,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector with all others."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +102,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_html": op9_html,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_top_k": op11_top_k,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -128,5 +143,25 @@ gone_at AS (SELECT doc_id, unnest(g) AS i FROM gone),
 word_at AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM docs),
 left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM word_at ANTI JOIN gone_at USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM docs d LEFT JOIN left_over USING (doc_id)
+""",
+    "op11_top_k": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+rows AS (SELECT vec_id, min(v) AS v FROM v GROUP BY vec_id),
+scored AS (SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score FROM rows q JOIN rows r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_hard_negatives": r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+firsts AS (SELECT vec_id, min({'v': v, 'label': label}) AS r FROM v GROUP BY vec_id),
+rows AS (SELECT vec_id, r.v AS v, r.label AS label FROM firsts),
+scored AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same),
+near AS (SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+         FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND p.place <= 5 AND NOT s.same AND 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM near WHERE rank <= 3
 """,
 }
