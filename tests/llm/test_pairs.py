@@ -101,13 +101,14 @@ def test_scores_beyond_64_bits_are_refused(spark):
 
 def test_reading_sorted_lists_stops_early_and_keeps_the_best():
     random = np.random.default_rng(4)
-    values = random.integers(-600, 600, (4000, 8))
-    lists, query = Lists(np.arange(4000), values), random.integers(-600, 600, 8)
-    scores = values @ query
-    kth = np.sort(scores)[-10]
-    for floor in (-np.inf, float(kth)):
-        places, read = lists.read(query, floor, 10)
-        assert read < 4000 and set(np.flatnonzero(scores >= kth)) <= set(places)
+    values, queries = random.integers(-600, 600, (4000, 8)), random.integers(-600, 600, (20, 8))
+    lists, scores = Lists(np.arange(4000), values), values @ queries.T
+    kth = np.sort(scores, axis=0)[-10]
+    for floor in (np.full(20, -np.inf), kth.astype(float)):
+        stopped = list(lists.open_rows(queries, floor, 10))
+        assert sorted(q for q, _, _ in stopped) == list(range(20))
+        for q, places, read in stopped:
+            assert read < 4000 and len(places) <= 40 and set(np.flatnonzero(scores[:, q] >= kth[q])) <= set(places)
 
 
 @pytest.mark.parametrize("shape", [(1, 1, 1), (70, 64, 131), (33, 35, 37), (5, 200, 3), (0, 4, 5), (128, 64, 256)])

@@ -1,13 +1,16 @@
 """Exact search of the highest inner products by aggregation of sorted lists without random access.
 
-Every dimension of a slab of rows is a list sorted by its component. A query reads all lists in step, each from the end
-that favours it. What has been read bounds each row's score from below (unread components at the list's worst value)
-and from above (unread ones at the value the list has reached). Reading stops once few rows are left whose upper bound reaches the
-k-th best lower bound, which slabs hand on; only these rows' scores are then made exact, in integers.
+Every dimension of a slab of rows is a list sorted by its component. The queries of a block read all lists in step, each query from
+the end that favours it, so what has been read is the same for all of them. It bounds each row's score for a query from below (unread
+components at the list's worst value) and from above (unread ones at the value the list has reached). A query stops once few rows
+are left whose upper bound reaches its k-th best lower bound, which slabs hand on; only these rows' scores are then made
+exact, in integers. Bounds are floating-point sums with a margin over their error, so no row is lost to rounding.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tiles import integer_vectors, matrix, over_tiles, widened
 
-#: Rows whose lists are sorted together, steps in which lists are read, and open rows for each wanted one at which reading stops.
-SLAB, STEPS, FEW = 16384, 8, 4
+#: Rows whose lists are sorted together, queries that read them together, steps of reading, and open rows for each wanted one at which a query stops.
+SLAB, BATCH, STEPS, FEW = 8192, 256, 8, 4
 
 
 class Lists:
@@ -24,49 +27,62 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(values.T, self.order, 1).astype(float)
-        self.unread = np.empty(values.shape)
-
-    def read(self, query: np.ndarray, floor: float, k: int) -> tuple[np.ndarray, int]:
-        """Places of all rows that may reach the k best or `floor`, whichever is higher, and the entries read of each list."""
-        n, weight = len(self.ids), query.astype(float)
-        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        dims = np.concatenate([up, down])
-        slack = 1e-9 * (1 + float(np.abs(weight) @ np.abs(self.sorted[:, [0, -1]]).max(axis=1)))
-        known, open_rows, at = np.zeros(n), np.arange(n), 0
-        self.unread[:] = 1
-        worst = np.zeros(len(weight))
-        worst[up], worst[down] = weight[up] * self.sorted[up, 0], weight[down] * self.sorted[down, -1]
-        step = max(64, -(-n // STEPS))
-        while len(dims) and at < n and len(open_rows) > FEW * k:
+        self.order = np.argsort(values, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(values, self.order, 0).astype(float)
+
+    def depths(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Reads the lists on, step by step: entries read of each, what is read of every row from the upper and from the lower
+        end (side by side), and ones where nothing is."""
+        n, d = self.values.shape
+        read, unread, dims = np.zeros((n, 2 * d)), np.ones((n, 2 * d)), np.arange(d)
+        step, at = max(1, -(-n // STEPS)), 0
+        while at < n:
             to = min(n, at + step)
-            places = np.concatenate([self.order[up, n - to : n - at], self.order[down, at:to]])
-            found = np.concatenate([self.sorted[up, n - to : n - at], self.sorted[down, at:to]]) * weight[dims, None]
-            known += np.bincount(places.ravel(), found.ravel(), n)
-            self.unread[places, dims[:, None]] = 0
-            reached = np.zeros(len(weight))
-            if to < n:
-                reached[up], reached[down] = weight[up] * self.sorted[up, n - to - 1], weight[down] * self.sorted[down, to]
-            bounds = self.unread @ np.stack([worst, reached], 1)
+            for part, side in ((slice(n - to, n - at), 0), (slice(at, to), d)):
+                places, columns = self.order[part], dims + side
+                read[places, columns], unread[places, columns] = self.sorted[part], 0
+            yield to, read, unread
+            at = to
+
+    def open_rows(self, queries: np.ndarray, floor: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, int]]:
+        """For each query, as it stops: its place, those of all rows that may reach its k best or its floor, whichever is higher,
+        and the entries that it read of each list."""
+        n, d = self.values.shape
+        weight = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], 1).astype(float)
+        least, most = np.concatenate([self.sorted[0], self.sorted[-1]]), np.concatenate([self.sorted[-1], self.sorted[0]])
+        slack = 1e-9 * (1 + np.abs(weight) @ np.maximum(np.abs(least), np.abs(most)))
+        worst, going, floor = weight * least, np.arange(len(queries)), floor.copy()
+        for at, read, unread in self.depths():
+            reached = weight[going] * (np.concatenate([self.sorted[n - at - 1], self.sorted[at]]) if at < n else 0)
+            # while a row of which nothing is read can qualify, no query can stop
+            due = (reached.sum(1) < floor[going]) | np.isneginf(floor[going]) | (at == n)
+            now, reached = going[due], reached[due]
+            if not len(now):
+                continue
+            known = weight[now] @ read.T
             if n >= k:
-                floor = max(floor, np.partition(known + bounds[:, 0], n - k)[n - k] - slack)
-            open_rows, at = np.flatnonzero(known + bounds[:, 1] + slack >= floor), to
-        return open_rows, at
-
-
-def best_of(lists: list[Lists], query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact scores of the k best rows of all slabs but the query's own, ties to the smaller id."""
-    ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for slab in lists:
-        floor = float(scores[-1]) if len(scores) == k else -np.inf
-        places, _ = slab.read(query, floor, k + 1)  # one more, as the query's own row may be among the best
-        places = places[slab.ids[places] != query_id]
-        ids = np.concatenate([ids, slab.ids[places]])
-        scores = np.concatenate([scores, slab.values[places] @ query])
-        kept = np.lexsort((ids, -scores))[:k]
-        ids, scores = ids[kept], scores[kept]
-    return ids, scores
+                lower = known + worst[now] @ unread.T
+                floor[now] = np.maximum(floor[now], np.partition(lower, n - k, axis=1)[:, n - k] - slack[now])
+            able = known + reached @ unread.T >= (floor[now] - slack[now])[:, None]
+            stops = able.sum(1) <= FEW * k if at < n else np.ones(len(now), bool)
+            for i in np.flatnonzero(stops):
+                yield now[i], np.flatnonzero(able[i]), at
+            going = np.setdiff1d(going, now[stops], assume_unique=True)
+            if not len(going):
+                break
+
+
+def best_of(slabs: list[Lists], query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, row ids and exact scores: the k best rows of all slabs but each query's own, ties to the smaller id."""
+    ids, scores = [np.zeros(0, np.int64)] * len(queries), [np.zeros(0, np.int64)] * len(queries)
+    for slab in slabs:
+        floor = np.array([float(s[-1]) if len(s) == k else -np.inf for s in scores])
+        for q, places, _ in slab.open_rows(queries, floor, k + 1):  # one more, as the query's own row may be among the best
+            places = places[slab.ids[places] != query_ids[q]]
+            own, score = np.concatenate([ids[q], slab.ids[places]]), np.concatenate([scores[q], slab.values[places] @ queries[q]])
+            kept = np.lexsort((own, -score))[:k]
+            ids[q], scores[q] = own[kept], score[kept]
+    return np.repeat(query_ids, [len(x) for x in ids]), np.concatenate([*ids, np.zeros(0, np.int64)]), np.concatenate([*scores, np.zeros(0, np.int64)])
 
 
 def exact_top_k(df: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -79,15 +95,11 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     rows = integer_vectors(df, scale, is_query.alias("asked"), id_col=id_col, vector_col=vector_col)
 
     def search(queries: pa.Table, share: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if queries.num_rows and share.num_rows:
-            wanted, values = widened(matrix(queries["v"]), matrix(share["v"]))
-            ids = share["id"].to_numpy()
-            slabs = [Lists(ids[i : i + SLAB], values[i : i + SLAB]) for i in range(0, len(ids), SLAB)]
-            for query_id, query in zip(queries["id"].to_pylist(), wanted):
-                found, scores = best_of(slabs, query_id, query, k)
-                out.append((np.full(len(found), query_id), found, scores))
-        columns = [np.concatenate(x).astype(np.int64) for x in zip(*out)] or [np.zeros(0, np.int64)] * 3
+        wanted, values = widened(matrix(queries["v"]), matrix(share["v"]))
+        asked, ids = queries["id"].to_numpy(), share["id"].to_numpy()
+        slabs = [Lists(ids[i : i + SLAB], values[i : i + SLAB]) for i in range(0, len(ids), SLAB)]
+        out = [best_of(slabs, asked[i : i + BATCH], wanted[i : i + BATCH], k) for i in range(0, len(asked), BATCH)]
+        columns = [np.concatenate([*x, np.zeros(0, np.int64)]) for x in zip(*out)] or [np.zeros(0, np.int64)] * 3
         return pa.table(columns, names=["query_id", "vec_id", "score"])
 
     found = over_tiles(rows.where("asked").select("id", "v"), rows.select("id", "v"), search, "query_id bigint, vec_id bigint, score bigint")
