@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_digest
+from tidemark.llm.collocations import collocations
 from tidemark.llm.common import in_fold, table
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.html import extract_text
@@ -85,6 +86,11 @@ def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of highest score of each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three hard negatives for each of five positives of every fiftieth vector."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -103,6 +109,7 @@ QUERIES = {
     "op9_html": op9_html,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_top_k": op11_top_k,
+    "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -151,6 +158,22 @@ rows AS (SELECT vec_id, min(v) AS v FROM v GROUP BY vec_id),
 scored AS (SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score FROM rows q JOIN rows r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id),
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_collocations": r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS parts FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(parts) AS part FROM docs)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+phrases AS (SELECT lang, w[i:i+m-1] AS p, count(*) AS f FROM places, (VALUES (1), (2), (3), (4), (5)) AS lengths(m) WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+inner_parts AS (SELECT lang, f, p, unnest(range(2, len(p))) AS m FROM phrases WHERE len(p) > 2),
+inside AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, f, unnest(list_transform(range(1, len(p) - m + 2), lambda i: p[i:i+m-1])) AS part FROM inner_parts) GROUP BY lang, part),
+alone AS (SELECT c.lang, c.p, c.f AS a FROM phrases c LEFT JOIN inside i ON c.lang = i.lang AND c.p = i.part WHERE len(c.p) > 1 AND (i.f IS NULL OR 100 * i.f < 100 * c.f)),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM alone),
+scored AS (SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+           FROM cuts c JOIN totals t ON c.lang = t.lang JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN phrases y ON y.lang = c.lang AND y.p = c.p[k+1:]),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM scored),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """,
     "op13_hard_negatives": r"""
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
