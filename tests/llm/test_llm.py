@@ -659,6 +659,48 @@ def test_html_structure_rules(page, text):
     assert html.main_text(page) == text
 
 
+WRAPPERS = [
+    "{}",
+    '<div id="page" class="has-sidebar">{}</div>',
+    '<div class="no-sidebar content">{}</div>',
+    '<div class="page with-sidebar"><div class="wrap">{}</div><div class="sidebar"><p>Side</p></div></div>',
+    '<body class="post comments-open sidebar-right">{}</body>',
+    '<div class="widget-area"><nav>Menu</nav>{}</div>',
+    '<nav>Home</nav><header>Site</header>{}<footer>Foot</footer>',
+    '<div class="site-header">Name</div>{}<div class="site-footer"><p>Contact</p></div>',
+    '<aside><article>Other</article></aside>{}<div class="related-posts"><article class="teaser">More</article></div>',
+    '<div id="cookie-consent-banner">We use cookies</div>{}<div id="responses"><article>Nice!</article></div>',
+]
+INNER = [
+    ("<h1>T</h1><p>Body</p>", "T\nBody"),
+    ('<div class="ad-free-content"><p>B</p></div><div class="story-ad-free">C</div>', "B\nC"),
+    ('<p class="subscription-price">Price rose</p><p id="promo-code">Code</p>', "Price rose\nCode"),
+    ("İ<SCRIPT>x</SCRIPT><p>after</p><Style>y</STYLE\n><p>end</p>", "İ\nafter\nend"),
+    ('<p>A</p><div class="user-comment">No</div><div id="responses">No</div><div class="comment-body"><p>No</p></div>', "A"),
+    ("<p>B <label>inline label</label></p><form><label>Mail</label><input></form>", "B inline label"),
+    ('<p>A</p><p hidden>No</p><div style="color:red; display : none">No</div><p title="a hidden note">B</p>', "A\nB"),
+    ('<p>A</p><div class="google-ad inline">No</div><div class="newsletter-signup"><p>No</p></div><p>B</p>', "A\nB"),
+    ('<p>One &amp; two&nbsp;\n three</p><ul><li>x<li>y</ul><div class="ad">No</div>', "One & two three\nx\ny"),
+    ('<header class="entry-header"><h2>Head</h2></header><blockquote>Quote</blockquote><footer>No</footer><p>Response time fell</p>', "Head\nQuote\nResponse time fell"),
+]
+
+
+@pytest.mark.parametrize("inner, text", INNER)
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_html_layouts(wrapper, inner, text):
+    for tag in ("article", "main"):
+        assert html.main_text("<!DOCTYPE html><html>" + wrapper.format(f"<{tag}>{inner}</{tag}>") + "</html>") == text
+
+
+@pytest.mark.parametrize("page", ["<span>" * 40_000 + "</i>" * 40_000, "<article><i><div>" + "<span>" * 40_000 + "</i>" * 40_000, "<p>" * 40_000, "<div>" * 40_000 + "<li>" * 40_000, "<script>" * 40_000, "<textarea></textarea" * 20_000, "<a '\">" * 40_000, "<ul>" * 20_000 + "<li><p>" * 20_000 + "</ul>" * 20_000])
+def test_html_takes_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 10  # quadratic ones take minutes
+
+
 def test_html_template_inside_articles_goes_and_near_copies_stay(spark):
     """Against a dictionary by host: a notice in most articles goes; paragraphs of near copies and a rarer passage stay."""
     r = random.Random(2)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -22,16 +22,22 @@ from tidemark.llm.common import checkpointed, pieces
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
 #: Elements that never hold main text.
-DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input label fieldset iframe object embed svg canvas audio video map menu dialog datalist xmp noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input fieldset iframe object embed svg canvas audio video map menu dialog datalist xmp noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of class and id values that mark what is no main text, whatever stands beside them.
-MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent popup comments disqus newsletter subscribe subscription pagination pager".split())
-#: Words that mark only as a whole name, or with one of these endings.
-WEAK_MARKS = frozenset("header masthead banner menu share sharing social related recommended notice notices promotion comment respond replies login signup skip modal overlay toolbar".split())
+#: Words of class and id names that mark what is no main text, where all other words of the name only say what part or place it is.
+MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation breadcrumb breadcrumbs footer sidebar aside widget widgets cookie cookies consent popup disqus newsletter subscribe subscription pagination pager".split())
+#: Words that mark reader comments in any name, but for blocks that hold sentences.
+COMMENTS = frozenset("comment comments commentlist respond response responses reply replies disqus".split())
+#: Words that mark outside articles in the same way, inside only as a whole name or with one of the endings.
+WEAK_MARKS = frozenset("header masthead banner menu share sharing social related recommended notice notices promotion respond replies login signup skip modal overlay toolbar".split())
 ENDINGS = frozenset("s bar block box buttons container form icons items links list nav posts section text top wrap wrapper".split())
+#: Words beside a mark that leave it one, and first or last words that only tell of it (a page that has a sidebar, comments that are closed).
+PARTS = ENDINGS | frozenset("area article body bottom button center central col column content contents desktop entry fixed global google group holder home inline inner item label left link lower main mini mobile module outer page panel panels part placeholder post primary region right root row secondary side site slot small sticky story sub tertiary third title trail unit upper view web zone".split())
+TELLING = frozenset("has have with without no not non hide hides show is as if".split())
+STATES = frozenset("open opened closed enabled disabled active allowed count off on free".split())
 #: Names of an article or main element that is none.
-NO_ARTICLE = frozenset("ad advert advertisement comment comments promo related reply response sponsored teaser widget".split())
+NO_ARTICLE = frozenset("ad advert advertisement comment comments comment-body promo related reply response sponsored teaser widget".split())
 #: Names that a heading group inside an article may have, and blocks that hold sentences: weak marks do not remove them there.
 HEADINGS = frozenset("header masthead banner".split())
 SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote dd dt figcaption td th caption".split())
@@ -42,7 +48,9 @@ BORDERS = frozenset("article aside body div footer form header html main nav sec
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _REST = re.compile(r"[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>")
-_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?![A-Za-z0-9-])", re.I | re.A) for tag in RAW}
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -54,12 +62,52 @@ class Node:
         self.tag, self.marks, self.children, self.inner = tag, marks, [], False
 
 
+def _marks(attributes: str) -> str:
+    """What class, id and role of a start tag say, and whether it hides the element."""
+    found = []
+    for name, *values in _ATTR.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name in ("class", "id", "role"):
+            found.append(f"{name}={value.lower()}")
+        elif name == "hidden" or name == "style" and _UNSEEN.search(value):
+            found.append("hidden")
+    return " ".join(found)
+
+
+class _Open:
+    """The open elements, with the places of each tag and of the borders, so that no end tag has to search them."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places, self.borders = [root], {}, [0]
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BORDERS:
+            self.borders.append(len(self.stack))
+        self.stack.append(node)
+
+    def close_from(self, place: int, border: int = 0) -> None:
+        """Closes the element at a place and all inside it, if it stands within the border."""
+        if place and place >= border:
+            for node in self.stack[place:]:
+                self.places[node.tag].pop()
+                if node.tag in BORDERS:
+                    self.borders.pop()
+            del self.stack[place:]
+
+
 def parse(source: str) -> Node:
-    """Tree of elements; children are nodes and strings. Unclosed elements end with their parents, a tag cut off by the end of the page goes."""
+    """Tree of elements; children are nodes and strings. Unclosed elements end with their parents, a tag cut off by the end of the page goes.
+
+    Time is in proportion to the length of the page, whatever its tags."""
     root = Node("html")
-    stack = [root]
+    opened = _Open(root)
+    stack = opened.stack
     at, n = 0, len(source)
-    lower = None
     while at < n:
         lt = source.find("<", at)
         if lt < 0:
@@ -99,84 +147,78 @@ def parse(source: str) -> Node:
             stop = end + 1
         at = stop
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in BORDERS and tag in INLINE:
-                    break
+            opened.close_from(opened.last((tag,)), opened.borders[-1] if tag in INLINE else 0)
             continue
         if tag in ("html", "body"):
             continue
         if tag in P_CLOSERS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BORDERS:
-                    break
+            opened.close_from(opened.last(("p",)), opened.borders[-1])
         if tag in SIBLINGS:
             closes, borders = SIBLINGS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in closes:
-                    del stack[i:]
-                    break
-                if stack[i].tag in borders:
-                    break
+            opened.close_from(opened.last(closes), opened.last(borders))
         attributes = source[name.end() : stop - 1]
-        marks = " ".join(f"{k.lower()}={(a or b or c).lower()}" for k, a, b, c in _ATTR.findall(attributes)) if "=" in attributes else ""
-        node = Node(tag, marks)
+        node = Node(tag, _marks(attributes) if "=" in attributes or "hidden" in attributes.lower() else "")
         stack[-1].children.append(node)
         if tag in VOID or attributes.endswith("/") and tag not in RAW and tag not in BORDERS:
             continue
         if tag in RAW:
-            lower = lower if lower is not None else source.lower() if len(source.lower()) == n else source
-            end = lower.find("</" + tag, at)
-            node.children.append(source[at : n if end < 0 else end])
-            close = n if end < 0 else source.find(">", end)
-            at = n if close < 0 or end < 0 else close + 1
+            end = _RAW_END[tag].search(source, at)
+            node.children.append(source[at : end.start() if end else n])
+            close = source.find(">", end.end()) if end else -1
+            at = n if close < 0 else close + 1
             continue
-        stack.append(node)
+        opened.push(node)
     return root
 
 
 def _marked(name: str, tag: str, in_main: bool) -> bool:
     """True for one name of a class or id attribute that marks its element.
 
-    Inside an article a weak mark counts only as the whole name or with an ending, and neither for a heading group nor for
-    blocks that hold sentences."""
+    All words of the name have to speak of a mark or its parts, so that names which only tell of one mark nothing (has-sidebar,
+    ad-free-content). A comment's word marks in any name. Inside an article a weak mark counts only as the
+    whole name or with an ending, and neither for a heading group nor for blocks that hold sentences."""
     words = [w for w in _SPLIT.split(name) if w]
-    if not MARKS.isdisjoint(words):
+    if not words or words[0] in TELLING or words[-1] in STATES:
+        return False
+    if tag not in SENTENCES and not COMMENTS.isdisjoint(words):
+        return True
+    others = [w for w in words if w not in MARKS]
+    if len(others) < len(words) and all(len(w) < 3 or w in PARTS or w in WEAK_MARKS for w in others):
         return True
     if not in_main:
-        return not WEAK_MARKS.isdisjoint(words)
-    if tag in SENTENCES or name in HEADINGS or not words:
+        return not WEAK_MARKS.isdisjoint(words) and all(len(w) < 3 or w in PARTS or w in WEAK_MARKS for w in words)
+    if tag in SENTENCES or name in HEADINGS:
         return False
     return words[0] in WEAK_MARKS and all(w in WEAK_MARKS or w in ENDINGS for w in words)
 
 
 def unwanted(node: Node, in_main: bool) -> bool:
-    """True for elements that tag, role or class mark as no main text; a heading group inside an article stays, and so do
-    its sentences unless a strong mark says otherwise."""
+    """True for elements that tag, role, class or a hiding attribute mark as no main text; a heading group inside an article
+    stays, and so do its sentences unless a strong mark says otherwise."""
     tag = node.tag
-    if tag == "header" and in_main:
+    if tag == "header" and in_main and not node.marks:
         return False
-    if tag in DROPPED:
+    if tag in DROPPED and not (tag == "header" and in_main):
         return True
-    if not node.marks:
+    return bool(node.marks) and (_hidden(node) or _named(node, in_main))
+
+
+def _hidden(node: Node) -> bool:
+    """True where an attribute hides the element, or its role says that it is no main text."""
+    parts = node.marks.split()
+    return "hidden" in parts or any(p.startswith("role=") and p[5:] in ROLES for p in parts)
+
+
+def _named(node: Node, in_main: bool) -> bool:
+    """True where a class or id name marks the element."""
+    if node.tag == "header" and in_main:
         return False
     key = ""
     for part in node.marks.split():
         k, equals, value = part.partition("=")
         if equals and k in ("class", "id", "role"):
             key, part = k, value
-        if key == "role":
-            if part in ROLES:
-                return True
-        elif tag in ("article", "main"):
-            if part in NO_ARTICLE:
-                return True
-        elif _marked(part, tag, in_main):
+        if key in ("class", "id") and (part in NO_ARTICLE if node.tag in ("article", "main") else _marked(part, node.tag, in_main)):
             return True
     return False
 
@@ -186,16 +228,26 @@ def _is_main(node: Node) -> bool:
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """Outermost article, main or role=main elements in page order, outside unwanted ones."""
-    found, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if isinstance(node, str) or node is not root and unwanted(node, False):
-            continue
-        if _is_main(node):
-            found.append(node)
-        else:
-            todo += reversed(node.children)
+    """Outermost article, main or role=main elements in page order, outside unwanted ones.
+
+    If there are none, those that stand in elements with marking names count: a wrapper that is named for its sidebar is still
+    the wrapper of the article. Comments never are."""
+    for into_named in (False, True):
+        found, todo = [], [root]
+        while todo:
+            node = todo.pop()
+            if isinstance(node, str):
+                continue
+            if node is not root and unwanted(node, False):
+                named_only = node.tag not in DROPPED and node.tag not in ("article", "main") and not _hidden(node)
+                if not (into_named and named_only and COMMENTS.isdisjoint(_SPLIT.split(node.marks))):
+                    continue
+            if _is_main(node):
+                found.append(node)
+            else:
+                todo += reversed(node.children)
+        if found:
+            break
     return found
 
 
