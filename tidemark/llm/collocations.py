@@ -15,6 +15,7 @@ just where all its occurrences have one neighbour in common.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,22 +82,27 @@ def encode(docs: DataFrame, salt: int) -> str:
 class Bits:
     """A set of 64-bit hashes as a bitmap of fixed size: it may hold a few more, never fewer."""
 
-    def __init__(self, packed: np.ndarray):
-        self.packed = packed
+    def __init__(self, sent):
+        self.packed = np.frombuffer(zlib.decompress(sent.value), np.uint8)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes & np.uint64(8 * len(self.packed) - 1)
         return (self.packed[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def bitmap(hashes: DataFrame):
-    """A broadcast bitmap of a column `hash`, put together by slices in Spark; 2 ** BITS bits, whatever the number of rows."""
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bitmap of a column `hash`, put together by slices in Spark; 2 ** BITS bits, whatever the number of rows."""
     slot = (F.col("hash").bitwiseAND(F.lit((1 << BITS) - 1)) + 1).alias("slot")
     slices = hashes.select(slot).groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
     packed = np.zeros((1 << BITS) // 8, np.uint8)
     for r in slices:
         packed[(r["b"] - 1) * 4096 :][:4096] = np.frombuffer(r["bits"], np.uint8)
-    return hashes.sparkSession.sparkContext.broadcast(packed)
+    return packed
+
+
+def sent(spark: SparkSession, packed: np.ndarray):
+    """A bitmap, compressed and broadcast."""
+    return spark.sparkContext.broadcast(zlib.compress(packed.tobytes(), 1))
 
 
 def longer_hash(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -108,7 +114,7 @@ def longer_hash(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 def _chunks(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Codes by number of the word, and the text of each chunk; infrequent words become 0, as if the piece ended there."""
-    bits = Bits(frequent.value)
+    bits = Bits(frequent)
     for batch in batches:
         for codes, at in zip(batch.column(0), batch.column(1)):
             codes = np.concatenate([np.zeros(1, np.uint64), codes.values.to_numpy(zero_copy_only=False).view(np.uint64)])
@@ -144,9 +150,9 @@ def frequent_hashes(chunks: DataFrame, frequent, first, marked, length: int, lea
         return pa.RecordBatch.from_arrays([pa.array([x[j] for x in parts], t) for j, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["part", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, begins, grows = [], 0, Bits(first), Bits(marked)
         for codes, at in _chunks(batches, frequent):
-            for m, _, hashes, _ in _grown(codes, at, Bits(first.value), Bits(marked.value), length):
+            for m, _, hashes, _ in _grown(codes, at, begins, grows, length):
                 if m == length and len(hashes):
                     held.append(np.unique(hashes, return_counts=True))
                     size += len(held[-1][0])
@@ -176,10 +182,11 @@ def exact_counts(chunks: DataFrame, frequent, first, marked, longest: int) -> Da
     """Columns p (codes of a phrase's words), f and the ends l0, l1, r0, r1 of its neighbours' codes: all marked phrases that begin with a word of `first`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins, grows = Bits(first), Bits(marked)
         for codes, at in _chunks(batches, frequent):
             beside, base = np.concatenate([[0], at, [0]]), np.int64(len(codes))
             before = group = None
-            for m, place, _, kept in _grown(codes, at, Bits(first.value), Bits(marked.value), longest):
+            for m, place, _, kept in _grown(codes, at, begins, grows, longest):
                 place = place[kept]
                 if not len(place):
                     break
@@ -251,12 +258,14 @@ def _round(spark: SparkSession, chunks: DataFrame, words: DataFrame, totals: Dat
     """Scored survivors among the phrases whose first words lie between `done` and `cut` of their language's front."""
     near = words.join(_few(front), "lang")
     batch = near.where("f > done and f <= cut").select("lang", F.array("code").alias("p"), F.col("code").alias("hash"), "f")
-    first, marked = bitmap(batch), spark.sparkContext.broadcast(np.zeros((1 << BITS) // 8, np.uint8))
+    first, grown = sent(spark, bitmap(batch)), np.zeros((1 << BITS) // 8, np.uint8)
+    marked = sent(spark, grown)
     for m in range(2, longest + 1):
-        grown = bitmap(frequent_hashes(chunks, frequent, first, marked, m, least, ranges))
-        if not grown.value.any():
+        more = bitmap(frequent_hashes(chunks, frequent, first, marked, m, least, ranges))
+        if not more.any():
             break
-        marked = spark.sparkContext.broadcast(marked.value | grown.value)
+        grown |= more
+        marked = sent(spark, grown)
     found = exact_counts(chunks, frequent, first, marked, longest).where(F.col("f") >= least)
     begins = batch.select("lang", F.col("hash").alias("begin"))
     found = compact(found.withColumn("begin", F.col("p")[0]).join(begins, "begin").drop("begin"))
@@ -267,7 +276,7 @@ def _round(spark: SparkSession, chunks: DataFrame, words: DataFrame, totals: Dat
     rest = survivors.select(F.explode(F.expr("transform(sequence(2, greatest(size(p) - 1, 2)), k -> slice(p, k, size(p)))")).alias("p")).where("size(p) > 1").distinct()
     ways = rest.select(F.explode(F.expr("transform(sequence(2, size(p)), k -> slice(p, 1, k))")).alias("p")).distinct()
     ways = checkpointed(ways)
-    others = exact_counts(chunks, frequent, bitmap(ways.select(F.col("p")[0].alias("hash")).distinct()), bitmap(hashed(ways)), longest - 1)
+    others = exact_counts(chunks, frequent, sent(spark, bitmap(ways.select(F.col("p")[0].alias("hash")))), sent(spark, bitmap(hashed(ways))), longest - 1)
     others = others.join(ways, "p", "left_semi").select("p", "f")
     counts = words.select(F.array("code").alias("p"), "f").union(found.select("p", "f").join(ways, "p", "left_anti")).union(others)
     return checkpointed(_scored(survivors, counts, totals))
@@ -294,7 +303,7 @@ def collocations(docs: DataFrame, most: int = 2000, least: int = 100, longest: i
     words, totals = counted
     tokens = totals.agg(F.sum("n")).first()[0] or 0
     ranges = max(64, -(-tokens // RANGE))
-    frequent = bitmap(words.select(F.col("code").alias("hash")))
+    frequent = sent(spark, bitmap(words.select(F.col("code").alias("hash"))))
     classes = words.groupBy("lang", "f").agg((F.count("*") * F.col("f")).alias("mass"))
     classes = checkpointed(classes.withColumn("below", F.sum("mass").over(Window.partitionBy("lang").orderBy("f")) - F.col("mass")).withColumn("whole", F.sum("mass").over(Window.partitionBy("lang"))))
 
