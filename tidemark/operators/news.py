@@ -50,20 +50,6 @@ def merge_sources(sources: list[DataFrame]) -> DataFrame:
     return rows.withColumn("__n", first).where("__n = 1").drop("__n", "__rank")
 
 
-def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, text: str, key: str = "id") -> DataFrame:
-    """key, sentiment_pos, sentiment_neg and sentiment_compound (x / sqrt(x^2 + 15)) of a text's word values.
-
-    lexicon: word and value, a small table. A negation in the three words before turns a value by -0.74."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z']+"), lambda w: w != "")
-    rows = df.select(key, F.posexplode_outer(words).alias("place", "word"))
-    w = Window.partitionBy(key).orderBy("place")
-    negated = F.greatest(*[F.coalesce(F.lag(F.col("word").isin("not", "no", "never", "without")).over(w, ) if k == 1 else F.lag(F.col("word").isin("not", "no", "never", "without"), k).over(w), F.lit(False)) for k in (1, 2, 3)])
-    rows = rows.withColumn("__not", negated).join(F.broadcast(lexicon), "word", "left")
-    value = F.coalesce(F.when(F.col("__not"), F.col("value") * -0.74).otherwise(F.col("value")), F.lit(0.0))
-    total = rows.groupBy(key).agg(F.sum(value).alias("__x"), F.sum(F.when(value > 0, value).otherwise(0.0)).alias("sentiment_pos"), F.sum(F.when(value < 0, -value).otherwise(0.0)).alias("sentiment_neg"))
-    return total.withColumn("sentiment_compound", F.col("__x") / F.sqrt(F.col("__x") * F.col("__x") + 15)).drop("__x")
-
-
 def model_sentiment(df: DataFrame, scorer: Callable[[], Callable[[list[str]], list[tuple[str, float]]]], text: str = "headline", batch: int = 32) -> DataFrame:
     """Columns pos, neg, neu and compound from a batch scorer that gives a label and a probability; blank texts score 'no content'.
 
@@ -95,7 +81,7 @@ def embed(df: DataFrame, encoder: Callable[[], Callable[[list[str]], list[list[f
     return df.mapInPandas(run, f"{fields}, `{name}` array<float>")
 
 
-def daily_sentiment(df: DataFrame, column: str = "sentiment_compound") -> DataFrame:
+def daily_sentiment(df: DataFrame, column: str = "description_sentiment") -> DataFrame:
     return df.groupBy("date", "ticker").agg(F.avg(column).alias("sentiment_mean"), F.median(column).alias("sentiment_median"), F.coalesce(F.stddev_samp(column), F.lit(0.0)).alias("sentiment_std"), F.min(column).alias("sentiment_min"), F.max(column).alias("sentiment_max"), F.count("*").alias("news_count"))
 
 
@@ -135,7 +121,7 @@ def lagged_news(df: DataFrame, mode: str = "calendar", days: DataFrame | None =
 def news_features(sources: list[DataFrame], sentiment: Callable[[DataFrame], DataFrame], vectors: Callable[[DataFrame], DataFrame] | None = None, aggregate: bool = False) -> DataFrame:
     """Landed articles of several sources through one plan for all tickers: merged, scored, given vectors if asked for, rolled up if asked for.
 
-    sentiment: articles to articles with sentiment_compound. vectors: articles to articles with a column `embedding`. Rolled up, a
+    sentiment: articles to articles with description_sentiment. vectors: articles to articles with a column `embedding`. Rolled up, a
     (date, ticker) has its daily sentiment and, with vectors, their mean. Without articles the result is empty."""
     rows = sentiment(merge_sources(sources))
     if vectors is not None:

@@ -153,10 +153,6 @@ def fund_flows(spark: SparkSession, sf: str) -> DataFrame:
     return _round(E.fund_flows(bars(spark, sf).where(F.col("symbol").isin(FUNDS))), ["symbol", "date"], ["dollar_volume", "abnormal_volume", "flow_momentum"], 4)
 
 
-def _lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("idiot", -2.5), ("pathetic", -2.0), ("trash", -1.5), ("with", 0.5), ("for", 0.25)], "word string, value double")
-
-
 @_spark
 def news_clean(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", N.clean_html(F.col("html")).alias("text"))
@@ -168,14 +164,6 @@ def news_merge(spark: SparkSession, sf: str) -> DataFrame:
     return N.merge_sources([a.where("id % 3 = 0"), a.where("id % 3 != 0")]).select("id", "ticker", "date", "source")
 
 
-@_spark
-def news_daily_sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    a = articles(spark, sf)
-    scored = a.select("id", *TD).join(N.lexicon_sentiment(a, _lexicon(spark), "description"), "id")
-    out = N.lagged_news(N.daily_sentiment(scored))
-    return _round(out, TD, [c for c in out.columns if c.startswith("news_")])
-
-
 @_spark
 def news_daily_vectors(spark: SparkSession, sf: str) -> DataFrame:
     a = articles(spark, sf).select("id", *TD).join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "id")
@@ -323,11 +311,6 @@ SELECT symbol, date, round(dv, 4) AS dollar_volume, round((dv - CASE WHEN count(
     "news_clean": r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages",
     "news_merge": f"WITH {ARTICLES_SQL} SELECT id, ticker, date, source FROM (SELECT *, row_number() OVER (PARTITION BY ticker, headline ORDER BY (id % 3 != 0)::INT, id) AS n FROM articles) WHERE n = 1",
     "news_daily_vectors": f"WITH {ARTICLES_SQL}, p AS (SELECT ticker, date, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS place FROM articles JOIN embeddings ON vec_id = id) SELECT ticker, date, place, round(avg(x), 6) AS x FROM p GROUP BY ALL",
-    "news_daily_sentiment": rf"""WITH {ARTICLES_SQL}, lex(word, value) AS (VALUES ('idiot', -2.5::DOUBLE), ('pathetic', -2.0), ('trash', -1.5), ('with', 0.5), ('for', 0.25)),
-w AS (SELECT id, list_filter(string_split_regex(lower(coalesce(description, '')), '[^a-z'']+'), lambda x: x != '') AS ws FROM articles), p AS (SELECT id, unnest(ws) AS word, unnest(range(0, len(ws))) AS place FROM w),
-n AS (SELECT *, coalesce(max((word IN ('not', 'no', 'never', 'without'))::INT) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS neg FROM p),
-x AS (SELECT id, sum(CASE WHEN neg = 1 THEN value * -0.74::DOUBLE ELSE value END) AS x FROM n JOIN lex USING (word) GROUP BY id), a AS (SELECT ticker, date, coalesce(x, 0) / sqrt(coalesce(x, 0) * coalesce(x, 0) + 15) AS c FROM articles LEFT JOIN x USING (id))
-SELECT ticker, date + 1 AS date, round(avg(c), 6) AS news_sentiment_mean, round(median(c), 6) AS news_sentiment_median, round(coalesce(stddev_samp(c), 0), 6) AS news_sentiment_std, round(min(c), 6) AS news_sentiment_min, round(max(c), 6) AS news_sentiment_max, count(*) AS news_news_count FROM a GROUP BY ticker, date""",
     "forecast_scores": f"WITH {_PRED}, {_RANKS('')} SELECT count(*) AS n, {r(_SCORES)} FROM ranks",
     "forecast_persistence": f"WITH {_PRED}, q AS (SELECT actual, lag(actual) OVER s AS prediction FROM (SELECT * FROM pred) {S}) SELECT count(*) AS n, {r({k: _SCORES[k] for k in ('rmse', 'accuracy', 'pearson')})} FROM q WHERE actual IS NOT NULL AND prediction IS NOT NULL",
     "forecast_clipped": f"""WITH {_PRED}, b AS (SELECT 3 * stddev_samp(actual / 3) AS b FROM full_pred WHERE date < DATE '1999-01-01'), t AS (SELECT date, symbol, (prediction + lag(actual) OVER s) / 2 AS p FROM (SELECT * FROM full_pred WHERE date >= DATE '1999-01-01') {S})

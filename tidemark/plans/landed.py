@@ -214,16 +214,6 @@ def news_embedded(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("id", F.posexplode("embedding").alias("place", "x")).select("id", F.col("place").cast("bigint").alias("place"), F.col("x").cast("double").alias("x"))
 
 
-@_spark
-def news_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles of two sources merged, scored, given vectors and rolled up by day and ticker."""
-    a = articles(spark, sf)
-    score = lambda rows: rows.join(N.lexicon_sentiment(rows, PE._lexicon(spark), "description"), "id")
-    vectors = lambda rows: rows.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "id", "left")
-    out = N.news_features([a.where("id % 3 = 0"), a.where("id % 3 != 0")], score, vectors, aggregate=True)
-    return out.select("ticker", "date", F.round("sentiment_mean", 6).alias("sentiment_mean"), F.col("news_count"), F.round(F.get("embedding", F.lit(0)), 6).alias("x0"))
-
-
 @_spark
 def forecast_significance(spark: SparkSession, sf: str) -> DataFrame:
     """Rank coefficient of the forecasts by symbol with its p-value, and whether it is below 5 %."""
@@ -266,10 +256,4 @@ SELECT symbol, b.date, round(close, {PB.TICKS}) AS close, round(r1, 9) AS r1, co
     "news_model_sentiment": f"""WITH {ARTICLES_SQL}, t AS (SELECT id, CASE WHEN id % 10 = 0 OR trim(headline, ' ' || chr(9) || chr(13)) = '' OR headline IS NULL THEN 'no content' ELSE headline END AS h FROM articles), s AS (SELECT id, length(h) % 3 AS l, 0.5::DOUBLE + length(h) % 5 / 10::DOUBLE AS p FROM t)
 SELECT id, round(CASE WHEN l = 0 THEN p ELSE 0 END, 4) AS pos, round(CASE WHEN l = 1 THEN p ELSE 0 END, 4) AS neg, round(CASE WHEN l = 2 THEN p ELSE 0 END, 4) AS neu, round(CASE WHEN l = 0 THEN p WHEN l = 1 THEN -p ELSE 0 END, 4) AS compound FROM s""",
     "news_embedded": f"WITH {ARTICLES_SQL}, h AS (SELECT id, coalesce(headline, '') AS h FROM articles) SELECT id, 0::BIGINT AS place, length(h)::DOUBLE AS x FROM h UNION ALL SELECT id, 1, (length(h) - length(replace(h, ' ', '')))::DOUBLE FROM h UNION ALL SELECT id, 2, (length(h) - length(replace(h, 'e', '')))::DOUBLE FROM h",
-    "news_pipeline": rf"""WITH {ARTICLES_SQL}, m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, headline ORDER BY (id % 3 != 0)::INT, id) AS k FROM articles) WHERE k = 1),
-lex(word, value) AS (VALUES ('idiot', -2.5::DOUBLE), ('pathetic', -2.0), ('trash', -1.5), ('with', 0.5), ('for', 0.25)),
-w AS (SELECT id, list_filter(string_split_regex(lower(coalesce(description, '')), '[^a-z'']+'), lambda x: x != '') AS ws FROM m), p AS (SELECT id, unnest(ws) AS word, unnest(range(0, len(ws))) AS place FROM w),
-n AS (SELECT *, coalesce(max((word IN ('not', 'no', 'never', 'without'))::INT) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS neg FROM p),
-x AS (SELECT id, sum(CASE WHEN neg = 1 THEN value * -0.74::DOUBLE ELSE value END) AS x FROM n JOIN lex USING (word) GROUP BY id)
-SELECT ticker, date, round(avg(coalesce(x, 0) / sqrt(coalesce(x, 0) * coalesce(x, 0) + 15)), 6) AS sentiment_mean, count(*) AS news_count, round(avg(embedding[1]::DOUBLE), 6) AS x0 FROM m LEFT JOIN x USING (id) LEFT JOIN embeddings ON vec_id = id GROUP BY ticker, date""",
 }
