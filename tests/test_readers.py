@@ -3,6 +3,7 @@
 import json
 
 from tidemark.sources import readers as R
+from tidemark.sources.store import Store
 
 
 def test_readers(spark, tmp_path):
@@ -22,8 +23,9 @@ def test_readers(spark, tmp_path):
 
 def test_store(spark, tmp_path):
     df = spark.sql("SELECT 'n' AS source, 'A' AS ticker, DATE '2024-01-02' AS date, 1 AS x UNION ALL SELECT 'n', 'B', DATE '2024-03-01', 2")
-    R.write_store(R.merged(df, df, ["source", "ticker", "date"]), str(tmp_path / "store"))
-    back = R.read_store(spark, str(tmp_path / "store"), "2024-01-01", "2024-12-31")
+    store = Store(spark, str(tmp_path / "store"))
+    store.merge(df)
+    back = store.read("2024-01-01", "2024-12-31")
     assert back.count() == 2
     assert {r.ticker: str(r.fetch_from) for r in R.fetch_plan(back, "2024-03-05").collect()} == {"A": "2024-01-03", "B": "None"}
 

@@ -18,6 +18,7 @@ from tidemark.plans.bars import BARS_SQL, r
 from tidemark.sources import landed_pages as L
 from tidemark.sources import readers as R
 from tidemark.sources.fixtures import ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, articles, bars, days_of, fund_map, insider_rows, macro_series, order_days, table
+from tidemark.sources.store import Store, land
 
 QUERIES: dict = {}
 
@@ -111,10 +112,22 @@ def store_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Daily values of events in a store by source and ticker, merged with newer ones of the days after the 15th, read back by day."""
     rows = insider_rows(spark, sf).where("code is not null").groupBy(F.col("code").alias("source"), "ticker", "date").agg(F.round(F.sum("value"), 4).alias("value"))
     new = rows.where("day(date) > 15").withColumns({"value": F.lit(-1.0), "note": F.lit("new")})
+    store = Store(spark, _folder(spark))
+    for part in (rows, new):
+        store.merge(part)
+    return store.read(*days_of(table(spark, sf, "events"), "ts")).select("source", "ticker", "date", "value", "note")
+
+
+@_spark
+def store_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily values of events written as files in two landings, the second with corrections, streamed into the store and read back."""
+    rows = insider_rows(spark, sf).where("code is not null").groupBy(F.col("code").alias("source"), "ticker", "date").agg(F.round(F.sum("value"), 4).alias("value"))
     folder = _folder(spark)
-    R.write_store(R.merged(rows, new, ["source", "ticker", "date"]), folder)
-    first, last = days_of(table(spark, sf, "events"), "ts")
-    return R.read_store(spark, folder, first, last).select("source", "ticker", "date", "value", "note")
+    store = Store(spark, f"{folder}/store")
+    for part in (rows.where("day(date) <= 20"), rows.where("day(date) > 10").withColumn("value", F.col("value") + 1)):
+        part.write.mode("append").option("header", True).csv(f"{folder}/incoming")
+        land(spark, f"{folder}/incoming", store, f"{folder}/progress", "source string, ticker string, date date, value double", lambda x: x, header=True)
+    return store.read().select("source", "ticker", "date", F.round("value", 4).alias("value"))
 
 
 @_spark
@@ -243,6 +256,7 @@ UNION ALL SELECT ticker, day, o_orderstatus || ' news', '/' || o_orderstatus, k:
     "landed_series": f"WITH {MACRO_SQL} SELECT date, 'rate_' || series AS series, round(value + {PB.HALF}, 6) AS value FROM series WHERE day(date) % 9 != 0",
     "landed_short_interest": f"WITH {BARS_SQL}, m AS (SELECT symbol, last_day(date) AS date, sum(volume) AS short, count(*) AS days FROM bars GROUP BY ALL) SELECT symbol AS ticker, date, short AS short_interest, days::DOUBLE AS average_volume, round(short / days, 6) AS days_to_cover FROM m",
     "store_merge": f"WITH {INSIDER_SQL}, d AS (SELECT code AS source, ticker, date, round(sum(value), 4) AS value FROM insider WHERE code IS NOT NULL GROUP BY ALL) SELECT source, ticker, date, CASE WHEN day(date) > 15 THEN -1.0::DOUBLE ELSE value END AS value, CASE WHEN day(date) > 15 THEN 'new' END AS note FROM d",
+    "store_landing": f"WITH {INSIDER_SQL}, d AS (SELECT code AS source, ticker, date, round(sum(value), 4) AS value FROM insider WHERE code IS NOT NULL GROUP BY ALL) SELECT source, ticker, date, round(value + (day(date) > 10)::INT, 4) AS value FROM d",
     "store_fetch_plan": f"WITH {INSIDER_SQL}, l AS (SELECT code AS source, ticker, max(date) AS latest FROM insider WHERE code IS NOT NULL GROUP BY ALL) SELECT source, ticker, latest, CASE WHEN latest < (SELECT max(ts)::DATE FROM events) THEN latest + 1 END AS fetch_from FROM l",
     "insider_filings": "SELECT ticker, filing_id, CASE WHEN filing_id % 3 != 0 THEN day - 1 ELSE day END AS date FROM (SELECT user_id % 25 AS ticker, event_id AS filing_id, ts::DATE AS day, dense_rank() OVER (PARTITION BY user_id % 25 ORDER BY ts, event_id) AS n FROM events) WHERE n <= 50",
     "cross_asset_closes": f"""WITH {BARS_SQL}, days AS (SELECT unnest(generate_series({ORDER_DAYS_SQL[0]}, {ORDER_DAYS_SQL[1]}, INTERVAL 1 DAY))::DATE AS date), w AS (SELECT date, max(close) FILTER (symbol = 'NATION_0') AS a, max(close) FILTER (symbol = 'NATION_1') AS b FROM bars GROUP BY date)

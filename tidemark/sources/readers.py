@@ -1,4 +1,4 @@
-"""Landed files as tables, and a merged store of them."""
+"""Landed files as tables, and results kept by their parameters."""
 
 from __future__ import annotations
 
@@ -82,15 +82,6 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("__n", place).where("__n = 1").drop("__n", "__side")
 
 
-def write_store(df: DataFrame, path: str) -> None:
-    """One Parquet data set by source and ticker; only partitions with rows in `df` are replaced. Never write to the path being read."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "ticker").parquet(path)
-
-
-def read_store(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).dropDuplicates()
-
-
 def fetch_plan(store: DataFrame, end: str, tolerance: int = 7) -> DataFrame:
     """source, ticker, latest and fetch_from: the day after the latest, missing where it is within the tolerance of `end`."""
     last = store.groupBy("source", "ticker").agg(F.max("date").alias("latest"))
