@@ -291,6 +291,22 @@ def test_permutation_importance_and_families(spark):
     found = V.permutation_importance(df, ["vix_a", "news_b"], lambda x: x.withColumn("prediction", 2 * F.col("vix_a")), repeats=2)
     got = {r.feature: r.importance for r in found.collect()}
     assert got["vix_a"] > 1 and got["news_b"] == pytest.approx(0)
+    rows = sorted(df.collect(), key=lambda r: (r.date, r.symbol))
+    x, y = np.array([r.vix_a for r in rows]), np.array([r.actual for r in rows])
+    rises = []
+    for j, a in enumerate(V.dealing_primes(2)):
+        dealt = np.empty(len(x))
+        dealt[(a * np.arange(len(x)) + 7919 * (j + 1)) % len(x)] = x
+        assert sorted(dealt) == sorted(x)
+        rises.append(np.sqrt(np.mean((2 * dealt - y) ** 2)) - np.sqrt(np.mean((2 * x - y) ** 2)))
+    assert got["vix_a"] == pytest.approx(np.mean(rises), abs=1e-12)
+    group = "importance"
+    spark.sparkContext.setJobGroup(group, "")
+    V.permutation_importance(df, ["vix_a", "news_b"], lambda x: x.withColumn("prediction", 2 * F.col("vix_a")), repeats=5).write.format("noop").mode("overwrite").save()
+    executions = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    V.permutation_importance(df, ["vix_a"], lambda x: x.withColumn("prediction", 2 * F.col("vix_a")), repeats=1).write.format("noop").mode("overwrite").save()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 2 * executions  # as many for one feature as for ten variants
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     names = ["news_emb_3", "news_mean", "insider_buys", "revision_net", "vix_regime", "cpi_mom", "return_1lag"]
     out = spark.createDataFrame([(n,) for n in names], "f string").select(V.family(F.col("f"))).collect()
     assert [r[0] for r in out] == ["news_embedding", "news_sentiment", "alternative", "alternative", "macro", "macro", "price/tech"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -22,7 +23,7 @@ def panel(prices: DataFrame, macro: DataFrame, events: DataFrame, news: DataFram
 
 
 def correlated_columns(df: DataFrame, columns: list[str], threshold: float) -> list[str]:
-    """Columns to drop: walking in order, of a column and earlier kept ones over the threshold only the one of highest variance stays.
+    """Columns to drop: walking in order, of a column and all earlier ones over the threshold, kept or not, only the one of highest variance stays.
 
     Spark computes the matrix, whose size is the number of columns; the walk needs nothing else."""
     rows = df.select(columns).dropna()
@@ -145,22 +146,51 @@ def persistence(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction", F.lag("actual").over(by("symbol")))
 
 
-def permutation_importance(df: DataFrame, features: list[str], score, repeats: int = 5) -> DataFrame:
-    """feature and importance: rise of the rmse when the feature's values are dealt to other rows.
-
-    score: DataFrame -> DataFrame with prediction. Values are dealt by a join of two random row numbers, of which
-    each is ranked within hash blocks, so no task sorts all rows."""
-    rmse = lambda x: x.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2))).alias("r")).first()["r"]
-    base, rows = rmse(score(df)), []
-    for f in features:
-        rise = []
-        for k in range(repeats):
-            blocks = df.withColumns({"__b": F.pmod(F.xxhash64("date", "symbol"), F.lit(64)), "__u": F.xxhash64(F.lit(2 * k), "symbol", "date"), "__v": F.xxhash64(F.lit(2 * k + 1), "symbol", "date")})
-            a = blocks.withColumn("__n", F.row_number().over(Window.partitionBy("__b").orderBy("__u"))).drop(f)
-            b = blocks.select("__b", F.row_number().over(Window.partitionBy("__b").orderBy("__v")).alias("__n"), f)
-            rise.append(rmse(score(a.join(b, ["__b", "__n"]))) - base)
-        rows.append((f, float(sum(rise) / repeats)))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+def numbered(df: DataFrame) -> DataFrame:
+    """`df` with `__n`, the place of each row from 0 by (date, symbol): within its date, on top of the earlier dates' rows, of which there is one sum a date."""
+    dates = df.groupBy("date").agg(F.count("*").alias("__rows"))
+    below = dates.select("date", (F.sum("__rows").over(Window.orderBy("date")) - F.col("__rows")).alias("__below"))
+    within = F.row_number().over(Window.partitionBy("date").orderBy("symbol"))
+    return df.withColumn("__n", within).join(F.broadcast(below), "date").withColumn("__n", F.col("__below") + F.col("__n") - 1).drop("__below")  # one row a date
+
+
+def dealing_primes(n: int) -> list[int]:
+    """The first `n` primes above a million: steps by which values are dealt to other rows."""
+    found: list[int] = []
+    x = 1_000_001
+    while len(found) < n:
+        x += 2
+        if all(x % d for d in range(3, math.isqrt(x) + 1, 2)):
+            found.append(x)
+    return found
+
+
+#: A step that divides the number of rows would not reach all of them; this prime stands in for it.
+OTHER_STEP = 998_244_353
+
+
+def permutation_importance(df: DataFrame, features: list[str], score: Callable[[DataFrame], DataFrame], repeats: int = 5) -> DataFrame:
+    """feature and importance: mean rise of the rmse when the feature's values are dealt to other rows of the whole table.
+
+    score: DataFrame -> DataFrame with prediction, other columns kept. Rows are numbered by (date, symbol), which is unique; the value of row n
+    goes to row (a * n + b) mod N, a permutation as a shares no divisor with N. The values of all features and repeats travel by their new
+    numbers in one exchange and meet the rows in another, so all variants are scored and measured in one job, after one
+    that counts the rows. An empty table gives no importance (null)."""
+    count = df.count()
+    steps = [p if count % p else OTHER_STEP for p in dealing_primes(len(features) * repeats)]
+    rows = numbered(df)
+    dealt = [F.struct(F.pmod(F.lit(a) * F.col("__n") + F.lit(7919 * (j + 1)), F.lit(max(count, 1)).cast("long")).alias("to"), F.lit(j).alias("j"), F.col(features[j // repeats]).cast("double").alias("x")) for j, a in enumerate(steps)]
+    values = rows.select(F.explode(F.array(*dealt)).alias("d")).groupBy(F.col("d.to").alias("__n")).agg(F.collect_list(F.struct("d.j", "d.x")).alias("__dealt"))
+    own = F.array(F.struct(F.lit(-1).alias("j"), F.lit(None).cast("double").alias("x")))
+    variants = rows.join(values, "__n").withColumn("__v", F.explode(F.concat(own, "__dealt"))).drop("__dealt", "__n")
+    for i, f in enumerate(features):
+        mine = F.col("__v.j").between(i * repeats, (i + 1) * repeats - 1)
+        variants = variants.withColumn(f, F.when(mine, F.col("__v.x")).otherwise(F.col(f).cast("double")))
+    found = score(variants.withColumn("__j", F.col("__v.j")).drop("__v")).groupBy("__j").agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("actual"), 2))).alias("__r"))
+    plain = F.max(F.when(F.col("__j") < 0, F.col("__r"))).over(Window.partitionBy())  # a row a variant
+    rise = found.withColumn("__rise", F.col("__r") - plain).where("__j >= 0").groupBy(F.floor(F.col("__j") / repeats).cast("int").alias("__i")).agg(F.avg("__rise").alias("importance"))
+    names = df.sparkSession.createDataFrame(list(enumerate(features)), "__i int, feature string")
+    return names.join(rise, "__i", "left").select("feature", "importance")
 
 
 # Families of features by the beginnings of their names; the first that fits counts.

@@ -239,7 +239,6 @@ def forecast_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Permutation importance of the terms of a plain forecast, with the family of each and its share of the total."""
     names = ["return_1lag", "return_7d_1lag", "vix_like", "news_like"]
     df = X.target(X.price_features(bars(spark, sf)), 5).withColumns({"vix_like": F.col("hl_spread_pct_1lag"), "news_like": F.col("gap_pct_1lag"), "actual": F.col("target")}).select("date", "symbol", "actual", *names).dropna()
-    df = V.checkpointed(df)
     found = V.permutation_importance(df, names, lambda x: x.withColumn("prediction", 0.3 * F.col("return_1lag") - 0.2 * F.col("return_7d_1lag") + 0.1 * F.col("vix_like")), repeats=2)
     by_family = V.family_importance(found).withColumnsRenamed({"total": "family_total", "n": "family_size"})
     return found.withColumn("family", V.family(F.col("feature"))).join(by_family, "family").select("feature", "family", F.round("importance", 9).alias("importance"), F.round("family_total", 9).alias("family_total"), F.col("family_size").cast("bigint").alias("family_size"))
@@ -270,4 +269,13 @@ SELECT symbol, b.date, round(close, {PB.TICKS}) AS close, round(r1, 9) AS r1, co
     "news_model_sentiment": f"""WITH {ARTICLES_SQL}, t AS (SELECT id, CASE WHEN id % 10 = 0 OR trim(headline, ' ' || chr(9) || chr(13)) = '' OR headline IS NULL THEN 'no content' ELSE headline END AS h FROM articles), s AS (SELECT id, length(h) % 3 AS l, 0.5::DOUBLE + length(h) % 5 / 10::DOUBLE AS p FROM t)
 SELECT id, round(CASE WHEN l = 0 THEN p ELSE 0 END, 4) AS pos, round(CASE WHEN l = 1 THEN p ELSE 0 END, 4) AS neg, round(CASE WHEN l = 2 THEN p ELSE 0 END, 4) AS neu, round(CASE WHEN l = 0 THEN p WHEN l = 1 THEN -p ELSE 0 END, 4) AS compound FROM s""",
     "news_embedded": f"WITH {ARTICLES_SQL}, h AS (SELECT id, coalesce(headline, '') AS h FROM articles) SELECT id, 0::BIGINT AS place, length(h)::DOUBLE AS x FROM h UNION ALL SELECT id, 1, (length(h) - length(replace(h, ' ', '')))::DOUBLE FROM h UNION ALL SELECT id, 2, (length(h) - length(replace(h, 'e', '')))::DOUBLE FROM h",
+    "forecast_importance": f"""WITH {BARS_SQL}, {PB._PX1}, x AS (SELECT date, symbol, {", ".join(f"{PB._PX[c]} AS {c}" for c in ("return_1lag", "return_7d_1lag", "hl_spread_pct_1lag", "gap_pct_1lag"))}, lead(close, 5) OVER s / nullif(close, 0) - 1 AS actual FROM lags {PB.S}),
+full_rows AS (SELECT *, row_number() OVER (ORDER BY date, symbol) - 1 AS n FROM x WHERE return_1lag IS NOT NULL AND return_7d_1lag IS NOT NULL AND hl_spread_pct_1lag IS NOT NULL AND gap_pct_1lag IS NOT NULL AND actual IS NOT NULL),
+size AS (SELECT count(*) AS rows FROM full_rows), deals(j, prime) AS (VALUES {", ".join(f"({j}, {p}::BIGINT)" for j, p in enumerate(V.dealing_primes(8)))}),
+steps AS (SELECT j, CASE WHEN rows % prime = 0 THEN {V.OTHER_STEP} ELSE prime END AS a, 7919 * (j + 1) AS b, rows FROM deals, size),
+dealt AS (SELECT j, (a * n + b) % rows AS n, CASE j // 2 WHEN 0 THEN return_1lag WHEN 1 THEN return_7d_1lag WHEN 2 THEN hl_spread_pct_1lag ELSE gap_pct_1lag END AS v FROM full_rows, steps),
+errors AS (SELECT j, sqrt(avg(pow(0.3::DOUBLE * CASE WHEN j // 2 = 0 THEN v ELSE return_1lag END - 0.2::DOUBLE * CASE WHEN j // 2 = 1 THEN v ELSE return_7d_1lag END + 0.1::DOUBLE * CASE WHEN j // 2 = 2 THEN v ELSE hl_spread_pct_1lag END - actual, 2))) AS r FROM full_rows JOIN dealt USING (n) GROUP BY j),
+plain AS (SELECT sqrt(avg(pow(0.3::DOUBLE * return_1lag - 0.2::DOUBLE * return_7d_1lag + 0.1::DOUBLE * hl_spread_pct_1lag - actual, 2))) AS r FROM full_rows),
+found AS (SELECT (['return_1lag', 'return_7d_1lag', 'vix_like', 'news_like'])[j // 2 + 1] AS feature, (['price/tech', 'price/tech', 'macro', 'news_sentiment'])[j // 2 + 1] AS family, avg(e.r - p.r) AS importance FROM errors e, plain p GROUP BY j // 2)
+SELECT feature, family, round(importance, 9) AS importance, round(sum(importance) OVER (PARTITION BY family), 9) AS family_total, count(*) OVER (PARTITION BY family) AS family_size FROM found""",
 }
