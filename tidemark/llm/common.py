@@ -70,18 +70,33 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def largest(df: DataFrame, measure: Column, most: int, steps: int = 16) -> DataFrame:
-    """The rows of largest positive measure, `most` at most: whole classes of a logarithmic histogram, from the top.
+def _from_top(df: DataFrame, column: str, room: int) -> tuple[list[int], int | None, int]:
+    """The highest values of a column whose rows all fit, the first whose rows do not, and the room that is left for those."""
+    whole = []
+    for r in sorted(df.groupBy(column).count().collect(), key=lambda r: -r[column]):
+        if r["count"] > room:
+            return whole, r[column], room
+        whole.append(r[column])
+        room -= r["count"]
+    return whole, None, room
+
 
-    Only the histogram goes to the driver, whatever the number of rows and partitions."""
+def largest(df: DataFrame, measure: Column, most: int, key: str, steps: int = 16, slots: int = 4096) -> DataFrame:
+    """The rows of largest positive measure, `most` of them if there are as many: whole classes of a logarithmic histogram from the
+    top, and of the first class that does not fit as many as there is room for, by the hash of their `key`.
+
+    Only two histograms go to the driver, whatever the number of rows and partitions; rows are only ordered within one slot of hashes."""
     place = F.floor(F.log2(F.greatest(measure, F.lit(1e-12))) * steps)
-    room, cut = most, None
-    for r in sorted(df.groupBy(place.alias("place")).count().collect(), key=lambda r: -r["place"]):
-        room -= r["count"]
-        if room < 0:
-            break
-        cut = r["place"]
-    return df.where(place >= cut) if cut is not None else df.where(F.lit(False))
+    df = df.withColumns({"__place": place, "__slot": F.pmod(F.xxhash64(key), F.lit(slots))})
+    whole, split, room = _from_top(df, "__place", most)
+    out = df.where(F.col("__place").isin(whole))
+    if split is not None and room:
+        inside = df.where(F.col("__place") == split)
+        fit, last, room = _from_top(inside, "__slot", room)
+        out = out.unionByName(inside.where(F.col("__slot").isin(fit)))
+        if room:
+            out = out.unionByName(inside.where(F.col("__slot") == last).orderBy(measure.desc(), key).limit(room))
+    return out.drop("__place", "__slot")
 
 
 def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:

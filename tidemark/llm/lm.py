@@ -261,7 +261,7 @@ def updated(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray) ->
 def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
     """Weights after `steps` gradient updates. cells: id and n, at most CELLS rows, so a few tasks hold them.
 
-    Each step every task sends the feature counts that it expects, a vector of fixed size."""
+    Each step is one job, in which every task sends the feature counts that it expects, a vector of fixed size."""
     context = cells.sparkSession.sparkContext
     parts = checkpointed(cells.select("id", "n").coalesce(TRAINING_TASKS))
 
@@ -272,10 +272,8 @@ def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
                 ids, n = (np.concatenate(x) for x in zip(*own))
                 yield pa.RecordBatch.from_arrays([pa.array([function(ids, n).tobytes()], pa.binary())], names=["g"])
 
-        out = np.zeros(WEIGHTS, np.float32)
-        for r in parts.mapInArrow(run, "g binary").toLocalIterator():
-            out += np.frombuffer(r.g, np.float32)
-        return out
+        # TRAINING_TASKS vectors, whatever the corpus
+        return sum((np.frombuffer(r.g, np.float32) for r in parts.mapInArrow(run, "g binary").collect()), np.zeros(WEIGHTS, np.float32))
 
     observed = total(observed_counts)
     weights = first_weights(observed)
@@ -333,7 +331,7 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
     for r in sizes:
         slot_cost[r.slot] = np.log10(r.n + SMOOTH * (r.v + 1))
     weights = train_weights(counted.where("kind = 1"), steps)
-    top = largest(words.select("id", "n"), F.col("n"), frequent).toPandas().sort_values("id")
+    top = largest(words.select("id", "n"), F.col("n"), frequent, "id").toPandas().sort_values("id")
     shared = docs.sparkSession.sparkContext.broadcast((top["id"].to_numpy(np.int64), top["n"].to_numpy(np.float64), Scorer(weights), slot_cost))
     base_cost = float(np.log10(total + SMOOTH * (distinct + 1)))
 

@@ -174,7 +174,7 @@ def learned_groups(counts: DataFrame, n: int, pos: float) -> list[tuple[str, ...
     expected = F.col("n") * F.lit(pos / n)
     words = counts.where(~F.col("feature").endswith("*") & (F.length("feature") >= LEAST_LENGTH) & (F.col("n") >= LEAST_TEXTS))
     even = words.where(F.abs(F.col("pos") - expected) <= MOST_DEVIATION * F.sqrt(expected * F.lit(1 - pos / n)))
-    few = largest(even.select("feature", "n"), F.col("n"), LEARNED_GROUPS * GROUP_SIZE).collect()
+    few = largest(even.select("feature", "n"), F.col("n"), LEARNED_GROUPS * GROUP_SIZE, "feature").collect()
     names = [r.feature for r in sorted(few, key=lambda r: (-r.n, r.feature))]
     groups = [tuple(names[i : i + GROUP_SIZE]) for i in range(0, len(names), GROUP_SIZE)]
     return [g for g in groups if len(g) > 1]
@@ -235,7 +235,7 @@ def prepared(sample: DataFrame, most_features: int) -> tuple[list[str], list[tup
         return [], []
     c = checkpointed(_counts(sample).where("n >= 5"))
     strength = F.abs(F.col("pos") - F.col("n") * F.lit(pos / n)) / F.sqrt(F.col("n") * F.lit(pos / n) + 1.0)
-    names = sorted(r.feature for r in largest(c.select("feature", strength.alias("s")), F.col("s"), most_features).collect())
+    names = sorted(r.feature for r in largest(c.select("feature", strength.alias("s")), F.col("s"), most_features, "feature").collect())
     groups = [*IDENTITY_GROUPS, *learned_groups(c, n, pos)]
     return list(dict.fromkeys([*names, *(f for g in groups for t in g for f in features(t))])), groups
 
