@@ -100,28 +100,50 @@ def smooth_volume(df: DataFrame, n: int, key: str = "symbol") -> DataFrame:
     return df.withColumn("volume", F.coalesce(mean, F.col("volume")))
 
 
+#: Methods of the flags out_iqr (1.5 ranges), out_z and out_mz (by median deviation; a group with a gap flags nothing).
+OUTLIERS = {"iqr": "out_iqr", "zscore": "out_z", "modified_zscore": "out_mz"}
+
+
+def _with_outliers(df: DataFrame, columns: list[str], methods: list[str], threshold: float, key: str) -> DataFrame:
+    """`df` with a flag `__<method>_<i>` for each method and column, from exact statistics of each group.
+
+    All statistics are windows over the group, so rows are dealt by the key once for all columns and nothing is joined."""
+    group = Window.partitionBy(key)
+    quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    made, flags = {}, {}
+    for i, c in enumerate(columns):
+        if methods != ["zscore"]:
+            made[f"__q{i}"] = F.percentile(c, quarters).over(group)
+        if "zscore" in methods:
+            made |= {f"__m{i}": F.avg(c).over(group), f"__s{i}": F.stddev_samp(c).over(group)}
+        if "modified_zscore" in methods:
+            made[f"__g{i}"] = F.count_if(F.col(c).isNull()).over(group)
+    df = df.withColumns(made)
+    if "modified_zscore" in methods:
+        spread = {f"__d{i}": F.percentile(F.abs(F.col(c) - F.col(f"__q{i}")[1]), F.lit(0.5)).over(group) for i, c in enumerate(columns)}
+        df, made = df.withColumns(spread), made | spread
+    for i, c in enumerate(columns):
+        x, q = F.col(c), F.col(f"__q{i}")
+        tests = {
+            "iqr": lambda: (x < q[0] - 1.5 * (q[2] - q[0])) | (x > q[2] + 1.5 * (q[2] - q[0])),
+            "zscore": lambda: F.abs(F.try_divide(x - F.col(f"__m{i}"), F.col(f"__s{i}"))) > threshold,
+            "modified_zscore": lambda: (F.col(f"__g{i}") == 0) & (F.abs(F.try_divide(0.6745 * (x - q[1]), F.col(f"__d{i}"))) > threshold),
+        }
+        flags |= {f"__{m}_{i}": F.coalesce(tests[m](), F.lit(False)) for m in methods}
+    return df.withColumns(flags).drop(*made)
+
+
 def outlier_flags(df: DataFrame, column: str, threshold: float = 3.0, key: str = "symbol") -> DataFrame:
-    """Flags out_iqr (1.5 ranges), out_z and out_mz (by median deviation; a group with a gap flags nothing), from exact group statistics."""
-    stats = df.groupBy(key).agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"), F.avg(column).alias("__m"), F.stddev_samp(column).alias("__s"), F.count_if(F.col(column).isNull()).alias("__gaps"))
-    df = df.join(stats, key)
-    mad = df.groupBy(key).agg(F.percentile(F.abs(F.col(column) - F.col("__q")[1]), F.lit(0.5)).alias("__mad"))
-    df = df.join(mad, key)
-    x, q1, q2, q3 = F.col(column), F.col("__q")[0], F.col("__q")[1], F.col("__q")[2]
-    span = q3 - q1
-    tests = {
-        "out_iqr": (x < q1 - 1.5 * span) | (x > q3 + 1.5 * span),
-        "out_z": F.abs(F.try_divide(x - F.col("__m"), F.col("__s"))) > threshold,
-        "out_mz": (F.col("__gaps") == 0) & (F.abs(F.try_divide(0.6745 * (x - q2), F.col("__mad"))) > threshold),
-    }
-    return df.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in tests.items()}).drop("__q", "__m", "__s", "__gaps", "__mad")
+    """The flags of all methods for one column."""
+    return _with_outliers(df, [column], list(OUTLIERS), threshold, key).withColumnsRenamed({f"__{m}_0": name for m, name in OUTLIERS.items()})
 
 
 def remove_outliers(df: DataFrame, columns: list[str], method: str = "iqr", threshold: float = 3.0, key: str = "symbol") -> DataFrame:
     """Rows that no column flags by the method iqr, zscore or modified_zscore."""
-    name = {"iqr": "out_iqr", "zscore": "out_z", "modified_zscore": "out_mz"}[method]
-    for i, c in enumerate(columns):
-        df = outlier_flags(df, c, threshold, key).withColumnRenamed(name, f"__out{i}").drop(*{"out_iqr", "out_z", "out_mz"} - {name})
-    flags = [f"__out{i}" for i in range(len(columns))]
+    if method not in OUTLIERS:
+        raise ValueError(f"unknown method {method}")
+    flags = [f"__{method}_{i}" for i in range(len(columns))]
+    df = _with_outliers(df, columns, [method], threshold, key)
     return df.where(~reduce(Column.__or__, [F.col(f) for f in flags])).drop(*flags)
 
 

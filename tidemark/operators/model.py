@@ -48,12 +48,12 @@ def explained_variance(model: PipelineModel) -> list[float]:
 
 
 def gradient_boosting(trees: int = 500, rate: float = 0.01, depth: int = 4, leaf: int = 100, share: float = 0.3, tolerance: float = 0.0001) -> Estimator:
-    """Boosted trees that stop once the held-out rows no longer gain. MLlib has neither a leaf penalty nor patience rounds."""
+    """MLlib's boosted trees, which stop once the held-out rows no longer gain; `ensembles.PatientBoosting` has a leaf penalty and patience."""
     return GBTRegressor(labelCol="target", maxIter=trees, stepSize=rate, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy=str(share), validationIndicatorCol="__held", validationTol=tolerance, seed=SEED)
 
 
 def random_forest(trees: int = 500, rows: float = 0.3, share: float = 0.1, depth: int = 12, leaf: int = 100) -> Estimator:
-    """Bagged trees on shares of rows and columns. MLlib has no out-of-bag score; judge on held-out rows."""
+    """MLlib's bagged trees on shares of rows and columns; `ensembles.BaggedForest` scores the rows out of its bags."""
     return RandomForestRegressor(labelCol="target", numTrees=trees, subsamplingRate=rows, featureSubsetStrategy=str(share), maxDepth=depth, minInstancesPerNode=leaf, seed=SEED)
 
 
@@ -68,7 +68,7 @@ def huber(penalty: float = 1e-4, most: int = 400) -> Estimator:
 
 
 def lasso(penalties: tuple[float, ...] = (1e-5, 1e-4, 1e-3, 1e-2, 1e-1), folds: int = 5) -> Estimator:
-    """L1 penalty chosen by cross-validation."""
+    """MLlib's L1 penalty chosen by cross-validation, a fit for each fold and penalty; `ensembles.LassoPath` makes one pass."""
     model = LinearRegression(labelCol="target", elasticNetParam=1.0)
     grid = ParamGridBuilder().addGrid(model.regParam, list(penalties)).build()
     return CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="target"), numFolds=folds, seed=SEED)
@@ -85,6 +85,11 @@ def fit_preparation(train: DataFrame, columns: list[str], components: int = 20)
     return Pipeline(stages=preparation(column_kinds(clean, columns), components)).fit(clean)
 
 
+def known_rows(train: DataFrame, prepared: PipelineModel, columns: list[str]) -> DataFrame:
+    """date, symbol, target, features and `__held` of the training rows without nulls."""
+    return prepared.transform(with_holdout(train.dropna(subset=[*columns, "target"]))).select("date", "symbol", "target", "features", "__held")
+
+
 def forecasts(train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Estimator], components: int = 20, blends: dict[str, list[str]] | None = None) -> DataFrame:
     """model, date, symbol, prediction and actual of every test row without nulls, from each model fitted on `train`.
 
@@ -93,7 +98,7 @@ def forecasts(train: DataFrame, test: DataFrame, columns: list[str], models: dic
     rows in one pass. Without training rows or models there is nothing to fit: a ValueError."""
     prepared = fit_preparation(train, columns, components)
     keep = ["date", "symbol", "target", "features"]
-    known = prepared.transform(with_holdout(train.dropna(subset=[*columns, "target"]))).select(*keep, "__held").cache()
+    known = known_rows(train, prepared, columns).cache()
     ahead = prepared.transform(test.dropna(subset=[*columns, "target"])).select(keep)
     if not models or known.isEmpty():
         raise ValueError("forecasts need a model and training rows")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import CountVectorizer, NGram, RegexTokenizer, StopWordsRemover
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.storage import checkpointed
+
 
 def clean_html(c: Column) -> Column:
     """Without tags, white space folded."""
@@ -91,19 +95,75 @@ def daily_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
     return parts.groupBy("date", "ticker").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x"))), lambda s: s["x"]).alias(column))
 
 
-def tfidf(df: DataFrame, columns: list[str], most: int = 100, key: str = "id") -> DataFrame:
-    """key, term and weight: terms of one and two words of the corpus' `most` most frequent, smooth idf, unit length."""
+#: English words that name no subject.
+STOP_WORDS = frozenset("me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs themselves what which who whom this that these those am is are was were be been being have has had having do does did doing an the and but if or because as until while of at by for with about against between into through during before after above below to from up down in out on off over under again further then once here there when where why how all any both each few more most other some such no nor not only own same so than too very can will just don should now cannot could ought would".split())
+_TERM = re.compile(r"\w\w+")
+
+
+def terms_of(text: str, stop: frozenset[str]) -> list[str]:
+    """Words of two characters or more in lower case that are no stop words, then pairs of neighbours among them."""
+    words = [w for w in _TERM.findall(text.lower()) if w not in stop]
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def frequent_terms(rows: DataFrame, stop: frozenset[str], most: int, held: int) -> tuple[list[str], bool]:
+    """Terms among which the `most` most frequent of the column `text` are for sure, and whether that is certain.
+
+    A task holds the counts of `held` terms; when twice as many have come, the smaller ones go and their largest count is what any count of
+    the task may lack at most. A term is left out if its sum with all that may be lacking is below the sum of the term of rank `most`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        lacking = 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(terms_of(text, stop))
+                if len(counts) > 2 * held:
+                    cut = sorted(counts.values(), reverse=True)[held]
+                    lacking += cut
+                    counts = Counter({t: c - cut for t, c in counts.items() if c > cut})
+        names = [None, *counts]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([lacking, *counts.values()], pa.int64())], names=["term", "n"])
+
+    sums = checkpointed(rows.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")))
+    lacking = (sums.where("term is null").first() or {"n": 0})["n"]
+    top = sums.where("term is not null").orderBy(F.desc("n")).limit(most).agg(F.min("n").alias("n"), F.count("*").alias("k")).first()
+    if top["k"] < most:
+        return [r.term for r in sums.where("term is not null").limit(held).collect()], lacking == 0
+    near = sums.where("term is not null").where(F.col("n") >= top["n"] - lacking)
+    found = [r.term for r in near.limit(held + 1).collect()]
+    return found, len(found) <= held and top["n"] > lacking
+
+
+def tfidf(df: DataFrame, columns: list[str], most: int = 100, key: str = "id", held: int = 100_000) -> DataFrame:
+    """key, term and weight: terms of one and two words of the corpus' `most` most frequent, smooth idf, unit length.
+
+    Terms of equal count are taken in the order of their letters. A first pass finds terms that may be among these, `held` at most; the second
+    counts them exactly, by row, and all else comes from these counts. Where the first pass cannot be certain, all terms are counted. The
+    key is unique; null texts are empty; rows without any of the terms have no weights."""
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
-    rows = RegexTokenizer(inputCol="__t", outputCol="__w", pattern=r"\w\w+", gaps=False).transform(df.select(key, text.alias("__t")))
-    rows = StopWordsRemover(inputCol="__w", outputCol="__one").transform(rows)
-    rows = NGram(n=2, inputCol="__one", outputCol="__two").transform(rows).select(key, F.concat("__one", "__two").alias("terms"))
-    chosen = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=most).fit(rows).vocabulary
-    n = rows.count()
-    counts = rows.select(key, F.explode("terms").alias("term")).where(F.col("term").isin(chosen)).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    idf = counts.groupBy("term").agg((F.log((1 + F.lit(n)) / (1 + F.count("*"))) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").withColumn("x", F.col("tf") * F.col("idf"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("len"))
-    return raw.join(length, key).select(key, "term", (F.col("x") / F.col("len")).alias("weight"))
+    rows = df.select(F.col(key).alias("key"), text.alias("text"))
+    stop = STOP_WORDS
+    found, certain = frequent_terms(rows, stop, most, held)
+    wanted = frozenset(found) if certain else None
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, terms, counts = [], [], []
+            for i, value in enumerate(batch.column("text").to_pylist()):
+                own = Counter(t for t in terms_of(value, stop) if wanted is None or t in wanted)
+                keys += [i] * len(own)
+                terms += own
+                counts += own.values()
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(keys, pa.int64())), pa.array(terms, pa.string()), pa.array(counts, pa.int64())], names=["key", "term", "tf"])
+
+    counts = checkpointed(rows.mapInArrow(run, f"key {kind}, term string, tf bigint"))
+    chosen = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df")).orderBy(F.desc("n"), "term").limit(most)
+    idf = chosen.select("term", (F.log((1 + F.lit(df.count())) / (1 + F.col("df"))) + 1).alias("idf"))
+    raw = counts.join(F.broadcast(idf), "term").withColumn("x", F.col("tf") * F.col("idf"))  # `most` rows
+    length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("key")))
+    return raw.select(F.col("key").alias(key), "term", (F.col("x") / length).alias("weight"))
 
 
 def lagged_news(df: DataFrame, mode: str = "calendar", days: DataFrame | None = None) -> DataFrame:

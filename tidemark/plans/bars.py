@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.sequential import sar_column
+from tidemark.functions.sequential import sar_column, scanned_ewm
 from tidemark.operators import bars as B
 from tidemark.operators import features as X
 from tidemark.sources.fixtures import BARS_SQL, DIRTY_SQL, FUND_SQL, FUNDS, bars, dirty_bars, fund_map, table
@@ -77,6 +77,23 @@ def bar_clean(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(B.clean(dirty_bars(spark, sf), floor=10.0), [*B.PRICES, "volume"], TICKS)
 
 
+@_spark("bar_chain")
+def bar_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole cleaning chain: zeros, gaps, ranges, volume floor, smoothing, outliers, parts of the date and scaling."""
+    out = B.clean(dirty_bars(spark, sf), floor=10.0, smooth=5, outliers="iqr", scaler="minmax", times=True)
+    return out.select(*KEY, *[F.round(c, 6).alias(c) for c in (*B.PRICES, "volume")], F.col("week").cast("bigint").alias("week"), "is_month_end")
+
+
+@_spark("line_item_trend")
+def line_item_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """Exponential means of the prices of all line items in one series, in the order of their keys."""
+    i = table(spark, sf, "lineitem")
+    place = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("place")
+    rows = i.select(F.lit("all").alias("symbol"), place, (F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"))
+    out = scanned_ewm(rows.select("symbol", F.format_string("%012d/%012d/%012d/%012d", "place.l_orderkey", "place.l_linenumber", "place.l_partkey", "place.l_suppkey").alias("date"), "price"), {"trend_3": ("price", 3, 1), "trend_5": ("price", 5, 4)})
+    return out.select(F.col("date").alias("place"), F.round("trend_3", 4).alias("trend_3"), F.round("trend_5", 4).alias("trend_5"))
+
+
 @_spark("bar_interpolate")
 def bar_interpolate(spark: SparkSession, sf: str) -> DataFrame:
     df = B.smooth_volume(B.fill_missing(B.zero_to_null(dirty_bars(spark, sf)), "interpolate", ["open", "close", "volume"]), 5)
@@ -330,6 +347,20 @@ e AS (SELECT *, {roll("avg", "up", 14)} AS u, {roll("avg", "down", 14)} AS w, cl
 SELECT symbol, date, {r(lagged(["rsi_14", "sma_ratio_20"]))} FROM f {S}""",
 }
 
+#: Weights of 200 rows back are below 1e-35 here, so a frame of 200 rows gives all digits.
+ORACLES["line_item_trend"] = """WITH i AS (SELECT printf('%012d/%012d/%012d/%012d', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS place, (l_extendedprice / l_quantity)::DOUBLE AS x FROM lineitem),
+w AS (SELECT place, list(x) OVER f AS l, count(*) OVER (ORDER BY place) AS n FROM i WINDOW f AS (ORDER BY place ROWS 199 PRECEDING)),
+s AS (SELECT place, n, list_sum(list_transform(l, lambda v, i: v * pow(0.5::DOUBLE, len(l) - i))) / list_sum(list_transform(l, lambda v, i: pow(0.5::DOUBLE, len(l) - i))) AS a,
+list_sum(list_transform(l, lambda v, i: v * pow(2 / 3::DOUBLE, len(l) - i))) / list_sum(list_transform(l, lambda v, i: pow(2 / 3::DOUBLE, len(l) - i))) AS b FROM w)
+SELECT place, round(a, 4) AS trend_3, CASE WHEN n >= 4 THEN round(b, 4) END AS trend_5 FROM s"""
+_FIVE = [*B.PRICES, "volume"]
+ORACLES["bar_chain"] = f"""{ORACLES["bar_clean"].rsplit(chr(10) + "SELECT", 1)[0]},
+smooth AS (SELECT * REPLACE (coalesce(CASE WHEN count(volume) OVER f >= 5 THEN avg(volume) OVER f END, volume) AS volume) FROM ranged WINDOW f AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+quarters AS (SELECT symbol, {", ".join(f"quantile_cont({c}, 0.25) AS {c}_a, quantile_cont({c}, 0.75) AS {c}_c" for c in _FIVE)} FROM smooth GROUP BY symbol),
+kept AS (SELECT smooth.* FROM smooth JOIN quarters USING (symbol) WHERE NOT ({" OR ".join(f"coalesce({c} < {c}_a - 1.5 * ({c}_c - {c}_a) OR {c} > {c}_c + 1.5 * ({c}_c - {c}_a), false)" for c in _FIVE)})),
+ends AS (SELECT {", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in _FIVE)} FROM dirty WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FIVE)})
+SELECT symbol, date, {r({c: f"({c} - {c}_lo) / ({c}_hi - {c}_lo)" for c in _FIVE})}, week(date) AS week, date = last_day(date) AS is_month_end FROM kept, ends"""
+
 ORACLES["parabolic_stop"] = f"WITH RECURSIVE {_SAR} SELECT symbol, date, round(ref.stop + {HALF}, 6) AS sar, round(std.stop + {HALF}, 6) AS sar_standard FROM nb JOIN ref USING (symbol, n) JOIN std USING (symbol, n)"
 
 

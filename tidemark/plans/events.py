@@ -171,17 +171,6 @@ def news_daily_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*TD, F.col("place").cast("bigint").alias("place"), F.round("x", 6).alias("x"))
 
 
-@_spark
-def news_tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    return N.tfidf(articles(spark, sf), ["headline", "description"]).withColumn("weight", F.round("weight", 6))
-
-
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """date, symbol, prediction (lagged distance from the mean of twenty) and actual (a hundredth of the return of five rows)."""
-    df = X.target(bars(spark, sf).withColumn("p", change("close", X.sma("close", 20))), 5)
-    return X.shifted(df, ["p"]).select("date", "symbol", F.col("p").alias("prediction"), (F.col("target") / 100).alias("actual"))
-
-
 @_spark
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _round(V.scores(predictions(spark, sf)), [], ["n", "rmse", "rmse_zero", "accuracy", "pearson", "spearman", "improvement_pct"])

@@ -17,7 +17,7 @@ from tidemark.plans import events as PE
 from tidemark.plans.bars import BARS_SQL, r
 from tidemark.sources import landed_pages as L
 from tidemark.sources import readers as R
-from tidemark.sources.fixtures import ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, articles, bars, days_of, fund_map, insider_rows, macro_series, order_days, table
+from tidemark.sources.fixtures import ANALYST_SQL, ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, articles, bars, days_of, fund_map, insider_rows, macro_series, order_days, table
 from tidemark.sources.store import Store, land
 
 QUERIES: dict = {}
@@ -138,6 +138,84 @@ def store_fetch_plan(spark: SparkSession, sf: str) -> DataFrame:
     return R.fetch_plan(rows, last, tolerance=0)
 
 
+def _titles(spark: SparkSession, sf: str) -> DataFrame:
+    """Article titles of two in three tickers, some written in lower case."""
+    n = table(spark, sf, "nation").where("n_nationkey % 3 != 0")
+    ticker = F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
+    return n.select(ticker.alias("ticker"), F.concat(F.lit("Nation_No._"), F.col("n_nationkey").cast("string")).alias("title"))
+
+
+@_spark
+def landed_pageviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Views of each ticker's article by day, written as one JSON document an article, read back and told by ticker again, with their features."""
+    folder, titles = _folder(spark), _titles(spark, sf)
+    e = table(spark, sf, "events").where("event_type = 'view'").groupBy(F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("ticker"), F.to_date("ts").alias("day")).agg(F.count("*").alias("views"))
+    rows = R.with_articles(e, titles)
+    items = F.collect_list(F.struct("article", F.concat(F.date_format("day", "yyyyMMdd"), F.lit("00")).alias("timestamp"), "views"))  # a row a day
+    docs = rows.groupBy("article").agg(F.to_json(F.struct(items.alias("items"))).alias("value")).withColumn("part", F.sha2("article", 256))
+    docs.select("value", "part").repartition("part").write.partitionBy("part").text(folder)
+    of_article = R.with_articles(table(spark, sf, "nation").select(F.col("n_name").alias("ticker")), titles)
+    found = R.pageviews(spark, folder).join(F.broadcast(of_article), "article").select("ticker", "article", "date", "views")  # a row a nation
+    return E.pageview_features(found).select("ticker", "article", "date", "views", F.round("pageviews_ma7", 6).alias("pageviews_ma7"), F.col("attention_spike").cast("bigint").alias("attention_spike"))
+
+
+@_spark
+def landed_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """Price targets of orders, written as a JSON array for each ticker and quarter, and read back; some without a day, a price or a number."""
+    folder, k = _folder(spark), F.col("k")
+    o = _orders(spark, sf).withColumn("quarter", F.date_format("day", "yyyyQ"))
+    day = F.when(k % 11 == 0, "soon").otherwise(F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T10:00:00.000Z")))
+    item = F.struct(F.col("ticker").alias("symbol"), day.alias("publishedDate"), F.col("o_orderpriority").alias("analystCompany"), F.when(k % 13 == 0, "n/a").otherwise((k % 500).cast("string")).alias("priceTarget"), (k % 7).cast("double").alias("priceWhenPosted"), k.alias("note"))
+    docs = o.groupBy("ticker", "quarter").agg(F.to_json(F.collect_list(item)).alias("value"))  # a quarter of one ticker
+    docs.withColumn("part", F.concat("ticker", "quarter")).select("value", "part").repartition("part").write.partitionBy("part").text(folder)
+    found = R.price_targets(spark, folder)
+    return found.select("ticker", "date", "firm", "target", "posted")
+
+
+@_spark
+def landed_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """The first four items of a feed for each ticker and month, dated by the feed's form."""
+    folder = _folder(spark)
+    o = _orders(spark, sf).withColumn("month", F.date_format("day", "yyyy-MM"))
+    text = F.concat(F.lit("<item><title>"), F.lpad(F.col("k").cast("string"), 12, "0"), F.lit(" &amp; more</title><description>"), F.col("o_orderpriority"), F.lit("</description><link>/x</link><pubDate>"), F.date_format("day", "EEE, dd MMM yyyy"), F.lit(" 08:00:00 GMT</pubDate></item>"))
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", text.alias("x")))), lambda i: i["x"]), "\n")  # a month of one ticker
+    docs = o.groupBy("ticker", "month").agg(F.concat(F.lit("<rss><channel><title>News</title>\n"), items, F.lit("\n</channel></rss>")).alias("value"))
+    docs.withColumn("part", F.concat("ticker", F.lit("_"), "month")).select("value", "part").repartition("part").write.partitionBy("part").text(folder)
+    found = R.feed_items(spark, folder, most=4)
+    return found.select(F.col("title").alias("headline"), "description", N.feed_date(F.col("pubDate"), AS_OF).alias("date"))
+
+
+@_spark
+def landed_grades(spark: SparkSession, sf: str) -> DataFrame:
+    """Grade changes with days as text and columns named as they land, between two days."""
+    rows = PE.analyst_rows(spark, sf)
+    day = F.when(F.col("id") % 9 == 0, "unknown").otherwise(F.col("date").cast("string"))
+    landed = rows.select(F.col("id").alias("Id"), F.col("ticker").alias("Ticker"), day.alias("GradeDate"), F.col("to_grade").alias("ToGrade"), F.col("from_grade").alias("FromGrade"), F.col("action").alias("Action"))
+    return E.grade_changes(landed, "1996-03-01", "2000-10-31").select("id", "ticker", "date", "to_grade", "from_grade", "action")
+
+
+@_spark
+def stored_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Order counts by ticker and status kept under their parameters: made once, read the second time, and made anew for others."""
+    folder = _folder(spark)
+    make = lambda status: lambda: _orders(spark, sf).where(F.col("o_orderstatus").isin(status)).groupBy("ticker").agg(F.count("*").alias("n"))
+    none = lambda: 1 / 0
+    first = R.stored_result(spark, folder, make(["F"]), status=["F"], by="ticker")
+    both = R.stored_result(spark, folder, make(["F", "O"]), status=["O", "F"], by="ticker")
+    again = R.stored_result(spark, folder, none, by="ticker", status=["F", "O"])
+    named = [df.withColumn("result", F.lit(x)) for x, df in (("first", first), ("both", both), ("again", again))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@_spark
+def news_next_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily article counts moved to the next day on which orders were placed on a Monday, Wednesday or Thursday."""
+    o = _orders(spark, sf)
+    days = o.where("weekday(day) in (0, 2, 3)").select(F.col("day").alias("date"))
+    counts = o.groupBy("ticker", F.col("day").alias("date")).agg(F.count("*").alias("count"))
+    return N.lagged_news(counts, "trading", days)
+
+
 @_spark
 def insider_filings(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions of each ticker's first fifty filings by arrival; undated ones have the filing's day."""
@@ -278,4 +356,13 @@ errors AS (SELECT j, sqrt(avg(pow(0.3::DOUBLE * CASE WHEN j // 2 = 0 THEN v ELSE
 plain AS (SELECT sqrt(avg(pow(0.3::DOUBLE * return_1lag - 0.2::DOUBLE * return_7d_1lag + 0.1::DOUBLE * hl_spread_pct_1lag - actual, 2))) AS r FROM full_rows),
 found AS (SELECT (['return_1lag', 'return_7d_1lag', 'vix_like', 'news_like'])[j // 2 + 1] AS feature, (['price/tech', 'price/tech', 'macro', 'news_sentiment'])[j // 2 + 1] AS family, avg(e.r - p.r) AS importance FROM errors e, plain p GROUP BY j // 2)
 SELECT feature, family, round(importance, 9) AS importance, round(sum(importance) OVER (PARTITION BY family), 9) AS family_total, count(*) OVER (PARTITION BY family) AS family_size FROM found""",
+    "landed_pageviews": """WITH t AS (SELECT n_name AS ticker, CASE WHEN n_nationkey % 3 != 0 THEN 'Nation_No._' || n_nationkey ELSE n_name || '_(company)' END AS article FROM nation),
+v AS (SELECT 'NATION_' || (user_id % 25) AS ticker, ts::DATE AS date, count(*) AS views FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT ticker, article, date, views, round(avg(views) OVER (PARTITION BY ticker ORDER BY date ROWS 6 PRECEDING), 6) AS pageviews_ma7,
+(views > avg(views) OVER m + 2 * coalesce(stddev_samp(views) OVER m, 0))::BIGINT AS attention_spike FROM v JOIN t USING (ticker) WINDOW m AS (PARTITION BY ticker ORDER BY date ROWS 29 PRECEDING)""",
+    "landed_targets": f"WITH {_ORDERS_SQL} SELECT ticker, day AS date, o_orderpriority AS firm, (k % 500)::DOUBLE AS target, nullif(k % 7, 0)::DOUBLE AS posted FROM o WHERE k % 11 != 0 AND k % 13 != 0",
+    "landed_feeds": f"WITH {_ORDERS_SQL} SELECT lpad(k::VARCHAR, 12, '0') || ' & more' AS headline, o_orderpriority AS description, day AS date FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_trunc('month', day) ORDER BY k) AS n FROM o) WHERE n <= 4",
+    "landed_grades": f"WITH {ANALYST_SQL} SELECT id, ticker, date, to_grade, from_grade, action FROM analyst WHERE id % 9 != 0 AND date BETWEEN DATE '1996-03-01' AND DATE '2000-10-31'",
+    "stored_results": f"WITH {_ORDERS_SQL}, f AS (SELECT ticker, count(*) FILTER (o_orderstatus = 'F') AS one, count(*) FILTER (o_orderstatus IN ('F', 'O')) AS two FROM o GROUP BY ticker) SELECT ticker, one AS n, 'first' AS result FROM f WHERE one > 0 UNION ALL SELECT ticker, two, unnest(['both', 'again']) FROM f WHERE two > 0",
+    "news_next_open": f"WITH {_ORDERS_SQL}, c AS (SELECT ticker, day, count(*) AS n FROM o GROUP BY ALL), d AS (SELECT DISTINCT day FROM o WHERE isodow(day) IN (1, 3, 4)), nexts AS (SELECT c.day, min(d.day) AS date FROM (SELECT DISTINCT day FROM c) c JOIN d ON d.day > c.day GROUP BY c.day) SELECT ticker, date, n AS news_count FROM c JOIN nexts USING (day)",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate as V
 from tidemark.operators import features as X
+from tidemark.operators import ensembles as M
 from tidemark.operators import model as L
 from tidemark.sources.fixtures import bars, table
 
@@ -23,12 +24,20 @@ def _panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def forecast_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of each model, and of the ensemble of boosting and forest, on all rows after the split."""
     train, test = _panel(spark, sf_dir)
-    models = {"boosting": L.gradient_boosting(), "forest": L.random_forest(), "linear": L.linear(), "huber": L.huber(), "lasso": L.lasso()}
+    models = {"boosting": M.PatientBoosting(), "forest": M.BaggedForest(), "linear": L.linear(), "huber": L.huber(), "lasso": M.LassoPath()}
     found = L.forecasts(train, test, COLUMNS, models, blends={"ensemble": ["boosting", "forest"]})
     clipped = V.clip_predictions(found, train)
     return V.scores(clipped, "model").select("model", "n", *[F.round(c, 9).alias(c) for c in ("rmse", "rmse_zero", "improvement_pct", "accuracy", "spearman")])
 
 
+def forecast_out_of_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error of a forest on the training rows that its trees have not seen, by symbol."""
+    train, _ = _panel(spark, sf_dir)
+    known = L.known_rows(train, L.fit_preparation(train, COLUMNS), COLUMNS)
+    seen = M.BaggedForest(trees=60, per_bag=20, leaf=20, share=0.4).fit(known).out_of_bag(known)
+    return V.scores(seen.select("symbol", "prediction", F.col("target").alias("actual")), "symbol").select("symbol", "n", *[F.round(c, 9).alias(c) for c in ("rmse", "rmse_zero", "accuracy")])
+
+
 def embedding_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all document vectors and the share of the variance that each explains."""
     rows = table(spark, sf_dir, "embeddings")
@@ -40,4 +49,4 @@ def embedding_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, round(v, 9)) for i, v in enumerate(shares)], "component int, explained double")
 
 
-QUERIES = {"forecast_models": forecast_models, "embedding_components": embedding_components}
+QUERIES = {"forecast_models": forecast_models, "forecast_out_of_bag": forecast_out_of_bag, "embedding_components": embedding_components}

@@ -43,6 +43,12 @@ def news_daily_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return _round(out, TD, [c for c in out.columns if c.startswith("news_")])
 
 
+@_spark
+def news_tfidf(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of the 100 most frequent terms in every article."""
+    return N.tfidf(articles(spark, sf), ["headline", "description"]).withColumn("weight", F.round("weight", 6))
+
+
 @_spark
 def news_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Articles of two sources merged, scored, given vectors and rolled up by day and ticker."""
@@ -102,4 +108,9 @@ ORACLES = {
 SELECT ticker, date + 1 AS date, round(avg(c), 6) AS news_sentiment_mean, round(median(c), 6) AS news_sentiment_median, round(coalesce(stddev_samp(c), 0), 6) AS news_sentiment_std, round(min(c), 6) AS news_sentiment_min, round(max(c), 6) AS news_sentiment_max, count(*) AS news_news_count FROM a GROUP BY ticker, date""",
     "news_pipeline": f"""WITH {ARTICLES_SQL}, m AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY ticker, headline ORDER BY (id % 3 != 0)::INT, id) AS k FROM articles) WHERE k = 1), {sentiment_sql('m')}
 SELECT ticker, date, round(avg(description_sentiment), 6) AS sentiment_mean, count(*) AS news_count, round(avg(embedding[1]::DOUBLE), 6) AS x0 FROM senti LEFT JOIN embeddings ON vec_id = id GROUP BY ticker, date""",
+    "news_tfidf": rf"""WITH {ARTICLES_SQL}, words AS (SELECT id, list_filter(regexp_extract_all(lower(coalesce(headline, '') || ' ' || coalesce(description, '')), '[\p{{L}}\p{{N}}_]{{2,}}'), lambda x: NOT list_contains([{", ".join(f"'{w}'" for w in sorted(N.STOP_WORDS))}], x)) AS w FROM articles),
+terms AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
+counts AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term), chosen AS (SELECT term, sum(tf) AS n, count(*) AS df FROM counts GROUP BY term ORDER BY n DESC, term LIMIT 100),
+raw AS (SELECT id, term, tf * (ln((1 + (SELECT count(*) FROM articles))::DOUBLE / (1 + df)) + 1) AS x FROM counts JOIN chosen USING (term))
+SELECT id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY id)), 6) AS weight FROM raw""",
 }

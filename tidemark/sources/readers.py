@@ -59,9 +59,14 @@ def pageviews(spark: SparkSession, path: str) -> DataFrame:
     return items.select("i.article", F.try_to_date(F.substring("i.timestamp", 1, 8), "yyyyMMdd").alias("date"), "i.views")
 
 
-def article_of(ticker: Column, title: Column) -> Column:
-    """Mapped title, else the ticker with '_(company)'."""
-    return F.coalesce(title, F.concat(F.upper(ticker), F.lit("_(company)")))
+def with_articles(df: DataFrame, titles: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
+    """`df` with `article` of its ticker: the title that the table `titles` (ticker, title) has for it in any case, else the ticker with '_(company)'.
+
+    Of several titles of a ticker the first by its letters counts. The table is broadcast where it is small."""
+    known = titles.where("ticker is not null and title is not null").groupBy(F.upper("ticker").alias("__ticker")).agg(F.min("title").alias("__title"))
+    known = F.broadcast(known) if titles.count() <= most_broadcast else known
+    out = df.join(known, F.upper(df["ticker"]) == F.col("__ticker"), "left")
+    return out.withColumn("article", F.coalesce("__title", F.concat(F.upper(df["ticker"]), F.lit("_(company)")))).drop("__ticker", "__title")
 
 
 def feed_items(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
