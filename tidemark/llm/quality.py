@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, map_arrow, texts
+from tidemark.llm.common import checkpointed, compact, map_arrow, texts
 
 SYMBOLS = b"#*$%&|<>"
 #: Levels of a sequence, and each measure's cutoffs at the first and the last; those between are in geometric progression.
@@ -108,16 +108,18 @@ def binomial_upper(k: int, n: int, error: float) -> float:
     return high
 
 
-def rejects(sequence: str, level: int) -> Column:
-    """True where the rule at this level of a sequence rejects."""
+def first_levels() -> dict[str, Column]:
+    """For each sequence the first level whose rule rejects, LEVELS if none does: cutoffs fall, so all stricter levels reject too."""
     share = shares()
-    return reduce(Column.__or__, [share[m] > CUTOFFS[m][level] for m in SEQUENCES[sequence]])
+    of = lambda m: F.size(F.filter(F.array(*[F.lit(c) for c in CUTOFFS[m]]), lambda c: c >= share[m]))
+    return {s: F.least(*map(of, names)) if len(names) > 1 else of(names[0]) for s, names in SEQUENCES.items()}
 
 
-def select_rules(counts: list[dict], risk: float, error: float) -> dict[str, tuple[str, int]]:
+def select_rules(counts: list[dict], risk: float, error: float, strata: int | None = None) -> dict[str, tuple[str, int]]:
     """The chosen rule (sequence and level) by stratum; strata where none passes are left out. counts: rows with stratum, n good
-    documents and, by name good_sequence_level and bad_sequence_level, how many good and bad ones that rule rejects."""
-    level = error / max(1, len(counts) * len(SEQUENCES))
+    documents and, by name good_sequence_level and bad_sequence_level, how many good and bad ones that rule rejects. strata: how many
+    are tested in all, if not these."""
+    level = error / max(1, (strata or len(counts)) * len(SEQUENCES))
     chosen: dict[str, tuple[str, int]] = {}
     for row in counts:
         last: dict[str, int] = {}
@@ -132,14 +134,32 @@ def select_rules(counts: list[dict], risk: float, error: float) -> dict[str, tup
     return chosen
 
 
-def holdout_counts(measured: DataFrame, labels: DataFrame, id_col: str, quality_col: str, group: Column) -> DataFrame:
-    """stratum, n and the counts of `select_rules`, over different texts that pass the base rules; a text with any label 0 is bad."""
+def holdout_levels(measured: DataFrame, labels: DataFrame, id_col: str, quality_col: str) -> DataFrame:
+    """stratum, quality, sequence, level and n: how many different texts that pass the base rules are first rejected at a level of each sequence.
+
+    A text with any label 0 is bad."""
     known = labels.where(F.col(quality_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.min(F.col(quality_col)).alias("quality"))
-    trials = measured.where(~base_failed()).withColumn("stratum", group).join(known, "doc_id")
+    trials = measured.where(~base_failed()).join(known, "doc_id")
     trials = trials.groupBy("stratum", "text_hash").agg(F.min("quality").alias("quality"), *[F.first(c).alias(c) for c in _COUNTS])
-    of = lambda q, s, i: F.count_if((F.col("quality") == q) & rejects(s, i))
-    rejected = [of(q, s, i).alias(f"{name}_{s}_{i}") for q, name in ((1, "good"), (0, "bad")) for s in SEQUENCES for i in range(LEVELS)]
-    return trials.groupBy("stratum").agg(F.count_if(F.col("quality") == 1).alias("n"), *rejected)
+    firsts = F.array(*[F.struct(F.lit(s).alias("sequence"), level.alias("level")) for s, level in first_levels().items()])
+    each = trials.select("stratum", "quality", F.explode(firsts).alias("f"))
+    return each.groupBy("stratum", "quality", "f.sequence", "f.level").agg(F.count("*").alias("n"))
+
+
+def chosen_rules(levels: DataFrame, risk: float, error: float) -> DataFrame:
+    """stratum, sequence and level of the rule that each stratum gets; a stratum is one group of a row a level at most."""
+    strata = levels.select("stratum").distinct().count()
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        row: dict = {"stratum": rows["stratum"].iloc[0], "n": int(rows.loc[(rows.quality == 1) & (rows.sequence == "all"), "n"].sum())}
+        for q, name in ((1, "good"), (0, "bad")):
+            for s in SEQUENCES:
+                own = rows[(rows.quality == q) & (rows.sequence == s)]
+                row |= {f"{name}_{s}_{i}": int(own.loc[own.level <= i, "n"].sum()) for i in range(LEVELS)}
+        found = select_rules([row], risk, error, strata)
+        return pd.DataFrame([(k, *v) for k, v in found.items()], columns=["stratum", "sequence", "level"])
+
+    return levels.groupBy("stratum").applyInPandas(choose, "stratum string, sequence string, level int")
 
 
 def base_failed() -> Column:
@@ -148,21 +168,18 @@ def base_failed() -> Column:
 
 
 def quality_filter(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", quality_col: str = "quality", risk: float = 0.03, error: float = 0.05, most_strata: int = 50
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", quality_col: str = "quality", risk: float = 0.03, error: float = 0.05, most_broadcast: int = 100_000
 ) -> DataFrame:
     """doc_id, counts, base_failed and kept for each row of `docs`.
 
-    Strata are the `most_strata` values of `stratum_col` with most labelled documents; all other rows
-    form one more. base_failed: fewer than 10 words, or over 20 % of words in repeated windows. kept: not
+    Every value of `stratum_col` is a stratum. base_failed: fewer than 10 words, or over 20 % of words in repeated windows. kept: not
     base_failed and not rejected by its stratum's rule; a stratum with too few labels to bound the
     risk gets none. Labels of unknown documents, null labels and repeated labels of a document (any
     label 0 makes it bad) do no harm; without labels only the base rules act. Repeated rows each come out and are one trial."""
     measured = checkpointed(quality_measures(docs, id_col, text_col, stratum_col))
-    ids = labels.where(F.col(quality_col).isNotNull()).select(F.col(id_col).alias("doc_id"))
-    names = [r["stratum"] for r in measured.where(~base_failed()).join(ids, "doc_id", "left_semi").groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(most_strata).collect()]
-    group = F.when(F.col("stratum").isin(names), F.concat(F.lit("="), "stratum")).otherwise("other")
-    counts = [r.asDict() for r in holdout_counts(measured, labels, id_col, quality_col, group).collect()]
-    chosen = select_rules(sorted(counts, key=lambda r: r["stratum"]), risk, error)
-    over = [(group == name) & rejects(*rule) for name, rule in sorted(chosen.items())]
-    kept = ~base_failed() & ~reduce(Column.__or__, over, F.lit(False))
+    rules = compact(chosen_rules(checkpointed(holdout_levels(measured, labels, id_col, quality_col)), risk, error))
+    rules = F.broadcast(rules) if rules.count() <= most_broadcast else rules
+    first = F.coalesce(*[F.when(F.col("sequence") == s, level) for s, level in first_levels().items()])
+    kept = ~base_failed() & (F.col("level").isNull() | (first > F.col("level")))
+    measured = measured.join(rules, "stratum", "left")
     return measured.select("doc_id", *_COUNTS, base_failed().alias("base_failed"), kept.alias("kept"))
