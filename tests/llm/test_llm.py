@@ -325,6 +325,57 @@ def test_toxicity_counterfactuals_act_on_the_given_labels(spark):
     assert moved[1.0] < 0.2 * moved[0.0] and right[1.0] >= max(0.97, right[0.0] - 0.005), (moved, right)
 
 
+def test_toxicity_score_equals_a_plain_fit(spark):
+    """Against dense matrices: selected features, 250 steps of the same descent, and the score of every text, long ones too."""
+    random = np.random.default_rng(5)
+    words = [f"word{i}x" for i in range(40)] + ["women", "men", "vile"]
+    texts = [" ".join(random.choice(words, random.integers(3, 15))) for _ in range(200)]
+    values = [(i, t, float("vile" in t.split() or random.random() < 0.05)) for i, t in enumerate(dict.fromkeys(texts))]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in values] + [(900, None), (901, "women vile " * 20_000)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in values], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    names = sorted(model.index, key=model.index.get)
+    of = lambda t: {f for w in re.findall(r"\w+", t.lower()) for f in toxicity.features(w)}
+    x = np.array([[f in own for f in names] for own in (of(t) for _, t, _ in values)], float)
+    y = np.array([v[2] for v in values])
+    groups = [g for g in toxicity.prepared(toxicity.labelled_sample(docs, labels), toxicity.MOST_FEATURES)[1]]
+    swaps = []
+    for _, t, _ in values:
+        own = set(re.findall(r"\w+", t.lower()))
+        for g in groups:
+            for term in sorted(own & set(g)):
+                for other in g:
+                    if other != term:
+                        new = of(" ".join(own - {term} | {other}))
+                        swaps.append([(f in new) * 1.0 - (f in of(t)) for f in names])
+    d = np.array(swaps)
+    rate = (y.sum() + 0.5) / (len(y) + 1)
+    w, b = np.zeros(len(names)), np.log(rate / (1 - rate))
+    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    for step in range(1, 251):
+        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+        g = np.append(x.T @ (p - y) / len(y) + 1e-4 * w + 2 / len(d) * d.T @ (d @ w), (p - y).mean())
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        move = 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        w, b = w - move[:-1], b - move[-1]
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, model).collect()}
+    score = lambda t: 1 / (1 + np.exp(-np.clip(b + sum(w[model.index[f]] for f in of(t) if f in model.index), -30, 30)))
+    for i, t, _ in [*values, (900, "", 0), (901, "women vile", 0)]:
+        assert got[i] == pytest.approx(score(t), abs=2e-3)
+
+
+def test_largest_fills_the_last_class(spark):
+    from tidemark.llm.common import largest
+
+    rows = [(f"a{i}", 5.0) for i in range(4000)] + [("top", 90.0), ("next", 80.0), ("low", 0.5), ("none", 0.0)]
+    df = spark.createDataFrame(rows, "name string, n double")
+    for most in (1, 2, 3, 1000, 4002, 4003, 9000):
+        got = [r.name for r in largest(df, F.col("n"), most, "name").collect()]
+        assert len(got) == len(set(got)) == min(most, 4004) and set(["top", "next"][:most]) <= set(got)
+        assert most >= 4003 or "low" not in got
+    assert largest(df.where("n = 5"), F.col("n"), 3000, "name").count() == 3000 and largest(df.limit(0), F.col("n"), 5, "name").count() == 0
+
+
 def test_toxicity_swaps_every_listed_term(spark):
     """Against brute force: features before and after each swap, with ties, repeated texts and terms that share beginnings."""
     values = ["women women and men", "Women, and Mench x", "nothing", "men", "men"]
