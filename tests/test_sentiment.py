@@ -93,3 +93,15 @@ def test_lexicon_of_labels(spark):
     docs = spark.createDataFrame([(i, "Good day" if i % 2 else "bad day, bad") for i in range(20)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
     assert dict(S.label_lexicon(docs, labels, F.col("quality") == 1).collect()) == {"good": 4.0, "bad": -4.0}
+
+
+def test_token_vectors_are_capped_and_pooled(spark):
+    from tidemark.operators import news as N
+
+    df = spark.createDataFrame([(1, "a bb ccc dddd"), (2, ""), (3, None), (4, "xx"), (5, "y " * 300)], "id int, headline string")
+    encoder = lambda: (str.split, lambda lists: [[[float(len(w)), 1.0] for w in t] for t in lists])
+    got = lambda **k: {r.id: r.embedding for r in N.embed_tokens(df, encoder, most_tokens=3, batch=2, **k).collect()}
+    assert got(pooling="mean") == {1: [2.0, 1.0], 2: None, 3: None, 4: [2.0, 1.0], 5: [1.0, 1.0]}
+    assert got() == {1: [1.0, 1.0], 2: None, 3: None, 4: [2.0, 1.0], 5: [1.0, 1.0]}
+    with pytest.raises(ValueError):
+        got(pooling="max")

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -85,6 +86,30 @@ def embed(df: DataFrame, encoder: Callable[[], Callable[[list[str]], list[list[f
     return df.mapInPandas(run, f"{fields}, `{name}` array<float>")
 
 
+def embed_tokens(df: DataFrame, encoder: Callable[[], tuple[Callable, Callable]], text: str = "headline", name: str = "embedding", most_tokens: int = 128, pooling: str = "first", batch: int = 32) -> DataFrame:
+    """The rows with one vector of each text from an encoder of tokens, which each task makes once.
+
+    The encoder gives a tokenizer (text to tokens) and a model (batch of token lists to one vector a token). A text counts with its first
+    `most_tokens` tokens, by the vector of the first one or the mean of all; a text without tokens, and a null, has null."""
+    if pooling not in ("first", "mean"):
+        raise ValueError(f"unknown pooling {pooling}")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens_of, encode = encoder()
+        for frame in frames:
+            tokens = [list(tokens_of(t))[:most_tokens] if isinstance(t, str) else [] for t in frame[text]]
+            out: list = [None] * len(tokens)
+            full = sorted((i for i, t in enumerate(tokens) if t), key=lambda i: len(tokens[i]))  # texts of like length together
+            for start in range(0, len(full), batch):
+                own = full[start : start + batch]
+                for i, vectors in zip(own, encode([tokens[i] for i in own])):
+                    out[i] = list(vectors[0]) if pooling == "first" else np.mean(np.asarray(vectors, float), axis=0).tolist()
+            yield frame.assign(**{name: out})
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInPandas(run, f"{fields}, `{name}` array<double>")
+
+
 def daily_sentiment(df: DataFrame, column: str = "description_sentiment") -> DataFrame:
     return df.groupBy("date", "ticker").agg(F.avg(column).alias("sentiment_mean"), F.median(column).alias("sentiment_median"), F.coalesce(F.stddev_samp(column), F.lit(0.0)).alias("sentiment_std"), F.min(column).alias("sentiment_min"), F.max(column).alias("sentiment_max"), F.count("*").alias("news_count"))
 

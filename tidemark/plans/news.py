@@ -43,6 +43,18 @@ def news_daily_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return _round(out, TD, [c for c in out.columns if c.startswith("news_")])
 
 
+def _token_encoder():
+    """A stand-in for an encoder of tokens: the words of a text, and their lengths and numbers of e as vectors."""
+    return (lambda text: [w for w in text.split(" ") if w]), (lambda lists: [[[float(len(w)), float(w.count("e"))] for w in words] for words in lists])
+
+
+@_spark
+def news_pooled(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean vectors of the first 128 tokens of every description, as rows."""
+    found = N.embed_tokens(articles(spark, sf).select("id", "description"), _token_encoder, "description", pooling="mean")
+    return found.select("id", F.posexplode("embedding").alias("place", "x")).select("id", F.col("place").cast("bigint").alias("place"), F.round("x", 6).alias("x"))
+
+
 @_spark
 def news_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     """Weights of the 100 most frequent terms in every article."""
@@ -108,6 +120,8 @@ ORACLES = {
 SELECT ticker, date + 1 AS date, round(avg(c), 6) AS news_sentiment_mean, round(median(c), 6) AS news_sentiment_median, round(coalesce(stddev_samp(c), 0), 6) AS news_sentiment_std, round(min(c), 6) AS news_sentiment_min, round(max(c), 6) AS news_sentiment_max, count(*) AS news_news_count FROM a GROUP BY ticker, date""",
     "news_pipeline": f"""WITH {ARTICLES_SQL}, m AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY ticker, headline ORDER BY (id % 3 != 0)::INT, id) AS k FROM articles) WHERE k = 1), {sentiment_sql('m')}
 SELECT ticker, date, round(avg(description_sentiment), 6) AS sentiment_mean, count(*) AS news_count, round(avg(embedding[1]::DOUBLE), 6) AS x0 FROM senti LEFT JOIN embeddings ON vec_id = id GROUP BY ticker, date""",
+    "news_pooled": f"""WITH {ARTICLES_SQL}, w AS (SELECT id, list_filter(string_split(description, ' '), lambda x: x != '')[1:128] AS ws FROM articles), t AS (SELECT id, unnest(ws) AS word FROM w)
+SELECT id, 0::BIGINT AS place, round(avg(length(word)), 6) AS x FROM t GROUP BY id UNION ALL SELECT id, 1, round(avg(length(word) - length(replace(word, 'e', ''))), 6) FROM t GROUP BY id""",
     "news_tfidf": rf"""WITH {ARTICLES_SQL}, words AS (SELECT id, list_filter(regexp_extract_all(lower(coalesce(headline, '') || ' ' || coalesce(description, '')), '[\p{{L}}\p{{N}}_]{{2,}}'), lambda x: NOT list_contains([{", ".join(f"'{w}'" for w in sorted(N.STOP_WORDS))}], x)) AS w FROM articles),
 terms AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
 counts AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term), chosen AS (SELECT term, sum(tf) AS n, count(*) AS df FROM counts GROUP BY term ORDER BY n DESC, term LIMIT 100),

@@ -78,11 +78,15 @@ def _extracted(pages: DataFrame, rows: Callable[[str], list[tuple]], names: list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in (batch.slice(i, 1) for i in range(len(batch))):
-                found = rows(one.column("html")[0].as_py() or "")
-                at = pa.array([0] * len(found), pa.int32())
-                columns = [pa.array([r[k] for r in found], pa.string()) for k in range(len(names))]
-                yield pa.RecordBatch.from_arrays([one.column("ticker").take(at), one.column("url").take(at), pa.array(range(len(found)), pa.int32()), *columns], names=["ticker", "page", "place", *names])
+            parents, places, found = [], [], []
+            for i, html in enumerate(batch.column("html").to_pylist()):
+                own = rows(html or "")
+                parents += [i] * len(own)
+                places += range(len(own))
+                found += own
+            at = pa.array(parents, pa.int32())
+            columns = [pa.array([r[k] for r in found], pa.string()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column("ticker").take(at), batch.column("url").take(at), pa.array(places, pa.int32()), *columns], names=["ticker", "page", "place", *names])
 
     return pages.select("ticker", "url", "html").mapInArrow(run, f"ticker {kind}, page string, place int, " + ", ".join(f"{n} string" for n in names))
 
