@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.windows import bfill, by, ffill, known, least, most, roll
+from tidemark.functions.windows import bfill, by, ffill, least, most
 from tidemark.operators.evaluate import overall_quantiles
 
 PRICES = ["open", "high", "low", "close"]

@@ -10,7 +10,7 @@ from tidemark.operators import evaluate as V
 from tidemark.operators import events as E
 from tidemark.operators import features as X
 from tidemark.operators import news as N
-from tidemark.plans.bars import BARS_SQL, S, r, roll
+from tidemark.plans.bars import _PX, _PX1, BARS_SQL, S, r, roll
 from tidemark.sources.fixtures import ANALYST_SQL, ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, analyst_rows, articles, bars, days_of, insider_rows, macro_series, order_days, table
 
 QUERIES: dict = {}
@@ -171,6 +171,12 @@ def news_daily_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*TD, F.col("place").cast("bigint").alias("place"), F.round("x", 6).alias("x"))
 
 
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """date, symbol, prediction (lagged distance from the mean of twenty) and actual (a hundredth of the return of five rows)."""
+    df = X.target(bars(spark, sf).withColumn("p", change("close", X.sma("close", 20))), 5)
+    return X.shifted(df, ["p"]).select("date", "symbol", F.col("p").alias("prediction"), (F.col("target") / 100).alias("actual"))
+
+
 @_spark
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _round(V.scores(predictions(spark, sf)), [], ["n", "rmse", "rmse_zero", "accuracy", "pearson", "spearman", "improvement_pct"])
@@ -300,6 +306,11 @@ SELECT symbol, date, round(dv, 4) AS dollar_volume, round((dv - CASE WHEN count(
     "news_clean": r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages",
     "news_merge": f"WITH {ARTICLES_SQL} SELECT id, ticker, date, source FROM (SELECT *, row_number() OVER (PARTITION BY ticker, headline ORDER BY (id % 3 != 0)::INT, id) AS n FROM articles) WHERE n = 1",
     "news_daily_vectors": f"WITH {ARTICLES_SQL}, p AS (SELECT ticker, date, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS place FROM articles JOIN embeddings ON vec_id = id) SELECT ticker, date, place, round(avg(x), 6) AS x FROM p GROUP BY ALL",
+    "correlated_features": f"""WITH {BARS_SQL}, {_PX1}, x AS (SELECT {", ".join(f"close / nullif({roll('avg', 'close', n)}, 0) - 1 AS c{i}" for i, n in enumerate((5, 10, 20, 50)))}, {_PX["return_1lag"]} AS c4 FROM lags {S}),
+k AS (SELECT {", ".join(f"corr(c{i}, c{j}) AS r{i}{j}" for i in range(5) for j in range(i))}, {", ".join(f"var_samp(c{i}) AS v{i}" for i in range(5))} FROM x WHERE {" AND ".join(f"c{i} IS NOT NULL" for i in range(5))}),
+near AS ({" UNION ALL ".join(f"SELECT {i} AS i, {j} AS m FROM k WHERE abs(r{i}{j}) > 0.8" for i in range(5) for j in range(i))}), members AS (SELECT * FROM near UNION SELECT i, i FROM near),
+spread AS ({" UNION ALL ".join(f"SELECT {i} AS m, v{i} AS v FROM k" for i in range(5))}), ranked AS (SELECT m, row_number() OVER (PARTITION BY i ORDER BY v DESC, m) AS n FROM members JOIN spread USING (m))
+SELECT DISTINCT (['sma_ratio_5', 'sma_ratio_10', 'sma_ratio_20', 'sma_ratio_50', 'return_1lag'])[m + 1] AS feature FROM ranked WHERE n > 1""",
     "forecast_scores": f"WITH {_PRED}, {_RANKS('')} SELECT count(*) AS n, {r(_SCORES)} FROM ranks",
     "forecast_persistence": f"WITH {_PRED}, q AS (SELECT actual, lag(actual) OVER s AS prediction FROM (SELECT * FROM pred) {S}) SELECT count(*) AS n, {r({k: _SCORES[k] for k in ('rmse', 'accuracy', 'pearson')})} FROM q WHERE actual IS NOT NULL AND prediction IS NOT NULL",
     "forecast_clipped": f"""WITH {_PRED}, b AS (SELECT 3 * stddev_samp(actual / 3) AS b FROM full_pred WHERE date < DATE '1999-01-01'), t AS (SELECT date, symbol, (prediction + lag(actual) OVER s) / 2 AS p FROM (SELECT * FROM full_pred WHERE date >= DATE '1999-01-01') {S})

@@ -14,7 +14,7 @@ from tidemark.operators import features as X
 from tidemark.operators import news as N
 from tidemark.plans import bars as PB
 from tidemark.plans import events as PE
-from tidemark.plans.bars import BARS_SQL, r
+from tidemark.plans.bars import BARS_SQL
 from tidemark.sources import landed_pages as L
 from tidemark.sources import readers as R
 from tidemark.sources.fixtures import ANALYST_SQL, ARTICLES_SQL, FUNDS, INSIDER_SQL, MACRO_SQL, ORDER_DAYS_SQL, articles, bars, days_of, fund_map, insider_rows, macro_series, order_days, table
