@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import negatives, tiles, topk
+from tidemark.llm import tiles
 from tidemark.llm.negatives import Heaps, hard_negatives, strassen
 from tidemark.llm.queries import ORACLES, QUERIES
 from tidemark.llm.topk import Lists, exact_top_k
