@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations only.
 
 A mask looks at seven of ten consecutive tokens and ignores three, so a substituted token inside the
-window need not spoil the hash; between them the masks ignore every inner position but the last two once.
+window need not spoil the hash; between them the masks ignore place 5 of places 0 to 9 twice and every other inner place once.
 Every place of an item has seeds. Hits of equal hashes are verified around the seed: of some 30 consecutive item
 tokens that hold its window (or the whole of a shorter item), at least 80 % must stand at the same distances in
 the document.
