@@ -67,7 +67,7 @@ def features(word: str) -> list[str]:
 class _Cache(dict):
     """What `function` gives for the words of a token without white space, looked up once; emptied when large."""
 
-    def __init__(self, function: Callable[[str], Iterable], most: int = 300_000):
+    def __init__(self, function: Callable[[str], Iterable], most: int = 100_000):
         self.function, self.most = function, most
 
     def __missing__(self, token: str) -> tuple:
@@ -101,7 +101,7 @@ def _counts(sample: DataFrame) -> DataFrame:
                 total.update(own)
                 if label:
                     toxic.update(own)
-                if len(total) > 500_000:
+                if len(total) > 200_000:
                     yield flush()
         yield flush()
 
