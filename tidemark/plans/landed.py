@@ -165,7 +165,7 @@ def landed_targets(spark: SparkSession, sf: str) -> DataFrame:
     folder, k = _folder(spark), F.col("k")
     o = _orders(spark, sf).withColumn("quarter", F.date_format("day", "yyyyQ"))
     day = F.when(k % 11 == 0, "soon").otherwise(F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T10:00:00.000Z")))
-    item = F.struct(F.col("ticker").alias("symbol"), day.alias("publishedDate"), F.col("o_orderpriority").alias("analystCompany"), F.when(k % 13 == 0, "n/a").otherwise((k % 500).cast("string")).alias("priceTarget"), (k % 7).cast("double").alias("priceWhenPosted"), k.alias("note"))
+    item = F.struct(F.col("ticker").alias("symbol"), day.alias("publishedDate"), F.concat("o_orderpriority", F.lit(" "), k.cast("string")).alias("analystCompany"), F.when(k % 13 == 0, "n/a").otherwise((k % 500).cast("string")).alias("priceTarget"), (k % 7).cast("double").alias("priceWhenPosted"), k.alias("note"))
     docs = o.groupBy("ticker", "quarter").agg(F.to_json(F.collect_list(item)).alias("value"))  # a quarter of one ticker
     docs.withColumn("part", F.concat("ticker", "quarter")).select("value", "part").repartition("part").write.partitionBy("part").text(folder)
     found = R.price_targets(spark, folder)
@@ -360,7 +360,7 @@ SELECT feature, family, round(importance, 9) AS importance, round(sum(importance
 v AS (SELECT 'NATION_' || (user_id % 25) AS ticker, ts::DATE AS date, count(*) AS views FROM events WHERE event_type = 'view' GROUP BY ALL)
 SELECT ticker, article, date, views, round(avg(views) OVER (PARTITION BY ticker ORDER BY date ROWS 6 PRECEDING), 6) AS pageviews_ma7,
 (views > avg(views) OVER m + 2 * coalesce(stddev_samp(views) OVER m, 0))::BIGINT AS attention_spike FROM v JOIN t USING (ticker) WINDOW m AS (PARTITION BY ticker ORDER BY date ROWS 29 PRECEDING)""",
-    "landed_targets": f"WITH {_ORDERS_SQL} SELECT ticker, day AS date, o_orderpriority AS firm, (k % 500)::DOUBLE AS target, nullif(k % 7, 0)::DOUBLE AS posted FROM o WHERE k % 11 != 0 AND k % 13 != 0",
+    "landed_targets": f"WITH {_ORDERS_SQL} SELECT ticker, day AS date, o_orderpriority || ' ' || k AS firm, (k % 500)::DOUBLE AS target, nullif(k % 7, 0)::DOUBLE AS posted FROM o WHERE k % 11 != 0 AND k % 13 != 0",
     "landed_feeds": f"WITH {_ORDERS_SQL} SELECT lpad(k::VARCHAR, 12, '0') || ' & more' AS headline, o_orderpriority AS description, day AS date FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_trunc('month', day) ORDER BY k) AS n FROM o) WHERE n <= 4",
     "landed_grades": f"WITH {ANALYST_SQL} SELECT id, ticker, date, to_grade, from_grade, action FROM analyst WHERE id % 9 != 0 AND date BETWEEN DATE '1996-03-01' AND DATE '2000-10-31'",
     "stored_results": f"WITH {_ORDERS_SQL}, f AS (SELECT ticker, count(*) FILTER (o_orderstatus = 'F') AS one, count(*) FILTER (o_orderstatus IN ('F', 'O')) AS two FROM o GROUP BY ticker) SELECT ticker, one AS n, 'first' AS result FROM f WHERE one > 0 UNION ALL SELECT ticker, two, unnest(['both', 'again']) FROM f WHERE two > 0",
