@@ -261,7 +261,7 @@ def updated(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray) ->
 def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
     """Weights after `steps` gradient updates. cells: id and n, at most CELLS rows, so a few tasks hold them.
 
-    Each step is one job, in which every task sends the feature counts that it expects, a vector of fixed size."""
+    Each step every task sends the feature counts that it expects, a vector of fixed size; one at a time, as the driver's memory is small."""
     context = cells.sparkSession.sparkContext
     parts = checkpointed(cells.select("id", "n").coalesce(TRAINING_TASKS))
 
@@ -272,8 +272,10 @@ def train_weights(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
                 ids, n = (np.concatenate(x) for x in zip(*own))
                 yield pa.RecordBatch.from_arrays([pa.array([function(ids, n).tobytes()], pa.binary())], names=["g"])
 
-        # TRAINING_TASKS vectors, whatever the corpus
-        return sum((np.frombuffer(r.g, np.float32) for r in parts.mapInArrow(run, "g binary").collect()), np.zeros(WEIGHTS, np.float32))
+        out = np.zeros(WEIGHTS, np.float32)
+        for r in parts.mapInArrow(run, "g binary").toLocalIterator():
+            out += np.frombuffer(r.g, np.float32)
+        return out
 
     observed = total(observed_counts)
     weights = first_weights(observed)
