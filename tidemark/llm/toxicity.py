@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, largest, map_arrow, texts
+from tidemark.llm.common import checkpointed, largest, map_arrow, pieces, texts
 
 #: Labelled rows that training takes at most (to the accuracy of a hash), those of the smallest hashes of their ids.
 MOST_TRAINING_ROWS = 20_000
@@ -95,7 +95,7 @@ def _counts(sample: DataFrame) -> DataFrame:
             toxic.clear()
             return out
 
-        for batch in batches:
+        for batch in pieces(batches):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 own = cache.of(text)
                 total.update(own)
@@ -188,7 +188,7 @@ def training_rows(sample: DataFrame, names: list[str], groups: list[tuple[str, .
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = _Cache(lambda w: (w,))
         by_word: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in pieces(batches):
             cells = []
             for text in batch.column("text").to_pylist():
                 words = words_of.of(text)
@@ -269,7 +269,7 @@ def drop_toxic(docs: DataFrame, model: Model, cutoff: float = 0.3, id_col: str =
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text_col):
             values = batch.column(names.index(text_col)).to_pylist()
             yield batch.filter(pa.array([s < cutoff for s in model.score([x or "" for x in values])], pa.bool_()))
 
