@@ -164,3 +164,25 @@ def test_outliers_of_many_columns_take_one_exchange(spark):
         assert {tuple(r)[:2] for r in out.collect()} == set(frame[keep][["symbol", "date"]].itertuples(index=False, name=None))
     with pytest.raises(ValueError):
         B.remove_outliers(df, ["x"], "median")
+
+
+def test_fits_read_training_rows_in_few_tasks_whatever_the_panel_s(known, spark):
+    from tidemark.operators import model as L
+
+    train = known.select("date", "symbol", "target", F.lit("a").alias("kind"), F.col("target").alias("x")).repartition(64)
+    rows = L.known_rows(train, L.fit_preparation(train, ["x", "kind"]), ["x", "kind"])
+    assert rows.count() == 900 and rows.rdd.getNumPartitions() == 1
+
+
+def test_lasso_with_tasks_without_rows(known):
+    parts = M.fold_moments(known.limit(5).repartition(16), 2)
+    assert sum(m[0, 0] for m in parts) == 5
+
+
+def test_boosting_scores_in_blocks_of_rounds(known, monkeypatch):
+    model = M.PatientBoosting(rounds=7, rate=0.5, depth=2, leaf=5, share=1.0, patience=9, tolerance=0.0, every=3).fit(known)
+    whole = {(r.symbol, r.date): r.prediction for r in model.transform(known).collect()}
+    monkeypatch.setattr(M, "PLANNED", 2)
+    cut = model.transform(known)
+    assert len(model.trees) == 7 and cut._jdf.queryExecution().optimizedPlan().toString().count("UDF(") <= 2 * 2
+    assert {(r.symbol, r.date): r.prediction for r in cut.collect()} == pytest.approx(whole, abs=1e-12)

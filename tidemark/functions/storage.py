@@ -25,3 +25,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """`df`, computed once and written to the checkpoint folder."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def compact(df: DataFrame, each: int = 10_000) -> DataFrame:
+    """`df`, checkpointed, in a task for so many rows: a fit's hundreds of small jobs then start no more tasks than the rows need."""
+    rows = checkpointed(df)
+    return rows.coalesce(max(1, -(-rows.count() // each)))

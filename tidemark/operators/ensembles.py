@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.storage import checkpointed
 
 SEED = 42
+#: Rounds of boosting that one plan scores.
+PLANNED = 25
 
 
 def share_of(*key: Column | str) -> Column:
@@ -113,12 +115,15 @@ class PatientBoosting:
             tree = RandomForestRegressor(labelCol="__rest", numTrees=1, bootstrap=False, featureSubsetStrategy=str(self.share), maxDepth=self.depth, minInstancesPerNode=self.leaf, seed=SEED + k)
             model = tree.fit(rows.where("not __held").withColumn("__rest", F.col("target") - F.col("__f"))).setLeafCol("__leaf").setPredictionCol("__tree")
             trees.append((model, [self.rate * p * n / (n + self.penalty) for p, n in leaf_counts(model)]))
-            rows = _grown(rows, *trees[-1])
-            if (k + 1) % self.every == 0:
-                rows = checkpointed(rows)
-            losses.append(loss(rows))
+            grown = _grown(rows, *trees[-1])
+            # each round reads the sums of the last one, not the trees of all before
+            grown = checkpointed(grown) if (k + 1) % self.every == 0 else grown.cache()
+            losses.append(loss(grown))
+            rows.unpersist()
+            rows = grown
             if losses[0] is not None and self._best(losses) <= len(losses) - 1 - self.patience:
                 break
+        rows.unpersist()
         best = self._best(losses) if losses[0] is not None else len(trees)
         return PatientBoostingModel(base, trees[:best], losses)
 
@@ -142,9 +147,10 @@ class PatientBoostingModel:
         self.base, self.trees, self.losses = base, trees, losses
 
     def transform(self, rows: DataFrame) -> DataFrame:
-        """`rows` with the sum of all rounds as `prediction`."""
+        """`rows` with the sum of all rounds as `prediction`; rows are written after every `PLANNED` rounds, as a plan of hundreds of trees would not end."""
         rows = rows.withColumn("__f", F.lit(self.base))
-        for model, values in self.trees:
+        for k, (model, values) in enumerate(self.trees):
+            rows = checkpointed(rows) if k and k % PLANNED == 0 else rows
             rows = _grown(rows, model, values)
         return rows.withColumnRenamed("__f", "prediction")
 
@@ -161,7 +167,8 @@ def fold_moments(known: DataFrame, folds: int) -> list[np.ndarray]:
             for fold, part in frame.groupby("fold"):
                 z = np.column_stack([np.ones(len(part)), np.stack(part["x"].to_numpy()), part["target"].to_numpy()])
                 total[fold] = total.get(fold, 0) + z.T @ z
-        yield pd.DataFrame({"fold": list(total), "m": [m.ravel() for m in total.values()]})
+        if total:  # an empty column of lists has no type that Arrow takes
+            yield pd.DataFrame({"fold": list(total), "m": [m.ravel() for m in total.values()]})
 
     sums = rows.mapInPandas(run, "fold int, m array<double>").groupBy("fold").agg(Summarizer.sum(array_to_vector("m")).alias("m"))
     return [r["m"].toArray().reshape(math.isqrt(r["m"].size), -1) for r in sorted(sums.collect(), key=lambda r: r["fold"])]

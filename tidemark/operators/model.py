@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.storage import compact
 from tidemark.operators.evaluate import column_kinds
 
 SEED = 42
@@ -86,15 +87,15 @@ def fit_preparation(train: DataFrame, columns: list[str], components: int = 20)
 
 
 def known_rows(train: DataFrame, prepared: PipelineModel, columns: list[str]) -> DataFrame:
-    """date, symbol, target, features and `__held` of the training rows without nulls."""
-    return prepared.transform(with_holdout(train.dropna(subset=[*columns, "target"]))).select("date", "symbol", "target", "features", "__held")
+    """date, symbol, target, features and `__held` of the training rows without nulls, computed once, as every fit reads them many times."""
+    return compact(prepared.transform(with_holdout(train.dropna(subset=[*columns, "target"]))).select("date", "symbol", "target", "features", "__held"))
 
 
 def forecasts(train: DataFrame, test: DataFrame, columns: list[str], models: dict[str, Estimator], components: int = 20, blends: dict[str, list[str]] | None = None) -> DataFrame:
     """model, date, symbol, prediction and actual of every test row without nulls, from each model fitted on `train`.
 
-    A blend is the mean of its models' predictions. Columns are prepared once; training vectors are cached for the
-    models' passes, and recomputed from the panel if an executor that holds them is lost. All models score the test
+    A blend is the mean of its models' predictions. Columns are prepared once; training vectors are written and cached for the
+    models' passes, and read again if an executor that holds them is lost. All models score the test
     rows in one pass. Without training rows or models there is nothing to fit: a ValueError."""
     prepared = fit_preparation(train, columns, components)
     keep = ["date", "symbol", "target", "features"]
