@@ -186,3 +186,10 @@ def test_boosting_scores_in_blocks_of_rounds(known, monkeypatch):
     cut = model.transform(known)
     assert len(model.trees) == 7 and cut._jdf.queryExecution().optimizedPlan().toString().count("UDF(") <= 2 * 2
     assert {(r.symbol, r.date): r.prediction for r in cut.collect()} == pytest.approx(whole, abs=1e-12)
+
+
+def test_panel_of_the_models_reads_its_line_items_once(spark):
+    from tidemark.plans import models as P
+
+    for part in P._panel(spark, "/root/testdata/sf0.001"):
+        assert "parquet" not in part._jdf.queryExecution().optimizedPlan().toString()

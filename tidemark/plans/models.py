@@ -9,6 +9,7 @@ from tidemark.operators import evaluate as V
 from tidemark.operators import features as X
 from tidemark.operators import ensembles as M
 from tidemark.operators import model as L
+from tidemark.functions.storage import compact
 from tidemark.sources.fixtures import bars, table
 
 #: The split of the fixture's days.
@@ -17,8 +18,9 @@ COLUMNS = ["open_close_change_pct_1lag", "hl_spread_pct_1lag", "close_open_ratio
 
 
 def _panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows, a row a symbol and day; the line items are read once for all passes over them."""
     rows = X.calendar(X.target(X.volatility_features(X.price_features(bars(spark, sf_dir))), 5))
-    return V.split_at(rows.select("date", "symbol", "target", *COLUMNS), SPLIT)
+    return V.split_at(compact(rows.select("date", "symbol", "target", *COLUMNS)), SPLIT)
 
 
 def forecast_models(spark: SparkSession, sf_dir: str) -> DataFrame:
