@@ -105,3 +105,13 @@ def test_token_vectors_are_capped_and_pooled(spark):
     assert got() == {1: [1.0, 1.0], 2: None, 3: None, 4: [2.0, 1.0], 5: [1.0, 1.0]}
     with pytest.raises(ValueError):
         got(pooling="max")
+
+
+def test_words_of_short_lexicons_never_become_rows(spark):
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, value double")
+    df = spark.createDataFrame([(1, "GREAT day but never so bad", "x", "good")], "id bigint, headline string, ticker string, description string")
+    out = S.sentence_sentiment(df, lexicon, keep=("ticker",))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Generate") == 1  # the two texts of an article
+    r = out.first()
+    assert r.ticker == "x" and r.headline_sentiment == pytest.approx(plain("GREAT day but never so bad")[0], abs=1e-12)

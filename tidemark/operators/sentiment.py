@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tidemark.functions.storage import checkpointed
 
 # Fixed values of the published rules: words that strengthen or weaken the next ones, words that negate, and their weights.
 STRONGER = "absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely especially exceptional exceptionally extreme extremely fabulously flipping frackin fricking friggin fully greatly hella highly hugely incredible incredibly intensely major majorly more most particularly purely quite really remarkably so substantially thoroughly total totally tremendous tremendously uber unbelievably unusually utter utterly very".split()
@@ -20,7 +27,12 @@ NORM = 15.0
 
 #: Lexicon rows that are broadcast; a longer lexicon is joined by shuffle.
 MOST_BROADCAST = 500_000
+#: Distinct words that a task remembers, and counts, at most.
+MOST_HELD = 200_000
 SPACE, MARKS = r"[\x20\x09-\x0D]+", r"""[.,;:!?"'\-]+"""
+ENDS = """.,;:!?"'-"""
+#: Words that rules name, beside those that strengthen, weaken or negate.
+NAMED = frozenset(("but", "kind", "of", "least", "at", "very", "never", "so", "this"))
 
 
 def words_of(text: Column) -> Column:
@@ -77,34 +89,130 @@ def _valued(words: DataFrame, key: str) -> DataFrame:
     return words.withColumn("x", F.col("x") * halves)
 
 
-def sentence_sentiment(df: DataFrame, lexicon: DataFrame, headline: str = "headline", description: str = "description", key: str = "id", most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """key, headline_sentiment, description_sentiment (-1 to 1), and sentiment_positive, _negative and _neutral, the shares of the headline's words.
-
-    A word has the value of the lexicon (word, value; the highest of repeated words). Strengthening words up to three places before
-    add to it, less the farther they are; negations turn it; words in capitals count more in a text that is not all in capitals; what
-    stands before the first `but` counts half, what follows half as much again; exclamation and question marks strengthen the whole. Both texts
-    go through one plan with one exchange on the key, which is unique; a null text is empty and an empty one scores 0. Values are not rounded.
-    Idioms of several words are not looked up."""
-    parts = F.array(*[F.struct(F.lit(p).alias("part"), F.coalesce(F.col(c), F.lit("")).alias("text")) for p, c in (("h", headline), ("d", description))])
-    rows = df.select(key, F.explode(parts).alias("p")).select(key, "p.part", "p.text").withColumn("words", words_of(F.col("text")))
+def _joined(rows: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, part, score, up, down and even of every text, its words joined with a long lexicon."""
+    key = keys[0]
+    rows = rows.withColumn("words", words_of(F.col("text")))
     loud = F.size(F.filter("words", in_capitals))
     # what holds for a whole text is made before its words become rows, as Spark would make it for every row
-    rows = rows.select(key, "part", emphasis(F.col("text")).alias("emphasis"), ((loud > 0) & (loud < F.size("words"))).alias("mixed"), (F.array_position(F.transform("words", F.lower), "but").cast("int") - 1).alias("but"), "words")
-    rows = rows.select(key, "part", "emphasis", "mixed", "but", F.posexplode_outer("words").alias("place", "word"))
+    rows = rows.select(*keys, "part", emphasis(F.col("text")).alias("emphasis"), ((loud > 0) & (loud < F.size("words"))).alias("mixed"), (F.array_position(F.transform("words", F.lower), "but").cast("int") - 1).alias("but"), "words")
+    rows = rows.select(*keys, "part", "emphasis", "mixed", "but", F.posexplode_outer("words").alias("place", "word"))
     rows = rows.withColumns({"low": F.lower("word"), "caps": in_capitals(F.col("word"))})
-    rules = word_rules(lexicon)
-    rules = F.broadcast(rules) if lexicon.count() <= most_broadcast else rules
     rows = rows.join(rules.withColumnRenamed("word", "low"), "low", "left").withColumn("negates", F.coalesce("negates", F.lit(False)) | F.coalesce(F.col("low").contains("n't"), F.lit(False)))
     words = _valued(rows.repartition(key), key)
     sums = {"total": F.sum("x"), "up": F.sum(F.when(F.col("x") > 0, F.col("x") + 1).otherwise(0.0)), "down": F.sum(F.when(F.col("x") < 0, 1 - F.col("x")).otherwise(0.0)), "even": F.count(F.when((F.col("x") == 0) & F.col("word").isNotNull(), 1)).cast("double")}
-    found = words.groupBy(key, "part", "emphasis").agg(*[c.alias(n) for n, c in sums.items()])
+    found = words.groupBy(*keys, "part", "emphasis").agg(*[c.alias(n) for n, c in sums.items()])
     total = F.col("total") + F.signum("total") * F.col("emphasis")
     up = F.col("up") + F.when(F.col("up") > F.col("down"), F.col("emphasis")).otherwise(0.0)
     down = F.col("down") + F.when(F.col("up") < F.col("down"), F.col("emphasis")).otherwise(0.0)
-    found = found.select(key, "part", (total / F.sqrt(total * total + NORM)).alias("score"), up.alias("up"), down.alias("down"), "even")
+    return found.select(*keys, "part", (total / F.sqrt(total * total + NORM)).alias("score"), up.alias("up"), down.alias("down"), "even")
+
+
+class _Words(dict):
+    """Words by their bytes: lower case, in capitals, value, boost, whether it negates, and whether a rule asks for it; None for single characters."""
+
+    def __init__(self, rules: dict[str, tuple]):
+        self.rules = rules
+
+    def __missing__(self, raw: bytes) -> tuple | None:
+        found, word = None, raw.decode("utf-8", "replace")
+        if len(word) > 1:
+            bare = word.strip(ENDS)
+            word = bare if len(bare) > 1 else word
+            low = word.lower()
+            value, boost, negates = self.rules.get(low, (None, None, False))
+            caps, negates = word == word.upper() and word != low, negates or "n't" in low
+            found = (low, caps, value, boost, negates, caps or negates or boost is not None or low in NAMED)
+        self[raw] = found
+        return found
+
+    def of(self, text: bytes) -> list[tuple]:
+        """The words of a text, as `words_of` finds them: bytes are split at the same white space."""
+        if len(self) > MOST_HELD:
+            self.clear()
+        return [w for w in map(self.__getitem__, text.split()) if w is not None]
+
+
+def _value_at(words: list[tuple], i: int, mixed: bool) -> float:
+    """A valued word's part in the sum, before what `but` does to it: the rules of `_valued`."""
+    low, caps, x, boost = words[i][:4]
+    if boost is not None or low == "kind" and i + 1 < len(words) and words[i + 1][0] == "of":
+        return 0.0
+    if caps and mixed:
+        x += CAPITALS if x > 0 else -CAPITALS
+    low1, low2, low3 = (words[i - k][0] if i >= k else "" for k in (1, 2, 3))
+    for k in range(1, min(i, 3) + 1):
+        _, before_caps, value, boost, negates, _ = words[i - k]
+        if value is not None:
+            continue
+        if boost is not None:
+            step = -boost if x < 0 else boost
+            if before_caps and mixed:
+                step += CAPITALS if x > 0 else -CAPITALS
+            x += step * DECAY[k - 1]
+        if k == 2 and low2 == "never" and low1 in ("so", "this"):
+            x *= NEVER_SO[1]
+        elif k == 3 and (low3 == "never" and low2 in ("so", "this") or low1 in ("so", "this")):
+            x *= NEVER_SO[2]
+        elif negates:
+            x *= NEGATED
+    return x * NEGATED if low1 == "least" and words[i - 1][2] is None and low2 not in ("at", "very") else x
+
+
+def _scores(words: list[tuple], text: bytes) -> tuple[float, float, float, float]:
+    """score, up, down and even of a text."""
+    asked_for = [i for i, w in enumerate(words) if w[5]]
+    if asked_for:
+        mixed = 0 < sum([w[1] for w in words]) < len(words)
+        near = {i + d for i in asked_for for d in (-1, 0, 1, 2, 3)}  # any other word has its own value
+        but = next((i for i in asked_for if words[i][0] == "but"), -1)
+        halves = lambda i: 1.0 if but < 0 or i == but else BEFORE_BUT if i < but else AFTER_BUT
+        values = [(_value_at(words, i, mixed) if i in near else w[2]) * halves(i) for i, w in enumerate(words) if w[2] is not None]
+    else:
+        values = [w[2] for w in words if w[2] is not None]
+    above, below = [x for x in values if x > 0], [x for x in values if x < 0]
+    total, up, down = sum(values, 0.0), sum(above, 0.0) + len(above), len(below) - sum(below, 0.0)
+    even = len(words) - len(above) - len(below)
+    asked = text.count(b"?")
+    marks = min(text.count(b"!"), MOST_EXCLAMATIONS) * EXCLAMATION + (MANY_QUESTIONS if asked > MOST_QUESTIONS else asked * QUESTION if asked > 1 else 0.0)
+    total += marks if total > 0 else -marks if total < 0 else 0.0
+    up, down = up + (marks if up > down else 0.0), down + (marks if up < down else 0.0)
+    return total / math.sqrt(total * total + NORM), up, down, float(even)
+
+
+def _in_place(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """What `_joined` gives, each text scored where it stands: words never become rows. Every task holds the rules."""
+    known = {r.word: (r.value, r.boost, r.negates) for r in rules.where("word is not null").toLocalIterator()}
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+    kept = [f for f in rows.schema if f.name != "text"]
+    names = ["score", "up", "down", "even"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Words(shared.value)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+            found = [_scores(held.of(t), t) for start in range(0, len(texts), 256) for t in texts.slice(start, 256).to_pylist()]
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept] + [pa.array([x[i] for x in found], pa.float64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + names)
+
+    return rows.mapInArrow(run, StructType([*kept, *[StructField(n, DoubleType()) for n in names]]))
+
+
+def sentence_sentiment(df: DataFrame, lexicon: DataFrame, headline: str = "headline", description: str = "description", key: str = "id", most_broadcast: int = MOST_BROADCAST, keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, the columns to keep, headline_sentiment, description_sentiment (-1 to 1), and sentiment_positive, _negative and _neutral, the shares of the headline's words.
+
+    A word has the value of the lexicon (word, value; the highest of repeated words). Strengthening words up to three places before
+    add to it, less the farther they are; negations turn it; words in capitals count more in a text that is not all in capitals; what
+    stands before the first `but` counts half, what follows half as much again; exclamation and question marks strengthen the whole. Both texts
+    go through one plan with one exchange on the key, which is unique, of scores only unless the lexicon is long; a null text is empty and an empty one scores 0. Values are not rounded.
+    Idioms of several words are not looked up."""
+    parts = F.array(*[F.struct(F.lit(p).alias("part"), F.coalesce(F.col(c), F.lit("")).alias("text")) for p, c in (("h", headline), ("d", description))])
+    rows = df.select(key, *keep, F.explode(parts).alias("p")).select(key, *keep, "p.part", "p.text")
+    rules = checkpointed(word_rules(lexicon))
+    found = _in_place(rows, rules) if rules.count() <= most_broadcast else _joined(rows, rules, [key, *keep])
     of = lambda part, c: F.max(F.when(F.col("part") == part, c))
     share = lambda c: of("h", F.coalesce(F.try_divide(F.col(c), reduce(Column.__add__, map(F.col, ("up", "down", "even")))), F.lit(0.0)))
-    return found.groupBy(key).agg(of("h", F.col("score")).alias("headline_sentiment"), of("d", F.col("score")).alias("description_sentiment"), share("up").alias("sentiment_positive"), share("down").alias("sentiment_negative"), share("even").alias("sentiment_neutral"))
+    return found.groupBy(key, *keep).agg(of("h", F.col("score")).alias("headline_sentiment"), of("d", F.col("score")).alias("description_sentiment"), share("up").alias("sentiment_positive"), share("down").alias("sentiment_negative"), share("even").alias("sentiment_neutral"))
 
 
 def label_lexicon(docs: DataFrame, labels: DataFrame, good: Column, least_texts: int = 5, least_value: float = 0.5, key: str = "doc_id") -> DataFrame:
@@ -112,9 +220,28 @@ def label_lexicon(docs: DataFrame, labels: DataFrame, good: Column, least_texts:
 
     Words whose value is closer to 0 than `least_value` carry none and are left out. Counted over all labelled texts; each counts a word once."""
     kind = labels.groupBy(key).agg(F.max(F.when(good, 1).otherwise(0)).alias("good"))
-    seen = docs.join(kind, key).select("good", F.explode(F.array_distinct(F.transform(words_of(F.coalesce("text", F.lit(""))), F.lower))).alias("word"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = _Words({}), (Counter(), Counter())
+
+        def flush() -> pa.RecordBatch:
+            words = list(counts[0] | counts[1])
+            out = [pa.array(words, pa.string()), *[pa.array([counts[i][w] for w in words], pa.int64()) for i in (1, 0)]]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays(out, names=["word", "g", "b"])
+
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            for good, text in ((g, t) for start in range(0, len(texts), 256) for g, t in zip(*(c.slice(start, 256).to_pylist() for c in (batch.column(0), texts)))):
+                counts[good].update({w[0] for w in held.of(text)})
+                if len(counts[0]) + len(counts[1]) > MOST_HELD:
+                    yield flush()
+        yield flush()
+
+    seen = docs.join(kind, key).select("good", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "word string, g bigint, b bigint")
     whole = kind.join(docs.select(key).distinct(), key).agg(F.sum("good").alias("all_good"), F.sum(1 - F.col("good")).alias("all_bad"))
-    counts = seen.groupBy("word").agg(F.sum("good").alias("g"), F.sum(1 - F.col("good")).alias("b")).where(F.col("g") + F.col("b") >= least_texts)
+    counts = seen.groupBy("word").agg(F.sum("g").alias("g"), F.sum("b").alias("b")).where(F.col("g") + F.col("b") >= least_texts)
     up, down = F.col("g") * F.col("all_bad"), F.col("b") * F.col("all_good")
     value = F.try_divide(4.0 * (up - down), up + down)
     return counts.crossJoin(F.broadcast(whole)).select("word", value.alias("value")).where(F.abs("value") >= least_value)
