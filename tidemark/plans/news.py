@@ -24,7 +24,8 @@ def lexicon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_sentiment(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
-    return rows.join(S.sentence_sentiment(rows, lexicon(spark, sf)), "id")
+    """id, ticker, date and sentiment of the articles."""
+    return S.sentence_sentiment(rows, lexicon(spark, sf), keep=("ticker", "date"))
 
 
 FIVE = ["headline_sentiment", "description_sentiment", "sentiment_positive", "sentiment_negative", "sentiment_neutral"]
