@@ -115,3 +115,19 @@ def test_words_of_short_lexicons_never_become_rows(spark):
     assert "Window" not in plan and plan.count("Generate") == 1  # the two texts of an article
     r = out.first()
     assert r.ticker == "x" and r.headline_sentiment == pytest.approx(plain("GREAT day but never so bad")[0], abs=1e-12)
+
+
+def test_rolled_up_news_are_scored_once(spark):
+    from tidemark.operators import news as N
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def scored(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(i, "t", f"h{i}", 0.5) for i in range(6)], "id bigint, ticker string, headline string, description_sentiment double").withColumn("date", F.lit("2024-01-01").cast("date"))
+    out = N.news_features([df], lambda rows: rows.mapInPandas(scored, rows.schema), lambda rows: rows.withColumn("embedding", F.array(F.col("id").cast("double"))), aggregate=True)
+    r = out.first()
+    assert (r.news_count, r.sentiment_mean, r.embedding) == (6, 0.5, [2.5]) and seen.value == 6

@@ -213,5 +213,7 @@ def news_features(sources: list[DataFrame], sentiment: Callable[[DataFrame], Dat
         rows = vectors(rows)
     if not aggregate:
         return rows
-    days = daily_sentiment(rows)
-    return days if vectors is None else days.join(daily_vectors(rows), ["date", "ticker"], "left")
+    if vectors is None:
+        return daily_sentiment(rows)
+    rows = checkpointed(rows.select("date", "ticker", "description_sentiment", "embedding"))  # both halves read them
+    return daily_sentiment(rows).join(daily_vectors(rows), ["date", "ticker"], "left")
