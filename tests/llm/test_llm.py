@@ -259,6 +259,23 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(empty, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_broadcasts_a_bounded_part_of_the_benchmark(spark):
+    """Whatever the benchmark, copies are looked for once, tokens of long lists of seeds are joined, and one block of hashes is held at a time."""
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    items = {i: " ".join(f"i{i}x{k}" for k in range(20 + i)) for i in range(12)}
+    docs = spark.createDataFrame([(d, f"a b {items[d % 15]} c" if d % 15 in items else "none of it") for d in range(60)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([*items.items(), *((100 * c + i, x) for c in range(1, 6) for i, x in items.items())], "item_id bigint, text string")
+    want = {(d, 100 * c + d % 15) for d in range(60) if d % 15 in items for c in range(6)}
+    seeds = 3 * sum(11 + i for i in range(12))
+    for most_seeds, held in ((seeds, 3), (seeds // 2, 3), (seeds // 25, 1)):
+        found = decontaminate.contaminated(docs, bench, most_seeds=most_seeds)
+        assert {(x.doc_id, x.item_id) for x in found.collect()} == want
+        assert plan(found).count("strategy=broadcast") == held, most_seeds
+
+
 def test_decontamination_seeds_every_place_and_region(spark):
     def brute(doc, item):
         best = 0.0
