@@ -274,6 +274,10 @@ def test_decontamination_broadcasts_a_bounded_part_of_the_benchmark(spark):
         found = decontaminate.contaminated(docs, bench, most_seeds=most_seeds)
         assert {(x.doc_id, x.item_id) for x in found.collect()} == want
         assert plan(found).count("strategy=broadcast") == held, most_seeds
+    for most_broadcast, held in ((48, 1), (47, 0)):
+        left = decontaminate.decontaminate(docs, bench, most_broadcast=most_broadcast)
+        assert sorted(x.doc_id for x in left.collect()) == [d for d in range(60) if d % 15 not in items]
+        assert plan(left).count("strategy=broadcast") == held and "Generate" not in plan(left)
 
 
 def test_decontamination_seeds_every_place_and_region(spark):

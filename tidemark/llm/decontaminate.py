@@ -18,7 +18,7 @@ MASKS = ("1101101011", "1110010111", "1011101101")
 SPAN = 10
 #: Seeds that are broadcast at most with their tokens, up to 50 hashes each; of more only the hashes are, KEYS times as many at a time.
 MOST_SEEDS, KEYS = 100_000, 10
-#: Names of passages that are broadcast at most; more are joined.
+#: Contaminated documents and names of passages that are broadcast at most; more are joined.
 MOST_BROADCAST = 500_000
 
 
@@ -124,9 +124,11 @@ def contaminated(
     return found.join(names, "passage").groupBy("doc_id", "text_hash", "item_id").agg(F.max("matched").alias("matched"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, region: int = 30, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most_seeds: int = MOST_SEEDS) -> DataFrame:
-    """The rows of `docs` whose texts hold no benchmark passage; see `contaminated`."""
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, share: float = 0.8, region: int = 30, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most_seeds: int = MOST_SEEDS, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
+    """The rows of `docs` whose texts hold no benchmark passage; see `contaminated`. Texts are shuffled only if more than `most_broadcast` are to go."""
     found = matches(docs, benchmark_passages(benchmark, item_col, item_text_col), share, region, id_col, text_col, most_seeds)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    found = _few(found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), most_broadcast)
     same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("__hash"))
     return docs.join(found, same, "left_anti")
